@@ -13,7 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
-from taxaloom.session import shuffle_width
+from taxaloom.session import freeze, shuffle_width
 
 # A window group proven to be at most this long is sorted by one task.
 SINGLE_TASK_ROWS = 1_000_000
@@ -71,7 +71,8 @@ def running(
         cols += [F.min(c).over(on).alias(f"{c}_floor") for c in later_min]
         return df.select("*", *cols)
 
-    cut = value_bucket(df, order) if bucket is None else df.withColumn("_bucket", bucket)
+    # The rows are read three times (cuts, bucket totals, ranks) and must not differ.
+    cut = value_bucket(freeze(df), order) if bucket is None else df.withColumn("_bucket", bucket)
     group = [*keys, "_bucket"]
     per_bucket = cut.groupBy(*group).agg(
         *[F.sum(c).alias(f"_s_{c}") for c in sums], *[F.min(c).alias(f"_m_{c}") for c in later_min]
@@ -153,13 +154,17 @@ def place(df: DataFrame, keys: Sequence[str], order: Sequence[tuple[str, bool]],
         by = [F.col(c).desc() if desc else F.col(c).asc() for c, desc in order]
         w = W.partitionBy(*keys).orderBy(*by) if keys else W.partitionBy(F.lit(0)).orderBy(*by)
         return df.withColumn("position", F.row_number().over(w).cast("bigint") - 1)
+    return _place(freeze(df), keys, order)
+
+
+def _place(df: DataFrame, keys: list[str], order: Sequence[tuple[str, bool]]) -> DataFrame:
     (first, desc), rest = order[0], order[1:]
     counted = value_counts(df, keys, first)
     start = F.col("n_total") - F.col("n_before") - F.col("n") if desc else F.col("n_before")
     blocks = counted.select(*keys, first, start.alias("_start"))
     if not rest:
         return df.join(blocks, [*keys, first]).withColumnRenamed("_start", "position")
-    inner = place(df, [*keys, first], rest)
+    inner = _place(df, [*keys, first], rest)
     return (
         inner.join(blocks, [*keys, first])
         .withColumn("position", F.col("position") + F.col("_start"))

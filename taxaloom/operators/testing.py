@@ -48,8 +48,11 @@ def rank_sum(
     ``exact``: ``auto`` = untied and both groups below 50; ``small`` = untied and
     the smaller group at most 8; ``never``. Otherwise the normal approximation
     with tie and continuity correction. ``u`` is the statistic of the treatment.
+    ``bound`` limits the distinct values of one key; a feature has at most one per
+    sample, so the number of samples is taken.
     """
     keys = list(keys)
+    bound = meta.count() if bound is None else bound
     n_t, n_c = group_size(meta, treatment), group_size(meta, control)
     ranked = running(_value_groups(df, meta, treatment, control, keys), keys, "value", sums=["n"], bound=bound)
     mid = F.col("n_before") + (F.col("n") + 1) / 2
@@ -89,6 +92,7 @@ def rank_sum(
 def kruskal(df: DataFrame, meta: DataFrame, keys: Sequence[str] = ("feature",), bound: int | None = None) -> DataFrame:
     """Kruskal–Wallis H with tie correction over all groups of the metadata, p from χ²."""
     keys = list(keys)
+    bound = meta.count() if bound is None else bound
     sizes = meta.groupBy("group").agg(F.count(F.lit(1)).cast("double").alias("n_g"))
     total = group_size(meta)
     n_groups = sizes.select(F.count(F.lit(1)).cast("double")).scalar()
@@ -279,6 +283,7 @@ def linear_model(
 def roc(df: DataFrame, meta: DataFrame, positive: str = TREATMENT, negative: str = CONTROL,
         bound: int | None = None) -> DataFrame:
     """ROC points per feature, one per distinct value as threshold (x ≥ threshold is positive)."""
+    bound = meta.count() if bound is None else bound
     n_t, n_c = group_size(meta, positive), group_size(meta, negative)
     cells = _value_groups(df, meta, positive, negative, ["feature"])
     up = running(cells, ["feature"], "value", sums=["n_t", "n_c"], bound=bound)

@@ -1,6 +1,12 @@
 """All registered queries."""
 
-from taxaloom.plans import queries_io  # noqa: F401
+from taxaloom.plans import (  # noqa: F401
+    queries_composition,
+    queries_diversity,
+    queries_io,
+    queries_tables,
+    queries_tests,
+)
 from taxaloom.plans.register import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]

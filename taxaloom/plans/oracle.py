@@ -97,7 +97,7 @@ def erfc(x: str) -> str:
     """erfc by the all-positive series erf(x) = Σ x^(2n+1)·exp(−x²)/Γ(n + 3/2)."""
     return (
         f"CASE WHEN ({x}) <= 0 THEN 1.0 WHEN ({x}) > 6 THEN 0.0 ELSE 1 - list_sum(list_transform(range(0, 160), "
-        f"n -> exp(-({x}) * ({x}) + (2 * n + 1) * ln({x}) - lgamma(n + 1.5)))) END"
+        f"lambda n: exp(-({x}) * ({x}) + (2 * n + 1) * ln({x}) - lgamma(n + 1.5)))) END"
     )
 
 

@@ -14,9 +14,8 @@ from taxaloom.sources import files, params, sinks, tables as T
 def _per_sample(df: DataFrame, name: str, header: bool = False) -> str:
     """Write ``df`` as one folder of TSV files per sample and return the root."""
     path = staging_path(df.sparkSession, name)
-    df.withColumn("of", F.col("sample_name")).drop("sample_name").write.partitionBy("of").option("sep", "\t").option(
-        "header", header
-    ).csv(path)
+    named = df.withColumn("of", F.col("sample_name")).drop("sample_name").hint("rebalance", "of")
+    named.write.partitionBy("of").option("sep", "\t").option("header", header).csv(path)
     return path
 
 

@@ -47,13 +47,16 @@ def staging_path(spark: SparkSession, name: str) -> str:
 
 
 def freeze(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` reliably and cut its lineage.
+    """Materialise ``df`` as a table in the shared folder and cut its lineage.
 
     Used where one result is read by several branches that must see the very
     same floating-point values, and between the rounds of iterative operators.
+    The written table survives lost executors and tells the planner its size.
     """
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = staging_path(spark, "frozen")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def shuffle_width(spark: SparkSession) -> int:

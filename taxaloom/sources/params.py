@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 _SAMPLE = T.ArrayType(T.MapType(T.StringType(), T.StringType()))
 
@@ -51,11 +53,10 @@ def channel(rows: DataFrame, *kinds: str) -> DataFrame:
     )
 
 
-def merge_settings(*maps: str):
+def merge_settings(*maps: str) -> Column:
     """One map of the named map columns; a later column wins on equal keys."""
-    out = F.col(maps[0])
-    for name in maps[1:]:
-        right = F.col(name)
-        kept = F.map_filter(out, lambda k, _, right=right: ~F.map_contains_key(right, k))
-        out = F.map_concat(kept, right)
-    return out
+
+    def merge(left: Column, right: Column) -> Column:
+        return F.map_concat(F.map_filter(left, lambda k, _: ~F.map_contains_key(right, k)), right)
+
+    return reduce(merge, [F.col(m) for m in maps])

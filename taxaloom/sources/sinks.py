@@ -19,8 +19,12 @@ def write_table(df: DataFrame, path: str, header: bool = True) -> None:
 
 
 def write_by(df: DataFrame, path: str, key: str) -> None:
-    """One sub-folder per value of ``key`` (rank, sample, term type) in a single pass."""
-    _tsv(df).partitionBy(key).csv(path)
+    """One sub-folder per value of ``key`` (rank, sample, term type) in a single pass.
+
+    Rows are rebalanced by key first: few files per folder, and a folder holding
+    a large part of the rows is still written by several tasks.
+    """
+    _tsv(df.hint("rebalance", key)).partitionBy(key).csv(path)
 
 
 def write_lines(df: DataFrame, column: str, path: str) -> None:
