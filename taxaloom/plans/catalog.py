@@ -3,6 +3,7 @@
 from taxaloom.plans import (  # noqa: F401
     queries_composition,
     queries_diversity,
+    queries_functional,
     queries_io,
     queries_tables,
     queries_tests,
