@@ -1,18 +1,20 @@
 """LDA effect size: bootstrap linear discriminants on sparse abundances.
 
-The discriminant direction of a replicate solves (S_w + λI)·w = gap. Neither the
-feature × feature scatter matrix nor a replicate's table is ever gathered: the
-system is solved by conjugate gradients, whose matrix product is two passes
-over the sparse rows, for all replicates at once.
+The discriminant direction of a replicate solves (S_w + λD)·w = gap, D being the
+feature variances. On a large cohort neither the feature × feature scatter
+matrix nor a replicate's table is ever gathered: conjugate gradients need only
+passes over the sparse rows, for all replicates at once.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from taxaloom.operators.matrix import relative
 from taxaloom.operators.ordered import place
-from taxaloom.operators.testing import CONTROL, TREATMENT, group_size, kruskal
+from taxaloom.operators.testing import CONTROL, TREATMENT, kruskal
 from taxaloom.session import freeze
 
 
@@ -35,16 +37,6 @@ def draw_samples(meta: DataFrame, boots: int, seed: int, share: float = 2 / 3) -
     )
 
 
-def _sums(array, boots: int):
-    """Element-wise sum of an array column over a group."""
-    return F.array(*[F.sum(array[i]) for i in range(boots)])
-
-
-def _scalars(df: DataFrame, column, boots: int) -> list[float]:
-    """One number per replicate."""
-    return list(df.agg(*[F.sum(column[i]).alias(f"s{i}") for i in range(boots)]).first())
-
-
 def _times(a, b):
     return F.zip_with(a, b, lambda x, y: x * y)
 
@@ -56,16 +48,18 @@ def lda_effect(
     threshold: float = 2.0,
     boots: int = 30,
     seed: int = 1234,
-    ridge: float = 1e-2,
-    max_rounds: int = 50,
+    ridge: float = 0.05,
+    max_rounds: int = 60,
     treatment: str = TREATMENT,
     control: str = CONTROL,
+    single_task: int = 1_000_000,
 ) -> DataFrame:
     """Signed LDA scores ``(feature, score)`` of the features passing the Kruskal–Wallis filter.
 
     Per replicate a feature scores half the sum of its raw class-mean gap and its
     gap along the unit discriminant; the mean over replicates is reported as
-    sign·log10(1 + mean), positive where the treatment is higher.
+    sign·log10(1 + mean), positive where the treatment is higher. A table of at
+    most ``single_task`` (sample, feature) cells is solved one replicate per task.
     """
     two = meta.filter(F.col("group").isin(treatment, control))
     x = relative(df.filter("value <> 0").join(two.select("sample_name"), "sample_name", "left_semi"), 1e6)
@@ -76,97 +70,144 @@ def lda_effect(
     # group sizes of a replicate are the same in all replicates
     size = {r["group"]: float(r["n"]) for r in picks.groupBy("group").agg(F.sum(F.col("picks")[0]).alias("n")).collect()}
     n_t, n_c = size[treatment], size[control]
-    free = n_t + n_c - 2
+    is_t = F.col("group") == treatment
+    n_all = {g: two.filter(F.col("group") == g).count() for g in (treatment, control)}
+    # Features are scaled by their within-group deviation over the whole cohort,
+    # so the ridge is a share of every feature's own variance.
+    overall = x.join(two, "sample_name").groupBy("feature").agg(
+        F.sum(F.when(is_t, F.col("x")).otherwise(0.0)).alias("t"),
+        F.sum(F.when(~is_t, F.col("x")).otherwise(0.0)).alias("c"),
+        F.sum(F.col("x") * F.col("x")).alias("q"),
+    )
+    within = F.col("q") - F.col("t") * F.col("t") / n_all[treatment] - F.col("c") * F.col("c") / n_all[control]
+    spread = F.sqrt(F.greatest(within, F.col("q") * 1e-12) / (n_all[treatment] + n_all[control] - 2))
+    sign = F.when(F.col("t") / n_all[treatment] >= F.col("c") / n_all[control], 1.0).otherwise(-1.0)
+    features = freeze(overall.select("feature", spread.alias("sd"), sign.alias("sign")))
+    x = freeze(x.join(features, "feature").select("sample_name", "feature", (F.col("x") / F.col("sd")).alias("x")))
+    p = features.count()
+    if p == 0:
+        return features.select("feature", F.lit(0.0).alias("score"))
+    solve = _solve_local if p * sum(n_all.values()) <= single_task else _solve_distributed
+    mean = solve(x, features, picks, boots, n_t, n_c, ridge, max_rounds, treatment)
+    return (
+        mean.join(features, "feature")
+        .select("feature", (F.col("sign") * F.log10(1 + F.col("mean"))).alias("score"))
+        .filter(F.abs("score") >= threshold)
+    )
+
 
+def _solve_local(x, features, picks, boots, n_t, n_c, ridge, max_rounds, treatment) -> DataFrame:
+    """Mean replicate scores, one replicate per task: a cohort table of bounded size."""
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        names, f = np.unique(rows["feature"].to_numpy(dtype=object).astype(str), return_inverse=True)
+        _, i = np.unique(rows["sample_name"].to_numpy(dtype=object).astype(str), return_inverse=True)
+        m = np.zeros((i.max() + 1, len(names)))
+        m[i, f] = rows["x"].to_numpy()
+        treated = np.zeros(len(m), dtype=bool)
+        treated[i] = (rows["group"] == treatment).to_numpy()
+        sd = np.zeros(len(names))
+        sd[f] = rows["sd"].to_numpy()
+        m_t, m_c = m[treated].sum(axis=0) / n_t, m[~treated].sum(axis=0) / n_c
+        within = (m.T @ m - n_t * np.outer(m_t, m_t) - n_c * np.outer(m_c, m_c)) / (n_t + n_c - 2)
+        gap = m_t - m_c
+        w = np.linalg.solve(within + ridge * np.eye(len(names)), gap) / sd
+        raw = gap * sd
+        along = np.abs(w) * abs(w @ raw) / max(w @ w, 1e-300)
+        return pd.DataFrame({"feature": names, "score": (np.abs(raw) + along) / 2})
+
+    drawn = picks.select("sample_name", "group", F.posexplode("picks").alias("boot", "pick")).filter("pick > 0")
+    rows = x.join(features.select("feature", "sd"), "feature").join(drawn.drop("pick"), "sample_name")
+    scores = rows.groupBy("boot").applyInPandas(run, "feature string, score double")
+    return scores.groupBy("feature").agg((F.sum("score") / boots).alias("mean"))
+
+
+def _solve_distributed(x, features, picks, boots, n_t, n_c, ridge, max_rounds, treatment) -> DataFrame:
+    """The same by conjugate gradients for all replicates at once, on a cohort of any size.
+
+    One product S_w·r is two passes over the sparse rows. The variant used needs
+    a single reduction per round: residual norms, curvature and the products of
+    the class means with the new vector come from one aggregate.
+    """
+    free = n_t + n_c - 2
     is_t = F.col("group") == treatment
     joined = x.join(picks, "sample_name")
 
-    def held(cond, power):
-        value = F.col("x") if power == 1 else F.col("x") * F.col("x")
-        return F.array(*[F.sum(F.when(cond, value * F.col("picks")[i]).otherwise(0.0)) for i in range(boots)])
-
-    moments = joined.groupBy("feature").agg(
-        held(is_t, 1).alias("s_t"), held(~is_t, 1).alias("s_c"), held(F.lit(True), 2).alias("q")
-    ).select(
-        "feature",
-        F.transform("s_t", lambda v: v / n_t).alias("m_t"),
-        F.transform("s_c", lambda v: v / n_c).alias("m_c"),
-        "q",
-    )
-    gap = F.zip_with("m_t", "m_c", lambda a, b: a - b)
-    spread = F.zip_with(
-        "q", F.zip_with("m_t", "m_c", lambda a, b: n_t * a * a + n_c * b * b), lambda q, m: (q - m) / free
+    def held(cond, n):
+        return F.array(*[F.sum(F.when(cond, F.col("x") * F.col("picks")[i]).otherwise(0.0)) / n for i in range(boots)])
+
+    means = freeze(
+        joined.groupBy("feature").agg(held(is_t, n_t).alias("m_t"), held(~is_t, n_c).alias("m_c"))
+        .withColumn("gap", F.zip_with("m_t", "m_c", lambda a, b: a - b))
     )
-    moments = freeze(moments.select("feature", gap.alias("gap"), spread.alias("spread")))
-    p = moments.count()
-    if p == 0:
-        return moments.select("feature", F.lit(0.0).alias("score"))
-    lam = [max(ridge * s / p, 1e-300) for s in _scalars(moments, F.col("spread"), boots)]
 
     def lit(values):
         return F.array(*[F.lit(float(v)) for v in values])
 
-    zero = F.transform("gap", lambda v: v * 0.0)
-    state = freeze(moments.select("feature", "gap", zero.alias("w"), F.col("gap").alias("r"), F.col("gap").alias("p")))
-    rr = start = _scalars(state, _times("r", "r"), boots)
-    for _ in range(max_rounds):
-        t = x.join(state.select("feature", "p"), "feature").groupBy("sample_name").agg(
-            F.array(*[F.sum(F.col("x") * F.col("p")[i]) for i in range(boots)]).alias("t")
-        )
-        t = t.join(picks, "sample_name").select("sample_name", "group", "picks", _times("t", "picks").alias("t"))
-        means = t.groupBy("group").agg(_sums(F.col("t"), boots).alias("m"))
-        n_g = F.when(is_t, F.lit(n_t)).otherwise(F.lit(n_c))
-        u = t.join(means, "group").select(
-            "sample_name",
-            F.zip_with("t", _times("m", "picks"), lambda a, m: struct_pair(a, m)).alias("tm"), n_g.alias("n"),
-        ).select("sample_name", F.transform("tm", lambda e: e["a"] - e["m"] / F.col("n")).alias("u"))
-        product = x.join(u, "sample_name").groupBy("feature").agg(
-            F.array(*[F.sum(F.col("x") * F.col("u")[i]) / free for i in range(boots)]).alias("q")
-        )
-        stepped = state.join(product, "feature").withColumn(
-            "q", F.zip_with("q", _times(lit(lam), "p"), lambda a, b: a + b)
+    def plus(a, b):
+        return F.zip_with(a, b, lambda u, v: u + v)
+
+    def product(state: DataFrame, dots_t: list[float], dots_c: list[float]) -> DataFrame:
+        """``w`` = (S_w + ridge)·r; ``dots`` are the class means times r."""
+        t = x.join(state.select("feature", "r"), "feature").groupBy("sample_name").agg(
+            F.array(*[F.sum(F.col("x") * F.col("r")[i]) for i in range(boots)]).alias("t")
         )
-        stepped = freeze(stepped)
-        pq = _scalars(stepped, _times("p", "q"), boots)
-        alpha = [a / b if b > 0 else 0.0 for a, b in zip(rr, pq)]
-        moved = freeze(
-            stepped.select(
-                "feature", "gap", "p",
-                F.zip_with("w", _times(lit(alpha), "p"), lambda a, b: a + b).alias("w"),
-                F.zip_with("r", _times(lit(alpha), "q"), lambda a, b: a - b).alias("r"),
-            )
+        t = t.join(picks, "sample_name").select("sample_name", _times("t", "picks").alias("t"))
+        q = x.join(t, "sample_name").groupBy("feature").agg(
+            F.array(*[F.sum(F.col("x") * F.col("t")[i]) for i in range(boots)]).alias("q")
         )
-        new = _scalars(moved, _times("r", "r"), boots)
-        beta = [a / b if b > 0 else 0.0 for a, b in zip(new, rr)]
-        rr = new
-        state = moved.select(
-            "feature", "gap", "w", "r", F.zip_with("r", _times(lit(beta), "p"), lambda a, b: a + b).alias("p")
+        away = plus(_times("m_t", lit([n_t * d for d in dots_t])), _times("m_c", lit([n_c * d for d in dots_c])))
+        w = F.zip_with(F.zip_with("q", away, lambda a, b: (a - b) / free), "r", lambda a, b: a + ridge * b)
+        return state.join(q, "feature").join(means.select("feature", "m_t", "m_c"), "feature").withColumn("w", w).drop("q")
+
+    def reduce_all(state: DataFrame) -> list[list[float]]:
+        pairs = [("r", "r"), ("w", "r"), ("m_t", "w"), ("m_c", "w")]
+        row = state.agg(*[F.sum(F.col(a)[i] * F.col(b)[i]) for a, b in pairs for i in range(boots)]).first()
+        return [list(row[k * boots:(k + 1) * boots]) for k in range(len(pairs))]
+
+    first = means.agg(
+        *[F.sum(F.col("m_t")[i] * F.col("gap")[i]) for i in range(boots)],
+        *[F.sum(F.col("m_c")[i] * F.col("gap")[i]) for i in range(boots)],
+    ).first()
+    dot_t, dot_c = list(first[:boots]), list(first[boots:])
+    zero = F.transform("gap", lambda v: v * 0.0)
+    start = means.select("feature", "gap", zero.alias("y"), zero.alias("p"), zero.alias("s"), F.col("gap").alias("r"))
+    state = freeze(product(start, dot_t, dot_c))
+    gamma, delta, w_t, w_c = reduce_all(state)
+    goal = [1e-12 * g for g in gamma]
+    s_t = s_c = [0.0] * boots
+    alpha = [g / d if d > 0 else 0.0 for g, d in zip(gamma, delta)]
+    beta = [0.0] * boots
+    for _ in range(max_rounds):
+        # A replicate that has arrived stands still.
+        alpha = [a if g > e else 0.0 for a, g, e in zip(alpha, gamma, goal)]
+        moved = state.withColumn("p", plus("r", _times(lit(beta), "p"))).withColumn("s", plus("w", _times(lit(beta), "s")))
+        moved = moved.withColumn("y", plus("y", _times(lit(alpha), "p"))).withColumn(
+            "r", F.zip_with("r", _times(lit(alpha), "s"), lambda a, b: a - b)
         )
-        if all(a <= 1e-16 * b for a, b in zip(rr, start)):
+        s_t = [w + b * s for w, b, s in zip(w_t, beta, s_t)]
+        s_c = [w + b * s for w, b, s in zip(w_c, beta, s_c)]
+        dot_t = [d - a * s for d, a, s in zip(dot_t, alpha, s_t)]
+        dot_c = [d - a * s for d, a, s in zip(dot_c, alpha, s_c)]
+        state = freeze(product(moved.drop("w", "m_t", "m_c"), dot_t, dot_c))
+        new, delta, w_t, w_c = reduce_all(state)
+        if all(g <= e for g, e in zip(new, goal)):
             break
-    norm = [max(v, 1e-300) for v in _scalars(state, _times("w", "w"), boots)]
-    along = _scalars(state, _times("w", "gap"), boots)
-    # |w_f|/‖w‖ · |w·gap|/‖w‖
-    weight = lit([abs(a) / n for a, n in zip(along, norm)])
-    per_boot = F.zip_with(
-        F.transform("gap", lambda v: F.abs(v)),
-        _times(F.transform("w", lambda v: F.abs(v)), weight),
-        lambda raw, lda: (raw + lda) / 2,
-    )
-    mean = F.aggregate(per_boot, F.lit(0.0), lambda a, v: a + v) / boots
-    scored = state.select("feature", mean.alias("_m"))
-    sides = x.join(two, "sample_name").groupBy("feature").agg(
-        F.sum(F.when(is_t, F.col("x")).otherwise(0.0)).alias("_t"),
-        F.sum(F.when(~is_t, F.col("x")).otherwise(0.0)).alias("_c"),
+        beta = [n / g if g > 0 else 0.0 for n, g in zip(new, gamma)]
+        curve = [d - b * n / a if a > 0 else 0.0 for d, b, n, a in zip(delta, beta, new, alpha)]
+        alpha = [n / c if c > 0 else 0.0 for n, c in zip(new, curve)]
+        gamma = new
+    raw = state.join(features, "feature").select(
+        "feature", F.transform("y", lambda v: v / F.col("sd")).alias("w"),
+        F.transform("gap", lambda v: v * F.col("sd")).alias("gap"),
     )
-    all_t, all_c = group_size(two, treatment), group_size(two, control)
-    sign = F.when(F.col("_t") / all_t >= F.col("_c") / all_c, 1.0).otherwise(-1.0)
-    return (
-        scored.join(sides, "feature")
-        .select("feature", (sign * F.log10(1 + F.col("_m"))).alias("score"))
-        .filter(F.abs("score") >= threshold)
+    raw = freeze(raw)
+    sums = raw.agg(
+        *[F.sum(F.col("w")[i] * F.col("w")[i]) for i in range(boots)],
+        *[F.sum(F.col("w")[i] * F.col("gap")[i]) for i in range(boots)],
+    ).first()
+    weight = lit([abs(a) / max(n, 1e-300) for n, a in zip(sums[:boots], sums[boots:])])
+    per_boot = F.zip_with(
+        "gap", _times(F.transform("w", lambda v: F.abs(v)), weight), lambda g, along: (F.abs(g) + along) / 2
     )
-
-
-def struct_pair(a, m):
-    return F.struct(a.alias("a"), m.alias("m"))
+    return raw.select("feature", (F.aggregate(per_boot, F.lit(0.0), lambda a, v: a + v) / boots).alias("mean"))
