@@ -55,13 +55,17 @@ def running(
     - ``<c>_before`` and ``<c>_total`` for each ``c`` in ``sums``;
     - ``<c>_floor``, the least value from this row on, for each ``c`` in ``later_min``.
 
-    ``bound`` is a proven limit on the rows of one key; up to
-    ``SINGLE_TASK_ROWS`` a plain window is used. ``bucket`` may give a known
-    order-preserving bucketing in place of the quantile cuts.
+    ``bound`` is a proven limit on the rows of one key (all rows are counted when
+    it is not given); up to ``SINGLE_TASK_ROWS`` a plain window is used. ``bucket``
+    may give a known order-preserving bucketing in place of the quantile cuts.
     """
     keys = list(keys)
-    if bound is not None and bound <= SINGLE_TASK_ROWS and keys:
-        part = W.partitionBy(*keys)
+    if bound is None and bucket is None:
+        # Read several times below, and every reading must hold the same numbers.
+        df = freeze(df)
+        bound = df.count()
+    if bound is not None and bound <= SINGLE_TASK_ROWS:
+        part = W.partitionBy(*(keys or [F.lit(0)]))
         up = part.orderBy(order).rowsBetween(W.unboundedPreceding, -1)
         on = part.orderBy(order).rowsBetween(0, W.unboundedFollowing)
         cols = []
@@ -71,8 +75,7 @@ def running(
         cols += [F.min(c).over(on).alias(f"{c}_floor") for c in later_min]
         return df.select("*", *cols)
 
-    # The rows are read three times (cuts, bucket totals, ranks) and must not differ.
-    cut = value_bucket(freeze(df), order) if bucket is None else df.withColumn("_bucket", bucket)
+    cut = value_bucket(df, order) if bucket is None else df.withColumn("_bucket", bucket)
     group = [*keys, "_bucket"]
     per_bucket = cut.groupBy(*group).agg(
         *[F.sum(c).alias(f"_s_{c}") for c in sums], *[F.min(c).alias(f"_m_{c}") for c in later_min]
@@ -145,16 +148,19 @@ def quantiles_of_counts(counted: DataFrame, keys: Sequence[str], value: str, pro
 def place(df: DataFrame, keys: Sequence[str], order: Sequence[tuple[str, bool]], bound: int | None = None) -> DataFrame:
     """Add ``position`` (from 0) of each row within its key, for ``order`` = (column, descending) pairs.
 
-    The order must be total. Without a proven ``bound`` each distinct value of
-    the first column becomes a block: its start is the number of rows in earlier
+    The order must be total. Beyond ``SINGLE_TASK_ROWS`` each distinct value of the
+    first column becomes a block: its start is the number of rows in earlier
     blocks, and the rows inside are placed by the remaining columns.
     """
     keys = list(keys)
+    if bound is None:
+        df = freeze(df)
+        bound = df.count()
     if bound is not None and bound <= SINGLE_TASK_ROWS:
         by = [F.col(c).desc() if desc else F.col(c).asc() for c, desc in order]
         w = W.partitionBy(*keys).orderBy(*by) if keys else W.partitionBy(F.lit(0)).orderBy(*by)
         return df.withColumn("position", F.row_number().over(w).cast("bigint") - 1)
-    return _place(freeze(df), keys, order)
+    return _place(df, keys, order)
 
 
 def _place(df: DataFrame, keys: list[str], order: Sequence[tuple[str, bool]]) -> DataFrame:

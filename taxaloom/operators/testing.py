@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from taxaloom.functions.special import chi2_upper, normal_two_sided, rank_sum_exact, t_two_sided
-from taxaloom.operators.ordered import running, value_counts
+from taxaloom.operators.ordered import SINGLE_TASK_ROWS, running, value_counts
 from taxaloom.session import freeze
 
 TREATMENT, CONTROL = "treatment", "control"
@@ -76,7 +76,8 @@ def rank_sum(
     )
     sigma = F.sqrt(F.col("n_t") * F.col("n_c") / 12 * ((total + 1) - F.col("ties") / (total * (total - 1))))
     z = (F.abs(F.col("u") - F.col("n_t") * F.col("n_c") / 2) - 0.5) / F.nullif(sigma, F.lit(0.0))
-    stats = stats.withColumn("z", F.greatest(z, F.lit(0.0)))
+    # A constant feature has no z, and no p-value.
+    stats = stats.withColumn("z", F.when(z < 0, 0.0).otherwise(z))
     normal = normal_two_sided(F.col("z"))
     if exact == "never":
         return stats.withColumn("p", normal)
@@ -134,21 +135,22 @@ def kruskal(df: DataFrame, meta: DataFrame, keys: Sequence[str] = ("feature",),
     return agg.select(*keys, h.alias("h"), (n_groups - 1).alias("df")).withColumn("p", chi2_upper("h", "df"))
 
 
-def bh(df: DataFrame, p: str = "p", by: Sequence[str] = (), out: str = "q", reproducible: bool = False) -> DataFrame:
+def bh(df: DataFrame, p: str = "p", by: Sequence[str] = (), out: str = "q") -> DataFrame:
     """Benjamini–Hochberg adjusted ``out``; null p-values are left out of the count and stay null.
 
     Equal p-values share one row of the ordering. The input is frozen, so that
-    the ordering and the rows that look it up hold identical numbers;
-    ``reproducible`` skips that for p-values free of summation-order noise.
+    the ordering and the rows that look it up hold identical numbers.
     """
     by = list(by)
-    df = df if reproducible else freeze(df)
+    df = freeze(df)
+    rows = df.count()
+    bound = rows if rows <= SINGLE_TASK_ROWS else None
     counts = df.filter(F.col(p).isNotNull()).groupBy(*by, p).agg(F.count(F.lit(1)).alias("n"))
-    ranked = running(counts, by, p, sums=["n"])
+    ranked = running(counts, by, p, sums=["n"], bound=bound)
     raw = ranked.select(
         *by, p, (F.col(p) * F.col("n_total") / (F.col("n_before") + F.col("n"))).alias("_raw")
     )
-    q = running(raw, by, p, later_min=["_raw"])
+    q = running(raw, by, p, later_min=["_raw"], bound=bound)
     adjusted = q.select(*by, p, F.least(F.lit(1.0), F.col("_raw_floor")).alias(out))
     return df.join(adjusted, [*by, p], "left").select(*df.columns, out)
 

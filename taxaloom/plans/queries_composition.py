@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from taxaloom.operators import composition as C, matrix as M, ordered as O, testing as X
 from taxaloom.plans.oracle import sql
 from taxaloom.plans.register import query, r6
+from taxaloom.session import freeze
 from taxaloom.sources import tables as T
 
 _PICK = """tot AS (SELECT sample_name, feature, cnt AS value, grp FROM species JOIN meta USING (sample_name))"""
@@ -33,7 +34,7 @@ pct AS (SELECT sample_name, feature, value / sum(value) OVER (PARTITION BY sampl
 def percent_species(spark, sf):
     """Known species in percent of the sample: the table the community analysis works on."""
     species = M.select_rank(T.profile(spark, sf, depths=[7]), "SPECIES")
-    return M.relative(M.drop_unknown(species))
+    return freeze(M.relative(freeze(M.drop_unknown(species))))
 
 
 @query(
@@ -151,7 +152,8 @@ def collapse_levels(spark, sf):
 
 def input_order(spark, sf):
     """Input position of every sample: by name."""
-    return O.place(T.metadata(spark, sf).select("sample_name"), [], [("sample_name", False)])
+    names = T.metadata(spark, sf).select("sample_name")
+    return O.place(names, [], [("sample_name", False)], bound=names.count())
 
 
 @query(
@@ -211,9 +213,9 @@ def box_stats(spark, sf):
 
 def tested(spark, sf):
     """Rank test, fold change and adjusted p of every species: the two-group analysis."""
-    df, meta = T.species(spark, sf), T.metadata(spark, sf)
+    df, meta = freeze(T.species(spark, sf)), T.metadata(spark, sf)
     p = X.rank_sum(df, meta)
-    return X.bh(p, "p", out="padj", reproducible=True).join(X.log2fc(df, meta), "feature")
+    return X.bh(p, "p", out="padj").join(X.log2fc(df, meta), "feature")
 
 
 TESTED = """fc AS (SELECT feature, log2((avg(value) FILTER (grp = 'treatment') + 1) / (avg(value) FILTER (grp = 'control') + 1)) AS log2fc

@@ -40,7 +40,7 @@ def fold_change_logs(spark, sf):
 @query("i04_bh", sql(f", {TESTED} SELECT feature, round(p, 6) AS p, round(padj, 6) AS q FROM res", "tested"))
 def bh(spark, sf):
     p = X.rank_sum(T.species(spark, sf), T.metadata(spark, sf))
-    return X.bh(p, "p", reproducible=True).select("feature", r6("p", "p"), r6("q", "q"))
+    return X.bh(p, "p").select("feature", r6("p", "p"), r6("q", "q"))
 
 
 @query("i05_bonferroni", sql("SELECT feature, round(p * count(*) OVER (), 4) AS adjusted FROM tested", "tested"))

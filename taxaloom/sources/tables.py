@@ -10,6 +10,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from taxaloom.session import freeze
+
 NATIONS = [f"NATION_{i}" for i in range(25)]
 
 
@@ -22,7 +24,7 @@ def _text(*parts) -> Column:
 
 
 def _observations(spark: SparkSession, sf_dir: str, sample: str) -> DataFrame:
-    """One row per order line: sample, the seven level names and tax ids, quantity."""
+    """One row per order line: sample, seven-level clade path and tax id path, quantity."""
     part = table(spark, sf_dir, "part")
     brand = F.replace(F.col("p_brand"), F.lit("#"), F.lit(""))
     size = F.col("p_size").cast("string")
@@ -50,7 +52,7 @@ def _observations(spark: SparkSession, sf_dir: str, sample: str) -> DataFrame:
         size,
     ]
     lineage = part.select(
-        "p_partkey", F.array(*names).alias("names"), F.array(*ids).alias("ids")
+        "p_partkey", F.concat_ws("|", *names).alias("leaf"), F.concat_ws("|", *ids).alias("leaf_ids")
     )
     lines = table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey", F.col("l_quantity").alias("q"))
     if sample == "nation":
@@ -61,7 +63,7 @@ def _observations(spark: SparkSession, sf_dir: str, sample: str) -> DataFrame:
         )
     else:
         lines = lines.withColumn("sample_name", _text("S", F.col("l_suppkey").cast("string")))
-    return lines.join(lineage, lines.l_partkey == lineage.p_partkey).select("sample_name", "names", "ids", "q")
+    return lines.join(lineage, lines.l_partkey == lineage.p_partkey).select("sample_name", "leaf", "leaf_ids", "q")
 
 
 def profile(
@@ -73,21 +75,21 @@ def profile(
 ) -> DataFrame:
     """Taxonomic profile ``(sample_name, clade_name[, ncbi_tax_id], relative_abundance, cnt)``."""
     obs = _observations(spark, sf_dir, sample)
+    leaf_keys = ["leaf", "leaf_ids"] if with_tax else ["leaf"]
+    keys = ["clade_name", "ncbi_tax_id"] if with_tax else ["clade_name"]
     # Order lines are merged to leaves before the levels multiply the rows.
-    leaf = obs.groupBy("sample_name", "names", "ids").agg(F.sum("q").alias("q"))
-
-    def path(parts: str, d: int) -> Column:
-        return F.array_join(F.slice(F.col(parts), 1, d), "|")
-
-    fields = [[path("names", d).alias("clade_name")] + ([path("ids", d).alias("ncbi_tax_id")] if with_tax else [])
-              for d in depths]
-    keys = ["clade_name"] + (["ncbi_tax_id"] if with_tax else [])
-    per_clade = (
-        leaf.select("sample_name", "q", F.inline(F.array(*[F.struct(*f) for f in fields])))
-        .groupBy("sample_name", *keys)
-        .agg(F.sum("q").alias("cnt"))
-    )
-    total = obs.groupBy("sample_name").agg(F.sum("q").alias("_total"))
+    leaf = obs.groupBy("sample_name", *leaf_keys).agg(F.sum("q").alias("cnt"))
+    if list(depths) == [7]:
+        per_clade = leaf.toDF("sample_name", *keys, "cnt")
+    else:
+        paths = [
+            F.struct(*[F.substring_index(c, "|", d).alias(k) for c, k in zip(leaf_keys, keys)]) for d in depths
+        ]
+        per_clade = (
+            leaf.select("sample_name", "cnt", F.inline(F.array(*paths)))
+            .groupBy("sample_name", *keys).agg(F.sum("cnt").alias("cnt"))
+        )
+    total = leaf.groupBy("sample_name").agg(F.sum("cnt").alias("_total"))
     return per_clade.join(total, "sample_name").select(
         "sample_name", *keys, (F.lit(100.0) * F.col("cnt") / F.col("_total")).alias("relative_abundance"), "cnt"
     )
@@ -101,12 +103,14 @@ def species(spark: SparkSession, sf_dir: str, value: str = "relative_abundance")
 
 
 def metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(sample_name, group)`` of the suppliers that have order lines."""
+    """``(sample_name, group)`` of the suppliers that have order lines, as a small written table."""
     supplier = table(spark, sf_dir, "supplier")
     lines = table(spark, sf_dir, "lineitem").select("l_suppkey")
-    return supplier.join(lines, supplier.s_suppkey == lines.l_suppkey, "left_semi").select(
-        _text("S", F.col("s_suppkey").cast("string")).alias("sample_name"),
-        F.when(F.col("s_suppkey") % 2 == 1, "treatment").otherwise("control").alias("group"),
+    return freeze(
+        supplier.join(lines, supplier.s_suppkey == lines.l_suppkey, "left_semi").select(
+            _text("S", F.col("s_suppkey").cast("string")).alias("sample_name"),
+            F.when(F.col("s_suppkey") % 2 == 1, "treatment").otherwise("control").alias("group"),
+        )
     )
 
 
