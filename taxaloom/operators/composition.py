@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from taxaloom.functions import lineage as L
 from taxaloom.operators.ordered import place, quantiles_of_counts, running, value_counts
+from taxaloom.session import broadcast_rows
 
 OTHER = "Other"
 FEW_OTHER = "other"
@@ -32,7 +33,8 @@ def top_n_by_group(df: DataFrame, meta: DataFrame, n: int) -> DataFrame:
     """Per sample, the top ``n`` features of its group, everything else as ``Other``."""
     grouped = df.join(meta, "sample_name")
     totals = grouped.groupBy("group", "feature").agg(F.sum("value").alias("total"))
-    best = _best(totals, ["group"], n).withColumn("_top", F.lit(True))
+    groups = meta.select("group").distinct().count()
+    best = broadcast_rows(_best(totals, ["group"], n).withColumn("_top", F.lit(True)), n * groups)
     name = F.when(F.col("_top"), F.col("feature")).otherwise(OTHER)
     return (
         grouped.join(best, ["group", "feature"], "left")
@@ -44,6 +46,7 @@ def top_n_by_group(df: DataFrame, meta: DataFrame, n: int) -> DataFrame:
 def top_n(df: DataFrame, n: int) -> DataFrame:
     """Per sample, the top ``n`` features overall, everything else as ``Other``."""
     best = _best(df.groupBy("feature").agg(F.sum("value").alias("total")), [], n).withColumn("_top", F.lit(True))
+    best = broadcast_rows(best, n)
     name = F.when(F.col("_top"), F.col("feature")).otherwise(OTHER)
     return (
         df.join(best, "feature", "left")
@@ -109,7 +112,7 @@ def collapse_levels(meta: DataFrame, n: int, level: str = "group") -> DataFrame:
         meta.groupBy(level).agg(F.count(F.lit(1)).alias("_c")).orderBy(F.desc("_c"), level).limit(n)
         .select(level, F.lit(True).alias("_top"))
     )
-    return meta.join(best, level, "left").select(
+    return meta.join(broadcast_rows(best, n), level, "left").select(
         "sample_name", F.when(F.col("_top"), F.col(level)).otherwise(FEW_OTHER).alias(level)
     )
 
@@ -231,7 +234,7 @@ def top_variable(df: DataFrame, n_samples: Column, n: int = 1000, digits: int =
     """Rows of the ``n`` features with the largest variance (ties by name)."""
     var = mean_variance(df, n_samples)
     best = var.orderBy(F.round("variance", digits).desc(), F.col("feature")).limit(n).select("feature")
-    return df.join(best, "feature", "left_semi")
+    return df.join(broadcast_rows(best, n), "feature", "left_semi")
 
 
 def prevalence(df: DataFrame, meta: DataFrame, by_group: bool = False) -> DataFrame:

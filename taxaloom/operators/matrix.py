@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from taxaloom.functions import lineage as L
 from taxaloom.operators.ordered import quantiles, running
+from taxaloom.session import freeze
 
 
 # -- lineage selections ------------------------------------------------------
@@ -174,8 +175,12 @@ def densify(df: DataFrame, samples: DataFrame, features: DataFrame | None = None
 # -- normalisation -----------------------------------------------------------
 
 def _with_total(df: DataFrame, total: Column, key: str = "sample_name") -> DataFrame:
-    """Rows with ``_total`` of their sample: aggregate and join, so no sample sits in one task."""
-    return df.join(df.groupBy(key).agg(total.alias("_total")), key)
+    """Rows with ``_total`` of their sample: aggregate and join, so no sample sits in one task.
+
+    The totals, one row per sample, are written first: with their size known the
+    planner broadcasts them if they are small, and the large table is not shuffled.
+    """
+    return df.join(freeze(df.groupBy(key).agg(total.alias("_total"))), key)
 
 
 def relative(df: DataFrame, scale: float = 100.0, value: str = "value") -> DataFrame:

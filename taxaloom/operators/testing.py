@@ -23,11 +23,19 @@ def group_size(meta: DataFrame, group: str | None = None) -> Column:
     return rows.select(F.count(F.lit(1)).cast("double")).scalar()
 
 
-def _value_groups(df: DataFrame, meta: DataFrame, treatment: str, control: str, keys: Sequence[str]) -> DataFrame:
+def _by_key(rows: DataFrame, keys: Sequence[str], bound: int) -> DataFrame:
+    """Rows brought together by key once, when a key is small enough for one task:
+    the counts, the ranks and the sums that follow then need no further shuffle."""
+    return rows.repartition(*keys) if bound <= SINGLE_TASK_ROWS else rows
+
+
+def _value_groups(
+    df: DataFrame, meta: DataFrame, treatment: str, control: str, keys: Sequence[str], bound: int
+) -> DataFrame:
     """Distinct non-zero values per key with the number of samples of either group holding them."""
     two = meta.filter(F.col("group").isin(treatment, control))
     return (
-        df.filter("value <> 0").join(two, "sample_name")
+        _by_key(df.filter("value <> 0").join(two, "sample_name"), keys, bound)
         .groupBy(*keys, "value")
         .agg(F.count_if(F.col("group") == treatment).alias("n_t"), F.count_if(F.col("group") == control).alias("n_c"))
         .withColumn("n", F.col("n_t") + F.col("n_c"))
@@ -54,7 +62,7 @@ def rank_sum(
     keys = list(keys)
     bound = meta.count() if bound is None else bound
     n_t, n_c = group_size(meta, treatment), group_size(meta, control)
-    ranked = running(_value_groups(df, meta, treatment, control, keys), keys, "value", sums=["n"], bound=bound)
+    ranked = running(_value_groups(df, meta, treatment, control, keys, bound), keys, "value", sums=["n"], bound=bound)
     mid = F.col("n_before") + (F.col("n") + 1) / 2
     n = F.col("n").cast("double")
     sums = ranked.groupBy(*keys).agg(
@@ -98,7 +106,7 @@ def kruskal(df: DataFrame, meta: DataFrame, keys: Sequence[str] = ("feature",),
     total = group_size(meta)
     n_groups = sizes.select(F.count(F.lit(1)).cast("double")).scalar()
     cells = (
-        df.filter("value <> 0").join(meta, "sample_name")
+        _by_key(df.filter("value <> 0").join(meta, "sample_name"), keys, bound)
         .groupBy(*keys, "value", "group").agg(F.count(F.lit(1)).alias("k"))
     )
     values = cells.groupBy(*keys, "value").agg(
@@ -287,7 +295,7 @@ def roc(df: DataFrame, meta: DataFrame, positive: str = TREATMENT, negative: str
     """ROC points per feature, one per distinct value as threshold (x ≥ threshold is positive)."""
     bound = meta.count() if bound is None else bound
     n_t, n_c = group_size(meta, positive), group_size(meta, negative)
-    cells = _value_groups(df, meta, positive, negative, ["feature"])
+    cells = _value_groups(df, meta, positive, negative, ["feature"], bound)
     up = running(cells, ["feature"], "value", sums=["n_t", "n_c"], bound=bound)
     points = up.select(
         "feature",

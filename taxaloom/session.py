@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def local_session(cores: str = "8", shuffle_partitions: int = 8, app: str = "taxaloom") -> SparkSession:
@@ -61,3 +61,8 @@ def freeze(df: DataFrame) -> DataFrame:
 
 def shuffle_width(spark: SparkSession) -> int:
     return max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def broadcast_rows(df: DataFrame, rows: int, limit: int = 10_000) -> DataFrame:
+    """``df``, of at most ``rows`` rows, marked for broadcast when that bound is small enough."""
+    return F.broadcast(df) if rows <= limit else df
