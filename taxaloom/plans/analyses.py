@@ -109,8 +109,9 @@ def expression(
     """Negative-binomial differential expression with the sample-level views of the transformed counts."""
     counts = freeze(M.drop_zero_features(M.feature_key(genes, feature_type)))
     n = X.group_size(meta)
-    fitted, (a0, a1), _ = B.dispersions(counts, meta)
-    result = freeze(B.nb_glm(counts, meta))
+    fitted = B.dispersions(counts, meta)
+    a0, a1 = fitted[1]
+    result = freeze(B.nb_glm(counts, meta, fitted=fitted))
     factors = freeze(M.size_factors(counts, n))
     transformed = freeze(M.norm_transform(counts, factors))
     # The stabilised value of a zero count is a constant; subtracting it keeps the table sparse.
@@ -123,7 +124,7 @@ def expression(
     points = M.with_group(N.axes_wide(scores), meta)
     return {
         "result": result,
-        "dispersions": fitted,
+        "dispersions": fitted[0],
         "mean_variance": C.mean_variance(counts, n),
         "directions": C.direction_counts(classed),
         "classes": classed,
