@@ -330,10 +330,10 @@ def row_number(spark, sf):
 
 @query(
     "w04_share_of_total",
-    sql("SELECT sample_name, feature, round(cnt / sum(cnt) OVER (PARTITION BY sample_name), 9) AS value FROM species", "species"),
+    sql("SELECT sample_name, feature, cnt / sum(cnt) OVER (PARTITION BY sample_name) AS value FROM species", "species"),
 )
 def share_of_total(spark, sf):
-    return M.relative(_cnt(spark, sf), 1.0).select("sample_name", "feature", r6("value", "value", 9))
+    return M.relative(_cnt(spark, sf), 1.0).select("sample_name", "feature", "value")
 
 
 @query(

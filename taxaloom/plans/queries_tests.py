@@ -248,7 +248,7 @@ def ma_table(spark, sf):
     "j12_roc",
     sql(
         """, n AS (SELECT count(*) FILTER (grp = 'treatment') AS nt, count(*) FILTER (grp = 'control') AS nc FROM meta)
-SELECT DISTINCT feature, round(value, 9) AS threshold, round(count(*) FILTER (grp = 'treatment') OVER w / nt, 6) AS tpr,
+SELECT DISTINCT feature, value AS threshold, round(count(*) FILTER (grp = 'treatment') OVER w / nt, 6) AS tpr,
   round(count(*) FILTER (grp = 'control') OVER w / nc, 6) AS fpr FROM dense, n
 WINDOW w AS (PARTITION BY feature ORDER BY value DESC RANGE UNBOUNDED PRECEDING)""",
         "dense",
@@ -256,7 +256,7 @@ WINDOW w AS (PARTITION BY feature ORDER BY value DESC RANGE UNBOUNDED PRECEDING)
 )
 def roc(spark, sf):
     out = X.roc(T.species(spark, sf), T.metadata(spark, sf))
-    return out.select("feature", r6("threshold", "threshold", 9), r6("tpr", "tpr"), r6("fpr", "fpr"))
+    return out.select("feature", "threshold", r6("tpr", "tpr"), r6("fpr", "fpr"))
 
 
 @query("j12b_auc", sql("SELECT feature, round(u / (n_t * n_c), 6) AS auc FROM ranksum", "ranksum"))
