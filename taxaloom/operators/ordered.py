@@ -9,6 +9,7 @@ by a third of the rows is one row.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
@@ -27,17 +28,30 @@ def text_bucket(column: str) -> Column:
     return code(1) * 65536 + code(2) * 256 + code(3)
 
 
-def value_bucket(df: DataFrame, order: str, buckets: int | None = None) -> DataFrame:
-    """Add ``_bucket``: the number of approximate quantile cuts below ``order``."""
+def value_bucket(df: DataFrame, order: str, rows: int | None = None) -> DataFrame:
+    """Add ``_bucket``: the number of approximate quantile cuts below ``order``.
+
+    The cuts grow with the rows, so that a bucket stays sortable by one task. A
+    value is placed in two steps, among every ``step``-th cut and then among the
+    cuts between, which keeps the search short for many thousand cuts.
+    """
     if isinstance(df.schema[order].dataType, T.StringType):
         return df.withColumn("_bucket", text_bucket(order))
-    n = min(256, buckets or 4 * shuffle_width(df.sparkSession))
+    wanted = max(4 * shuffle_width(df.sparkSession), (rows or 0) // SINGLE_TASK_ROWS if SINGLE_TASK_ROWS else 0)
+    step = min(256, max(2, math.isqrt(wanted)))
+    n = step * step
     probs = [i / n for i in range(1, n)]
-    cuts = df.select(F.percentile_approx(order, probs, 10_000)).scalar()
+    cuts = df.select(F.percentile_approx(order, probs, max(10_000, 20 * n))).scalar()
+
+    def below(array: Column) -> Column:
+        return F.size(F.filter(array, lambda c: c < F.col(order)))
+
+    coarse = F.transform(F.sequence(F.lit(step), F.lit(n - step), F.lit(step)), lambda i: F.get("_cuts", i - 1))
     return (
         df.withColumn("_cuts", cuts)
-        .withColumn("_bucket", F.size(F.filter("_cuts", lambda c: c < F.col(order))))
-        .drop("_cuts")
+        .withColumn("_coarse", below(coarse))
+        .withColumn("_bucket", F.col("_coarse") * step + below(F.slice("_cuts", F.col("_coarse") * step + 1, F.lit(step - 1))))
+        .drop("_cuts", "_coarse")
     )
 
 
@@ -75,7 +89,7 @@ def running(
         cols += [F.min(c).over(on).alias(f"{c}_floor") for c in later_min]
         return df.select("*", *cols)
 
-    cut = value_bucket(df, order) if bucket is None else df.withColumn("_bucket", bucket)
+    cut = value_bucket(df, order, bound) if bucket is None else df.withColumn("_bucket", bucket)
     group = [*keys, "_bucket"]
     per_bucket = cut.groupBy(*group).agg(
         *[F.sum(c).alias(f"_s_{c}") for c in sums], *[F.min(c).alias(f"_m_{c}") for c in later_min]

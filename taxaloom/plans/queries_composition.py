@@ -34,7 +34,7 @@ pct AS (SELECT sample_name, feature, value / sum(value) OVER (PARTITION BY sampl
 def percent_species(spark, sf):
     """Known species in percent of the sample: the table the community analysis works on."""
     species = M.select_rank(T.profile(spark, sf, depths=[7]), "SPECIES")
-    return freeze(M.relative(freeze(M.drop_unknown(species))))
+    return M.relative(freeze(M.drop_unknown(species)))
 
 
 @query(

@@ -43,7 +43,17 @@ def shared_dir(spark: SparkSession) -> str:
 
 def staging_path(spark: SparkSession, name: str) -> str:
     """A fresh, unused path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/staging/{name}-{uuid.uuid4().hex}"
+    return f"{staging_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def staging_root(spark: SparkSession) -> str:
+    return f"{shared_dir(spark).rstrip('/')}/staging-{spark.sparkContext.applicationId}"
+
+
+def clear_staging(spark: SparkSession) -> None:
+    """Drop this application's staged tables; call it when all results are written."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(staging_root(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def freeze(df: DataFrame) -> DataFrame:

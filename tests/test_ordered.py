@@ -120,3 +120,20 @@ def test_text_order_is_kept_in_buckets(spark, distributed):
     df = spark.createDataFrame([(w,) for w in words], "w string").withColumn("one", F.lit(1).cast("bigint"))
     got = [r["w"] for r in O.running(df, [], "w", sums=["one"]).orderBy("one_before").collect()]
     assert got == sorted(words, key=lambda w: w.encode())
+
+
+def test_many_buckets_keep_the_order(spark):
+    pdf = pd.DataFrame({"v": np.random.default_rng(7).gamma(0.3, 10, 3000)})
+    df = O.value_bucket(spark.createDataFrame(pdf), "v", rows=900 * O.SINGLE_TASK_ROWS)
+    got = df.orderBy("v").toPandas()
+    assert got["_bucket"].is_monotonic_increasing
+    assert got["_bucket"].max() <= 900 and got["_bucket"].value_counts().max() < 30
+
+
+def test_staged_tables_can_be_dropped(spark):
+    from taxaloom import session
+
+    session.freeze(spark.range(3))
+    session.clear_staging(spark)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(session.staging_root(spark) + "/*")
