@@ -20,14 +20,6 @@ from taxaloom.session import freeze, shuffle_width
 SINGLE_TASK_ROWS = 1_000_000
 
 
-def text_bucket(column: str) -> Column:
-    """An order-preserving bucket of a text: its first three code units."""
-    def code(i: int) -> Column:
-        return F.least(F.ascii(F.substring(column, i, 1)), F.lit(255))
-
-    return code(1) * 65536 + code(2) * 256 + code(3)
-
-
 def value_bucket(df: DataFrame, order: str, rows: int | None = None) -> DataFrame:
     """Add ``_bucket``: the number of approximate quantile cuts below ``order``.
 
@@ -35,13 +27,22 @@ def value_bucket(df: DataFrame, order: str, rows: int | None = None) -> DataFram
     value is placed in two steps, among every ``step``-th cut and then among the
     cuts between, which keeps the search short for many thousand cuts.
     """
+    wanted = max(4 * shuffle_width(df.sparkSession), (rows or 0) // max(1, SINGLE_TASK_ROWS))
     if isinstance(df.schema[order].dataType, T.StringType):
-        return df.withColumn("_bucket", text_bucket(order))
-    wanted = max(4 * shuffle_width(df.sparkSession), (rows or 0) // SINGLE_TASK_ROWS if SINGLE_TASK_ROWS else 0)
-    step = min(256, max(2, math.isqrt(wanted)))
-    n = step * step
-    probs = [i / n for i in range(1, n)]
-    cuts = df.select(F.percentile_approx(order, probs, max(10_000, 20 * n))).scalar()
+        # Texts have no approximate quantiles: cuts are taken from a hash-picked set of about 16 values per cut.
+        step = min(64, max(2, math.isqrt(wanted)))
+        n = step * step
+        picked = df.filter(F.pmod(F.xxhash64(order), F.lit(max(1, (rows or 0) // (16 * n)))) == 0)
+        values = picked.agg(F.array_sort(F.collect_list(order)).alias("_v"))
+        nth = F.transform(
+            F.sequence(F.lit(1), F.lit(n - 1)), lambda i: F.get("_v", F.floor(i * F.size("_v") / n).cast("int"))
+        )
+        cuts = values.select(nth.alias("_c")).scalar()
+    else:
+        step = min(256, max(2, math.isqrt(wanted)))
+        n = step * step
+        probs = [i / n for i in range(1, n)]
+        cuts = df.select(F.percentile_approx(order, probs, max(10_000, 20 * n))).scalar()
 
     def below(array: Column) -> Column:
         return F.size(F.filter(array, lambda c: c < F.col(order)))

@@ -137,3 +137,9 @@ def test_staged_tables_can_be_dropped(spark):
     session.clear_staging(spark)
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         spark.read.parquet(session.staging_root(spark) + "/*")
+
+
+def test_texts_with_a_common_start_spread_over_buckets(spark):
+    df = spark.range(4000).select(F.concat(F.lit("SRR00"), F.lpad("id", 6, "0")).alias("w"))
+    got = O.value_bucket(df, "w", rows=4000).orderBy("w").toPandas()
+    assert got["_bucket"].is_monotonic_increasing and got["_bucket"].nunique() > 8
