@@ -4,10 +4,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from taxaloom.plans import catalog
 
 SF = "/root/testdata/sf0.001"
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents"]
-QUERIES, ORACLE = entry_points.queries(), entry_points.oracle_sql()
+QUERIES, ORACLE = catalog.QUERIES, entry_points.oracle_sql()
 
 
 @pytest.fixture(scope="module")
