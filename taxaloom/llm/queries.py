@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe_count, grace, viterbi
+from taxaloom.session import staging_path
+
+from . import archive, bpe_count, grace, lines, mixing, toxicity, viterbi
 from .common import table
 
 QUERIES: dict = {}
@@ -51,3 +53,61 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grace.exact_dedup(table(spark, sf_dir, "documents"))
+
+
+@query("op2_source_mixing")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    taken = mixing.mix(table(spark, sf_dir, "documents"))
+    return taken.select(
+        "doc_id", "source", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies"
+    )
+
+
+@query(
+    "op4_line_dedup",
+    r"""
+    WITH l AS (
+        SELECT doc_id, source, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos,
+               unnest(string_split(coalesce(text, ''), chr(10))) AS line
+        FROM documents
+    ), k AS (SELECT *, trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS key FROM l),
+    h AS (SELECT source, count(*) AS pages FROM documents GROUP BY source),
+    c AS (
+        SELECT source, key FROM (SELECT DISTINCT source, doc_id, key FROM k) JOIN h USING (source)
+        WHERE key <> '' GROUP BY source, key, pages HAVING count(*) >= 5 AND count(*) > 0.05 * pages
+    )
+    SELECT k.doc_id, count(*) AS n_lines, count(c.key) AS n_dropped,
+           coalesce(string_agg(CASE WHEN c.key IS NULL THEN k.line END, chr(10) ORDER BY k.pos), '') AS text
+    FROM k LEFT JOIN c ON k.source = c.source AND k.key = c.key
+    GROUP BY k.doc_id
+    """,
+)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return lines.line_dedup(docs, n_lines="n_lines", n_dropped="n_dropped").drop("source")
+
+
+@query("op6_toxicity")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    machine = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.toxicity(docs, machine).select(
+        "doc_id", toxicity.held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
+
+
+@query(
+    "op7_warc_archive",
+    """
+    WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+    g AS (SELECT h, max(page_id) AS target FROM p WHERE strlen(h) >= 1000 GROUP BY h)
+    SELECT page_id, strlen(p.h) AS payload_bytes, sha1(p.h) AS payload_digest,
+           CASE WHEN target <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN target <> page_id THEN target END AS refers_to
+    FROM p LEFT JOIN g ON p.h = g.h
+    """,
+)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = staging_path(spark, "warc")
+    archive.write_archive(table(spark, sf_dir, "pages"), path)
+    return archive.record_facts(archive.read_records(spark, path))
