@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import random
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import StructField, StructType
@@ -17,6 +18,8 @@ from .common import WORD, text_of
 GROUP = 4096
 #: Probabilities this close to 0 or 1 are 0 or 1.
 EPS = 1e-9
+#: Units kept for the landing, of which all subsets are compared.
+LANDING = 12
 _SEED = 20
 
 
@@ -49,25 +52,15 @@ def source_targets(
     return s.select("source", "source_size", "n_units", target.alias("target"))
 
 
-def flight(p: list[float], size: list[float], rng: random.Random, land: bool) -> list[float]:
+def flight(p: list[float], size: list[float], rng: random.Random) -> list[float]:
     """Move ``p`` through the null space of (number, size) until at most two are between 0 and 1.
 
     Three open units have one direction that changes neither the number of
     units nor their size; a step along it, forward or back with the odds that
-    keep every expectation, closes at least one of them. ``land``: then two open
-    units exchange size alone, and the last one is drawn.
+    keep every expectation, closes at least one of them.
     """
     p = list(p)
     open_: list[int] = []
-
-    def step(units: list[int], u: tuple[float, ...]) -> None:
-        forward = min((1 - p[i]) / x if x > 0 else p[i] / -x for i, x in zip(units, u, strict=True) if x)
-        back = min(p[i] / x if x > 0 else (1 - p[i]) / -x for i, x in zip(units, u, strict=True) if x)
-        move = forward if rng.random() * (forward + back) < back else -back
-        for i, x in zip(units, u, strict=True):
-            v = p[i] + move * x
-            p[i] = 0.0 if v < EPS else 1.0 if v > 1 - EPS else v
-
     for i, v in enumerate(p):
         if EPS <= v <= 1 - EPS:
             open_.append(i)
@@ -77,26 +70,48 @@ def flight(p: list[float], size: list[float], rng: random.Random, land: bool) ->
             a, b, c = (size[k] for k in open_)
             u = (b - c, c - a, a - b)
             scale = max(map(abs, u))
-            step(open_, tuple(x / scale for x in u) if scale else (1.0, -1.0, 0.0))
+            u = tuple(x / scale for x in u) if scale else (1.0, -1.0, 0.0)
+            forward = min((1 - p[k]) / x if x > 0 else p[k] / -x for k, x in zip(open_, u, strict=True) if x)
+            back = min(p[k] / x if x > 0 else (1 - p[k]) / -x for k, x in zip(open_, u, strict=True) if x)
+            move = forward if rng.random() * (forward + back) < back else -back
+            for k, x in zip(open_, u, strict=True):
+                v = p[k] + move * x
+                p[k] = 0.0 if v < EPS else 1.0 if v > 1 - EPS else v
             open_ = [k for k in open_ if 0 < p[k] < 1]
-    if land:
-        if len(open_) == 2:
-            a, b = (size[k] for k in open_)
-            scale = max(a, b)
-            step(open_, (b / scale, -a / scale) if min(a, b) > 0 else (1.0, -1.0))
-            open_ = [k for k in open_ if 0 < p[k] < 1]
-        for k in open_:
-            p[k] = float(rng.random() < p[k])
     return p
 
 
+def land(p: list[float], size: list[float], rng: random.Random) -> list[float]:
+    """Fly all but ``LANDING`` units and choose the best subset of those and the ones left open.
+
+    The units kept for the landing are spread over the sizes, so that between
+    them they can make up for a large unit that stays open. Every subset of the
+    few is compared: nearest in size first, then in number.
+    """
+    order = sorted(range(len(p)), key=lambda k: size[k])
+    kept = sorted({order[round(k * (len(p) - 1) / max(LANDING - 1, 1))] for k in range(min(LANDING, len(p)))})
+    rest = [k for k in range(len(p)) if k not in set(kept)]
+    out = list(p)
+    for k, v in zip(rest, flight([p[k] for k in rest], [size[k] for k in rest], rng), strict=True):
+        out[k] = v
+    few = [k for k in range(len(p)) if 0 < out[k] < 1]
+    subsets = (np.arange(1 << len(few))[:, None] >> np.arange(len(few))) & 1
+    sizes = np.array([size[k] for k in few])
+    off = np.abs(subsets @ sizes - sum(out[k] * size[k] for k in few))
+    number = np.abs(subsets.sum(1) - sum(out[k] for k in few))
+    best = np.lexsort((number, np.round(off + 0.25 * number * (sizes.mean() if few else 0), 6)))[0]
+    for k, x in zip(few, subsets[best], strict=True):
+        out[k] = float(x)
+    return out
+
+
 def _flown(level: int):
     def fly(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.drop(columns="__g").sort_values(["size", "__h"], ascending=[False, True])
         rng = random.Random(f"{_SEED}/{level}/{key[0]}/{key[1]}")
         # A source whose open units all fit in this group lands now.
         last = pdf["__groups"].iloc[0] <= 1
-        p = flight(pdf["__p"].tolist(), pdf["size"].astype(float).tolist(), rng, last)
+        p = (land if last else flight)(pdf["__p"].tolist(), pdf["size"].astype(float).tolist(), rng)
         return pdf.assign(__p=p, __groups=-(-2 * pdf["__groups"] // GROUP))
 
     return fly

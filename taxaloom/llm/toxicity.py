@@ -15,9 +15,9 @@ from .common import LOWER, per_text, text_of
 
 #: Hash space of the terms, factors per term, and the labelled rows a model is fitted on.
 BITS, FACTORS, MAX_ROWS = 20, 4, 20_000
-#: A term must be in so many of the fitted texts; others have no weight.
-MIN_TEXTS = 8
-EPOCHS, BATCH, RATE, DECAY = 12, 256, 0.05, 2e-4
+#: Terms have a weight if their share of label 1 is so many standard errors off the share of all fitted texts.
+MIN_ERRORS = 6.0
+STEPS, EPOCHS, BATCH, RATE, DECAY = 1500, 12, 256, 0.05, 2e-4
 
 _EDGE = b"".join(bytes([b]) for b in range(128) if not chr(b).isalnum())
 
@@ -63,15 +63,20 @@ def fit(rows: list[tuple[list[int], int]], seed: int = 6) -> Machine:
     """A machine for (terms, label) rows by AdaGrad on the log loss, with decay of weights and factors."""
     y = np.array([label for _, label in rows], float)
     bias = float(np.log((y.sum() + 1) / (len(y) - y.sum() + 1)))
-    counts = np.bincount(np.concatenate([np.asarray(t, np.int64) for t, _ in rows] or [np.zeros(0, np.int64)]), minlength=1 << BITS)
-    terms = np.flatnonzero(counts >= MIN_TEXTS)
+    counts, ones = np.zeros(1 << BITS), np.zeros(1 << BITS)
+    for t, label in rows:
+        counts[t] += 1
+        if label:
+            ones[t] += 1
+    p = (y.sum() + 1) / (len(y) + 2)
+    terms = np.flatnonzero(np.abs(ones - p * counts) >= MIN_ERRORS * np.sqrt(p * (1 - p) * np.maximum(counts, 1)))
     place = np.full(1 << BITS, -1)
     place[terms] = np.arange(len(terms))
     where = [p[p >= 0] for p in (place[np.asarray(t, np.int64)] for t, _ in rows)]
     rng = np.random.default_rng(seed)
     weight, factor = np.zeros(len(terms)), rng.normal(0, 0.01, (len(terms), FACTORS))
     sum_w, sum_f, sum_b = np.full(len(terms), 1e-6), np.full((len(terms), FACTORS), 1e-6), 1e-6
-    for _ in range(EPOCHS):
+    for _ in range(max(EPOCHS, STEPS * BATCH // max(len(rows), BATCH))):
         order = rng.permutation(len(rows))
         for start in range(0, len(rows), BATCH):
             batch = order[start : start + BATCH]
