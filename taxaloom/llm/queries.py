@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from taxaloom.session import staging_path
 
-from . import archive, bpe_count, grace, lines, mixing, toxicity, viterbi
+from . import archive, bpe_count, chosen_path, grace, lines, mixing, toxicity, viterbi
 from .common import table
 
 QUERIES: dict = {}
@@ -55,6 +55,11 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grace.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+@query("op1_near_duplicates")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chosen_path.near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=80)
+
+
 @query("op2_source_mixing")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     taken = mixing.mix(table(spark, sf_dir, "documents"))
