@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from taxaloom.session import staging_path
 
-from . import archive, bpe_count, chosen_path, grace, lines, mixing, toxicity, viterbi
+from . import archive, bpe_count, chosen_path, grace, lattice, lines, mixing, toxicity, viterbi
 from .common import table
 
 QUERIES: dict = {}
@@ -92,6 +92,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.line_dedup(docs, n_lines="n_lines", n_dropped="n_dropped").drop("source")
 
 
+@query("op5_lm_scores")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.text_scores(table(spark, sf_dir, "documents"), piece_model())
+
+
 @query("op6_toxicity")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
