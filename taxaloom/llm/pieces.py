@@ -33,6 +33,9 @@ class Pieces:
                 self.bytes_of.append(piece.replace(SPACE, " ").encode())
         self.longest = max(map(len, self.score))
         self.worst = min(self.score.values())
+        #: Score by piece, and None by each start of a piece that is none itself; a score of 0 would read as an end.
+        self.onward: dict[str, float | None] = {p[:n]: None for p in self.score for n in range(1, len(p))}
+        self.onward |= {p: s or -1e-300 for p, s in self.score.items()}
         # No piece has a space after another character, so nothing spans the start of a word.
         if any(SPACE in p.lstrip(SPACE) for p in self.score):
             raise ValueError("pieces with inner spaces are not supported")

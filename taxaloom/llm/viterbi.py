@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import chain
+from math import inf
 
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StringType
@@ -16,84 +17,80 @@ from .pieces import Memo, Pieces, chunks, load
 UNKNOWN_PENALTY = 10.0
 
 
-def stream_ids(characters: Iterable[str], pieces: Pieces) -> Iterator[int]:
-    """Ids of the best segmentation, committed while the characters come in.
+def stream_ids(blocks: Iterable[str], pieces: Pieces) -> Iterator[int]:
+    """Ids of the best segmentation of the joined ``blocks``, committed while these come in.
 
-    The window holds the characters since the last commit. A boundary is
-    committed as soon as every surviving path runs through it: at once where
-    no piece reaches beyond it, else when the back pointers of all boundaries
-    that later pieces can still start from meet. The commit resets scores to
-    zero, so rounding doesn't grow with the text. Of equal scores the path
-    whose last piece is longest wins.
+    The window holds the characters since the last commit and at most a block
+    and a piece more. A boundary is committed as soon as every surviving path
+    runs through it: at once where no piece reaches beyond it, else when the
+    back pointers of all boundaries that later pieces can still start from meet.
+    The commit resets scores to zero, so rounding doesn't grow with the text.
+    Of equal scores the path whose last piece is longest wins.
     """
     score, ids, longest = pieces.score, pieces.id, pieces.longest
-    unknown = pieces.worst - UNKNOWN_PENALTY
-    source = iter(characters)
-    window, ended = "", False
-    best: list[float | None] = [0.0]
-    back = [0]
+    onward = pieces.onward.get
+    unknown, none, stop = pieces.worst - UNKNOWN_PENALTY, -inf, 0
+    window, best, back = "", [0.0], [0]
     at, reach, check = 0, 0, 8 * longest
-
-    def committed(end: int) -> list[int]:
-        cuts = [end]
-        while cuts[-1]:
-            cuts.append(back[cuts[-1]])
-        out: list[int] = []
-        for b, a in zip(cuts[-2::-1], cuts[:0:-1], strict=True):
-            piece = window[a:b]
-            if piece in ids:
-                out.append(ids[piece])
+    for block in chain(blocks, ("",)):
+        window += block
+        size = len(window)
+        best += [none] * (size + 1 - len(best))
+        back += [0] * (size + 1 - len(back))
+        until = size - longest if block else size
+        while at < until:
+            here, end = best[at], at
+            while end < size:
+                end += 1
+                s = onward(window[at:end], stop)
+                if s == 0:
+                    break
+                if s is not None:
+                    s += here
+                    if s > best[end]:
+                        best[end], back[end] = s, at
+                    if end > reach:
+                        reach = end
+            if window[at] not in score:
+                if here + unknown > best[at + 1]:
+                    best[at + 1], back[at + 1] = here + unknown, at
+                if reach <= at:
+                    reach = at + 1
+            at += 1
+            if reach == at:
+                meet = at
+            elif at < check:
+                continue
             else:
-                out.extend(pieces.byte_id[x] for x in piece.encode())
-        return out
-
-    while True:
-        while not ended and len(window) < at + longest:
-            more = "".join(c for _, c in zip(range(4 * longest), source, strict=False))
-            ended = not more
-            window += more
-        if at >= len(window):
-            break
-        here = best[at]
-        stop = min(len(window), at + longest)
-        while len(best) <= stop:
-            best.append(None)
-            back.append(0)
-        for end in range(at + 1, stop + 1):
-            s = score.get(window[at:end])
-            if s is None:
-                if end > at + 1:
+                live = {k for k in range(at, reach + 1) if best[k] > none}
+                while len(live) > 1:
+                    last = max(live)
+                    live.remove(last)
+                    live.add(back[last])
+                meet = live.pop()
+                check = at - meet + 8 * longest
+                if not meet:
                     continue
-                s = unknown
-            if best[end] is None or here + s > best[end]:
-                best[end], back[end] = here + s, at
-            if end > reach:
-                reach = end
-        at += 1
-        meet = 0
-        if reach == at:
-            meet = at
-        elif at >= check:
-            live = set(range(at, reach + 1)) - {k for k in range(at, reach + 1) if best[k] is None}
-            while len(live) > 1:
-                last = max(live)
-                live.remove(last)
-                live.add(back[last])
-            meet = live.pop()
-            check = at - meet + 8 * longest
-        if meet:
-            yield from committed(meet)
-            window, back = window[meet:], [max(0, b - meet) for b in back[meet:]]
+            cuts = [meet]
+            while cuts[-1]:
+                cuts.append(back[cuts[-1]])
+            for k in range(len(cuts) - 1, 0, -1):
+                piece = window[cuts[k] : cuts[k - 1]]
+                if piece in ids:
+                    yield ids[piece]
+                else:
+                    for x in piece.encode():
+                        yield pieces.byte_id[x]
             floor = best[meet]
-            best = [None if b is None else b - floor for b in best[meet:]]
-            at, reach = at - meet, reach - meet
-            check = max(check, 8 * longest)
+            window, size, at, reach, until = window[meet:], size - meet, at - meet, reach - meet, until - meet
+            best = [b - floor for b in best[meet:]]
+            back = [max(0, b - meet) for b in back[meet:]]
 
 
 @lru_cache(maxsize=4)
 def _memo(path: str) -> Memo:
     pieces = load(path)
-    return Memo(lambda chunk: tuple(stream_ids(chunk, pieces)), pieces, size=250_000)
+    return Memo(lambda chunk: tuple(stream_ids((chunk,), pieces)), pieces)
 
 
 def ids_of(text: str, memo: Memo) -> list[int]:
