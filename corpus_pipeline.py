@@ -4,20 +4,47 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from taxaloom.llm import queries as Q, viterbi
+from taxaloom.llm import chosen_path, lines, mixing, queries as Q, toxicity as tox, viterbi
 from taxaloom.llm.common import table
 from taxaloom.session import freeze
 
 
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the factorization machine scores 0.3 or more go; the others stay as they are."""
+    return tox.without_toxic(docs, tox.train(docs, table(spark, sf_dir, "labels")))
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines on more than a twentieth of their source's documents go; every document stays."""
+    return lines.line_dedup(docs).withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group linked by five-word shingles at a similarity of 0.8 or more stays."""
+    return chosen_path.without_near_duplicates(docs, words=5, percent=80)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sources weigh 3, 1, 2 in turn and share 150 % of all words; documents repeat up to twice."""
+    return mixing.mixed_documents(docs)
+
+
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids of every document that is left, and whether decoding gives its text back."""
     return viterbi.encode(docs, Q.piece_model())
 
 
-STAGES: list[tuple[str, Callable]] = [("sentencepiece", sentencepiece)]
+STAGES: list[tuple[str, Callable]] = [
+    ("toxicity", toxicity),
+    ("line_dedup", line_dedup),
+    ("near_dedup", near_dedup),
+    ("mix_sources", mix_sources),
+    ("sentencepiece", sentencepiece),
+]
 
-#: SQL can express neither the models nor the joins of the stages.
+#: SQL can express neither the fitted models nor the sampling.
 ORACLE_SQL = None
 
 

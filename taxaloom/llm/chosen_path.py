@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
 from taxaloom.session import broadcast_rows, freeze
@@ -263,6 +263,19 @@ class _Join:
         return self.verified(freeze(pairs))
 
 
+def _grouped(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> DataFrame:
+    """``id, key, n_shingles, label`` per row; ``label`` is null without shingles, ``key`` a hash of id and text."""
+    join = _Join(docs, id_col, text_col, words, percent)
+    stars = join.starred()
+    more = join.branched(components(stars))
+    labels = components(stars.unionByName(more))
+    return freeze(
+        join.members.select("id", "key", "n_shingles", "cls")
+        .join(labels.select(F.col("node").alias("cls"), "label"), "cls", "left")
+        .select("id", "key", "n_shingles", F.coalesce("label", "cls").alias("label"))
+    )
+
+
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80
 ) -> DataFrame:
@@ -290,16 +303,7 @@ def near_duplicates(
     be a ``component_id`` unless all ids of its component are null. An empty table
     gives an empty result.
     """
-    join = _Join(docs, id_col, text_col, words, percent)
-    stars = join.starred()
-    more = join.branched(components(stars))
-    labels = components(stars.unionByName(more))
-    own: Column = F.coalesce("label", "cls")
-    rows = freeze(
-        join.members.select("id", "n_shingles", "cls")
-        .join(labels.select(F.col("node").alias("cls"), "label"), "cls", "left")
-        .select("id", "n_shingles", own.alias("label"))
-    )
+    rows = _grouped(docs, id_col, text_col, words, percent)
     least = rows.where(F.col("label").isNotNull()).groupBy("label").agg(F.min("id").alias("component_id"))
     alone = rows.where(F.col("label").isNull()).select("id", "n_shingles", F.col("id").alias("component_id"))
     return (
@@ -313,3 +317,27 @@ def near_duplicates(
             F.col("id").eqNullSafe(F.col("component_id")).alias("kept"),
         )
     )
+
+
+def without_near_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80
+) -> DataFrame:
+    """``docs`` with one row of each group of linked documents, all columns as they are.
+
+    The row with the smallest id stays; rows without an id come after all others.
+    Of rows that repeat the id and text of the one that stays, one stays. Rows
+    without words stay, each of them.
+    """
+    rows = _grouped(docs, id_col, text_col, words, percent).where(F.col("label").isNotNull())
+    first = rows.groupBy("label").agg(F.min(F.struct(F.col("id").isNull(), "id", "key")).alias("first"))
+    gone = freeze(rows.join(first, "label").where(F.col("key") != F.col("first.key")).select("key").distinct())
+    again = freeze(rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"))
+    key = F.xxhash64(F.col(f"`{id_col}`").cast("string"), text_of(text_col))
+    keyed = docs.withColumn("__key", key)
+    gone = gone.withColumnRenamed("key", "__key")
+    left = keyed.join(broadcast_rows(gone, gone.count(), BROADCAST_KEYS), "__key", "left_anti")
+    if not again.isEmpty():
+        again = again.withColumnRenamed("key", "__key")
+        repeated = left.join(again, "__key", "left_semi").dropDuplicates(["__key"])
+        left = left.join(again, "__key", "left_anti").unionByName(repeated)
+    return left.select(*[F.col(f"`{c}`") for c in docs.columns])

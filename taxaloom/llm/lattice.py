@@ -21,7 +21,7 @@ from .shingles import U, mix
 #: Passes of expectation maximisation over the words of the corpus.
 ROUNDS = 3
 #: Added to the expected count of every piece.
-SMOOTH = 0.1
+SMOOTH = 0.01
 #: Values of the class column with a model of their own; all others share one more.
 CLASSES = 7
 #: Share of a class's unseen words that the whole corpus's words get, the lattice of the class the rest.

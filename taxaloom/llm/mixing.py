@@ -209,12 +209,13 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", source_col: str = "
         & F.col(f"`{source_col}`").cast("string").eqNullSafe(F.col("__source"))
         & (F.col("__words") == F.col("__size"))
     )
+    taken = freeze(taken)
     joined = docs.withColumn("__words", size).join(taken.where("__sum > 0"), same)
-    place = F.row_number().over(Window.partitionBy("__id", "__source", "__size").orderBy(F.lit(1)))
-    each = F.floor(F.col("__sum") / F.col("__n")) + (F.col("__place") <= F.col("__sum") % F.col("__n")).cast("long")
-    return (
-        joined.withColumn("__place", F.when(F.col("__n") > 1, place).otherwise(F.lit(1)))
-        .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.lit(int(math.ceil(how.get("most", 2.0))) or 1))))
-        .where(F.col("__copy") <= each)
-        .select(*[F.col(f"`{c}`") for c in docs.columns])
+    times = F.col("__sum")
+    if not taken.where("__n > 1").isEmpty():
+        place = F.row_number().over(Window.partitionBy("__id", "__source", "__size").orderBy(F.lit(1)))
+        joined = joined.withColumn("__place", place)
+        times = F.floor(times / F.col("__n")) + (F.col("__place") <= times % F.col("__n")).cast("long")
+    return joined.withColumn("__copy", F.explode(F.array_repeat(F.lit(1), times.cast("int")))).select(
+        *[F.col(f"`{c}`") for c in docs.columns]
     )
