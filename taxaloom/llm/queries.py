@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from taxaloom.session import staging_path
 
-from . import archive, bpe_count, chosen_path, grace, lattice, lines, mixing, toxicity, viterbi
+from . import archive, bpe_count, chosen_path, grace, lattice, lines, mixing, search, toxicity, viterbi
 from .common import table
 
 QUERIES: dict = {}
@@ -68,6 +68,33 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "op3_top_k_search",
+    r"""
+    WITH w AS (
+        SELECT doc_id, unnest(regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x20\x09-\x0D]+')) AS word
+        FROM documents
+    ), p AS (SELECT doc_id, word, count(*) AS tf FROM w GROUP BY ALL),
+    l AS (SELECT doc_id, sum(tf) AS len FROM p GROUP BY doc_id),
+    n AS (SELECT (SELECT count(*) FROM documents) AS docs, (SELECT sum(len) FROM l) / (SELECT count(*) FROM documents) AS mean),
+    f AS (SELECT word, ln(1 + (docs - count(*) + 0.5) / (count(*) + 0.5)) AS idf FROM p, n GROUP BY word, docs),
+    s AS (
+        SELECT q.doc_id AS query_id, p.doc_id,
+               round(sum(q.tf * idf * p.tf * 2.2 / (p.tf + 1.2 * (0.25 + 0.75 * len / mean))), 6) AS score
+        FROM p AS q JOIN p USING (word) JOIN f USING (word) JOIN l ON l.doc_id = p.doc_id, n
+        WHERE q.doc_id % 50 = 0 GROUP BY ALL
+    ), r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0)
+    SELECT query_id, rank, doc_id, round(score, 4) AS score FROM r WHERE rank <= 10
+    """,
+)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = search.search(docs, docs.where("doc_id % 50 = 0"), k=10)
+    return found.withColumn("score", F.round("score", 4))
+
+
 @query(
     "op4_line_dedup",
     r"""

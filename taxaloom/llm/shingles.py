@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -32,7 +33,7 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
         return tuple(np.cumprod(np.full(n, b, U)) for b in (_BASE, _INVERSE))
 
 
-def _slice_sets(texts: list[bytes], k: int) -> list[np.ndarray]:
+def _slice_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     joined = (b" ".join(texts) + b" ").translate(LOWER)
     raw = np.frombuffer(joined, np.uint8)
     power, inverse = _powers(max(SLICE * 2, 1 << (len(raw) - 1).bit_length()))
@@ -46,7 +47,33 @@ def _slice_sets(texts: list[bytes], k: int) -> list[np.ndarray]:
     word = mix((running[end - 1] - before) * inverse[start] + (end - start).astype(U) * U(0xD6E8FEB86659FD93))
     stops = np.cumsum([len(t) + 1 for t in texts])
     first = np.searchsorted(start, np.concatenate([[0], stops[:-1]]))
-    last = np.searchsorted(start, stops)
+    return word, first, np.searchsorted(start, stops)
+
+
+def slices(texts: list[bytes]) -> Iterator[list[bytes]]:
+    part: list[bytes] = []
+    size = 0
+    for t in texts:
+        if part and size + len(t) > SLICE:
+            yield part
+            part, size = [], 0
+        part.append(t)
+        size += len(t) + 1
+    if part:
+        yield part
+
+
+def words_in(texts: list[bytes]) -> list[np.ndarray]:
+    """64-bit hashes of the words of each whole text, in order."""
+    out = []
+    for part in slices(texts):
+        word, first, last = _slice_words(part)
+        out += [word[a:b] for a, b in zip(first, last, strict=True)]
+    return out
+
+
+def _slice_sets(texts: list[bytes], k: int) -> list[np.ndarray]:
+    word, first, last = _slice_words(texts)
     many = len(word) - k + 1
     if many > 0:
         grams = word[:many] * U(3)
@@ -71,16 +98,7 @@ def sets_of(texts: list[bytes], k: int) -> list[np.ndarray]:
     Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z in lower case. A text of fewer
     words has its sequence as one shingle; without words the set is empty.
     """
-    out: list[np.ndarray] = []
-    part: list[bytes] = []
-    size = 0
-    for t in texts:
-        if part and size + len(t) > SLICE:
-            out += _slice_sets(part, k)
-            part, size = [], 0
-        part.append(t)
-        size += len(t) + 1
-    return out + (_slice_sets(part, k) if part else [])
+    return [x for part in slices(texts) for x in _slice_sets(part, k)]
 
 
 def digest_of(shingles: np.ndarray) -> bytes | None:
