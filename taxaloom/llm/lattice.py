@@ -10,7 +10,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import BinaryType, DoubleType, IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, DoubleType, IntegerType, LongType, StructField, StructType
 
 from taxaloom.session import freeze
 
@@ -64,15 +64,11 @@ class Lattice:
             for c in name:
                 h = h * _BASE + U(ord(c) + 1)
             hashes[i] = mix(h)[0]
-        self.tables = []
-        left, bits = np.arange(len(names)), 22
-        while len(left):
-            slot = (hashes[left] >> U(64 - bits)).astype(np.int64)
-            _, first = np.unique(slot, return_index=True)
-            place, key = np.zeros(1 << bits, np.int32), np.zeros(1 << bits, U)
-            place[slot[first]], key[slot[first]] = left[first] + 1, hashes[left[first]]
-            self.tables.append((bits, place, key))
-            left, bits = np.delete(left, first), bits - 1
+        #: Few of all spans are pieces: most are sorted out by a small table of flags.
+        self.flags = np.zeros(1 << 18, bool)
+        self.flags[(hashes >> U(46)).astype(np.int64)] = True
+        order = np.argsort(hashes)
+        self.hashes, self.order = hashes[order], (order + 1).astype(np.int32)
 
     def places(self, codes: np.ndarray) -> list[np.ndarray]:
         """For each piece length less one: place of the piece that starts at each character, 0 for none."""
@@ -82,9 +78,10 @@ class Lattice:
             h = h[:, : length - size + 1] * _BASE + codes[:, size - 1 :]
             full = mix(h)
             found = np.zeros(h.shape, np.int32)
-            for bits, place, key in self.tables:
-                slot = (full >> U(64 - bits)).astype(np.int64)
-                found += np.where(key[slot] == full, place[slot], 0)
+            at = np.nonzero(self.flags[(full >> U(46)).astype(np.int64)])
+            key = full[at]
+            slot = np.minimum(np.searchsorted(self.hashes, key), len(self.hashes) - 1)
+            found[at] = np.where(self.hashes[slot] == key, self.order[slot], 0)
             out.append(found)
         return out
 
@@ -147,21 +144,20 @@ class Lattice:
         """Log probability of each word for each class of ``logs``, by a forward recursion in logarithms."""
         out = np.zeros((len(words), len(logs)))
         for numbers, places in self._by_length(words):
-            for c, own in enumerate(logs):
-                if places is None:
-                    for n in numbers:
-                        out[n, c] = self.forward(words[n], own)[-1]
-                    continue
-                weight = [own[p] for p in places]
-                alpha = [np.zeros(len(numbers))]
-                for j in range(1, weight[0].shape[1] + 1):
-                    total = alpha[j - 1] + weight[0][:, j - 1]
-                    for size in range(2, min(j, len(weight)) + 1):
-                        term = alpha[j - size] + weight[size - 1][:, j - size]
-                        if np.isfinite(term).any():
-                            total = np.logaddexp(total, term)
-                    alpha.append(total)
-                out[numbers, c] = alpha[-1]
+            if places is None:
+                for n in numbers:
+                    out[n] = [self.forward(words[n], own)[-1] for own in logs]
+                continue
+            alpha = [np.zeros((len(logs), len(numbers)))]
+            for j in range(1, places[0].shape[1] + 1):
+                total = alpha[j - 1] + logs[:, places[0][:, j - 1]]
+                for size in range(2, min(j, len(places)) + 1):
+                    ending = places[size - 1][:, j - size]
+                    at = np.flatnonzero(ending)
+                    if len(at):
+                        total[:, at] = np.logaddexp(total[:, at], alpha[j - size][:, at] + logs[:, ending[at]])
+                alpha.append(total)
+            out[numbers] = alpha[-1].T
         return out
 
     def expected(self, words: list[str], classes: np.ndarray, logs: np.ndarray, out: np.ndarray) -> None:
@@ -170,6 +166,7 @@ class Lattice:
         Short words have probabilities far from underflow, so their sums aren't in logarithms.
         """
         chance = np.exp(logs)
+        keys, shares = [], []
         for numbers, places in self._by_length(words):
             if places is None:
                 for n in numbers:
@@ -189,9 +186,10 @@ class Lattice:
             for size, w in enumerate(weight, 1):
                 share = alpha[: length - size + 1].T * w * beta[size:].T / alpha[length][:, None]
                 at = np.flatnonzero(places[size - 1])
-                if len(at):
-                    key = (own[:, None] * out.shape[1] + places[size - 1]).ravel()[at]
-                    out += np.bincount(key, share.ravel()[at], out.size).reshape(out.shape)
+                keys.append((own[:, None] * out.shape[1] + places[size - 1]).ravel()[at])
+                shares.append(share.ravel()[at])
+        if keys:
+            out += np.bincount(np.concatenate(keys), np.concatenate(shares), out.size).reshape(out.shape)
 
 
 @lru_cache(maxsize=2)
@@ -394,11 +392,11 @@ def text_scores(
         F.col(f"`{id_col}`").alias("id"),
         F.xxhash64(F.col(f"`{id_col}`").cast("string"), text_of(text_col)).alias("key"),
     )
-    sums = ["rows", "n_tokens", "n_known", "base", *(f"p{g}" for g in range(k))]
     part = StructType(
         [StructField("row", docs.select(key.alias("row")).schema["row"].dataType)]
-        + [StructField("word", BinaryType()), StructField("tf", LongType())]
-        + [StructField(c, LongType() if i < 3 else DoubleType()) for i, c in enumerate(sums)]
+        + [StructField(c, LongType()) for c in ("n_tokens", "n_known")]
+        + [StructField(c, DoubleType()) for c in ("base", *(f"p{g}" for g in range(k)))]
+        + [StructField("words", ArrayType(BinaryType())), StructField("times", ArrayType(IntegerType()))]
     )
     part_arrow = _arrow(part)
 
@@ -406,44 +404,43 @@ def text_scores(
         place, values = common.value
         get = place.get
         for batch in batches:
-            at, columns = [], [[] for _ in range(len(part) - 1)]
-            nothing = [0, 0, 0] + [0.0] * (1 + k)
-            for r, text in enumerate(batch.column(1).to_pylist()):
+            counts, sums, words, times = [], [], [], []
+            for text in batch.column(1).to_pylist():
                 tokens = words_of(text)
                 found = np.array([get(w, -1) for w in tokens], np.int64)
                 made = values[found[found >= 0]].sum(0) if len(values) else np.zeros(2 + k)
-                rare = Counter(tokens[i] for i in np.flatnonzero(found < 0))
-                # The sums of the common words go with the first of the others.
-                first = [1, len(tokens) + 1, int(made[1]) + (trained > 0), made[0] + math.log10(trained + 1), *(made[2:] + end)]
-                for word, tf in (rare or {None: 0}).items():
-                    at.append(r)
-                    for column, x in zip(columns, (word, tf, *first), strict=True):
-                        column.append(x)
-                    first = nothing
-            if at:
+                rare = Counter(tokens[i] for i in np.flatnonzero(found < 0).tolist())
+                counts.append((len(tokens) + 1, int(made[1]) + (trained > 0)))
+                sums.append((made[0] + math.log10(trained + 1), *(made[2:] + end)))
+                words.append(list(rare.keys()))
+                times.append(list(rare.values()))
+            if counts:
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(at)).cast(part_arrow.field(0).type)]
-                    + [pa.array(x, f.type) for x, f in zip(columns, list(part_arrow)[1:], strict=True)],
+                    [batch.column(0).cast(part_arrow.field(0).type)]
+                    + [
+                        pa.array(x, f.type)
+                        for x, f in zip([*zip(*counts, strict=True), *zip(*sums, strict=True), words, times], list(part_arrow)[1:], strict=True)
+                    ],
                     schema=part_arrow,
                 )
 
     looked = docs.select(key.alias("row"), F.to_binary(text_of(text_col), F.lit("utf-8")).alias("t")).mapInArrow(look_up, part)
+    looked = freeze(looked)
     rest = scored
     if top.num_rows == FREQUENT:
         rest = rest.where(F.col("n") <= top["n"][-1].as_py())
-    rest = rest.drop("n")
-    tf, zero = F.col("tf"), F.lit(0.0)
-    summed = (
-        looked.join(rest, "word", "left")
-        .groupBy("row")
-        .agg(
-            F.sum("rows").alias("rows"),
-            F.sum("n_tokens").alias("n_tokens"),
-            F.sum(F.col("n_known") + F.when(F.col("c") > 0, tf).otherwise(F.lit(0))).alias("n_known"),
-            F.sum(F.col("base") + F.coalesce(tf * F.log10(F.col("c") + 1), zero)).alias("base"),
-            *[F.sum(F.col(f"p{g}") + F.coalesce(tf * F.col(f"s{g}"), zero)).alias(f"p{g}") for g in range(k)],
+    tf = F.col("each.times")
+    rare = (
+        looked.select("row", F.explode(F.arrays_zip("words", "times")).alias("each"))
+        .join(rest, F.col("each.words") == F.col("word"))
+        .select(
+            "row", F.lit(0).alias("rows"), F.lit(0).alias("n_tokens"), F.when(F.col("c") > 0, tf).otherwise(F.lit(0)).alias("n_known"),
+            (tf * F.log10(F.col("c") + 1)).alias("base"), *[(tf * F.col(f"s{g}")).alias(f"p{g}") for g in range(k)],
         )
-    )
+    )
+    whole = looked.select("row", F.lit(1).alias("rows"), "n_tokens", "n_known", "base", *[f"p{g}" for g in range(k)])
+    names = [c for c in whole.columns if c != "row"]
+    summed = whole.unionByName(rare).groupBy("row").agg(*[F.sum(c).alias(c) for c in names])
     # Rows that repeat an id and text were summed together.
     n = F.col("rows")
     by_class = [F.col(f"p{g}") / n + math.log(p) for g, p in enumerate(fitted.prior) if p > 0]
@@ -459,6 +456,6 @@ def text_scores(
             F.floor(F.col("n_known") / n).cast("long").alias("n_known"),
             F.lit(total).cast("long").alias("train_tokens"),
             (F.col("base") / n - tokens * math.log10(total + known + 1)).alias("base_score"),
-            ((most + F.log(sum((F.exp(p - most) for p in by_class), zero))) / _LN10).alias("score"),
+            ((most + F.log(sum((F.exp(p - most) for p in by_class), F.lit(0.0)))) / _LN10).alias("score"),
         )
     )
