@@ -70,7 +70,7 @@ def split_feature(feature: Column | str) -> Column:
     code = F.when(mark > 0, F.substring(head, F.lit(1), mark - 1)).otherwise(head)
     name = F.when(mark > 0, F.substring(head, mark + len(NAME_MARK), F.length(head)))
     checked = F.when(F.size(parts) <= 2, code).otherwise(
-        F.raise_error(F.concat(F.lit("bad feature name: "), _col(feature))).cast("string")
+        F.raise_error(F.concat(F.lit("a feature name has too many parts: "), _col(feature))).cast("string")
     )
     return F.struct(checked.alias("code"), name.alias("name"), F.get(parts, F.lit(1)).alias("stratum"))
 

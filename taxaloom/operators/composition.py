@@ -106,14 +106,18 @@ def remove_zero_samples(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return df.join(live, [*by, "sample_name"], "left_semi")
 
 
-def collapse_levels(meta: DataFrame, n: int, level: str = "group") -> DataFrame:
-    """Metadata with all but the ``n`` most frequent levels (ties by name) named ``other``."""
-    best = (
-        meta.groupBy(level).agg(F.count(F.lit(1)).alias("_c")).orderBy(F.desc("_c"), level).limit(n)
-        .select(level, F.lit(True).alias("_top"))
-    )
-    return meta.join(broadcast_rows(best, n), level, "left").select(
-        "sample_name", F.when(F.col("_top"), F.col(level)).otherwise(FEW_OTHER).alias(level)
+def collapse_levels(meta: DataFrame, n: int, level: str = "group", by: Sequence[str] = ()) -> DataFrame:
+    """Metadata with all but the ``n`` most frequent levels (ties by name) named ``other``, for each ``by`` key."""
+    by = list(by)
+    counts = meta.groupBy(*by, level).agg(F.count(F.lit(1)).alias("_c"))
+    if by:
+        place_ = F.row_number().over(W.partitionBy(*by).orderBy(F.desc("_c"), level))
+        best = counts.withColumn("_p", place_).filter(F.col("_p") <= n)
+    else:
+        best = broadcast_rows(counts.orderBy(F.desc("_c"), level).limit(n), n)
+    best = best.select(*by, level, F.lit(True).alias("_top"))
+    return meta.join(best, [*by, level], "left").select(
+        *by, "sample_name", F.when(F.col("_top"), F.col(level)).otherwise(FEW_OTHER).alias(level)
     )
 
 
@@ -125,13 +129,15 @@ def sample_order(
     file_order: DataFrame | None = None,
     by: Sequence[str] = (),
     digits: int = 9,
-    bound: int | None = None,
+    whole: bool = True,
 ) -> DataFrame:
     """``(sample_name, position)`` after stable sorts by each method in turn.
 
     ``samples(sample_name, position)`` is the input order. Methods: ``none``,
     ``sum`` (descending), ``metadata``, ``file``, ``dominant`` (descending by the
-    overall maximum of the sample's largest taxon, then the amount of it).
+    overall maximum of the sample's largest taxon, then the amount of it),
+    ``braycurtis`` and ``braycurtis_w`` (leaf order of the dendrogram by average
+    linkage, on shares or on values; one job for all keys).
     With ``by``, every focal feature has an order of its own.
     """
     by = list(by)
@@ -151,8 +157,16 @@ def sample_order(
             key, cols = file_order.select("sample_name", F.col("position").alias("_k1")), [("_k1", False)]
         elif method == "dominant":
             key, cols = _dominant(df, by), [("_k1", True), ("_k2", True), ("_k3", True)]
+        elif method in ("braycurtis", "braycurtis_w"):
+            # Imported late: these modules build on this one's neighbours.
+            from taxaloom.operators.ordination import leaf_order
+            from taxaloom.operators.pairs import bray_curtis
+
+            distances = bray_curtis(df, method == "braycurtis_w", order.select(*by, "sample_name"), by)
+            leaves = leaf_order(distances, by=by)
+            key, cols = leaves.withColumnRenamed("position", "_k1"), [("_k1", False)]
         else:
-            raise ValueError(f"can't sort with {method}")
+            raise ValueError(f"unknown sort method: {method}")
         names = [c for c, _ in cols]
         joined = order.withColumnRenamed("position", "_was").join(
             key, [c for c in [*by, "sample_name"] if c in key.columns], "left"
@@ -160,7 +174,7 @@ def sample_order(
         if method in ("sum", "dominant"):
             fills = {c: "" if c == "_k2" else 0.0 for c in names}
             joined = joined.na.fill(fills)
-        order = place(joined, by, [*cols, ("_was", False)], bound=bound).select(*by, "sample_name", "position")
+        order = place(joined, by, [*cols, ("_was", False)], whole=whole).select(*by, "sample_name", "position")
     return order
 
 
@@ -201,9 +215,9 @@ def mean_variance(df: DataFrame, n_samples: Column) -> DataFrame:
     )
 
 
-def box_stats(df: DataFrame, keys: Sequence[str], value: str = "value", bound: int | None = None) -> DataFrame:
+def box_stats(df: DataFrame, keys: Sequence[str], value: str = "value", whole: bool = True) -> DataFrame:
     """Quartiles, whiskers (extreme values within 1.5 IQR) and range per key."""
-    counted = value_counts(df, keys, value, bound)
+    counted = value_counts(df, keys, value, whole)
     q = quantiles_of_counts(counted, keys, value, {"q1": 0.25, "median": 0.5, "q3": 0.75})
     iqr = F.col("q3") - F.col("q1")
     inside = (F.col(value) >= F.col("q1") - 1.5 * iqr) & (F.col(value) <= F.col("q3") + 1.5 * iqr)

@@ -28,7 +28,7 @@ def draw_samples(meta: DataFrame, boots: int, seed: int, share: float = 2 / 3) -
     draws = meta.select(
         "sample_name", "group", F.explode(F.sequence(F.lit(0), F.lit(boots - 1))).alias("boot")
     ).withColumn("_h", F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("boot"), F.col("sample_name"))))
-    placed = place(draws, ["boot", "group"], [("_h", False), ("sample_name", False)]).join(sizes, "group")
+    placed = place(draws, ["boot", "group"], [("_h", False), ("sample_name", False)], whole=True).join(sizes, "group")
     pick = F.when(F.col("position") < F.col("_take"), 1.0).otherwise(0.0)
     return placed.groupBy("sample_name", "group").agg(
         F.transform(
@@ -49,7 +49,7 @@ def lda_effect(
     boots: int = 30,
     seed: int = 1234,
     ridge: float = 0.05,
-    max_rounds: int = 60,
+    max_rounds: int = 500,
     treatment: str = TREATMENT,
     control: str = CONTROL,
     single_task: int = 1_000_000,
@@ -197,6 +197,8 @@ def _solve_distributed(x, features, picks, boots, n_t, n_c, ridge, max_rounds, t
         curve = [d - b * n / a if a > 0 else 0.0 for d, b, n, a in zip(delta, beta, new, alpha)]
         alpha = [n / c if c > 0 else 0.0 for n, c in zip(new, curve)]
         gamma = new
+    else:
+        raise RuntimeError(f"the discriminants have not settled in {max_rounds} rounds")
     raw = state.join(features, "feature").select(
         "feature", F.transform("y", lambda v: v / F.col("sd")).alias("w"),
         F.transform("gap", lambda v: v * F.col("sd")).alias("gap"),

@@ -228,15 +228,26 @@ def row_zscore(df: DataFrame) -> DataFrame:
     ).drop("_m", "_sd")
 
 
-def size_factors(df: DataFrame, n_samples: Column) -> DataFrame:
-    """Median of ratios to the geometric mean over features counted in every sample: ``(sample_name, size_factor)``."""
-    gene = df.filter("value > 0").groupBy("feature").agg(
-        F.avg(F.ln("value")).alias("_lgm"), F.count(F.lit(1)).alias("_n")
-    )
-    full = gene.filter(F.col("_n") == n_samples).select("feature", "_lgm")
-    ratio = df.join(full, "feature").select("sample_name", (F.ln("value") - F.col("_lgm")).alias("_r"))
-    return quantiles(ratio, ["sample_name"], "_r", {"_m": 0.5}).select(
-        "sample_name", F.exp("_m").alias("size_factor")
+def size_factors(df: DataFrame, n_samples: Column, kind: str = "ratio") -> DataFrame:
+    """Median of ratios to the features' geometric means: ``(sample_name, size_factor)`` of every sample of ``df``.
+
+    ``ratio`` uses the features counted in every sample, and ends with an error
+    where there is none. ``poscounts`` takes the n-th root of the product of a
+    feature's positive counts as its mean, the median over a sample's positive
+    counts, and scales the factors to a geometric mean of 1.
+    """
+    live = df.filter("value > 0")
+    gene = live.groupBy("feature").agg(F.sum(F.ln("value")).alias("_l"), F.count(F.lit(1)).alias("_n"))
+    gene = gene.withColumn("_lgm", F.col("_l") / n_samples)
+    used = gene if kind == "poscounts" else gene.filter(F.col("_n") == n_samples)
+    ratio = live.join(used.select("feature", "_lgm"), "feature").select("sample_name", (F.ln("value") - F.col("_lgm")).alias("_r"))
+    medians = quantiles(ratio, ["sample_name"], "_r", {"_m": 0.5})
+    if kind == "poscounts":
+        mean = medians.select(F.avg("_m")).scalar()
+        return medians.select("sample_name", F.exp(F.col("_m") - mean).alias("size_factor"))
+    none = F.raise_error(F.lit("no feature is counted in every sample; kind='poscounts' does without"))
+    return df.select("sample_name").distinct().join(medians, "sample_name", "left").select(
+        "sample_name", F.coalesce(F.exp("_m"), none.cast("double")).alias("size_factor")
     )
 
 
@@ -258,13 +269,19 @@ def vst(c: Column | str, a0: Column | float, a1: Column | float) -> Column:
     return F.ln(inner) / F.ln(F.lit(2.0))
 
 
-def stack_scale(df: DataFrame, mode: str, by: Sequence[str] = ()) -> DataFrame:
+def stack_scale(df: DataFrame, mode: str, by: Sequence[str] = (), floor_column: str | None = None) -> DataFrame:
     """Display heights of stacked bars: ``original``, ``totalsum`` shares or ``logstack``.
 
+    ``floor_column`` names a column for the level the bars stand on: the floor in
+    ``logstack``, else 0.
+
     In ``logstack`` the bar top is log10 of the sample sum above the floor of the
     smallest non-zero sum (per ``by``), shared out by relative contribution.
     """
     by = list(by)
+    level = [] if floor_column is None else [floor_column]
+    if mode != "logstack" and level:
+        df = df.withColumn(floor_column, F.lit(0.0))
     if mode == "original":
         return df.withColumn("height", F.col("value"))
     sums = df.groupBy(*by, "sample_name").agg(F.sum("value").alias("_sum")).filter("_sum > 0")
@@ -278,12 +295,17 @@ def stack_scale(df: DataFrame, mode: str, by: Sequence[str] = ()) -> DataFrame:
         tops = sums.withColumn("_floor", sums.select(floor).scalar())
     tops = tops.withColumn("_h", F.greatest(F.log10("_sum"), F.col("_floor")) - F.col("_floor"))
     out = df.join(tops, [*by, "sample_name"], "left")
-    return out.withColumn(
-        "height", F.coalesce(F.col("value") / F.col("_sum") * F.col("_h"), F.lit(0.0))
-    ).drop("_sum", "_floor", "_h")
+    out = out.withColumn("height", F.coalesce(F.col("value") / F.col("_sum") * F.col("_h"), F.lit(0.0)))
+    for c in level:
+        out = out.withColumn(c, F.col("_floor"))
+    return out.drop("_sum", "_floor", "_h")
+
 
+def stack_bases(df: DataFrame, position: str, by: Sequence[str] = (), floor_column: str | None = None) -> DataFrame:
+    """``base`` of each bar segment: the heights below it, above the level of ``floor_column``.
 
-def stack_bases(df: DataFrame, position: str, by: Sequence[str] = ()) -> DataFrame:
-    """``base`` of each bar segment: the heights below it. A stack has at most top-n + 2 segments."""
+    A stack has at most top-n + 2 segments.
+    """
     below = W.partitionBy(*by, "sample_name").orderBy(position).rowsBetween(W.unboundedPreceding, -1)
-    return df.withColumn("base", F.coalesce(F.sum("height").over(below), F.lit(0.0)))
+    base = F.coalesce(F.sum("height").over(below), F.lit(0.0))
+    return df.withColumn("base", base if floor_column is None else base + F.col(floor_column))

@@ -16,23 +16,23 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as
 
 from taxaloom.session import freeze, shuffle_width
 
-# A window group proven to be at most this long is sorted by one task.
-SINGLE_TASK_ROWS = 1_000_000
+# Buckets per shuffle partition.
+SPREAD = 4
 
 
-def value_bucket(df: DataFrame, order: str, rows: int | None = None) -> DataFrame:
+def value_bucket(df: DataFrame, order: str) -> DataFrame:
     """Add ``_bucket``: the number of approximate quantile cuts below ``order``.
 
-    The cuts grow with the rows, so that a bucket stays sortable by one task. A
-    value is placed in two steps, among every ``step``-th cut and then among the
-    cuts between, which keeps the search short for many thousand cuts.
+    There are several buckets per shuffle partition, so a bucket is sorted by one
+    task as a partition is. A value is placed in two steps, among every ``step``-th
+    cut and then among the cuts between, which keeps the search short.
     """
-    wanted = max(4 * shuffle_width(df.sparkSession), (rows or 0) // max(1, SINGLE_TASK_ROWS))
+    wanted = SPREAD * shuffle_width(df.sparkSession)
     if isinstance(df.schema[order].dataType, T.StringType):
         # Texts have no approximate quantiles: cuts are taken from a hash-picked set of about 16 values per cut.
         step = min(64, max(2, math.isqrt(wanted)))
         n = step * step
-        picked = df.filter(F.pmod(F.xxhash64(order), F.lit(max(1, (rows or 0) // (16 * n)))) == 0)
+        picked = df.select(order).distinct().orderBy(F.xxhash64(order)).limit(16 * n)
         values = picked.agg(F.array_sort(F.collect_list(order)).alias("_v"))
         nth = F.transform(
             F.sequence(F.lit(1), F.lit(n - 1)), lambda i: F.get("_v", F.floor(i * F.size("_v") / n).cast("int"))
@@ -62,7 +62,7 @@ def running(
     order: str,
     sums: Sequence[str] = (),
     later_min: Sequence[str] = (),
-    bound: int | None = None,
+    whole: bool = False,
     bucket: Column | None = None,
 ) -> DataFrame:
     """Per key, in the order of ``order`` (distinct within the key), add
@@ -70,17 +70,14 @@ def running(
     - ``<c>_before`` and ``<c>_total`` for each ``c`` in ``sums``;
     - ``<c>_floor``, the least value from this row on, for each ``c`` in ``later_min``.
 
-    ``bound`` is a proven limit on the rows of one key (all rows are counted when
-    it is not given); up to ``SINGLE_TASK_ROWS`` a plain window is used. ``bucket``
-    may give a known order-preserving bucketing in place of the quantile cuts.
+    ``whole`` says that a key has at most one row per sample, as a feature has: a
+    task sorts such a key, spilling where it must. Else the ordering is cut into
+    buckets. ``bucket`` may give a known order-preserving bucketing in place of the
+    quantile cuts.
     """
     keys = list(keys)
-    if bound is None and bucket is None:
-        # Read several times below, and every reading must hold the same numbers.
-        df = freeze(df)
-        bound = df.count()
-    if bound is not None and bound <= SINGLE_TASK_ROWS:
-        part = W.partitionBy(*(keys or [F.lit(0)]))
+    if whole and keys:
+        part = W.partitionBy(*keys)
         up = part.orderBy(order).rowsBetween(W.unboundedPreceding, -1)
         on = part.orderBy(order).rowsBetween(0, W.unboundedFollowing)
         cols = []
@@ -90,7 +87,10 @@ def running(
         cols += [F.min(c).over(on).alias(f"{c}_floor") for c in later_min]
         return df.select("*", *cols)
 
-    cut = value_bucket(df, order, bound) if bucket is None else df.withColumn("_bucket", bucket)
+    if bucket is None:
+        # Read several times below, and every reading must hold the same numbers.
+        df = freeze(df)
+    cut = value_bucket(df, order) if bucket is None else df.withColumn("_bucket", bucket)
     group = [*keys, "_bucket"]
     per_bucket = cut.groupBy(*group).agg(
         *[F.sum(c).alias(f"_s_{c}") for c in sums], *[F.min(c).alias(f"_m_{c}") for c in later_min]
@@ -120,15 +120,15 @@ def running(
     )
 
 
-def value_counts(df: DataFrame, keys: Sequence[str], value: str, bound: int | None = None) -> DataFrame:
+def value_counts(df: DataFrame, keys: Sequence[str], value: str, whole: bool = False) -> DataFrame:
     """Distinct values per key with ``n``, ``n_before`` and ``n_total``."""
     counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))
-    return running(counts, keys, value, sums=["n"], bound=bound)
+    return running(counts, keys, value, sums=["n"], whole=whole)
 
 
-def average_rank(df: DataFrame, keys: Sequence[str], value: str, bound: int | None = None) -> DataFrame:
+def average_rank(df: DataFrame, keys: Sequence[str], value: str, whole: bool = False) -> DataFrame:
     """Distinct values per key with their mid-rank ``rank`` and multiplicity ``n``."""
-    return value_counts(df, keys, value, bound).withColumn("rank", F.col("n_before") + (F.col("n") + 1) / 2)
+    return value_counts(df, keys, value, whole).withColumn("rank", F.col("n_before") + (F.col("n") + 1) / 2)
 
 
 def quantiles(
@@ -136,10 +136,10 @@ def quantiles(
     keys: Sequence[str],
     value: str,
     probs: dict[str, float],
-    bound: int | None = None,
+    whole: bool = False,
 ) -> DataFrame:
     """Exact linearly interpolated quantiles per key, one column per entry of ``probs``."""
-    return quantiles_of_counts(value_counts(df, keys, value, bound), keys, value, probs)
+    return quantiles_of_counts(value_counts(df, keys, value, whole), keys, value, probs)
 
 
 def quantiles_of_counts(counted: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float]) -> DataFrame:
@@ -160,22 +160,19 @@ def quantiles_of_counts(counted: DataFrame, keys: Sequence[str], value: str, pro
     return grouped.select(*keys, *finals)
 
 
-def place(df: DataFrame, keys: Sequence[str], order: Sequence[tuple[str, bool]], bound: int | None = None) -> DataFrame:
+def place(df: DataFrame, keys: Sequence[str], order: Sequence[tuple[str, bool]], whole: bool = False) -> DataFrame:
     """Add ``position`` (from 0) of each row within its key, for ``order`` = (column, descending) pairs.
 
-    The order must be total. Beyond ``SINGLE_TASK_ROWS`` each distinct value of the
-    first column becomes a block: its start is the number of rows in earlier
-    blocks, and the rows inside are placed by the remaining columns.
+    The order must be total. With ``whole`` a key has at most one row per sample
+    and is sorted by one task. Else each distinct value of the first column
+    becomes a block: its start is the number of rows in earlier blocks, and the
+    rows inside are placed by the remaining columns.
     """
     keys = list(keys)
-    if bound is None:
-        df = freeze(df)
-        bound = df.count()
-    if bound is not None and bound <= SINGLE_TASK_ROWS:
+    if whole and keys:
         by = [F.col(c).desc() if desc else F.col(c).asc() for c, desc in order]
-        w = W.partitionBy(*keys).orderBy(*by) if keys else W.partitionBy(F.lit(0)).orderBy(*by)
-        return df.withColumn("position", F.row_number().over(w).cast("bigint") - 1)
-    return _place(df, keys, order)
+        return df.withColumn("position", F.row_number().over(W.partitionBy(*keys).orderBy(*by)).cast("bigint") - 1)
+    return _place(freeze(df), keys, order)
 
 
 def _place(df: DataFrame, keys: list[str], order: Sequence[tuple[str, bool]]) -> DataFrame:

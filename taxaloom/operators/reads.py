@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from taxaloom.operators.ordered import quantiles_of_counts, running
+from taxaloom.session import freeze
 
 # Alignment flag bits.
 PAIR_PROPER, UNMAPPED, MATE_UNMAPPED, FIRST, SECOND, SECONDARY = 2, 4, 8, 64, 128, 256
@@ -83,18 +84,18 @@ def split_classified(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return df.filter(F.col("status") == "C"), df.filter(F.col("status") == "U")
 
 
-def ancestor_pairs(tree: DataFrame, max_depth: int = 64) -> DataFrame:
+def ancestor_pairs(tree: DataFrame) -> DataFrame:
     """``(taxid, ancestor)`` of every node and itself, for a ``(taxid, parent)`` tree.
 
     Path doubling: a pair set of reach r is joined with the nodes' r-th ancestors,
-    so a tree of depth d takes log₂ d rounds.
+    so a tree of any depth d takes log₂ d rounds. A cycle ends with an error.
     """
-    from taxaloom.session import freeze
-
     jump = tree.filter(F.col("parent").isNotNull()).select("taxid", "parent")
     pairs = tree.select("taxid", F.col("taxid").alias("ancestor"))
-    reach = 1
-    while reach <= max_depth and not jump.isEmpty():
+    reach, nodes = 1, tree.count()
+    while not jump.isEmpty():
+        if reach > nodes:
+            raise ValueError("the tree has a cycle")
         up = jump.select(F.col("taxid").alias("ancestor"), F.col("parent").alias("_up"))
         pairs = freeze(pairs.unionByName(pairs.join(up, "ancestor").select("taxid", F.col("_up").alias("ancestor"))))
         higher = jump.select(F.col("taxid").alias("parent"), F.col("parent").alias("_next"))

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from taxaloom.functions.special import chi2_upper, normal_two_sided, rank_sum_exact, t_two_sided
-from taxaloom.operators.ordered import SINGLE_TASK_ROWS, running, value_counts
+from taxaloom.operators.ordered import running, value_counts
 from taxaloom.session import freeze
 
 TREATMENT, CONTROL = "treatment", "control"
@@ -23,19 +23,19 @@ def group_size(meta: DataFrame, group: str | None = None) -> Column:
     return rows.select(F.count(F.lit(1)).cast("double")).scalar()
 
 
-def _by_key(rows: DataFrame, keys: Sequence[str], bound: int) -> DataFrame:
-    """Rows brought together by key once, when a key is small enough for one task:
-    the counts, the ranks and the sums that follow then need no further shuffle."""
-    return rows.repartition(*keys) if bound <= SINGLE_TASK_ROWS else rows
+def _by_key(rows: DataFrame, keys: Sequence[str], whole: bool) -> DataFrame:
+    """Rows brought together by key once, where a task takes whole keys: the counts,
+    the ranks and the sums that follow then need no further shuffle."""
+    return rows.repartition(*keys) if whole else rows
 
 
 def _value_groups(
-    df: DataFrame, meta: DataFrame, treatment: str, control: str, keys: Sequence[str], bound: int
+    df: DataFrame, meta: DataFrame, treatment: str, control: str, keys: Sequence[str], whole: bool
 ) -> DataFrame:
     """Distinct non-zero values per key with the number of samples of either group holding them."""
     two = meta.filter(F.col("group").isin(treatment, control))
     return (
-        _by_key(df.filter("value <> 0").join(two, "sample_name"), keys, bound)
+        _by_key(df.filter("value <> 0").join(two, "sample_name"), keys, whole)
         .groupBy(*keys, "value")
         .agg(F.count_if(F.col("group") == treatment).alias("n_t"), F.count_if(F.col("group") == control).alias("n_c"))
         .withColumn("n", F.col("n_t") + F.col("n_c"))
@@ -49,20 +49,21 @@ def rank_sum(
     control: str = CONTROL,
     exact: str = "auto",
     keys: Sequence[str] = ("feature",),
-    bound: int | None = None,
+    whole: bool = True,
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """Two-sided Mann–Whitney / Wilcoxon rank-sum test per key.
 
     ``exact``: ``auto`` = untied and both groups below 50; ``small`` = untied and
     the smaller group at most 8; ``never``. Otherwise the normal approximation
     with tie and continuity correction. ``u`` is the statistic of the treatment.
-    ``bound`` limits the distinct values of one key; a feature has at most one per
-    sample, so the number of samples is taken.
+    A key has at most one value per sample and is ranked by one task; ``whole=False``
+    cuts the values into buckets instead. ``sizes(keys, n_t, n_c)`` gives the
+    group sizes of keys that not all samples have a value for.
     """
     keys = list(keys)
-    bound = meta.count() if bound is None else bound
     n_t, n_c = group_size(meta, treatment), group_size(meta, control)
-    ranked = running(_value_groups(df, meta, treatment, control, keys, bound), keys, "value", sums=["n"], bound=bound)
+    ranked = running(_value_groups(df, meta, treatment, control, keys, whole), keys, "value", sums=["n"], whole=whole)
     mid = F.col("n_before") + (F.col("n") + 1) / 2
     n = F.col("n").cast("double")
     sums = ranked.groupBy(*keys).agg(
@@ -71,7 +72,10 @@ def rank_sum(
         F.sum(F.col("n_t") * mid).alias("_r"),
         F.sum(n * n * n - n).alias("_ties"),
     )
-    sums = sums.withColumn("n_t", n_t).withColumn("n_c", n_c)
+    if sizes is None:
+        sums = sums.withColumn("n_t", n_t).withColumn("n_c", n_c)
+    else:
+        sums = sums.join(sizes.select(*keys, F.col("n_t").cast("double"), F.col("n_c").cast("double")), keys)
     total = F.col("n_t") + F.col("n_c")
     zeros = total - F.col("_nz")
     r_t = F.col("_r") + F.col("_nz_t") * zeros + (F.col("n_t") - F.col("_nz_t")) * (zeros + 1) / 2
@@ -98,21 +102,20 @@ def rank_sum(
     return stats.withColumn("p", F.when(small, p_exact).otherwise(normal))
 
 
-def kruskal(df: DataFrame, meta: DataFrame, keys: Sequence[str] = ("feature",), bound: int | None = None) -> DataFrame:
+def kruskal(df: DataFrame, meta: DataFrame, keys: Sequence[str] = ("feature",), whole: bool = True) -> DataFrame:
     """Kruskal–Wallis H with tie correction over all groups of the metadata, p from χ²."""
     keys = list(keys)
-    bound = meta.count() if bound is None else bound
     sizes = meta.groupBy("group").agg(F.count(F.lit(1)).cast("double").alias("n_g"))
     total = group_size(meta)
     n_groups = sizes.select(F.count(F.lit(1)).cast("double")).scalar()
     cells = (
-        _by_key(df.filter("value <> 0").join(meta, "sample_name"), keys, bound)
+        _by_key(df.filter("value <> 0").join(meta, "sample_name"), keys, whole)
         .groupBy(*keys, "value", "group").agg(F.count(F.lit(1)).alias("k"))
     )
     values = cells.groupBy(*keys, "value").agg(
         F.sum("k").alias("n"), F.collect_list(F.struct("group", "k")).alias("cells")
     )
-    ranked = running(values, keys, "value", sums=["n"], bound=bound)
+    ranked = running(values, keys, "value", sums=["n"], whole=whole)
     mid = (F.col("n_before") + (F.col("n") + 1) / 2).alias("mid")
     n = F.col("n").cast("double")
     tie = ranked.groupBy(*keys).agg(F.sum("n").cast("double").alias("_nz"), F.sum(n * n * n - n).alias("_ties"))
@@ -151,14 +154,12 @@ def bh(df: DataFrame, p: str = "p", by: Sequence[str] = (), out: str = "q") -> D
     """
     by = list(by)
     df = freeze(df)
-    rows = df.count()
-    bound = rows if rows <= SINGLE_TASK_ROWS else None
     counts = df.filter(F.col(p).isNotNull()).groupBy(*by, p).agg(F.count(F.lit(1)).alias("n"))
-    ranked = running(counts, by, p, sums=["n"], bound=bound)
+    ranked = running(counts, by, p, sums=["n"])
     raw = ranked.select(
         *by, p, (F.col(p) * F.col("n_total") / (F.col("n_before") + F.col("n"))).alias("_raw")
     )
-    q = running(raw, by, p, later_min=["_raw"], bound=bound)
+    q = running(raw, by, p, later_min=["_raw"])
     adjusted = q.select(*by, p, F.least(F.lit(1.0), F.col("_raw_floor")).alias(out))
     return df.join(adjusted, [*by, p], "left").select(*df.columns, out)
 
@@ -291,19 +292,19 @@ def linear_model(
 
 
 def roc(df: DataFrame, meta: DataFrame, positive: str = TREATMENT, negative: str = CONTROL,
-        bound: int | None = None) -> DataFrame:
+        whole: bool = True) -> DataFrame:
     """ROC points per feature, one per distinct value as threshold (x ≥ threshold is positive)."""
-    bound = meta.count() if bound is None else bound
     n_t, n_c = group_size(meta, positive), group_size(meta, negative)
-    cells = _value_groups(df, meta, positive, negative, ["feature"], bound)
-    up = running(cells, ["feature"], "value", sums=["n_t", "n_c"], bound=bound)
+    cells = _value_groups(df, meta, positive, negative, ["feature"], whole)
+    up = running(cells, ["feature"], "value", sums=["n_t", "n_c"], whole=whole)
     points = up.select(
         "feature",
         F.col("value").alias("threshold"),
         ((F.col("n_t_total") - F.col("n_t_before")) / n_t).alias("tpr"),
         ((F.col("n_c_total") - F.col("n_c_before")) / n_c).alias("fpr"),
     )
-    origin = df.filter("value <> 0").select("feature").distinct().select(
+    # Zero is a threshold of the features that some sample lacks.
+    origin = cells.groupBy("feature").agg(F.sum("n").alias("_nz")).filter(F.col("_nz") < n_t + n_c).select(
         "feature", F.lit(0.0).alias("threshold"), F.lit(1.0).alias("tpr"), F.lit(1.0).alias("fpr")
     )
     return points.unionByName(origin)

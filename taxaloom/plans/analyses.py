@@ -30,8 +30,8 @@ def community(
     The renormalised table of known taxa is written once; every product reads it.
     """
     table = freeze(M.relative(freeze(M.drop_unknown(M.select_rank(profiles, rank)))))
-    diversity = freeze(M.with_group(P.alpha(table, base), meta))
-    distances = freeze(P.bray_curtis(table))
+    diversity = freeze(M.with_group(P.alpha(table, base, meta), meta))
+    distances = freeze(P.bray_curtis(table, samples=meta))
     points = M.with_group(N.axes_wide(freeze(N.pcoa(distances))), meta)
     return {
         "top_by_group": C.top_n_by_group(table, meta, top_n),
@@ -39,7 +39,7 @@ def community(
         "diversity": diversity,
         "diversity_tests": P.alpha_test(table, meta, base),
         "diversity_boxes": C.box_stats(
-            M.with_group(P.alpha_long(diversity), meta), ["feature", "group"], bound=meta.count()
+            M.with_group(P.alpha_long(diversity), meta), ["feature", "group"]
         ),
         "distances": distances,
         "ordination": points,
@@ -91,7 +91,7 @@ def model_difference(
         "directions": C.direction_counts(classed),
         "classes": classed,
         "best": best,
-        "boxes": C.box_stats(M.with_group(logs, meta), ["feature", "group"], bound=meta.count()),
+        "boxes": C.box_stats(M.with_group(logs, meta), ["feature", "group"]),
         "rank_labels": X.group_labels(df.join(best.select("feature"), "feature", "left_semi"), meta),
     }
 
@@ -104,15 +104,15 @@ def biomarkers(df: DataFrame, meta: DataFrame, top_num: int = 50, kw: float = 0.
 
 def expression(
     genes: DataFrame, meta: DataFrame, feature_type: str = "gene_id", sig_type: str = "padj", sig_thresh: float = 0.05,
-    logfc_thresh: float = 1.0, variable: int = 1000,
+    logfc_thresh: float = 1.0, variable: int = 1000, size_kind: str = "ratio",
 ) -> Tables:
     """Negative-binomial differential expression with the sample-level views of the transformed counts."""
     counts = freeze(M.drop_zero_features(M.feature_key(genes, feature_type)))
     n = X.group_size(meta)
-    fitted = B.dispersions(counts, meta)
+    fitted = B.dispersions(counts, meta, factors=size_kind)
     a0, a1 = fitted[1]
     result = freeze(B.nb_glm(counts, meta, fitted=fitted))
-    factors = freeze(M.size_factors(counts, n))
+    factors = freeze(M.size_factors(counts, n, size_kind))
     transformed = freeze(M.norm_transform(counts, factors))
     # The stabilised value of a zero count is a constant; subtracting it keeps the table sparse.
     stable = M.normalised(counts, factors).withColumn(
@@ -155,20 +155,12 @@ def functional_tables(
 
 
 def contributions(
-    terms: DataFrame, meta: DataFrame, samples: DataFrame, codes: Sequence[str], scaling: str = "logstack"
+    terms: DataFrame, meta: DataFrame, samples: DataFrame, codes: Sequence[str], scaling: str = "logstack",
+    sort: Sequence[str] = ("braycurtis",),
 ) -> DataFrame:
-    """Stratified contributions of the focal features with samples in dendrogram order."""
+    """Stratified contributions of the focal features, samples in the order of the sort methods in turn."""
     rows = freeze(terms.select("sample_name", F.col("term").alias("feature"), F.col("abundance").alias("value")))
-    strata = C.as_genera(
-        M.focal_rows(rows, codes).withColumnRenamed("stratum", "feature").drop("name"), ["code"]
-    )
-    orders = None
-    for code in codes:
-        # A focal feature is one distance table of its own; the list comes from the caller.
-        shares = C.remove_zero_samples(strata.filter(F.col("code") == code).drop("code"))
-        order = N.leaf_order(P.bray_curtis(shares, weighted=False)).withColumn("code", F.lit(code))
-        orders = order if orders is None else orders.unionByName(order)
-    return K.stratified_contributions(rows, meta, samples, codes, order=orders, scaling=scaling)
+    return K.stratified_contributions(rows, meta, samples, codes, sort=sort, scaling=scaling)
 
 
 def classification(

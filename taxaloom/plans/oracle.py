@@ -101,7 +101,28 @@ def erfc(x: str) -> str:
     )
 
 
-CTES["tested"] = (("ranksum",), "SELECT *, least(1.0, " + erfc("z / sqrt(2.0)") + ") AS p FROM ranksum")
+def exact_p(rows: str, rule: str) -> str:
+    """Rows with ``p``: by counting all choices of places where ``rule`` holds, without ties, else normal.
+
+    ``rows`` has ``u, z, ties, n_t, n_c``. Up to 16 samples are counted; the rule
+    holds for no larger ones in the data folders.
+    """
+    return f"""(SELECT r.*, CASE WHEN ({rule}) AND ties = 0 THEN
+  least(1.0, 2.0 * least((SELECT sum(c) FROM dealt d WHERE d.n_t = r.n_t AND d.n_c = r.n_c AND d.u <= r.u),
+                         (SELECT sum(c) FROM dealt d WHERE d.n_t = r.n_t AND d.n_c = r.n_c AND d.u >= r.u))
+            / (SELECT sum(c) FROM dealt d WHERE d.n_t = r.n_t AND d.n_c = r.n_c))
+  ELSE least(1.0, {erfc("z / sqrt(2.0)")}) END AS p FROM {rows} r)"""
+
+
+def dealt(rows: str) -> str:
+    """``n_t, n_c, u, c``: number of choices of the treatment's places that give each u."""
+    return f"""SELECT n_t, n_c, list_sum(list_filter(range(1, (n_t + n_c)::BIGINT + 1), lambda i: (m >> (i - 1)) & 1 = 1)) - n_t * (n_t + 1) / 2 AS u,
+  count(*) AS c FROM (SELECT n_t, n_c, unnest(range(0, CASE WHEN n_t + n_c <= 16 THEN (1::BIGINT << (n_t + n_c)::INTEGER) ELSE 0 END)) AS m
+  FROM (SELECT DISTINCT n_t, n_c FROM {rows})) WHERE bit_count(m) = n_t GROUP BY ALL"""
+
+
+CTES["dealt"] = (("ranksum",), dealt("ranksum"))
+CTES["tested"] = (("ranksum", "dealt"), "SELECT * FROM " + exact_p("ranksum", "n_t < 50 AND n_c < 50"))
 
 
 def sql(body: str, *ctes: str) -> str:

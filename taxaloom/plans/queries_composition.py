@@ -153,7 +153,7 @@ def collapse_levels(spark, sf):
 def input_order(spark, sf):
     """Input position of every sample: by name."""
     names = T.metadata(spark, sf).select("sample_name")
-    return O.place(names, [], [("sample_name", False)], bound=names.count())
+    return O.place(names, [], [("sample_name", False)])
 
 
 @query(
@@ -206,7 +206,7 @@ SELECT feature, grp AS "group", count(*) AS n, round(min(x), 6) AS least, round(
 )
 def box_stats(spark, sf):
     rows = _cnt(spark, sf).withColumn("value", M.log2_pseudo("value", 1.0)).join(T.metadata(spark, sf), "sample_name")
-    out = C.box_stats(rows, ["feature", "group"], bound=T.metadata(spark, sf).count())
+    out = C.box_stats(rows, ["feature", "group"])
     cols = ["least", "most", "q1", "median", "q3", "whisker_low", "whisker_high"]
     return out.select("feature", "group", "n", *[r6(c, c) for c in cols])
 
@@ -352,11 +352,18 @@ def level_separators(spark, sf):
 @query(
     "w06_stack_bases",
     sql(
-        f""", {_TOP_ALL} SELECT sample_name, feature, round(coalesce(sum(value) OVER
-  (PARTITION BY sample_name ORDER BY feature ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0), 8) AS base FROM topped""",
+        """, best AS (SELECT feature FROM species GROUP BY 1 ORDER BY sum(cnt) DESC, feature LIMIT 10),
+topped AS (SELECT sample_name, coalesce(best.feature, 'Other') AS feature, sum(cnt) AS value
+  FROM species LEFT JOIN best USING (feature) GROUP BY ALL),
+sums AS (SELECT sample_name, sum(value) AS s FROM topped GROUP BY 1),
+bars AS (SELECT *, value / s * (greatest(log10(s), fl) - fl) AS height FROM topped JOIN sums USING (sample_name),
+  (SELECT floor(log10(min(s))) AS fl FROM sums))
+SELECT sample_name, feature, round(height, 8) AS height, round(fl + coalesce(sum(height) OVER
+  (PARTITION BY sample_name ORDER BY feature ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0), 8) AS base FROM bars""",
         "species",
     ),
 )
 def stack_bases(spark, sf):
-    bars = C.top_n(percent_species(spark, sf), 10).withColumnRenamed("value", "height")
-    return M.stack_bases(bars, "feature").select("sample_name", "feature", r6("base", "base", 8))
+    bars = M.stack_scale(C.top_n(T.species(spark, sf, "cnt"), 10), "logstack", floor_column="floor")
+    based = M.stack_bases(bars, "feature", floor_column="floor")
+    return based.select("sample_name", "feature", r6("height", "height", 8), r6("base", "base", 8))

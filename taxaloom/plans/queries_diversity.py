@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from taxaloom.operators import composition as C, matrix as M, ordination as N, pairs as P, testing as X
-from taxaloom.plans.oracle import erfc, sql
+from taxaloom.plans.oracle import dealt, exact_p, sql
 from taxaloom.plans.queries_io import _ALPHA
-from taxaloom.plans.queries_tables import _SF, _clade_counts
+from taxaloom.plans.queries_tables import _SF, _factors, gene_counts
 from taxaloom.plans.register import query, r6
 from taxaloom.sources import tables as T
 
@@ -55,12 +55,13 @@ def alpha_table(spark, sf):
     sql(
         f""", {_ALPHA}, lg AS (SELECT grp, unnest(['shannon', 'simpson', 'chao1', 'species_richness', 'pielou_e']) AS feature,
   round(unnest([shannon, simpson, chao1, species_richness, pielou_e]), 9) AS value FROM alpha JOIN meta USING (sample_name)),
+lgn AS (SELECT * FROM lg WHERE value IS NOT NULL),
 rk AS (SELECT *, rank() OVER w + (count(*) OVER (PARTITION BY feature, value) - 1) / 2.0 AS rk,
-  count(*) OVER (PARTITION BY feature, value) AS t FROM lg WINDOW w AS (PARTITION BY feature ORDER BY value)),
+  count(*) OVER (PARTITION BY feature, value) AS t FROM lgn WINDOW w AS (PARTITION BY feature ORDER BY value)),
 us AS (SELECT feature, count(*) FILTER (grp = 'treatment')::DOUBLE AS n_t, count(*) FILTER (grp = 'control')::DOUBLE AS n_c,
   sum(rk) FILTER (grp = 'treatment') - n_t * (n_t + 1) / 2 AS u, sum(t * t - 1.0) AS ties FROM rk GROUP BY 1),
 zs AS (SELECT *, greatest((abs(u - n_t * n_c / 2) - 0.5) / sqrt(n_t * n_c / 12 * ((n_t + n_c + 1) - ties / ((n_t + n_c) * (n_t + n_c - 1)))), 0) AS z FROM us)
-SELECT feature AS metric, u, round(least(1.0, {erfc('z / sqrt(2.0)')}), 6) AS p FROM zs""",
+, dealt AS ({dealt("zs")}) SELECT feature AS metric, u, round(p, 6) AS p FROM {exact_p("zs", "least(n_t, n_c) <= 8")}""",
         "species", "meta",
     ),
 )
@@ -94,6 +95,22 @@ def bray_curtis_shares(spark, sf):
     return P.bray_curtis(_cnt(spark, sf), weighted=False).select("s1", "s2", r6("d", "d"))
 
 
+_EMPTY = """, m2 AS (SELECT sample_name FROM meta UNION ALL SELECT unnest(['Empty1', 'Empty2'])),
+tt AS (SELECT m2.sample_name, coalesce(sum(cnt), 0) AS t FROM m2 LEFT JOIN species USING (sample_name) GROUP BY 1)
+SELECT a.sample_name AS s1, b.sample_name AS s2, round(CASE WHEN a.t + b.t = 0 THEN 0 ELSE 1 - 2 * coalesce(acc, 0) / (a.t + b.t) END, 6) AS d
+  FROM tt a JOIN tt b ON a.sample_name < b.sample_name LEFT JOIN
+  (SELECT x.sample_name AS s1, y.sample_name AS s2, sum(least(x.cnt, y.cnt)) AS acc FROM species x JOIN species y
+   ON x.feature = y.feature AND x.sample_name < y.sample_name GROUP BY ALL) m ON m.s1 = a.sample_name AND m.s2 = b.sample_name"""
+
+
+@query("h08c_empty_sample", sql(_EMPTY, "species", "meta"))
+def empty_sample(spark, sf):
+    """Two samples of the metadata have no rows."""
+    names = T.metadata(spark, sf).select("sample_name")
+    names = names.unionByName(spark.range(1, 3).select(F.concat(F.lit("Empty"), "id").alias("sample_name")))
+    return P.bray_curtis(_cnt(spark, sf), samples=names).select("s1", "s2", r6("d", "d"))
+
+
 @query("h09_pcoa")
 def pcoa(spark, sf):
     return N.pcoa(P.bray_curtis(_cnt(spark, sf)), 2)
@@ -123,6 +140,29 @@ def permanova(spark, sf):
     return out.select(*[r6(c, c) for c in ("sst", "ssw", "f", "p")])
 
 
+_SOME = "(SELECT meta.* FROM meta JOIN supplier ON sample_name = 'S' || s_suppkey WHERE s_acctbal >= 0)"
+
+
+@query(
+    "h10b_unmatched_sample",
+    sql(
+        f""", {_BC.replace("FROM species GROUP", "FROM species WHERE sample_name IN (SELECT sample_name FROM meta5) GROUP")},
+{_LABELS.replace("FROM meta", "FROM meta5")} SELECT round(a.sst, 6) AS sst, round(a.ssw, 6) AS ssw, round(a.f, 6) AS f,
+  round((1 + (SELECT count(*) FROM fs WHERE perm > 0 AND fs.f >= a.f * (1 - 1e-9))) / 501.0, 6) AS p FROM fs a WHERE perm = 0""".replace(
+            ", tt AS", f", meta5 AS {_SOME}, tt AS"
+        ),
+        "species", "meta",
+    ),
+)
+def unmatched_sample(spark, sf):
+    """Suppliers in debt have no metadata here; their distances are left out."""
+    name = F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("sample_name")
+    solvent = T.table(spark, sf, "supplier").filter("s_acctbal >= 0").select(name)
+    meta = T.metadata(spark, sf).join(solvent, "sample_name", "left_semi")
+    out = P.permanova(P.bray_curtis(_cnt(spark, sf)), meta, 500, 42, unmatched="drop")
+    return out.select(*[r6(c, c) for c in ("sst", "ssw", "f", "p")])
+
+
 _POINTS = """pts AS (SELECT grp, sum(CASE WHEN contains(feature, 'p__ECONOMY') THEN value ELSE 0 END) AS x,
   sum(CASE WHEN contains(feature, 'p__PROMO') THEN value ELSE 0 END) AS y FROM species JOIN meta USING (sample_name) GROUP BY sample_name, grp),
 mo AS (SELECT grp, count(*) AS n, avg(x) AS cx, avg(y) AS cy, var_samp(x) AS a, var_samp(y) AS b, covar_samp(x, y) AS c FROM pts GROUP BY 1),
@@ -164,8 +204,8 @@ def level_ellipse(spark, sf):
 
 
 def _transformed(spark, sf):
-    counts = _clade_counts(spark, sf)
-    return M.norm_transform(counts, M.size_factors(counts, X.group_size(T.metadata(spark, sf))))
+    counts = gene_counts(spark, sf)
+    return M.norm_transform(counts, _factors(spark, sf, counts))
 
 
 @query("h13_pca")
@@ -173,6 +213,12 @@ def pca(spark, sf):
     return N.pca(_transformed(spark, sf), 2)
 
 
+def _rebuilt(spark, sf, scores):
+    """Distances of the samples in the space of all axes."""
+    points = scores.select("sample_name", F.col("axis").cast("string").alias("feature"), F.col("score").alias("value"))
+    return P.euclidean(points, samples=T.metadata(spark, sf)).select("s1", "s2", r6("d", "d", 4))
+
+
 _NTD = f"{_SF}, ntd AS (SELECT sample_name, feature, log2(value / size_factor + 1) AS v FROM cc JOIN sizef USING (sample_name))"
 _DENSE_NTD = """full_ntd AS (SELECT m.sample_name, f.feature, coalesce(n.v, 0) AS v FROM meta m
   CROSS JOIN (SELECT DISTINCT feature FROM ntd) f LEFT JOIN ntd n USING (sample_name, feature))"""
@@ -181,15 +227,15 @@ _DENSE_NTD = """full_ntd AS (SELECT m.sample_name, f.feature, coalesce(n.v, 0) A
 @query(
     "h14_euclidean",
     sql(
-        f""", {_NTD}, {_DENSE_NTD}, keep AS (SELECT feature FROM full_ntd GROUP BY 1 ORDER BY round(var_samp(v), 9) DESC, feature LIMIT 500)
+        f""", {_NTD}, {_DENSE_NTD}, keep AS (SELECT feature FROM full_ntd GROUP BY 1 ORDER BY round(var_samp(v), 9) DESC, feature LIMIT 1000)
 SELECT x.sample_name AS s1, y.sample_name AS s2, round(sqrt(sum((x.v - y.v) ^ 2)), 6) AS d
 FROM full_ntd x JOIN full_ntd y ON x.feature = y.feature AND x.sample_name < y.sample_name
 WHERE x.feature IN (SELECT feature FROM keep) GROUP BY ALL""",
-        "prof", "meta",
+        "genes", "meta",
     ),
 )
 def euclidean(spark, sf):
-    top = C.top_variable(_transformed(spark, sf), X.group_size(T.metadata(spark, sf)), 500)
+    top = C.top_variable(_transformed(spark, sf), X.group_size(T.metadata(spark, sf)), 1000)
     return P.euclidean(top).select("s1", "s2", r6("d", "d"))
 
 
@@ -200,7 +246,7 @@ def euclidean(spark, sf):
   (count(*) OVER (PARTITION BY sample_name, round(v, 9)) - 1) / 2.0 AS r FROM full_ntd)
 SELECT x.sample_name AS s1, y.sample_name AS s2, round(corr(x.r, y.r), 6) AS r
 FROM rk x JOIN rk y ON x.feature = y.feature AND x.sample_name < y.sample_name GROUP BY ALL""",
-        "prof", "meta",
+        "genes", "meta",
     ),
 )
 def spearman(spark, sf):
@@ -208,6 +254,26 @@ def spearman(spark, sf):
     return P.spearman(ntd).select("s1", "s2", r6("r", "r"))
 
 
+_ALL_AXES = sql(
+    f""", {_NTD}, {_DENSE_NTD} SELECT x.sample_name AS s1, y.sample_name AS s2, round(sqrt(sum((x.v - y.v) ^ 2)), 4) AS d
+FROM full_ntd x JOIN full_ntd y ON x.feature = y.feature AND x.sample_name < y.sample_name GROUP BY ALL""",
+    "genes", "meta",
+)
+
+
+@query("h13b_pca_all_axes", _ALL_AXES)
+def pca_all_axes(spark, sf):
+    """All components together keep the distances of the table."""
+    return _rebuilt(spark, sf, N.pca(_transformed(spark, sf), T.metadata(spark, sf).count()))
+
+
+@query("h09b_pcoa_all_axes", _ALL_AXES)
+def pcoa_all_axes(spark, sf):
+    """All coordinates of Euclidean distances together keep them."""
+    distances = P.euclidean(_transformed(spark, sf), samples=T.metadata(spark, sf))
+    return _rebuilt(spark, sf, N.pcoa(distances, T.metadata(spark, sf).count()))
+
+
 @query("h16_leaf_order")
 def leaf_order(spark, sf):
     return N.leaf_order(P.bray_curtis(_cnt(spark, sf), weighted=False), "average")

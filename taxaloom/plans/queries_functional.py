@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F, types as Y
 
-from taxaloom.operators import functional as K, matrix as M, ordination as N, pairs as P, reads as R
+from taxaloom.operators import functional as K, matrix as M, ordered as O, reads as R
 from taxaloom.plans.oracle import sql
-from taxaloom.plans.queries_composition import input_order, strata
+from taxaloom.plans.queries_composition import input_order
 from taxaloom.plans.queries_io import _ASSIGNMENTS, _READS, REPORT_CTES
 from taxaloom.plans.register import query, r6
-from taxaloom.session import staging_path
+from taxaloom.session import freeze, staging_path
 from taxaloom.sources import sinks, tables as T
 from taxaloom.streaming import ingest as S
 
@@ -99,7 +99,9 @@ bars AS (SELECT code, sample_name, CASE WHEN rn IS NOT NULL OR st.feature = 'unc
   coalesce(rn, CASE WHEN st.feature = 'unclassified' THEN 17 ELSE 16 END)::INTEGER AS place, sum(value) AS value
   FROM st LEFT JOIN best USING (code, feature) GROUP BY ALL)
 SELECT code, code || ' function' AS name, sample_name, position, grp AS "group", feature, place, value,
-  round(value / s * (greatest(log10(s), fl) - fl), 6) AS height
+  round(value / s * (greatest(log10(s), fl) - fl), 6) AS height,
+  round(fl + coalesce(sum(value / s * (greatest(log10(s), fl) - fl)) OVER (PARTITION BY code, sample_name ORDER BY place
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0), 6) AS base
 FROM bars JOIN tops USING (code, sample_name) JOIN fl USING (code) JOIN ord USING (code, sample_name) JOIN meta USING (sample_name)""",
         "func", "meta",
     ),
@@ -109,19 +111,17 @@ def stratified_contributions(spark, sf):
         "sample_name", F.col("term").alias("feature"), F.col("abundance").alias("value")
     )
     out = K.stratified_contributions(rows, T.metadata(spark, sf), input_order(spark, sf), None)
-    return out.withColumn("height", r6("height", "height"))
+    return out.withColumn("height", r6("height", "height")).withColumn("base", r6("base", "base"))
 
 
 @query("k05b_contributions_by_dendrogram")
 def contributions_by_dendrogram(spark, sf):
-    """Samples in the Bray–Curtis dendrogram order of one focal feature."""
+    """Samples of every focal feature in the order of its Bray–Curtis dendrogram, within the metadata's groups."""
     rows = T.functional(spark, sf).select(
         "sample_name", F.col("term").alias("feature"), F.col("abundance").alias("value")
     )
-    focal = strata(spark, sf).filter(F.col("code") == "ECONOMY").drop("code")
-    order = N.leaf_order(P.bray_curtis(focal, weighted=False)).withColumn("code", F.lit("ECONOMY"))
     return K.stratified_contributions(
-        rows, T.metadata(spark, sf), input_order(spark, sf), ["ECONOMY"], order=order, scaling="totalsum"
+        rows, T.metadata(spark, sf), input_order(spark, sf), None, sort=("braycurtis", "metadata"), scaling="totalsum"
     )
 
 
@@ -203,6 +203,27 @@ def clade_report(spark, sf):
     return out.withColumn("pct", r6("pct", "pct"))
 
 
+_CHAIN = """WITH chain AS (SELECT c_custkey AS taxid, n_regionkey, row_number() OVER (PARTITION BY n_regionkey ORDER BY c_custkey) AS depth
+  FROM customer JOIN nation ON c_nationkey = n_nationkey)
+SELECT taxid, depth AS n_ancestors, (depth * (depth + 1) / 2)::BIGINT AS depth_sum FROM chain"""
+
+
+@query("l04c_deep_tree", _CHAIN)
+def deep_tree(spark, sf):
+    """One long path per region, every customer below the one before: each node's ancestors and their depths."""
+    nation = T.table(spark, sf, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_regionkey")
+    nodes = T.table(spark, sf, "customer").join(nation, "c_nationkey").select(
+        F.col("c_custkey").cast("bigint").alias("taxid"), "n_regionkey"
+    )
+    placed = freeze(O.place(nodes, ["n_regionkey"], [("taxid", False)]))
+    above = placed.select(F.col("taxid").alias("parent"), "n_regionkey", (F.col("position") + 1).alias("position"))
+    pairs = R.ancestor_pairs(placed.join(above, ["n_regionkey", "position"], "left").select("taxid", "parent"))
+    depth = placed.select(F.col("taxid").alias("ancestor"), (F.col("position") + 1).alias("depth"))
+    return pairs.join(depth, "ancestor").groupBy("taxid").agg(
+        F.count(F.lit(1)).alias("n_ancestors"), F.sum("depth").alias("depth_sum")
+    )
+
+
 def _shares(ancestors):
     """Expected share of a taxon's reads resolved only to an ancestor: fixed by the two ids."""
     share = (1 + (F.col("taxid") * 7 + F.col("ancestor") * 3) % 10) / 10.0
@@ -246,6 +267,19 @@ def incremental_ingest(spark, sf):
     return out.select("sample_name", "clade_name", r6("relative_abundance", "relative_abundance"))
 
 
+@query("n01b_two_calls", sql("SELECT sample_name, clade_name, round(ra, 6) AS relative_abundance FROM prof", "prof"))
+def two_calls(spark, sf):
+    """The same with the default note of what was taken in, which the second call finds again."""
+    prof = T.profile(spark, sf).drop("cnt")
+    landing, target = staging_path(spark, "landing"), staging_path(spark, "ingested")
+    first = F.pmod(F.xxhash64("sample_name"), F.lit(2)) == 0
+    for part in (first, ~first):
+        prof.filter(part).write.mode("append").parquet(landing)
+        S.ingest(S.stream_profiles(spark, landing, prof.schema), target)
+    out = spark.read.schema(prof.schema).parquet(target)
+    return out.select("sample_name", "clade_name", r6("relative_abundance", "relative_abundance"))
+
+
 @query(
     "n02_stream_pair",
     sql("SELECT sample_name, '/data/' || sample_name || '_R1.fq' AS reads, total FROM meta JOIN "

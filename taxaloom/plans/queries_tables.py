@@ -549,33 +549,48 @@ def row_zscore(spark, sf):
     return scored.select("sample_name", "feature", r6("value", "value"))
 
 
-def _clade_counts(spark, sf):
-    return T.profile(spark, sf, depths=[1, 2, 3, 4, 5, 6]).select(
-        "sample_name", F.col("clade_name").alias("feature"), F.col("cnt").alias("value")
-    )
+def gene_counts(spark, sf):
+    return T.gene_counts(spark, sf).groupBy("sample_name", F.col("gene_id").alias("feature")).agg(F.sum("count").alias("value"))
+
+
+def _factors(spark, sf, counts):
+    """No gene is counted in every sample here, so positive counts are used."""
+    return M.size_factors(counts, X.group_size(T.metadata(spark, sf)), "poscounts")
+
+
+_SF = """cc AS (SELECT sample_name, gene_id AS feature, sum(count)::DOUBLE AS value FROM genes GROUP BY ALL),
+lgm AS (SELECT feature, sum(ln(value)) / (SELECT count(*) FROM meta) AS lgm FROM cc WHERE value > 0 GROUP BY 1),
+meds AS (SELECT sample_name, median(ln(value) - lgm) AS m FROM cc JOIN lgm USING (feature) WHERE value > 0 GROUP BY 1),
+sizef AS (SELECT sample_name, exp(m - (SELECT avg(m) FROM meds)) AS size_factor FROM meds)"""
 
 
-_SF = """cc AS (SELECT sample_name, clade_name AS feature, cnt AS value FROM prof
-  WHERE len(string_split(clade_name, '|')) <= 6),
+@query("f08_size_factors", sql(f", {_SF} SELECT sample_name, round(size_factor, 6) AS size_factor FROM sizef", "genes", "meta"))
+def size_factors(spark, sf):
+    return _factors(spark, sf, gene_counts(spark, sf)).select("sample_name", r6("size_factor", "size_factor"))
+
+
+_RATIO = """cc AS (SELECT sample_name, clade_name AS feature, cnt AS value FROM prof),
 sizef AS (SELECT sample_name, exp(median(ln(value) - lgm)) AS size_factor FROM cc JOIN
   (SELECT feature, avg(ln(value)) AS lgm FROM cc GROUP BY 1 HAVING count(*) = (SELECT count(*) FROM meta)) USING (feature)
   GROUP BY 1)"""
 
 
-@query("f08_size_factors", sql(f", {_SF} SELECT sample_name, round(size_factor, 6) AS size_factor FROM sizef", "prof", "meta"))
-def size_factors(spark, sf):
-    out = M.size_factors(_clade_counts(spark, sf), X.group_size(T.metadata(spark, sf)))
+@query("f08b_median_of_ratios", sql(f", {_RATIO} SELECT sample_name, round(size_factor, 6) AS size_factor FROM sizef", "prof", "meta"))
+def median_of_ratios(spark, sf):
+    """By the clades that every sample has."""
+    counts = T.profile(spark, sf).select("sample_name", F.col("clade_name").alias("feature"), F.col("cnt").alias("value"))
+    out = M.size_factors(counts, X.group_size(T.metadata(spark, sf)))
     return out.select("sample_name", r6("size_factor", "size_factor"))
 
 
 @query(
     "f09_norm_transform",
     sql(f", {_SF} SELECT sample_name, feature, round(log2(value / size_factor + 1), 6) AS value FROM cc JOIN sizef USING (sample_name)",
-        "prof", "meta"),
+        "genes", "meta"),
 )
 def norm_transform(spark, sf):
-    counts = _clade_counts(spark, sf)
-    out = M.norm_transform(counts, M.size_factors(counts, X.group_size(T.metadata(spark, sf))))
+    counts = gene_counts(spark, sf)
+    out = M.norm_transform(counts, _factors(spark, sf, counts))
     return out.select("sample_name", "feature", r6("value", "value"))
 
 
@@ -585,12 +600,13 @@ def norm_transform(spark, sf):
         f""", {_SF} SELECT sample_name, feature, round(log2((1 + 2.5 + 2 * 0.05 * x
   + 2 * sqrt(0.05 * x * (1 + 2.5 + 0.05 * x))) / (4 * 0.05)), 6) AS value
 FROM (SELECT sample_name, feature, value / size_factor AS x FROM cc JOIN sizef USING (sample_name))""",
-        "prof", "meta",
+        "genes", "meta",
     ),
 )
 def vst(spark, sf):
-    counts = _clade_counts(spark, sf)
-    level = M.normalised(counts, M.size_factors(counts, X.group_size(T.metadata(spark, sf))))
+    """For a given trend; the fitted one is used where the expression analysis transforms counts."""
+    counts = gene_counts(spark, sf)
+    level = M.normalised(counts, _factors(spark, sf, counts))
     return level.select("sample_name", "feature", r6(M.vst("value", 0.05, 2.5), "value"))
 
 

@@ -189,26 +189,24 @@ def merge_results(spark, sf):
 
 
 def _counts(spark, sf):
-    return T.profile(spark, sf, depths=[1, 2, 3, 4, 5, 6]).select(
-        "sample_name", F.col("clade_name").alias("feature"), F.col("cnt").alias("value")
-    )
+    return T.gene_counts(spark, sf).groupBy("sample_name", F.col("gene_id").alias("feature")).agg(F.sum("count").alias("value"))
 
 
 @query("j07_nb_dispersion")
 def nb_dispersion(spark, sf):
-    fitted, _, _ = B.dispersions(_counts(spark, sf), T.metadata(spark, sf))
+    fitted, _, _ = B.dispersions(_counts(spark, sf), T.metadata(spark, sf), factors="poscounts")
     return fitted.select("feature", "base_mean", "disp_gene")
 
 
 @query("j08_dispersion_trend")
 def dispersion_trend(spark, sf):
-    fitted, (a0, a1), _ = B.dispersions(_counts(spark, sf), T.metadata(spark, sf))
+    fitted, (a0, a1), _ = B.dispersions(_counts(spark, sf), T.metadata(spark, sf), factors="poscounts")
     return fitted.select("feature", "disp_fit", "dispersion", F.lit(a0).alias("a0"), F.lit(a1).alias("a1"))
 
 
 @query("j09_nb_glm")
 def nb_glm(spark, sf):
-    return B.nb_glm(_counts(spark, sf), T.metadata(spark, sf))
+    return B.nb_glm(_counts(spark, sf), T.metadata(spark, sf), factors="poscounts")
 
 
 _IF = """base AS (SELECT feature, avg(cnt) AS m FROM dense GROUP BY 1),
@@ -241,7 +239,7 @@ def independent_filter(spark, sf):
 
 @query("j11_ma_table")
 def ma_table(spark, sf):
-    return B.nb_glm(_counts(spark, sf), T.metadata(spark, sf)).select("base_mean", "log2_fold_change", "padj")
+    return B.nb_glm(_counts(spark, sf), T.metadata(spark, sf), factors="poscounts").select("base_mean", "log2_fold_change", "padj")
 
 
 @query(

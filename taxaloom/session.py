@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+#: Where a single machine keeps written tables; a cluster names a shared folder of its own.
+LOCAL_CHECKPOINTS = "file:///tmp/checkpoints/taxaloom"
+
 
 def local_session(cores: str = "8", shuffle_partitions: int = 8, app: str = "taxaloom") -> SparkSession:
     """A single-machine session for tests and the bench; clusters bring their own."""
@@ -18,6 +20,7 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8, app: str = "tax
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
+        .config("spark.checkpoint.dir", LOCAL_CHECKPOINTS)
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
@@ -26,7 +29,7 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8, app: str = "tax
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: the session's ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a temporary folder of its own.
+    Only a local master may go without one.
     """
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
@@ -37,7 +40,7 @@ def shared_dir(spark: SparkSession) -> str:
     if sc.getCheckpointDir() is None:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="taxaloom-"))
+        sc.setCheckpointDir(LOCAL_CHECKPOINTS)
     return sc.getCheckpointDir()
 
 

@@ -4,30 +4,33 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from taxaloom.session import staging_path
-
-
 def stream_profiles(spark: SparkSession, folder: str, schema: T.StructType, files_per_trigger: int = 1000) -> DataFrame:
     """Streaming scan of a folder in which one profile file (Parquet) per sample appears."""
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(folder)
 
 
 def ingest(stream: DataFrame, target: str, checkpoint: str | None = None, partition: str | None = None) -> None:
-    """Append all files present now to ``target`` and stop; a later call takes only new files."""
-    spark = stream.sparkSession
+    """Append all files present now to ``target`` and stop; a later call takes only new files.
+
+    What has been taken in is noted in ``checkpoint``, by default a folder beside the target.
+    """
     writer = stream.writeStream.format("parquet").outputMode("append").option("path", target)
-    writer = writer.option("checkpointLocation", checkpoint or staging_path(spark, "ingest"))
+    writer = writer.option("checkpointLocation", checkpoint or f"{target.rstrip('/')}.checkpoint")
     if partition:
         writer = writer.partitionBy(partition)
     query = writer.trigger(availableNow=True).start()
     query.awaitTermination()
 
 
-def stream_pair(left: DataFrame, right: DataFrame, key: str, arrival: str, delay: str = "1 day") -> DataFrame:
-    """Inner join of two streams by sample; the watermark on arrival bounds the state.
+def stream_pair(
+    left: DataFrame, right: DataFrame, key: str, arrival: str, delay: str = "1 day", keep_unpaired: bool = False
+) -> DataFrame:
+    """Join of two streams by sample; the watermark on arrival bounds the state.
 
-    Each side carries ``arrival``; a partner that comes later than ``delay`` is
-    given up, which keeps the state to one window of samples.
+    Each side carries ``arrival``. A partner that comes later than ``delay`` isn't
+    waited for, which keeps the state to one window of samples; with
+    ``keep_unpaired`` a left row without a partner comes out with nulls once the
+    watermark has passed, so nothing goes unnoticed.
     """
     a = left.withWatermark(arrival, delay).withColumnRenamed(arrival, "_left_at").alias("a")
     b = right.withWatermark(arrival, delay).withColumnRenamed(arrival, "_right_at").alias("b")
@@ -35,7 +38,7 @@ def stream_pair(left: DataFrame, right: DataFrame, key: str, arrival: str, delay
     near = F.col("_right_at").between(
         F.col("_left_at") - F.expr(f"INTERVAL {delay}"), F.col("_left_at") + F.expr(f"INTERVAL {delay}")
     )
-    joined = a.join(b, same & near)
+    joined = a.join(b, same & near, "left_outer" if keep_unpaired else "inner")
     keep = [F.col(f"a.{c}") for c in left.columns if c != arrival]
     keep += [F.col(f"b.{c}") for c in right.columns if c not in (arrival, key)]
     return joined.select(*keep)

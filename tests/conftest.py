@@ -5,7 +5,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from taxaloom.session import local_session  # noqa: E402
+from taxaloom.session import clear_staging, local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -13,37 +13,25 @@ def spark():
     session = local_session("8", 4, "tests")
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    clear_staging(session)
 
 
-# Toy cohort: four species, two case samples and two control samples.
+# Toy cohort: four made-up species, three samples per group; T6 is empty and Reed and Tansy have ties.
 TOY = {
-    "Species_A": [10, 12, 100, 110],
-    "Species_B": [50, 55, 200, 190],
-    "Species_C": [0, 1, 50, 60],
-    "Species_D": [20, 25, 20, 30],
+    "Quill": [4, 9, 30, 2, 1, 0],
+    "Marl": [16, 7, 8, 25, 1, 0],
+    "Tansy": [5, 5, 0, 12, 40, 0],
+    "Reed": [1, 0, 2, 2, 6, 0],
 }
 
 
 @pytest.fixture(scope="session")
 def toy(spark):
-    rows = [
-        (f"S{i + 1}", f, float(v)) for f, values in TOY.items() for i, v in enumerate(values) if v
-    ]
+    rows = [(f"T{i + 1}", f, float(v)) for f, values in TOY.items() for i, v in enumerate(values) if v]
     return spark.createDataFrame(rows, "sample_name string, feature string, value double")
 
 
 @pytest.fixture(scope="session")
 def toy_meta(spark):
-    groups = ["Case", "Case", "Control", "Control"]
-    return spark.createDataFrame(
-        [(f"S{i + 1}", g) for i, g in enumerate(groups)], "sample_name string, group string"
-    )
-
-
-@pytest.fixture()
-def distributed(monkeypatch):
-    """Every ordering takes the path for data too large for one task."""
-    from taxaloom.operators import ordered, testing
-
-    monkeypatch.setattr(ordered, "SINGLE_TASK_ROWS", 0)
-    monkeypatch.setattr(testing, "SINGLE_TASK_ROWS", 0)
+    rows = [(f"T{i + 1}", "North" if i < 3 else "South") for i in range(6)]
+    return spark.createDataFrame(rows, "sample_name string, group string")

@@ -3,9 +3,9 @@
 import pytest
 from pyspark.sql import functions as F
 
-from taxaloom.operators import composition as C, pairs as P, testing as X
+from taxaloom.operators import composition as C, matrix as M, pairs as P, reads as R, testing as X
 
-GROUPS = dict(treatment="Case", control="Control")
+GROUPS = dict(treatment="North", control="South")
 
 
 def by(df, key, value):
@@ -16,55 +16,113 @@ def test_rank_sum(toy, toy_meta):
     out = X.bh(X.rank_sum(toy, toy_meta, **GROUPS)).collect()
     got = {r["feature"]: (r["u"], r["ties"], round(r["p"], 6), round(r["q"], 6)) for r in out}
     assert got == {
-        "Species_A": (0.0, 0.0, 0.333333, 0.444444),
-        "Species_B": (0.0, 0.0, 0.333333, 0.444444),
-        "Species_C": (0.0, 0.0, 0.333333, 0.444444),
-        "Species_D": (1.5, 6.0, 1.0, 1.0),
+        "Quill": (9.0, 0.0, 0.1, 0.4),
+        "Marl": (6.0, 0.0, 0.7, 0.7),
+        "Tansy": (2.5, 12.0, 0.500184, 0.7),
+        "Reed": (3.0, 12.0, 0.653095, 0.7),
     }
     normal = by(X.rank_sum(toy, toy_meta, exact="never", **GROUPS), "feature", "p")
-    assert normal["Species_A"] == pytest.approx(0.245278, abs=1e-6)
+    assert normal["Quill"] == pytest.approx(0.080856, abs=1e-6)
 
 
-def test_rank_sum_distributed(toy, toy_meta, distributed):
-    got = by(X.bh(X.rank_sum(toy, toy_meta, **GROUPS)), "feature", "q")
-    assert {k: round(v, 6) for k, v in got.items()} == {
-        "Species_A": 0.444444, "Species_B": 0.444444, "Species_C": 0.444444, "Species_D": 1.0
-    }
+def test_rank_sum_in_buckets(toy, toy_meta):
+    got = by(X.bh(X.rank_sum(toy, toy_meta, whole=False, **GROUPS)), "feature", "q")
+    assert {k: round(v, 6) for k, v in got.items()} == {"Quill": 0.4, "Marl": 0.7, "Tansy": 0.7, "Reed": 0.7}
 
 
 def test_kruskal(toy, toy_meta):
     h = by(X.kruskal(toy, toy_meta), "feature", "h")
     assert {k: round(v, 6) for k, v in h.items()} == {
-        "Species_A": 2.4, "Species_B": 2.4, "Species_C": 2.4, "Species_D": 0.166667
+        "Quill": 3.857143, "Marl": 0.428571, "Tansy": 0.808081, "Reed": 0.454545
     }
 
 
 def test_fold_changes(toy, toy_meta):
     means = by(X.log2fc(toy, toy_meta, "means", **GROUPS), "feature", "log2fc")
     logs = by(X.log2fc(toy, toy_meta, "logs", **GROUPS), "feature", "log2fc")
-    assert [round(means[f"Species_{c}"], 6) for c in "ABCD"] == [-3.142958, -1.873243, -5.222392, -0.145851]
-    assert [round(logs[f"Species_{c}"], 6) for c in "ABCD"] == [-3.259163, -1.894248, -20.72405, -0.131517]
+    names = ["Quill", "Marl", "Tansy", "Reed"]
+    assert [round(means[c], 6) for c in names] == [2.938599, 0.229482, -2.08092, -0.874469]
+    assert [round(logs[c], 6) for c in names] == [12.991389, 11.686951, -1.421011, -0.861654]
+
+
+def test_alpha(toy, toy_meta):
+    rows = {r["sample_name"]: r for r in P.alpha(toy, samples=toy_meta).collect()}
+    full = ("T1", "T2", "T3", "T4", "T5")
+    assert [round(rows[s]["shannon"], 6) for s in full] == [1.484684, 1.545153, 0.99176, 1.379114, 0.826902]
+    assert [round(rows[s]["simpson"], 6) for s in full] == [0.559172, 0.648526, 0.395, 0.537775, 0.289062]
+    assert [round(rows[s]["pielou_e"], 6) for s in full] == [0.742342, 0.974883, 0.625731, 0.689557, 0.413451]
+    assert [rows[s]["species_richness"] for s in (*full, "T6")] == [4, 3, 3, 4, 4, 0]
+    assert [rows[s]["chao1"] for s in (*full, "T6")] == [4, 3, 3, 4, 5, 0]
+    assert rows["T6"]["shannon"] is rows["T6"]["pielou_e"] is None
+
 
+def test_alpha_test_leaves_missing_metrics_out(toy, toy_meta):
+    got = {r["feature"]: (r["n_t"], r["n_c"], r["u"], round(r["p"], 6)) for r in P.alpha_test(toy, toy_meta, **GROUPS).collect()}
+    assert got["pielou_e"] == (3, 2, 5.0, 0.4)
+    assert got["species_richness"][:2] == (3, 3)
 
-def test_alpha(toy):
-    rows = {r["sample_name"]: r for r in P.alpha(toy).collect()}
-    assert [round(rows[s]["shannon"], 6) for s in ("S1", "S2", "S3", "S4")] == [1.298795, 1.409151, 1.607629, 1.720555]
-    assert [round(rows[s]["simpson"], 6) for s in ("S1", "S2", "S3", "S4")] == [0.53125, 0.561221, 0.613587, 0.653517]
-    assert [round(rows[s]["pielou_e"], 6) for s in ("S1", "S2", "S3", "S4")] == [0.819448, 0.704575, 0.803815, 0.860278]
-    assert [rows[s]["species_richness"] for s in ("S1", "S2", "S3", "S4")] == [3, 4, 4, 4]
-    assert [rows[s]["chao1"] for s in ("S1", "S2", "S3", "S4")] == [3, 4, 4, 4]
+
+DISTANCES = {
+    "T1T2": 0.319149, "T1T3": 0.606061, "T1T4": 0.283582, "T1T5": 0.783784, "T2T3": 0.47541, "T2T4": 0.548387,
+    "T2T5": 0.797101, "T3T4": 0.703704, "T3T5": 0.909091, "T4T5": 0.640449,
+}
 
 
 @pytest.mark.parametrize("blocks", [{}, {"sample_block": 1, "feature_chunk": 1}])
-def test_bray_curtis_and_permanova(toy, toy_meta, blocks):
-    d = P.bray_curtis(toy, **blocks)
+def test_bray_curtis_and_permanova(spark, toy, toy_meta, blocks):
+    d = P.bray_curtis(toy, samples=toy_meta, **blocks)
     got = {r["s1"] + r["s2"]: round(r["d"], 6) for r in d.collect()}
-    assert got == {
-        "S1S2": 0.075145, "S1S3": 0.644444, "S1S4": 0.659574, "S2S3": 0.61987, "S2S4": 0.614907, "S3S4": 0.052632
-    }
+    assert got == DISTANCES | {f"T{i}T6": 1.0 for i in range(1, 6)}
     one = P.permanova(d, toy_meta, permutations=20, sample_block=2).first()
-    assert [round(one[c], 6) for c in ("sst", "ssw", "f")] == [0.405278, 0.004208, pytest.approx(190.604961, abs=1e-3)]
+    assert [round(one[c], 6) for c in ("sst", "ssw", "f")] == [1.509639, 1.035118, 1.833687]
     assert 0 < one["p"] <= 1
+    plain = P.bray_curtis(toy, **blocks)
+    assert {r["s1"] + r["s2"]: round(r["d"], 6) for r in plain.collect()} == DISTANCES
+    with pytest.raises(ValueError, match="1 samples"):
+        P.permanova(plain, toy_meta)
+    kept = P.permanova(plain, toy_meta, permutations=20, unmatched="drop").first()
+    sst = sum(v * v for v in DISTANCES.values()) / 5
+    ssw = (0.319149**2 + 0.606061**2 + 0.47541**2) / 3 + 0.640449**2 / 2
+    assert kept["f"] == pytest.approx((sst - ssw) / (ssw / 3), rel=1e-4)
+
+
+def test_two_empty_samples_are_equal(spark, toy):
+    names = spark.createDataFrame([("T1",), ("x",), ("y",)], "sample_name string")
+    got = {r["s1"] + r["s2"]: r["d"] for r in P.bray_curtis(toy.filter("sample_name = 'T1'"), samples=names).collect()}
+    assert got == {"T1x": 1.0, "T1y": 1.0, "xy": 0.0}
+    e = {r["s1"] + r["s2"]: r["d"] for r in P.euclidean(toy.filter("sample_name = 'T1'"), samples=names).collect()}
+    assert e["xy"] == 0 and e["T1x"] == pytest.approx((16 + 256 + 25 + 1) ** 0.5)
+    r = P.spearman(toy.filter("sample_name = 'T1'"), samples=names).collect()
+    assert len(r) == 3 and all(x["r"] is None for x in r)
+
+
+def test_size_factors_need_a_common_feature(spark, toy):
+    n = F.lit(6.0)
+    with pytest.raises(Exception, match="no feature is counted in every sample"):
+        M.size_factors(toy, n).collect()
+    got = by(M.size_factors(toy, F.lit(5.0), "poscounts"), "sample_name", "size_factor")
+    import numpy as np
+
+    x = np.array([[4, 9, 30, 2, 1], [16, 7, 8, 25, 1], [5, 5, 0, 12, 40], [1, 0, 2, 2, 6]], float)
+    with np.errstate(divide="ignore"):
+        means = np.where(x > 0, np.log(x), 0).sum(1) / 5
+        f = np.array([np.median((np.log(c) - means)[c > 0]) for c in x.T])
+    assert [got[f"T{i}"] for i in range(1, 6)] == pytest.approx(np.exp(f - f.mean()))
+
+
+def test_roc_has_one_point_per_value(spark, toy, toy_meta):
+    points = X.roc(toy, toy_meta, "North", "South").filter("feature = 'Quill'").collect()
+    assert sorted(r["threshold"] for r in points) == [0, 1, 2, 4, 9, 30]
+    full = spark.createDataFrame([(f"T{i}", "f", float(i)) for i in range(1, 7)], "sample_name string, feature string, value double")
+    assert sorted(r["threshold"] for r in X.roc(full, toy_meta, "North", "South").collect()) == [1, 2, 3, 4, 5, 6]
+
+
+def test_a_deep_tree_and_a_cycle(spark):
+    path = spark.createDataFrame([(i, i - 1 if i else None) for i in range(200)], "taxid long, parent long")
+    counts = {r["taxid"]: r["count"] for r in R.ancestor_pairs(path).groupBy("taxid").count().collect()}
+    assert counts == {i: i + 1 for i in range(200)}
+    with pytest.raises(ValueError, match="cycle"):
+        R.ancestor_pairs(spark.createDataFrame([(1, 2), (2, 3), (3, 1)], "taxid long, parent long"))
 
 
 def test_disjoint_samples_are_kept(spark):
@@ -76,9 +134,9 @@ def test_disjoint_samples_are_kept(spark):
 
 
 def test_all_tied_feature_has_no_p(spark, toy_meta):
-    df = spark.createDataFrame([(f"S{i}", "f", 5.0) for i in range(1, 5)], "sample_name string, feature string, value double")
+    df = spark.createDataFrame([(f"T{i}", "f", 5.0) for i in range(1, 7)], "sample_name string, feature string, value double")
     row = X.rank_sum(df, toy_meta, **GROUPS).first()
-    assert row["p"] is None and row["u"] == 2.0
+    assert row["p"] is None and row["u"] == 4.5
 
 
 def test_bonferroni_is_not_clamped(spark):
@@ -101,15 +159,17 @@ def test_direction_counts_keep_empty_classes(spark):
 
 
 def test_linear_model(toy, toy_meta):
-    out = X.linear_model(toy, toy_meta, reference="Control", treatment="Case").filter(F.col("feature") == "Species_C").first()
-    # zeros count as half the minimum: log2 of (0.5, 1) against (50, 60)
+    out = X.linear_model(toy, toy_meta, reference="South", treatment="North").filter(F.col("feature") == "Quill").first()
     import math
 
-    a, b = [math.log2(0.5), 0.0], [math.log2(50), math.log2(60)]
-    coef = sum(a) / 2 - sum(b) / 2
-    pooled = (sum((x - sum(a) / 2) ** 2 for x in a) + sum((x - sum(b) / 2) ** 2 for x in b)) / 2
-    assert out["coef"] == pytest.approx(coef)
-    assert out["stderr"] == pytest.approx(math.sqrt(pooled))
-    t = abs(coef / math.sqrt(pooled))
-    assert out["pval"] == pytest.approx(1 - t / math.sqrt(2 + t * t), rel=1e-9)
-    assert (out["n"], out["n_not_0"]) == (4, 3)
+    # The zero counts as half the minimum.
+    a, b = [2.0, math.log2(9), math.log2(30)], [1.0, 0.0, -1.0]
+    coef = sum(a) / 3 - sum(b) / 3
+    pooled = (sum((x - sum(a) / 3) ** 2 for x in a) + sum((x - sum(b) / 3) ** 2 for x in b)) / 4
+    error = math.sqrt(pooled * 2 / 3)
+    assert out["coef"] == pytest.approx(coef) and out["stderr"] == pytest.approx(error)
+    # Student's t with four degrees of freedom in closed form.
+    t = abs(coef / error)
+    y = t / math.sqrt(4 + t * t)
+    assert out["pval"] == pytest.approx(1 - y * (3 - y * y) / 2, rel=1e-9)
+    assert (out["n"], out["n_not_0"]) == (6, 5)

@@ -1,4 +1,4 @@
-"""Orderings: the one-task and the distributed path agree with plain sorting."""
+"""Orderings, by whole keys and in buckets, agree with plain sorting."""
 
 import numpy as np
 import pandas as pd
@@ -18,23 +18,20 @@ def skewed(spark):
     return pd.DataFrame({"k": key, "i": range(600), "v": value})
 
 
-def check_ranks(spark, pdf):
+def check_ranks(spark, pdf, whole):
     df = spark.createDataFrame(pdf)
-    got = df.join(O.average_rank(df, ["k"], "v"), ["k", "v"]).orderBy("i").toPandas()
+    got = df.join(O.average_rank(df, ["k"], "v", whole), ["k", "v"]).orderBy("i").toPandas()
     want = pdf.groupby("k")["v"].rank().to_numpy()
     assert np.allclose(got["rank"], want)
 
 
-def test_average_rank(spark, skewed):
-    check_ranks(spark, skewed)
+@pytest.mark.parametrize("whole", [True, False])
+def test_average_rank(spark, skewed, whole):
+    check_ranks(spark, skewed, whole)
 
 
-def test_average_rank_distributed(spark, skewed, distributed):
-    check_ranks(spark, skewed)
-
-
-def check_place(spark, pdf):
-    df = spark.createDataFrame(pdf)
+def test_place(spark, skewed):
+    pdf, df = skewed, spark.createDataFrame(skewed)
     got = O.place(df, [], [("k", True), ("v", False), ("i", True)]).orderBy("position")
     want = pdf.sort_values(["k", "v", "i"], ascending=[False, True, False])["i"].tolist()
     rows = got.collect()
@@ -42,16 +39,16 @@ def check_place(spark, pdf):
     assert [r["position"] for r in rows] == list(range(len(pdf)))
 
 
-def test_place(spark, skewed):
-    check_place(spark, skewed)
-
-
-def test_place_distributed(spark, skewed, distributed):
-    check_place(spark, skewed)
+def test_place_within_keys(spark, skewed):
+    df = spark.createDataFrame(skewed)
+    order = [("v", False), ("i", True)]
+    a, b = (O.place(df, ["k"], order, whole).orderBy("i").toPandas() for whole in (True, False))
+    assert a["position"].tolist() == b["position"].tolist()
 
 
-def test_quantiles_distributed(spark, skewed, distributed):
-    got = O.quantiles(spark.createDataFrame(skewed), ["k"], "v", {"q1": 0.25, "m": 0.5, "x": 0.9}).toPandas()
+@pytest.mark.parametrize("whole", [True, False])
+def test_quantiles(spark, skewed, whole):
+    got = O.quantiles(spark.createDataFrame(skewed), ["k"], "v", {"q1": 0.25, "m": 0.5, "x": 0.9}, whole).toPandas()
     want = skewed.groupby("k")["v"].quantile([0.25, 0.5, 0.9]).unstack()
     got = got.set_index("k").sort_index()
     assert np.allclose(got[["q1", "m", "x"]].to_numpy(), want.to_numpy())
@@ -92,7 +89,7 @@ def test_rank_sum_is_symmetric(spark, values):
     assert one["u"] == ranks[:half].sum() - half * (half + 1) / 2
 
 
-def test_independent_filter_distributed(spark, distributed):
+def test_independent_filter(spark):
     rng = np.random.default_rng(5)
     pdf = pd.DataFrame({"feature": [f"f{i}" for i in range(80)], "base_mean": rng.gamma(1, 50, 80), "pvalue": rng.random(80)})
     pdf.loc[pdf["base_mean"] > 60, "pvalue"] *= 0.01
@@ -115,16 +112,17 @@ def test_independent_filter_distributed(spark, distributed):
     assert np.allclose(merged.loc[kept, "padj"], adjusted(pdf.loc[kept, "pvalue"].to_numpy()))
 
 
-def test_text_order_is_kept_in_buckets(spark, distributed):
+def test_text_order_is_kept_in_buckets(spark):
     words = ["b", "ab", "a", "éa", "zz", "abc", "abcd", "Z", "0"]
     df = spark.createDataFrame([(w,) for w in words], "w string").withColumn("one", F.lit(1).cast("bigint"))
     got = [r["w"] for r in O.running(df, [], "w", sums=["one"]).orderBy("one_before").collect()]
     assert got == sorted(words, key=lambda w: w.encode())
 
 
-def test_many_buckets_keep_the_order(spark):
+def test_many_buckets_keep_the_order(spark, monkeypatch):
+    monkeypatch.setattr(O, "SPREAD", 225)
     pdf = pd.DataFrame({"v": np.random.default_rng(7).gamma(0.3, 10, 3000)})
-    df = O.value_bucket(spark.createDataFrame(pdf), "v", rows=900 * O.SINGLE_TASK_ROWS)
+    df = O.value_bucket(spark.createDataFrame(pdf), "v")
     got = df.orderBy("v").toPandas()
     assert got["_bucket"].is_monotonic_increasing
     assert got["_bucket"].max() <= 900 and got["_bucket"].value_counts().max() < 30
@@ -141,5 +139,5 @@ def test_staged_tables_can_be_dropped(spark):
 
 def test_texts_with_a_common_start_spread_over_buckets(spark):
     df = spark.range(4000).select(F.concat(F.lit("SRR00"), F.lpad("id", 6, "0")).alias("w"))
-    got = O.value_bucket(df, "w", rows=4000).orderBy("w").toPandas()
+    got = O.value_bucket(df, "w").orderBy("w").toPandas()
     assert got["_bucket"].is_monotonic_increasing and got["_bucket"].nunique() > 8
