@@ -7,7 +7,8 @@ from functools import lru_cache
 from itertools import chain
 from math import inf
 
-from pyspark.sql import DataFrame
+import pandas as pd
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StringType
 
 from .common import per_text
@@ -129,8 +130,6 @@ def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str =
 
 def decode(encoded: DataFrame, model: str, ids_col: str = "ids", out: str = "text") -> DataFrame:
     """``encoded`` with the text of its ids; null ids give an empty text."""
-    from pyspark.sql import functions as F
-    import pandas as pd
 
     @F.pandas_udf(StringType())
     def text(ids: pd.Series) -> pd.Series:

@@ -201,7 +201,7 @@ def test_lines_by_host(spark):
     rows += [(100 + i, f"{line}\nbody {i}", "en", "small", 1) for i in range(4)]
     rows += [(200 + i, f"{line if i < 6 else i}\nbody {i}", "en", None, 1) for i in range(200)]
     made = {r.doc_id: (r.text, r.n, r.d) for r in lines.line_dedup(spark.createDataFrame(rows, SCHEMA), n_lines="n", n_dropped="d").collect()}
-    assert made[3] == ("body 3\n\n", 5, 3)  # "end" too is on all pages
+    assert made[3] == ("body 3\n", 5, 3)  # "end" too is on all pages
     assert made[101] == (f"{line}\nbody 1", 2, 0)  # too few pages
     assert made[200] == (f"{line}\nbody 0", 2, 0)  # 3 % of the pages without a host
     only = lines.line_dedup(spark.createDataFrame([(i, line, "en", "h", 1) for i in range(9)], SCHEMA))
