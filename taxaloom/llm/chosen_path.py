@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import math
+import zlib
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import BinaryType, LongType, StructField, StructType
+from pyspark.sql.types import BinaryType, LongType, StructType
 
 from taxaloom.session import broadcast_rows, freeze
 
@@ -24,11 +27,19 @@ TOKENS, BYTES = 48, 128
 SMALL = 32
 #: Levels after which the nodes left are compared exhaustively, in blocks, whatever their size.
 DEPTH = 24
+#: Members of a node that are compared in one piece.
+BLOCK = 512
+#: Bytes of shingle sets, and pairs, that are confirmed in one piece on average; blocks that are dealt into at least.
+CELL_BYTES, CELL_PAIRS, FEWEST_BLOCKS = 8 << 20, 50_000, 6
 #: Keys whose texts are picked through a broadcast; more are joined by an exchange.
 BROADCAST_KEYS = 1_000_000
 
-_NODES = StructType([StructField(n, t) for n, t in (("node", LongType()), ("cls", BinaryType()), ("label", BinaryType()))])
-_PAIRS = StructType([StructField("a", BinaryType()), StructField("b", BinaryType())])
+_NODES = StructType().add("node", "long").add("root", "integer").add("cls", "binary").add("label", "binary")
+_CHILDREN = StructType([*_NODES.fields]).add("parent", "long")
+_PAIRS = StructType().add("a", "binary").add("b", "binary")
+_DEALT = StructType().add("cell", "long").add("a", "binary").add("b", "binary")
+#: Length of a class's name, a digest of its set.
+CLASS_BYTES = 16
 
 
 def _arrow(schema: StructType) -> pa.Schema:
@@ -62,20 +73,22 @@ def _branch(nodes: np.ndarray | None, tokens: np.ndarray) -> list[np.ndarray]:
 
 
 def _roots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(cls, label, tokens) -> (node, cls, label)"""
+    """(cls, label, tokens) -> (node, root, cls, label)"""
     for batch in batches:
         if batch.num_rows:
-            for node in _branch(None, _matrix(batch.column(2), np.uint32, TOKENS)):
-                yield pa.RecordBatch.from_arrays([pa.array(node), batch.column(0), batch.column(1)], schema=_arrow(_NODES))
+            for root, node in enumerate(_branch(None, _matrix(batch.column(2), np.uint32, TOKENS))):
+                at = pa.array(np.full(len(node), root, np.int32))
+                yield pa.RecordBatch.from_arrays([pa.array(node), at, batch.column(0), batch.column(1)], schema=_arrow(_NODES))
 
 
 def _deeper(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(cls, label, tokens, node) -> (node, cls, label)"""
+    """(cls, label, tokens, node, root) -> (node, root, cls, label, parent)"""
     for batch in batches:
         if batch.num_rows:
-            at = batch.column(3).to_numpy()
-            for node in _branch(at, _matrix(batch.column(2), np.uint32, TOKENS)):
-                yield pa.RecordBatch.from_arrays([pa.array(node), batch.column(0), batch.column(1)], schema=_arrow(_NODES))
+            tokens = _matrix(batch.column(2), np.uint32, TOKENS)
+            for node in _branch(batch.column(3).to_numpy(), tokens):
+                columns = [pa.array(node), batch.column(4), batch.column(0), batch.column(1), batch.column(3)]
+                yield pa.RecordBatch.from_arrays(columns, schema=_arrow(_CHILDREN))
 
 
 def _alike(least: int) -> Callable:
@@ -92,48 +105,142 @@ def _alike(least: int) -> Callable:
     return run
 
 
-def _against(least: int) -> Callable:
-    """(cls, label, sketch, others: array of (cls, label, sketch)) -> pairs of other labels with ``least`` equal bytes."""
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows that agree in the first column, by which they are sorted."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        key = batch.column(0).to_numpy()
+        cuts = [0, *(np.flatnonzero(key[1:] != key[:-1]) + 1).tolist(), len(key)]
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            if held and key[a] != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(a, b - a))
+            last = key[a]
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _bytes(column: pa.ChunkedArray, kind: type, width: int) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(-1, width)
+
+
+def _compared(least: int) -> Callable:
+    """(a, partners): those of other labels with ``least`` equal sketch bytes within each cell, packed end to end.
+
+    (cell, side, root, deep, done, cls, label, sketch, heads): side 0 are members,
+    1 members outside the commonest label, 2 both. ``heads`` are the tokens of the
+    roots, ``done`` has the roots whose node is compared whole: a pair that shares
+    one of them is left to the first of these.
+    """
+    bits = np.left_shift(1, np.arange(TREES * BRANCHES))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
+        out: list[tuple[bytes, bytes]] = []
+        for rows in _runs(batches):
+            side = rows.column(1).to_numpy()
+            members, others = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
+            if not len(members) or not len(others):
                 continue
-            others = batch.column(3)
-            lengths = np.diff(others.offsets.to_numpy())
-            row = np.repeat(np.arange(batch.num_rows), lengths)
-            flat = others.flatten()
-            sketch, theirs = (_matrix(c, np.uint8, BYTES) for c in (batch.column(2), flat.field(2)))
-            same = np.empty(len(row), np.int64)
-            for i in range(0, len(row), 65536):
-                same[i : i + 65536] = (sketch[row[i : i + 65536]] == theirs[i : i + 65536]).sum(1)
-            hits = np.flatnonzero(same >= least)
-            a, b = batch.column(0).take(pa.array(row[hits])), flat.field(0).take(pa.array(hits))
-            la, lb = batch.column(1).take(pa.array(row[hits])), flat.field(1).take(pa.array(hits))
-            pairs = {
-                (min(x, y), max(x, y))
-                for x, y, lx, ly in zip(a.to_pylist(), b.to_pylist(), la.to_pylist(), lb.to_pylist(), strict=True)
-                if lx != ly
-            }
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([p[i] for p in pairs], pa.binary()) for i in (0, 1)], schema=_arrow(_PAIRS)
-            )
+            root, deep, done = rows.column(2)[0].as_py(), rows.column(3)[0].as_py(), rows.column(4).to_numpy()
+            names, labels = rows.column(5).to_pylist(), rows.column(6).to_pylist()
+            code = {x: i for i, x in enumerate(set(labels))}
+            label = np.array([code[x] for x in labels])
+            sketch, heads = _bytes(rows.column(7), np.uint8, BYTES), _bytes(rows.column(8), np.uint32, TREES * BRANCHES)
+            earlier = bits if deep else bits[:root]
+            for j in others:
+                same = (sketch[members] == sketch[j]).sum(1)
+                # Of two members outside the commonest label one is enough to name the pair.
+                hits = members[(same >= least) & (label[members] != label[j])]
+                if len(hits):
+                    shared = ((heads[hits] == heads[j])[:, : len(earlier)] * earlier).sum(1) & done[j]
+                    found = {names[i] for i in hits[shared == 0] if side[i] == 0 or names[i] < names[j]}
+                    if found:
+                        out.append((names[j], b"".join(sorted(found))))
+            if len(out) > 1000:
+                yield _packed(out)
+                out = []
+        if out:
+            yield _packed(out)
 
     return run
 
 
-def _verify(percent: int) -> Callable:
-    """(a, b, set of a, set of b) -> (a, b) of the linked ones."""
+def _packed(rows: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*rows, strict=True)], schema=_arrow(_PAIRS))
+
+
+def _split(packed: bytes) -> list[bytes]:
+    return [packed[i : i + CLASS_BYTES] for i in range(0, len(packed), CLASS_BYTES)]
+
+
+def _named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The classes that the rows of a task name, each once."""
+    found: set[bytes] = set()
+    for batch in batches:
+        found.update(batch.column(0).to_pylist())
+        for packed in batch.column(1).to_pylist():
+            found.update(_split(packed))
+    yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.binary())], names=["cls"])
+
+
+def _dealt(blocks: int) -> Callable:
+    """(a, partners) -> (cell, a, partners) by the blocks of both, and once per task (cell, class) of those named there."""
+
+    def block(name: bytes) -> int:
+        return zlib.crc32(name) % blocks
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        needed: set[tuple[int, bytes]] = set()
         for batch in batches:
-            keep = [
-                linked(np.frombuffer(x, U), np.frombuffer(y, U), percent)
-                for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)
-            ]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], schema=_arrow(_PAIRS)).filter(
-                pa.array(keep, pa.bool_())
-            )
+            rows: list[tuple] = []
+            for a, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                own, cells = block(a), {}
+                for b in _split(packed):
+                    other = block(b)
+                    cells.setdefault(min(own, other) * blocks + max(own, other), []).append(b)
+                for cell, partners in cells.items():
+                    rows.append((cell, a, b"".join(partners)))
+                    needed.update((cell, x) for x in (a, *partners))
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _arrow(_DEALT), strict=True)], schema=_arrow(_DEALT))
+        if needed:
+            columns = [*zip(*needed, strict=True), [None] * len(needed)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _arrow(_DEALT), strict=True)], schema=_arrow(_DEALT))
+
+    return run
+
+
+def _confirmed(percent: int) -> Callable:
+    """(cell, a, partners, shingles): sets have no partners. Links of each cell by full sets, but for those within what is linked already."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _runs(batches):
+            sets: dict[bytes, np.ndarray] = {}
+            pairs = []
+            for a, b, shingles in zip(*(rows.column(i).to_pylist() for i in (1, 2, 3)), strict=True):
+                if b is None:
+                    sets[a] = np.frombuffer(shingles, U)
+                else:
+                    pairs += [(a, x) for x in _split(b)]
+            parent = {x: x for x in sets}
+
+            def root(x: bytes, parent: dict = parent) -> bytes:
+                while parent[x] != x:
+                    parent[x] = x = parent[parent[x]]
+                return x
+
+            links = []
+            for a, b in pairs:
+                x, y = root(a), root(b)
+                if x != y and linked(sets[a], sets[b], percent):
+                    parent[x] = y
+                    links.append((a, b))
+            if links:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*links, strict=True)], schema=_arrow(_PAIRS))
 
     return run
 
@@ -181,86 +288,123 @@ class _Join:
         return pairs.join(side[1], "b").join(side[0], "a").select("a", "b", f"{column}_a", f"{column}_b")
 
     def verified(self, pairs: DataFrame) -> DataFrame:
-        """The pairs that are linked by their full sets, made anew from the whole texts of the classes in ``pairs``."""
+        """Links that span what the pairs link by their full sets, made anew from the whole texts of their classes.
+
+        Classes are dealt into blocks and a pair goes to the cell of its two blocks,
+        with the sets it needs: a set is sent once per cell, however many pairs it is in.
+        """
         k, percent = self.k, self.percent
-        wanted = freeze(
-            pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct().join(self.classes.select("cls", "key"), "cls")
-        )
-        keys = wanted.select("key").distinct()
+        pairs = freeze(pairs)
+        named = StructType().add("cls", "binary")
+        wanted = freeze(pairs.mapInArrow(_named, named).distinct())
+        wanted = broadcast_rows(wanted, wanted.count(), BROADCAST_KEYS)
+        keys = freeze(self.classes.select("cls", "key").join(wanted, "cls").select("key").distinct())
         texts = self.texts.join(broadcast_rows(keys, keys.count(), BROADCAST_KEYS), "key")
 
         def work(texts: list[bytes]) -> dict:
             sets = sets_of(texts, k)
             return {"cls": [digest_of(x) for x in sets], "shingles": [x.tobytes() for x in sets]}
 
-        sets = freeze(
-            per_text(texts, "key", "text", work, cls=BinaryType(), shingles=BinaryType())
-            .join(wanted, ["key", "cls"])
-            .select("cls", "shingles")
+        sets = freeze(per_text(texts, "key", "text", work, cls=BinaryType(), shingles=BinaryType()).drop("key"))
+        size = sets.agg(F.sum(F.octet_length("shingles"))).first()[0] or 0
+        many = (pairs.agg(F.sum(F.octet_length("b"))).first()[0] or 0) / CLASS_BYTES
+        blocks = math.ceil(max(size / CELL_BYTES, math.sqrt(2 * many / CELL_PAIRS), FEWEST_BLOCKS))
+        dealt = freeze(pairs.mapInArrow(_dealt(blocks), _DEALT))
+        needed = freeze(dealt.where("b IS NULL").select("cell", F.col("a").alias("cls")).distinct())
+        sent = sets.join(broadcast_rows(needed, needed.count(), BROADCAST_KEYS), "cls").select(
+            "cell", F.col("cls").alias("a"), F.lit(None).cast("binary").alias("b"), "shingles"
         )
-        return freeze(self._with(pairs, sets, "shingles").mapInArrow(_verify(percent), _PAIRS).distinct())
+        both = dealt.where("b IS NOT NULL").withColumn("shingles", F.lit(None).cast("binary")).unionByName(sent)
+        return freeze(both.repartition("cell").sortWithinPartitions("cell").mapInArrow(_confirmed(percent), _PAIRS))
 
     def starred(self) -> DataFrame:
         """Links between the members of each root's children and the child's first member."""
         rows = self.classes.select("cls", F.col("cls").alias("label"), "tokens").mapInArrow(_roots, _NODES)
         rows = rows.select("node", "cls")
-        first = rows.groupBy("node").agg(F.min("cls").alias("a"), F.count("*").alias("n")).where("n > 1")
-        pairs = rows.join(first, "node").where(F.col("cls") != F.col("a")).select("a", F.col("cls").alias("b")).distinct()
-        alike = self._with(pairs, self.classes, "sketch").mapInArrow(_alike(self.least), _PAIRS)
-        return self.verified(freeze(alike))
+        #: Root's children of several members; most have one.
+        self.first = freeze(
+            rows.groupBy("node").agg(F.min("cls").alias("a"), F.count("*").alias("n")).where("n > 1").select("node", "a")
+        )
+        self.first = broadcast_rows(self.first, self.first.count(), BROADCAST_KEYS)
+        pairs = freeze(
+            rows.join(self.first, "node").where(F.col("cls") != F.col("a")).select("a", F.col("cls").alias("b")).distinct()
+        )
+        pairs = broadcast_rows(pairs, pairs.count(), BROADCAST_KEYS)
+        return self.verified(self._with(pairs, self.classes, "sketch").mapInArrow(_alike(self.least), _PAIRS))
 
     def branched(self, labels: DataFrame) -> DataFrame:
         """Links between different labels, from the recursion over all trees.
 
         A node whose members all have one label is settled. One with at most
         ``SMALL`` members outside its commonest label is a leaf: those are compared
-        with all its members. Any other goes one level deeper.
+        with all its members. Any other goes one level deeper, unless its members
+        agree in half of the tokens or more: they would not part but multiply, so
+        such a node is a leaf too, compared in blocks.
         """
         known = freeze(
-            self.classes.join(labels.select(F.col("node").alias("cls"), "label"), "cls", "left").select(
+            self.classes.join(
+                broadcast_rows(labels.select(F.col("node").alias("cls"), "label"), labels.count(), BROADCAST_KEYS), "cls", "left"
+            ).select(
                 "cls", F.coalesce("label", "cls").alias("label"), "tokens", "sketch"
             )
         )
         rows = known.select("cls", "label", "tokens").mapInArrow(_roots, _NODES)
-        leaves: DataFrame | None = None
+        rows = rows.join(self.first.select("node"), "node")
+        leaves: list[DataFrame] = []
         for level in range(DEPTH):
             per_label = rows.groupBy("node", "label").agg(F.count("*").alias("n"))
             sizes = (
                 per_label.groupBy("node")
                 .agg(F.count("*").alias("labels"), F.sum("n").alias("n"), F.max(F.struct("n", "label")).alias("top"))
                 .where("labels > 1")
-                .select("node", (F.col("n") - F.col("top.n")).alias("outside"), F.col("top.label").alias("top"))
+                .select("node", "n", (F.col("n") - F.col("top.n")).alias("outside"), F.col("top.label").alias("top"))
             )
-            sized = freeze(rows.join(sizes, "node"))
-            deep = F.col("outside") > SMALL
-            last = level == DEPTH - 1
-            leaf = sized if last else sized.where(~deep)
-            leaves = leaf if leaves is None else leaves.unionByName(leaf)
-            if last or sized.where(deep).isEmpty():
+            sized = freeze(rows.join(sizes, "node").withColumn("deep", F.lit(level > 0)))
+            if not level:  # the others are settled
+                mixed = sized.select("cls").distinct()
+                known = freeze(known.join(broadcast_rows(mixed, mixed.count(), BROADCAST_KEYS), "cls"))
+            deep = sized.where(F.col("outside") > SMALL)
+            if level == DEPTH - 1 or deep.isEmpty():
+                leaves.append(sized)
                 break
-            rows = (
-                sized.where(deep)
-                .select("cls", "node")
+            leaves.append(sized.where(F.col("outside") <= SMALL))
+            children = freeze(
+                deep.select("cls", "node", "root")
                 .join(known.select("cls", "label", "tokens"), "cls")
-                .select("cls", "label", "tokens", "node")
-                .mapInArrow(_deeper, _NODES)
+                .select("cls", "label", "tokens", "node", "root")
+                .mapInArrow(_deeper, _CHILDREN)
             )
-        members = leaves.select("node", "cls", "outside", F.col("label") != F.col("top")).toDF("node", "cls", "outside", "out")
-        members = freeze(members.join(known.select("cls", "label", "sketch"), "cls"))
-        block = F.pmod(F.xxhash64("cls"), F.ceil(F.col("outside") / F.lit(SMALL)))
-        others = (
-            members.where("out")
-            .groupBy("node", block.alias("block"))
-            .agg(F.collect_list(F.struct("cls", "label", "sketch")).alias("others"))
+            spread = children.groupBy("parent", "node").agg(F.count("*").alias("n"))
+            together = spread.groupBy("parent").agg(F.sum(F.col("n") * F.col("n")).alias("agree"), F.sum("n").alias("all"))
+            dense = freeze(together.where(F.col("agree") * BRANCHES * BRANCHES >= F.col("all") * F.col("all")).select("parent"))
+            leaves.append(deep.join(dense.withColumnRenamed("parent", "node"), "node", "left_semi").select(*sized.columns))
+            rows = children.join(dense, "parent", "left_anti").drop("parent")
+        members = reduce(DataFrame.unionByName, leaves)
+        done = members.where("NOT deep").groupBy("cls").agg(F.bit_or(F.pow(F.lit(2), F.col("root")).cast("int")).alias("done"))
+        heads = F.substring(F.col("tokens"), 1, 4 * TREES * BRANCHES)
+        members = (
+            members.select("node", "root", "deep", "cls", "n", "outside", (F.col("label") != F.col("top")).alias("out"))
+            .join(known.select("cls", "label", "sketch", heads.alias("heads")), "cls")
+            .join(done, "cls", "left")
+            .na.fill(0, ["done"])
+            .withColumn("across", F.ceil(F.col("n") / BLOCK).cast("int"))
+            .withColumn("down", F.ceil(F.col("outside") / BLOCK).cast("int"))
+        )
+        own = [F.pmod(F.xxhash64("cls", F.lit(i)), F.col(c)).cast("int") for i, c in enumerate(("across", "down"))]
+        one = (F.col("across") == 1) & (F.col("down") == 1)
+        zero = F.lit(0)
+        place = lambda side, a, d: F.struct(side.alias("side"), a.alias("a"), d.alias("d"))
+        until = lambda c: F.sequence(zero, F.col(c) - 1)
+        whole = F.array(place(F.when(F.col("out"), F.lit(2)).otherwise(zero), zero, zero))
+        as_member = F.transform(until("down"), lambda d: place(zero, own[0], d))
+        as_other = F.when(F.col("out"), F.transform(until("across"), lambda a: place(F.lit(1), a, own[1])))
+        sides = F.when(one, whole).otherwise(F.concat(as_member, F.coalesce(as_other, F.slice(as_member, 1, 0))))
+        cells = members.withColumn("at", F.explode(sides)).select(
+            F.xxhash64("node", "at.a", "at.d").alias("cell"), "at.side", "root", "deep", "done", "cls", "label", "sketch", "heads"
         )
-        pairs = (
-            members.select("node", "cls", "label", "sketch")
-            .join(others.drop("block"), "node")
-            .select("cls", "label", "sketch", "others")
-            .mapInArrow(_against(self.least), _PAIRS)
-            .distinct()
+        return self.verified(
+            cells.repartition("cell").sortWithinPartitions("cell").mapInArrow(_compared(self.least), _PAIRS)
         )
-        return self.verified(freeze(pairs))
 
 
 def _grouped(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> DataFrame:
@@ -291,8 +435,9 @@ def near_duplicates(
        first components. This settles groups of near copies of any size with one
        comparison per member and node.
     3. Nodes with several components recurse, by tokens that the node's hash
-       selects, until at most ``SMALL`` members are outside the commonest component;
-       those are compared with all members of other components.
+       selects, until at most ``SMALL`` members are outside the commonest component
+       or the members are too alike to part; then those outside are compared with
+       all members of other components, in blocks of ``BLOCK``.
     4. Sketches only sort out pairs; every link is confirmed on the full sets.
 
     Nothing is capped: a node that doesn't get small in ``DEPTH`` levels is compared
