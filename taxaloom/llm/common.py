@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DataType, StructField, StructType
 
@@ -41,6 +42,23 @@ def schema_of(df: DataFrame, id_col: str, **columns: DataType) -> StructType:
     )
 
 
+#: Bytes of text that a task has in hand at once, or one text if that is longer.
+PART_BYTES = 8 << 20
+
+
+def parts(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """Stretches of ``batch`` of up to ``PART_BYTES`` of the text column each."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    first, held = 0, 0
+    for i, size in enumerate(sizes.tolist()):
+        if i > first and held + size > PART_BYTES:
+            yield batch.slice(first, i - first)
+            first, held = i, 0
+        held += size
+    if first < batch.num_rows:
+        yield batch.slice(first)
+
+
 def per_text(
     docs: DataFrame,
     id_col: str,
@@ -61,8 +79,8 @@ def per_text(
     text = text_of(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
+        for whole in batches:
+            for batch in parts(whole, 1):
                 made = work(batch.column(1).to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).cast(arrow.field(0).type)]
