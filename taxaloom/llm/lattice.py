@@ -87,7 +87,8 @@ class Lattice:
 
     def logs(self, counts: np.ndarray) -> np.ndarray:
         """Logarithms of smoothed probabilities, by class and place."""
-        smoothed = counts + SMOOTH * (np.arange(counts.shape[-1]) > 0)
+        smoothed = counts + SMOOTH
+        smoothed[..., 0] = 0
         with np.errstate(divide="ignore"):
             return np.log(smoothed / smoothed.sum(-1, keepdims=True))
 
