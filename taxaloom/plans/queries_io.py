@@ -107,8 +107,10 @@ def pcl_scan(spark, sf):
 )
 def module_scan(spark, sf):
     path = staging_path(spark, "modules")
-    # Ids of one module are split over several lines, so that no line grows with the table.
-    members = T.module_members(spark, sf).withColumn("_line", F.pmod(F.xxhash64("ko"), F.lit(64)))
+    # Ids of one module are split over lines of about fifty, so that no line grows with the table.
+    members = T.module_members(spark, sf)
+    sizes = members.groupBy("module_id").agg(F.ceil(F.count(F.lit(1)) / 50).alias("_lines"))
+    members = members.join(sizes, "module_id").withColumn("_line", F.pmod(F.xxhash64("ko"), F.col("_lines")))
     lines = members.groupBy("module_id", "_line").agg(F.array_join(F.collect_list("ko"), ",").alias("kos"))
     lines.select("module_id", F.lit("size").alias("d"), "kos").write.option("sep", "\t").csv(path)
     return files.read_modules(spark, path).select("module_id", F.explode("kos").alias("ko"))
