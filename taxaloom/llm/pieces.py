@@ -62,32 +62,50 @@ def chunks(text: str) -> list[str]:
 
 
 class Memo(dict):
-    """Results of ``work(chunk)`` by chunk, at most ``size`` of them.
+    """Results of ``work(chunk)`` by chunk, the last ``size`` to twice as many that were asked for.
 
     Chunks are as :func:`chunks` gives them. A newline that no piece contains
-    parts a chunk once more, so the lines' ends are kept apart.
+    parts a chunk once more, so the lines' ends are kept apart. When ``size``
+    results are held they become the old generation, from which those asked for
+    again move back: common chunks are never worked out anew.
     """
 
-    def __init__(self, work, pieces: Pieces, size: int = 400_000):
+    def __init__(self, work, pieces: Pieces, size: int = 100_000):
         super().__init__()
         self.work, self.size, self.apart = work, size, pieces.newline_is_apart
-        self.tails: dict = {}
+        self.old: dict = {}
+        self.tails: Memo | None = None
+
+    def keep(self, chunk: str, value):
+        if len(chunk) <= 64:
+            if len(self) >= self.size:
+                self.old = dict(self)
+                self.clear()
+            self[chunk] = value
+        return value
 
     def __missing__(self, chunk: str):
+        value = self.old.get(chunk)
+        if value is not None:
+            return self.keep(chunk, value)
         if self.apart and "\n" in chunk:
+            if self.tails is None:
+                self.tails = _Tails(self.work, self.size)
             at = chunk.index("\n")
             value = self[chunk[:at]]
             for part in re.findall("\n[^\n]*", chunk[at:]):
-                tail = self.tails.get(part)
-                if tail is None:
-                    if len(self.tails) >= self.size:
-                        self.tails.clear()
-                    tail = self.tails[part] = self.work(part)
-                value = value + tail
+                value = value + self.tails[part]
             return value
-        value = self.work(SPACE + chunk)
-        if len(chunk) <= 64:
-            if len(self) >= self.size:
-                self.clear()
-            self[chunk] = value
-        return value
+        return self.keep(chunk, self.work(SPACE + chunk))
+
+
+class _Tails(Memo):
+    """Results of a newline and what follows it."""
+
+    def __init__(self, work, size: int):
+        dict.__init__(self)
+        self.work, self.size, self.old = work, size, {}
+
+    def __missing__(self, chunk: str):
+        value = self.old.get(chunk)
+        return self.keep(chunk, self.work(chunk) if value is None else value)
