@@ -43,7 +43,7 @@ def schema_of(df: DataFrame, id_col: str, **columns: DataType) -> StructType:
 
 
 #: Bytes of text that a task has in hand at once, or one text if that is longer.
-PART_BYTES = 8 << 20
+PART_BYTES = 2 << 20
 
 
 def parts(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
@@ -59,6 +59,11 @@ def parts(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
         yield batch.slice(first)
 
 
+def release() -> None:
+    """Give back the memory that a task of this worker no longer needs; workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+
+
 def per_text(
     docs: DataFrame,
     id_col: str,
@@ -87,6 +92,7 @@ def per_text(
                     + [pa.array(made[f.name], f.type) for f in list(arrow)[1:]],
                     schema=arrow,
                 )
+        release()
 
     return docs.select(
         F.col(f"`{id_col}`").alias(id_col), (F.to_binary(text, F.lit("utf-8")) if as_bytes else text).alias("__text")

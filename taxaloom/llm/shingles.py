@@ -17,7 +17,7 @@ _INVERSE = pow(_BASE, -1, 1 << 64)
 _SPACE = np.zeros(256, bool)
 _SPACE[list(b" \t\n\x0b\x0c\r")] = True
 #: Texts are hashed together up to this many bytes.
-SLICE = 1 << 20
+SLICE = 1 << 19
 
 
 def mix(x: np.ndarray) -> np.ndarray:

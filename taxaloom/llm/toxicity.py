@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType
 
-from .common import LOWER, per_text, text_of
+from .common import LOWER, parts, per_text, release
 
 #: Hash space of the terms, factors per term, and the labelled rows a model is fitted on.
 BITS, FACTORS, MAX_ROWS = 20, 4, 20_000
@@ -152,14 +152,16 @@ def toxicity(docs: DataFrame, machine: Machine, id_col: str = "doc_id", text_col
 def without_toxic(docs: DataFrame, machine: Machine, text_col: str = "text", threshold: float = 0.3) -> DataFrame:
     """The rows of ``docs`` that score below ``threshold``, all columns as they are; there is no exchange."""
     shared = docs.sparkSession.sparkContext.broadcast(machine)
-    columns = docs.columns
+    place = docs.columns.index(text_col)
     memo: dict = {}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        for batch in batches:
-            texts = batch.column(len(columns)).to_pylist()
-            keep = pa.array([model.score(t, memo) < threshold for t in texts], pa.bool_())
-            yield batch.select(list(range(len(columns)))).filter(keep)
-
-    return docs.withColumn("__utf8", F.to_binary(text_of(text_col), F.lit("utf-8"))).mapInArrow(run, docs.schema)
+        for whole in batches:
+            for batch in parts(whole, place):
+                texts = batch.column(place).cast(pa.binary()).to_pylist()
+                keep = pa.array([model.score(t or b"", memo) < threshold for t in texts], pa.bool_())
+                yield batch.filter(keep)
+        release()
+
+    return docs.mapInArrow(run, docs.schema)
