@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import StructField, StructType
 
-from taxaloom.session import freeze
+from taxaloom.session import broadcast_rows, freeze
 
 from .common import WORD, text_of
 
@@ -18,6 +18,8 @@ from .common import WORD, text_of
 GROUP = 4096
 #: Probabilities this close to 0 or 1 are 0 or 1.
 EPS = 1e-9
+#: Takings that are joined through a broadcast; more are joined by an exchange.
+BROADCAST_UNITS = 1_000_000
 #: Units kept for the landing, of which all subsets are compared.
 LANDING = 12
 _SEED = 20
@@ -210,7 +212,8 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", source_col: str = "
         & (F.col("__words") == F.col("__size"))
     )
     taken = freeze(taken)
-    joined = docs.withColumn("__words", size).join(taken.where("__sum > 0"), same)
+    taking = taken.where("__sum > 0")
+    joined = docs.withColumn("__words", size).join(broadcast_rows(taking, taking.count(), BROADCAST_UNITS), same)
     times = F.col("__sum")
     if not taken.where("__n > 1").isEmpty():
         place = F.row_number().over(Window.partitionBy("__id", "__source", "__size").orderBy(F.lit(1)))
