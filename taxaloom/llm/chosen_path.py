@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import zlib
+from collections import defaultdict
 from collections.abc import Callable, Iterator
 from functools import reduce
 
@@ -14,7 +15,7 @@ from pyspark.sql.types import BinaryType, LongType, StructType
 
 from taxaloom.session import broadcast_rows, freeze
 
-from .common import per_text, text_of
+from .common import per_text, release, text_of
 from .components import components
 from .shingles import U, digest_of, linked, mix, sets_of, signature
 
@@ -30,14 +31,15 @@ DEPTH = 24
 #: Members of a node that are compared in one piece.
 BLOCK = 512
 #: Bytes of shingle sets, and pairs, that are confirmed in one piece on average; blocks that are dealt into at least.
-CELL_BYTES, CELL_PAIRS, FEWEST_BLOCKS = 8 << 20, 50_000, 6
+CELL_BYTES, CELL_PAIRS, FEWEST_BLOCKS = 4 << 20, 50_000, 6
 #: Keys whose texts are picked through a broadcast; more are joined by an exchange.
 BROADCAST_KEYS = 1_000_000
 
 _NODES = StructType().add("node", "long").add("root", "integer").add("cls", "binary").add("label", "binary")
 _CHILDREN = StructType([*_NODES.fields]).add("parent", "long")
 _PAIRS = StructType().add("a", "binary").add("b", "binary")
-_DEALT = StructType().add("cell", "long").add("a", "binary").add("b", "binary")
+_DEALT = StructType().add("cell", "long").add("pairs", "binary").add("classes", "binary")
+_NEEDED = StructType().add("cell", "long").add("cls", "binary")
 #: Length of a class's name, a digest of its set.
 CLASS_BYTES = 16
 
@@ -165,6 +167,7 @@ def _compared(least: int) -> Callable:
                 out = []
         if out:
             yield _packed(out)
+        release()
 
     return run
 
@@ -188,44 +191,65 @@ def _named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _dealt(blocks: int) -> Callable:
-    """(a, partners) -> (cell, a, partners) by the blocks of both, and once per task (cell, class) of those named there."""
+    """(a, partners) -> (cell, pairs, classes): by the blocks of both ends; few rows per task and cell, packed."""
 
     def block(name: bytes) -> int:
         return zlib.crc32(name) % blocks
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        needed: set[tuple[int, bytes]] = set()
+        pairs: dict[int, bytearray] = defaultdict(bytearray)
+        classes: dict[int, set[bytes]] = defaultdict(set)
+        held = 0
+
+        def flush() -> pa.RecordBatch:
+            columns = [list(pairs), [bytes(x) for x in pairs.values()], [b"".join(classes[c]) for c in pairs]]
+            pairs.clear()
+            classes.clear()
+            return pa.RecordBatch.from_arrays(
+                [pa.array(c, f.type) for c, f in zip(columns, _arrow(_DEALT), strict=True)], schema=_arrow(_DEALT)
+            )
+
         for batch in batches:
-            rows: list[tuple] = []
             for a, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                own, cells = block(a), {}
+                own = block(a)
                 for b in _split(packed):
                     other = block(b)
-                    cells.setdefault(min(own, other) * blocks + max(own, other), []).append(b)
-                for cell, partners in cells.items():
-                    rows.append((cell, a, b"".join(partners)))
-                    needed.update((cell, x) for x in (a, *partners))
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _arrow(_DEALT), strict=True)], schema=_arrow(_DEALT))
-        if needed:
-            columns = [*zip(*needed, strict=True), [None] * len(needed)]
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _arrow(_DEALT), strict=True)], schema=_arrow(_DEALT))
+                    cell = min(own, other) * blocks + max(own, other)
+                    pairs[cell] += a + b
+                    classes[cell].add(a)
+                    classes[cell].add(b)
+                held += len(packed)
+            if held > 4 << 20:
+                yield flush()
+                held = 0
+        if pairs:
+            yield flush()
 
     return run
 
 
+def _distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(cell, classes) -> (cell, cls), each once per cell."""
+    for rows in _runs(batches):
+        found = {x for packed in rows.column(1).to_pylist() for x in _split(packed)}
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([rows.column(0)[0].as_py()] * len(found)), pa.array(list(found), pa.binary())], names=["cell", "cls"]
+        )
+
+
 def _confirmed(percent: int) -> Callable:
-    """(cell, a, partners, shingles): sets have no partners. Links of each cell by full sets, but for those within what is linked already."""
+    """(cell, cls, pairs, shingles): sets have no pairs. Links of each cell by full sets, but for those within what is linked already."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _runs(batches):
             sets: dict[bytes, np.ndarray] = {}
             pairs = []
-            for a, b, shingles in zip(*(rows.column(i).to_pylist() for i in (1, 2, 3)), strict=True):
-                if b is None:
-                    sets[a] = np.frombuffer(shingles, U)
+            for name, packed, shingles in zip(*(rows.column(i).to_pylist() for i in (1, 2, 3)), strict=True):
+                if packed is None:
+                    sets[name] = np.frombuffer(shingles, U)
                 else:
-                    pairs += [(a, x) for x in _split(b)]
+                    both = _split(packed)
+                    pairs += zip(both[::2], both[1::2], strict=True)
             parent = {x: x for x in sets}
 
             def root(x: bytes, parent: dict = parent) -> bytes:
@@ -241,6 +265,7 @@ def _confirmed(percent: int) -> Callable:
                     links.append((a, b))
             if links:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*links, strict=True)], schema=_arrow(_PAIRS))
+        release()
 
     return run
 
@@ -310,11 +335,13 @@ class _Join:
         many = (pairs.agg(F.sum(F.octet_length("b"))).first()[0] or 0) / CLASS_BYTES
         blocks = math.ceil(max(size / CELL_BYTES, math.sqrt(2 * many / CELL_PAIRS), FEWEST_BLOCKS))
         dealt = freeze(pairs.mapInArrow(_dealt(blocks), _DEALT))
-        needed = freeze(dealt.where("b IS NULL").select("cell", F.col("a").alias("cls")).distinct())
+        by_cell = dealt.select("cell", "classes").repartition("cell").sortWithinPartitions("cell")
+        needed = freeze(by_cell.mapInArrow(_distinct, _NEEDED))
+        nothing = F.lit(None).cast("binary")
         sent = sets.join(broadcast_rows(needed, needed.count(), BROADCAST_KEYS), "cls").select(
-            "cell", F.col("cls").alias("a"), F.lit(None).cast("binary").alias("b"), "shingles"
+            "cell", "cls", nothing.alias("pairs"), "shingles"
         )
-        both = dealt.where("b IS NOT NULL").withColumn("shingles", F.lit(None).cast("binary")).unionByName(sent)
+        both = dealt.select("cell", nothing.alias("cls"), "pairs", nothing.alias("shingles")).unionByName(sent)
         return freeze(both.repartition("cell").sortWithinPartitions("cell").mapInArrow(_confirmed(percent), _PAIRS))
 
     def starred(self) -> DataFrame:
