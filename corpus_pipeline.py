@@ -13,26 +13,31 @@ from taxaloom.session import freeze
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the factorization machine scores 0.3 or more go; the others stay as they are."""
+    Q.small_batches(spark)
     return tox.without_toxic(docs, tox.train(docs, table(spark, sf_dir, "labels")))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines on more than a twentieth of their source's documents go; every document stays."""
+    Q.small_batches(spark)
     return lines.line_dedup(docs).withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group linked by five-word shingles at a similarity of 0.8 or more stays."""
+    Q.small_batches(spark)
     return chosen_path.without_near_duplicates(docs, words=5, percent=80)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources weigh 3, 1, 2 in turn and share 150 % of all words; documents repeat up to twice."""
+    Q.small_batches(spark)
     return mixing.mixed_documents(docs)
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every document that is left, and whether decoding gives its text back."""
+    Q.small_batches(spark)
     return viterbi.encode(docs, Q.piece_model())
 
 

@@ -12,11 +12,23 @@ from .common import table
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
 
+#: Rows of whole texts that go to a Python worker at once; the setting's default of 10,000 is meant for short rows.
+BATCH_ROWS = "1000"
+
+
+def small_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+
 
 def query(name: str, sql: str | None = None):
     def add(fn):
         assert name not in QUERIES, name
-        QUERIES[name] = fn
+
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            small_batches(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLE[name] = sql
         return fn
