@@ -55,22 +55,24 @@ def merged_count(chunk: str, pieces: Pieces) -> int:
 
 
 @lru_cache(maxsize=4)
-def _memo(path: str) -> Memo:
+def _memo(path: str, remember: int = 100_000) -> Memo:
     pieces = load(path)
-    return Memo(lambda chunk: merged_count(chunk, pieces), pieces)
+    return Memo(lambda chunk: merged_count(chunk, pieces), pieces, remember)
 
 
-def token_counts(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def token_counts(
+    docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text", remember: int = 100_000
+) -> DataFrame:
     """``id, n_bytes, n_tokens`` per row of ``docs``.
 
     Nulls and empty texts have 0 bytes and 0 tokens; repeated rows and null
     ids are rows like any other; an empty table gives an empty result. Texts
     of any length are merged whole, chunk by chunk (see :mod:`pieces`), with
-    chunk counts remembered per worker.
+    the counts of ``remember`` chunks held per worker in each of two generations.
     """
 
     def work(texts: list[str]) -> dict:
-        memo = _memo(model)
+        memo = _memo(model, remember)
         count = memo.__getitem__
         return {
             "n_bytes": [len(t.encode()) for t in texts],

@@ -44,13 +44,13 @@ def piece_model() -> str:
 
 @query("op8_token_counts")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = bpe_count.token_counts(table(spark, sf_dir, "documents"), piece_model())
+    counts = bpe_count.token_counts(table(spark, sf_dir, "documents"), piece_model(), remember=250_000)
     return counts.withColumn("over_limit", F.col("n_tokens") > 4096)
 
 
 @query("op9_sentencepiece")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return viterbi.encode(table(spark, sf_dir, "documents"), piece_model())
+    return viterbi.encode(table(spark, sf_dir, "documents"), piece_model(), remember=250_000)
 
 
 @query(

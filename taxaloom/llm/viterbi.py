@@ -89,9 +89,9 @@ def stream_ids(blocks: Iterable[str], pieces: Pieces) -> Iterator[int]:
 
 
 @lru_cache(maxsize=4)
-def _memo(path: str) -> Memo:
+def _memo(path: str, remember: int = 100_000) -> Memo:
     pieces = load(path)
-    return Memo(lambda chunk: tuple(stream_ids((chunk,), pieces)), pieces)
+    return Memo(lambda chunk: tuple(stream_ids((chunk,), pieces)), pieces, remember)
 
 
 def ids_of(text: str, memo: Memo) -> list[int]:
@@ -104,17 +104,20 @@ def text_of_ids(ids: Iterable[int], pieces: Pieces) -> str:
     return text[1:] if text[:1] == " " else text
 
 
-def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode(
+    docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text", remember: int = 100_000
+) -> DataFrame:
     """``id, n_pieces, ids, round_trip`` per row; ``round_trip``: decoding gives the text back exactly.
 
     Nulls and empty texts have no ids. Repeated rows and null ids are rows like
     any other; an empty table gives an empty result. The format itself writes a
     space mark like a space, so a text that has the mark U+2581 doesn't come
-    back exactly, and says so.
+    back exactly, and says so. ``remember``: chunks whose ids a worker holds in
+    each of two generations, memory against time.
     """
 
     def work(texts: list[str]) -> dict:
-        memo, pieces = _memo(model), load(model)
+        memo, pieces = _memo(model, remember), load(model)
         ids = [ids_of(t, memo) for t in texts]
         return {
             "n_pieces": [len(x) for x in ids],
