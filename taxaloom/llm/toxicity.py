@@ -15,9 +15,13 @@ from .common import LOWER, parts, per_text, release
 
 #: Hash space of the terms, factors per term, and the labelled rows a model is fitted on.
 BITS, FACTORS, MAX_ROWS = 20, 4, 20_000
-#: Terms have a weight if their share of label 1 is so many standard errors off the share of all fitted texts.
-MIN_ERRORS = 6.0
-STEPS, EPOCHS, BATCH, RATE, DECAY = 1500, 12, 256, 0.05, 2e-4
+#: Fitted texts that a term is in at least.
+MIN_TEXTS = 2
+STEPS, EPOCHS, BATCH, RATE = 1500, 12, 256, 0.05
+#: Decay of weights (over the root of the fitted rows) and of factors (over the rows of a batch) towards zero.
+DECAY_WEIGHT, DECAY_FACTOR = 0.1, 1.0
+#: Standard errors between a term's share of label 1 and that of all texts from which on its weight decays less.
+ERRORS = 2.0
 
 _EDGE = b"".join(bytes([b]) for b in range(128) if not chr(b).isalnum())
 
@@ -59,8 +63,20 @@ class Machine:
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
+def _shrunk(x: np.ndarray, by: np.ndarray) -> np.ndarray:
+    return np.sign(x) * np.maximum(np.abs(x) - by, 0)
+
+
 def fit(rows: list[tuple[list[int], int]], seed: int = 6) -> Machine:
-    """A machine for (terms, label) rows by AdaGrad on the log loss, with decay of weights and factors."""
+    """A machine for (terms, label) rows by AdaGrad on the log loss, with absolute decay of weights and factors.
+
+    Every term of ``MIN_TEXTS`` rows takes part, whatever its share of label 1:
+    each step moves its weight and factors towards zero by a constant, so that
+    only what lessens the loss stays off zero. Weights of terms whose share is
+    more than ``ERRORS`` standard errors off decay less, by the square of it;
+    factors all decay alike, so that terms without an effect of their own can
+    still count in pairs. Terms that end at zero are left out of the machine.
+    """
     y = np.array([label for _, label in rows], float)
     bias = float(np.log((y.sum() + 1) / (len(y) - y.sum() + 1)))
     counts, ones = np.zeros(1 << BITS), np.zeros(1 << BITS)
@@ -69,12 +85,15 @@ def fit(rows: list[tuple[list[int], int]], seed: int = 6) -> Machine:
         if label:
             ones[t] += 1
     p = (y.sum() + 1) / (len(y) + 2)
-    terms = np.flatnonzero(np.abs(ones - p * counts) >= MIN_ERRORS * np.sqrt(p * (1 - p) * np.maximum(counts, 1)))
+    terms = np.flatnonzero(counts >= MIN_TEXTS)
+    off = np.abs(ones - p * counts)[terms] / np.sqrt(p * (1 - p) * counts[terms])
+    decay = DECAY_WEIGHT / np.sqrt(max(len(rows), 1)) / np.maximum(off / ERRORS, 1) ** 2
+    decay_factor = DECAY_FACTOR / max(min(len(rows), BATCH), 1)
     place = np.full(1 << BITS, -1)
     place[terms] = np.arange(len(terms))
     where = [p[p >= 0] for p in (place[np.asarray(t, np.int64)] for t, _ in rows)]
     rng = np.random.default_rng(seed)
-    weight, factor = np.zeros(len(terms)), rng.normal(0, 0.01, (len(terms), FACTORS))
+    weight, factor = np.zeros(len(terms)), rng.normal(0, 0.1, (len(terms), FACTORS))
     sum_w, sum_f, sum_b = np.full(len(terms), 1e-6), np.full((len(terms), FACTORS), 1e-6), 1e-6
     for _ in range(max(EPOCHS, STEPS * BATCH // max(len(rows), BATCH))):
         order = rng.permutation(len(rows))
@@ -89,18 +108,21 @@ def fit(rows: list[tuple[list[int], int]], seed: int = 6) -> Machine:
             z = bias + np.bincount(row, weight[at], len(batch)) + 0.5 * ((total * total).sum(1) - square)
             error = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - y[batch]
             seen, inverse = np.unique(at, return_inverse=True)
-            g = np.bincount(inverse, error[row], len(seen)) / len(batch) + DECAY * weight[seen]
+            g = np.bincount(inverse, error[row], len(seen)) / len(batch)
             sum_w[seen] += g * g
-            weight[seen] -= RATE * g / np.sqrt(sum_w[seen])
+            step = RATE / np.sqrt(sum_w[seen])
+            weight[seen] = _shrunk(weight[seen] - step * g, step * decay[seen])
             pull = error[row][:, None] * (total[row] - v)
             for k in range(FACTORS):
-                g = np.bincount(inverse, pull[:, k], len(seen)) / len(batch) + DECAY * factor[seen, k]
+                g = np.bincount(inverse, pull[:, k], len(seen)) / len(batch)
                 sum_f[seen, k] += g * g
-                factor[seen, k] -= 0.1 * RATE * g / np.sqrt(sum_f[seen, k])
+                step = 0.3 * RATE / np.sqrt(sum_f[seen, k])
+                factor[seen, k] = _shrunk(factor[seen, k] - step * g, step * decay_factor)
             g = error.mean()
             sum_b += g * g
             bias -= RATE * g / np.sqrt(sum_b)
-    return Machine(float(bias), terms, weight, factor)
+    kept = (weight != 0) | factor.any(1)
+    return Machine(float(bias), terms[kept], weight[kept], factor[kept])
 
 
 def held_out(id_col: str = "doc_id"):

@@ -121,6 +121,28 @@ def test_pairs_of_terms_are_learnt():
     assert v[0] @ v[1] > 0
 
 
+def test_terms_without_an_effect_of_their_own_are_learnt():
+    """Label 1 where just one of both words is: either alone is on as many texts of both labels."""
+    rng = random.Random(1)
+    texts = []
+    for _ in range(900):
+        a, b = rng.random() < 0.5, rng.random() < 0.5
+        words = [f"w{rng.randint(0, 30)}" for _ in range(5)] + ["insult"] * a + ["group"] * b
+        texts.append((" ".join(words).encode(), int(a != b)))
+    machine = toxicity.fit([(sorted(toxicity.terms_of(t)), y) for t, y in texts[:600]])
+    memo = {}
+    assert sum((machine.score(t, memo) >= 0.5) != y for t, y in texts[600:]) < 30
+
+
+def test_few_labels_are_learnt_from(spark):
+    """64 fitted rows, of which each insult is on four at most."""
+    made = QUERIES["op6_toxicity"](spark, "/root/testdata/sf0.001").where("held_out")
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    rows = {r.doc_id: (r.predicted, r.toxic) for r in made.join(labels, "doc_id").collect()}
+    assert rows[81] == (1, 1)
+    assert sum(p == 1 and y == 0 for p, y in rows.values()) <= 1
+
+
 def test_toxicity_holds_out(spark):
     made = QUERIES["op6_toxicity"](spark, "/root/testdata/sf0.01")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
