@@ -20,7 +20,9 @@ from .components import components
 from .shingles import U, digest_of, linked, mix, sets_of, signature
 
 #: Independent trees, and branches a document takes at each node. At similarity 0.8 a tree
-#: loses a pair with a chance of 1/16 at any depth (the root of q = (0.2 + 0.8 q)^2), all six of 6e-8.
+#: loses a pair with a chance of 1/16 at any depth (the root of q = (0.2 + 0.8 q)^2), all six of 6e-8 with
+#: fresh tokens; as all draw from the same ``TOKENS``, it is the mean of ((1 - f) / f)^12 over f from
+#: Binomial(48, 0.8) / 48, 4.5e-5.
 TREES, BRANCHES = 6, 2
 #: Minwise values to branch by, and values kept as one byte each to compare documents by.
 TOKENS, BYTES = 48, 128
