@@ -22,6 +22,8 @@ EPS = 1e-9
 BROADCAST_UNITS = 1_000_000
 #: Units kept for the landing, of which all subsets are compared.
 LANDING = 12
+#: Units above so many mean sizes of their source, and above this share of its words, are drawn before the flights.
+OUTSIZED_MEANS, OUTSIZED_SHARE = 6, 0.001
 _SEED = 20
 
 
@@ -119,6 +121,46 @@ def _flown(level: int):
     return fly
 
 
+def draw_outsized(
+    sizes: list[float], words: float, target: float, most: float, rng: random.Random
+) -> tuple[list[int], float]:
+    """Takings of the units in ``sizes``, largest first, and the factor that is left for the source's other units.
+
+    Each unit is taken floor(f) times and once more with the odds that are
+    left, f being target over words of all units not drawn yet; what it takes
+    or leaves goes to those, so that the expectation of their f stays as it is.
+    Where a taking would push f below 0 or above ``most``, the one that comes
+    nearest to the target is made instead.
+    """
+    takings = []
+    for size in sizes:
+        f = min(max(target / words, 0.0), most) if words > 0 else 0.0
+        least = math.floor(f + EPS)
+        rest = words - size
+
+        def off(k: int, size=size, rest=rest) -> float:
+            left = target - k * size
+            return round(max(-left, left - most * rest, 0.0), 6)
+
+        k = least + (rng.random() < f - least - EPS)
+        if off(k) > 0:
+            k = min(range(math.floor(most + EPS) + 1), key=lambda x: (off(x), abs(x - f)))
+        takings.append(k)
+        target, words = target - k * size, rest
+    return takings, min(max(target / words, 0.0), most) if words > 0 else 0.0
+
+
+def _drawn(most: float):
+    def draw(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["size", "__h"], ascending=[False, True])
+        words, target = float(pdf["source_size"].iloc[0]), float(pdf["target"].iloc[0])
+        rng = random.Random(f"{_SEED}/outsized/{key[0]}")
+        takings, left = draw_outsized(pdf["size"].astype(float).tolist(), words, target, most, rng)
+        return pdf.assign(__base=takings, __p=0.0, __f=left)
+
+    return draw
+
+
 def word_sizes(docs: DataFrame, id_col: str, source_col: str, text_col: str) -> DataFrame:
     """``id, source, size`` per row."""
     return docs.select(
@@ -140,12 +182,19 @@ def mix(
     """``id, source, size, source_size, target, copies`` per row of ``docs``; ``copies`` is 0 to ``most``.
 
     With f = target / source size, each document is taken floor(f) times and
-    once more with the probability that is left. Those probabilities go through
+    once more with the probability that is left. Documents above
+    ``OUTSIZED_MEANS`` mean sizes and ``OUTSIZED_SHARE`` of their source's words,
+    fewer than 1 / ``OUTSIZED_SHARE`` of a source, are drawn first, since a
+    flight hardly moves them and no few other units could make up for them; the
+    words they take or leave change f for the source's other documents, and the
+    number of documents with it. The probabilities of those go through
     flights of about ``GROUP`` units of one source, larger units first, each of
     which leaves at most two units open; these meet in further flights until
-    each source has one, which lands. So a source's number of documents and
-    words are off by at most its last, smallest open units, whatever its share
-    of the rows: no task sees more than a group. Draws depend on hashes of id
+    each source has one, which lands. An open unit has no more than
+    ``OUTSIZED_MEANS`` mean sizes, for which the landing's units make up, or
+    ``OUTSIZED_SHARE`` of the words; that bounds how far a source's words are
+    off wherever its target can be met, whatever its share of the rows: no task
+    sees more than a group. Draws depend on hashes of id
     and size alone, so reruns and other partitionings agree; rows that repeat
     an id and size can stand for each other. Null ids are units like any
     other, a null text has size 0 and source null is a source. Empty sources
@@ -164,12 +213,24 @@ def mix(
         .withColumn("__p", F.greatest(F.col("__f") - F.col("__base"), F.lit(0.0)))
         .withColumn("__h", F.xxhash64(F.lit(_SEED), F.coalesce(F.col("id").cast("string"), F.lit("")), F.col("size")))
         .withColumn("__groups", F.ceil(F.col("n_units") / F.lit(GROUP)).cast("long"))
-        .drop("__of", "__f", "n_units")
+    )
+    outsized = (F.col("size") * F.col("n_units") > OUTSIZED_MEANS * F.col("source_size")) & (
+        F.col("size") > OUTSIZED_SHARE * F.col("source_size")
+    )
+    big = state.where(outsized).drop("__of", "n_units")
+    drawn = freeze(big.groupBy("source").applyInPandas(_drawn(most), big.schema))
+    left = drawn.groupBy(F.col("source").alias("__from")).agg(F.first("__f").alias("__left"))
+    state = (
+        state.where(~outsized)
+        .join(left, F.col("source").eqNullSafe(F.col("__from")), "left")
+        .withColumn("__f", F.coalesce("__left", "__f"))
+        .withColumn("__base", base.cast("long"))
+        .withColumn("__p", F.greatest(F.col("__f") - F.col("__base"), F.lit(0.0)))
     )
     is_open = (F.col("__p") >= EPS) & (F.col("__p") <= 1 - EPS)
     columns = ["id", "source", "size", "source_size", "target", "__base", "__p", "__h", "__groups"]
     state = state.select(*columns)
-    done = state.where(~is_open)
+    done = state.where(~is_open).unionByName(drawn.select(*columns))
     state = state.where(is_open)
     groups, level = math.ceil(most_units / GROUP), 0
     schema = StructType([StructField(f.name, f.dataType) for f in state.schema])

@@ -296,6 +296,37 @@ def test_mixing_meets_the_targets(spark):
     assert sorted(map(tuple, rows)) == sorted(map(tuple, again))
 
 
+@pytest.mark.parametrize("shares", [(0.1,), (0.3,), (0.2, 0.05), (0.6,)])
+def test_mixing_with_outsized_documents(spark, shares):
+    """Documents of 5 to 60 % of their source's words."""
+    rng = random.Random(8)
+    rows = []
+    for source in "abcd":
+        sizes = [rng.randint(20, 60) for _ in range(1000)]
+        words = sum(sizes) / (1 - sum(shares))
+        rows += [(len(rows) + i, "w " * n, "en", source, 0) for i, n in enumerate([*sizes, *(int(words * x) for x in shares)])]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    made = mixing.mix(docs, weights=(1,)).collect()
+    assert len(made) == len(rows) and {r.copies for r in made} <= {0, 1, 2}
+    taken = {}
+    for r in made:
+        taken[r.source, r.target] = taken.get((r.source, r.target), 0) + r.size * r.copies
+    assert len(taken) == 4
+    for (_, target), n in taken.items():
+        assert abs(n - target) <= 0.002 * target
+
+
+def test_outsized_draws_keep_expectations_and_the_target():
+    takings = np.zeros(2)
+    for seed in range(4000):
+        made, left = mixing.draw_outsized([200.0, 100.0], 1000.0, 1400.0, 2.0, random.Random(seed))
+        assert np.dot(made, [200, 100]) + left * 700 == pytest.approx(1400) and 0 <= left <= 2
+        takings += made
+    assert np.abs(takings / 4000 - 1.4).max() < 0.04
+    assert mixing.draw_outsized([900.0], 1000.0, 1900.0, 2.0, random.Random(1)) == ([2], 1.0)
+    assert mixing.draw_outsized([10.0], 10.0, 20.0, 2.0, random.Random(1)) == ([2], 0.0)
+
+
 def test_flights_of_many_groups_keep_the_totals(spark, monkeypatch):
     rng = random.Random(2)
     rows = [(i, "w " * rng.choice([0, 1, 3, 10, 40, 200]), "en", rng.choice("aaaaab"), 0) for i in range(3000)]
