@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from taxaloom.session import staging_path
 
-from . import archive, bpe_count, chosen_path, grace, lattice, lines, mixing, search, toxicity, viterbi
+from . import archive, bpe_count, chosen_path, grace, lattice, lines, mixing, packing, search, toxicity, viterbi
 from .common import table
 
 QUERIES: dict = {}
@@ -42,6 +42,20 @@ def piece_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def byte_model() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query("op13_packing")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack(table(spark, sf_dir, "documents"), byte_model())
+    return packed.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
 @query("op8_token_counts")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = bpe_count.token_counts(table(spark, sf_dir, "documents"), piece_model(), remember=250_000)
