@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from taxaloom.session import staging_path
 
-from . import archive, bpe_count, chosen_path, grace, lattice, lines, mixing, packing, search, toxicity, viterbi
+from . import archive, audit, bpe_count, chosen_path, grace, lattice, lines, mixing, packing, search, toxicity, viterbi
 from .common import table
 
 QUERIES: dict = {}
@@ -48,6 +48,52 @@ def byte_model() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+@query(
+    "op12_filter_audit",
+    r"""
+    WITH l AS (
+        SELECT doc_id, max(coalesce(quality = 1, false)::INT) AS good, max(coalesce(toxic = 1, false)::INT) AS toxic
+        FROM labels GROUP BY doc_id
+    ), t AS (
+        SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+               regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+        FROM documents
+    ), m AS (
+        SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+               (len(w) < 100)::INT
+               + 2 * (100 * len(list_distinct(w)) < 80 * len(w))::INT
+               + 4 * (100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t))::INT
+               + 8 * regexp_matches(t, '[#$%&*|]')::INT
+               + 16 * coalesce(t.doc_id > min(t.doc_id) OVER (PARTITION BY t), false)::INT AS mask
+        FROM t LEFT JOIN l ON t.doc_id = l.doc_id
+    ), n AS (
+        SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM m GROUP BY ALL
+    ), f(letter, bit) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+    o AS (
+        SELECT a.letter || b.letter || c.letter || d.letter || e.letter AS filter_order,
+               [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+        FROM f AS a JOIN f AS b ON b.bit <> a.bit JOIN f AS c ON c.bit NOT IN (a.bit, b.bit)
+        JOIN f AS d ON d.bit NOT IN (a.bit, b.bit, c.bit) JOIN f AS e ON e.bit = 31 - a.bit - b.bit - c.bit - d.bit
+    ), s AS (
+        SELECT filter_order, step, bits[step] AS bit, coalesce(list_sum(bits[1:step - 1]), 0)::INT AS before
+        FROM o, (SELECT unnest([1, 2, 3, 4, 5]) AS step)
+    )
+    SELECT part, filter_order, step,
+           sum(CASE WHEN mask & (bit | before) = 0 THEN n ELSE 0 END)::BIGINT AS kept,
+           sum(CASE WHEN mask & bit <> 0 AND mask & before = 0 THEN n ELSE 0 END)::BIGINT AS removed,
+           sum(CASE WHEN mask & bit <> 0 AND mask & before <> 0 THEN n ELSE 0 END)::BIGINT AS redundant,
+           sum(CASE WHEN mask = bit THEN n ELSE 0 END)::BIGINT AS unique_fails,
+           sum(CASE WHEN mask & bit <> 0 AND mask & before = 0 THEN good ELSE 0 END)::BIGINT AS good_lost,
+           sum(CASE WHEN mask & bit <> 0 AND mask & before = 0 THEN toxic ELSE 0 END)::BIGINT AS toxic_lost,
+           sum(CASE WHEN mask & bit <> 0 THEN n * 120 // bit_count(mask) ELSE 0 END)::BIGINT AS shapley
+    FROM n, s GROUP BY ALL
+    """,
+)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = audit.mask_counts(spark, f"{sf_dir}/documents.parquet", table(spark, sf_dir, "labels"))
+    return audit.interactions(counts)
+
+
 @query("op13_packing")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack(table(spark, sf_dir, "documents"), byte_model())
