@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from taxaloom.session import staging_path
 
-from . import archive, audit, bpe_count, chosen_path, grace, lattice, lines, mixing, packing, search, toxicity, viterbi
+from . import archive, audit, bpe_count, chosen_path, gnat, grace, lattice, lines, mixing, packing, search, toxicity, viterbi
 from .common import table
 
 QUERIES: dict = {}
@@ -48,6 +48,37 @@ def byte_model() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+@query(
+    "op11_hard_negatives",
+    """
+    WITH e AS (
+        SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+               [floor(256 * x::DOUBLE) FOR x IN embedding] AS v
+        FROM embeddings
+        WHERE label IS NOT NULL AND embedding IS NOT NULL
+              AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+    ), s AS (
+        SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+               list_inner_product(a.v, b.v)::BIGINT AS score
+        FROM e AS a JOIN e AS b ON b.vec_id <> a.vec_id WHERE a.vec_id % 100 = 0
+    ), p AS (
+        SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+    )
+    SELECT anchor_id, positive_id, id AS negative_id, positive_score, score AS negative_score,
+           row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id)::INT AS rank
+    FROM p JOIN s USING (anchor_id)
+    WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+    QUALIFY rank <= 10
+    """,
+)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").withColumn(
+        "label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    )
+    return gnat.hard_negatives(vectors, F.col("vec_id") % 100 == 0)
+
+
 @query(
     "op12_filter_audit",
     r"""
