@@ -3,18 +3,12 @@
 from __future__ import annotations
 
 import json
-from collections import Counter
 from collections.abc import Iterator
 from hashlib import blake2b
 from itertools import permutations
 
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.streaming.state import GroupState
-from pyspark.sql.types import (
-    ArrayType, IntegerType, LongType, StringType, StructField, StructType,
-)
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from taxaloom.session import staging_path
 
@@ -31,16 +25,8 @@ _TAILS = bytes(range(0x80, 0xC0))
 
 _FACTS = "id long, part string, digest binary, mask int"
 _FOLDED = "digest binary, part string, mask int, good int, toxic int, n long, least long, n_least long"
-_DELTA = "part string, mask int, good int, toxic int, n long"
-_STATE = StructType(
-    [
-        StructField("least", LongType()),
-        StructField("parts", ArrayType(StringType())),
-        StructField("good", ArrayType(IntegerType())),
-        StructField("toxic", ArrayType(IntegerType())),
-        StructField("n", ArrayType(LongType())),
-    ]
-)
+_STATE = f"{_FOLDED}, repeated long, holds boolean"
+_COUNTS = "part string, mask int, good int, toxic int, n long"
 
 
 def mask_of(text: bytes) -> int:
@@ -101,53 +87,47 @@ def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield take()
 
 
-def text_deltas(rows: list[tuple], held: tuple | None) -> tuple[list[tuple], tuple | None]:
-    """What the counters gain and lose by one micro-batch's ``rows`` of one text, and the state afterwards.
+def marked(rows: DataFrame, state: DataFrame) -> DataFrame:
+    """What one micro-batch's folded ``rows`` do to the counters and to the ``state`` of their texts.
 
-    ``rows``: (part, mask, good, toxic, n, least, n_least), ``least`` null for
-    rows without an id. State: the smallest id so far and the (part, good, toxic,
-    n) that it was counted with. When a smaller id arrives, these are taken back
-    and counted again as repeated.
+    State rows hold, per text, part and labels, how many documents were counted
+    under the text's smallest id at the time. Result: rows like the state's,
+    where ``n`` documents are counted under the mask itself and ``repeated``
+    under the mask with filter E, both negative where they are taken back;
+    ``holds`` marks the state's new rows. A text with a smaller id than before
+    has its old rows taken back, and counted again as repeated. Rows without an
+    id are never repeated. One exchange by text; a text has a row per task, part
+    and label at most.
     """
-    made, first = [], min((r[5] for r in rows if r[5] is not None), default=None)
-    least = first if held is None else held[0] if first is None else min(first, held[0])
-    kept = []
-    for part, mask, good, toxic, n, low, n_low in rows:
-        single = n if low is None else n_low if low == least else 0
-        if single:
-            made.append((part, mask, good, toxic, single))
-            if low is not None:
-                kept.append((part, good, toxic, single))
-        if n > single:
-            made.append((part, mask | REPEATED, good, toxic, n - single))
-    if held is not None and least < held[0]:
-        mask = rows[0][1]
-        for part, good, toxic, n in held[1]:
-            made.append((part, mask, good, toxic, -n))
-            made.append((part, mask | REPEATED, good, toxic, n))
-    elif held is not None:
-        kept = held[1] + kept
-    sums: Counter = Counter()
-    for part, good, toxic, n in kept:
-        sums[part, good, toxic] += n
-    return made, None if least is None else (least, [(*key, n) for key, n in sums.items()])
-
-
-def _update(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    rows = []
-    for frame in frames:
-        least = frame["least"].array
-        columns = [frame[c].tolist() for c in ("part", "mask", "good", "toxic", "n")]
-        ids = [None if pd.isna(x) else int(x) for x in least]
-        rows += zip(*columns, ids, frame["n_least"].tolist(), strict=True)
-    held = None
-    if state.exists:
-        least, names, good, toxic, n = state.get
-        held = (least, list(zip(names, good, toxic, n, strict=True)))
-    made, after = text_deltas(rows, held)
-    if after is not None and after != held:
-        state.update((after[0], *(map(list, zip(*after[1], strict=True)))))
-    yield pd.DataFrame(made, columns=["part", "mask", "good", "toxic", "n"])
+    text = Window.partitionBy("digest")
+    old = F.col("old")
+    both = rows.select("*", F.lit(False).alias("old")).unionByName(
+        state.where("holds").select(*rows.columns, F.lit(True).alias("old"))
+    )
+    first = F.col("least") == F.col("now")
+    back = old & (F.col("least") == F.col("before")) & (F.col("now") < F.col("before"))
+    single = F.when(F.col("least").isNull(), F.col("n")).when(first, F.col("n_least")).otherwise(F.lit(0))
+    return (
+        both.withColumn("now", F.min("least").over(text))
+        .withColumn("before", F.min(F.when(old, F.col("least"))).over(text))
+        .where(~old | back)
+        .select(
+            "digest", "part", "mask", "good", "toxic",
+            F.when(old, -F.col("n_least")).otherwise(single).cast("long").alias("n"),
+            "least", "n_least",
+            F.when(old, F.col("n_least")).otherwise(F.col("n") - single).cast("long").alias("repeated"),
+            (~old & F.coalesce(first, F.lit(False))).alias("holds"),
+        )
+    )
+
+
+def deltas(marks: DataFrame) -> DataFrame:
+    """Sums by part, mask and labels of what :func:`marked` counts and takes back."""
+    both = F.array(
+        F.struct(F.col("mask").alias("mask"), F.col("n").alias("n")),
+        F.struct(F.col("mask").bitwiseOR(F.lit(REPEATED)).alias("mask"), F.col("repeated").alias("n")),
+    )
+    return _sums(marks.select("part", "good", "toxic", F.explode(both).alias("d")).select("part", "d.mask", "good", "toxic", "d.n"))
 
 
 def label_bits(labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -172,61 +152,54 @@ def mask_counts(
     """``part, mask, good, toxic, n``: documents by part, failed filters and labels.
 
     The Parquet files below ``path`` arrive as ``batches`` micro-batches of an
-    available-now stream, in any order. Keyed state holds each text's smallest
-    id; the counters of every micro-batch are written under its number, so a
-    repeated micro-batch replaces its own, and summed at the end.
+    available-now stream, in any order. The state, keyed by text, is a written
+    log: every micro-batch adds the texts that it found new or with a smaller id
+    and reads what earlier ones added, so the whole log is read ``batches`` / 2
+    times. State and counters of a micro-batch are written under its number, so
+    a repeated micro-batch replaces its own; counters are summed at the end.
 
     Filter E counts a document whose text a smaller id has. Rows of one id and
     text are equally small; a row without an id is neither smaller nor larger
     than others. Null texts are empty ones, null parts the empty string. Texts
     are told apart by 128 bits of BLAKE2. An empty table gives no rows. Ids are
-    whole numbers. Labels are joined once per micro-batch.
+    whole numbers. Labels are joined once per micro-batch, to rows without text.
     """
     known = spark.read.parquet(path)
     files = len(known.inputFiles())
     work = staging_path(spark, "audit")
     label_bits(labels, id_col).write.parquet(f"{work}/labels")
-    # A session of its own: the stream's settings are not the caller's.
-    side = spark.newSession()
-    for name in ("spark.sql.shuffle.partitions", "spark.sql.session.timeZone"):
-        side.conf.set(name, spark.conf.get(name))
-    store = "spark.sql.streaming.stateStore"
-    side.conf.set(f"{store}.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    side.conf.set(f"{store}.rocksdb.changelogCheckpointing.enabled", "true")
-    side.conf.set(f"{store}.rocksdb.boundedMemoryUsage", "true")
-    side.conf.set(f"{store}.rocksdb.maxMemoryUsageMB", "256")
+    spark.createDataFrame([], _STATE).write.parquet(f"{work}/state/batch=-1")
+    spark.createDataFrame([], _COUNTS).write.parquet(f"{work}/counts/batch=-1")
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0)).alias(c)
+
+    def count(texts: DataFrame, batch: int) -> None:
+        read = texts.sparkSession.read
+        rows = (
+            texts.mapInArrow(_facts, _FACTS)
+            .join(read.parquet(f"{work}/labels"), "id", "left")
+            .select("id", "part", "digest", "mask", zero("good"), zero("toxic"))
+            .mapInArrow(_fold, _FOLDED)
+        )
+        state = read.schema(f"{_STATE}, batch int").parquet(f"{work}/state").where(F.col("batch") < batch).drop("batch")
+        here = f"{work}/state/batch={batch}"
+        marked(rows, state).write.mode("overwrite").parquet(here)
+        deltas(read.schema(_STATE).parquet(here)).write.mode("overwrite").parquet(f"{work}/counts/batch={batch}")
+
     # As a pattern the path may name a folder or one file; a plain one must be a folder.
     path = path.rstrip("/")
-    path = f"{path[:-1]}[{path[-1]}]"
     texts = (
-        side.readStream.schema(known.schema)
+        spark.readStream.schema(known.schema)
         .option("maxFilesPerTrigger", max(1, -(-files // batches)))
-        .parquet(path)
+        .parquet(f"{path[:-1]}[{path[-1]}]")
         .select(
             F.col(f"`{id_col}`").cast("long").alias("id"),
             F.coalesce(F.col(f"`{part_col}`").cast("string"), F.lit("")).alias("part"),
             F.to_binary(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")), F.lit("utf-8")).alias("text"),
         )
     )
-    marked = side.read.parquet(f"{work}/labels")
-    zero = lambda c: F.coalesce(F.col(c), F.lit(0)).alias(c)
-    deltas = (
-        texts.mapInArrow(_facts, _FACTS)
-        .join(marked, "id", "left")
-        .select("id", "part", "digest", "mask", zero("good"), zero("toxic"))
-        .mapInArrow(_fold, _FOLDED)
-        .groupBy("digest")
-        .applyInPandasWithState(_update, _DELTA, _STATE, "update", "NoTimeout")
-    )
-
-    def count(changes: DataFrame, batch: int) -> None:
-        _sums(changes).write.mode("overwrite").parquet(f"{work}/counts/batch={batch}")
-
-    spark.createDataFrame([], _DELTA).write.parquet(f"{work}/counts/batch=-1")
-    deltas.writeStream.foreachBatch(count).outputMode("update").trigger(availableNow=True).option(
-        "checkpointLocation", f"{work}/state"
-    ).start().awaitTermination()
-    return _sums(spark.read.schema(_DELTA).parquet(f"{work}/counts")).where("n <> 0")
+    stream = texts.writeStream.foreachBatch(count).trigger(availableNow=True)
+    stream.option("checkpointLocation", f"{work}/offsets").start().awaitTermination()
+    return _sums(spark.read.schema(_COUNTS).parquet(f"{work}/counts")).where("n <> 0")
 
 
 def _sums(changes: DataFrame) -> DataFrame:
