@@ -7,11 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from taxaloom.operators.ordered import quantiles_of_counts, running
-from taxaloom.session import freeze
+from taxaloom.operators.trees import clade_sums
+from taxaloom.session import broadcast_rows, freeze
 
 # Alignment flag bits.
 PAIR_PROPER, UNMAPPED, MATE_UNMAPPED, FIRST, SECOND, SECONDARY = 2, 4, 8, 64, 128, 256
 
+#: Rows of one ancestor above which its rows are joined where they are.
+HOT_ROWS = 1_000_000
+
 
 def read_stats(df: DataFrame) -> DataFrame:
     """Statistics per ``file``: counts, length summary and quartiles, N50, gaps, Q20/Q30 and GC percent.
@@ -84,38 +88,19 @@ def split_classified(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return df.filter(F.col("status") == "C"), df.filter(F.col("status") == "U")
 
 
-def ancestor_pairs(tree: DataFrame) -> DataFrame:
-    """``(taxid, ancestor)`` of every node and itself, for a ``(taxid, parent)`` tree.
-
-    Path doubling: a pair set of reach r is joined with the nodes' r-th ancestors,
-    so a tree of any depth d takes log₂ d rounds. A cycle ends with an error.
-    """
-    jump = tree.filter(F.col("parent").isNotNull()).select("taxid", "parent")
-    pairs = tree.select("taxid", F.col("taxid").alias("ancestor"))
-    reach, nodes = 1, tree.count()
-    while not jump.isEmpty():
-        if reach > nodes:
-            raise ValueError("the tree has a cycle")
-        up = jump.select(F.col("taxid").alias("ancestor"), F.col("parent").alias("_up"))
-        pairs = freeze(pairs.unionByName(pairs.join(up, "ancestor").select("taxid", F.col("_up").alias("ancestor"))))
-        higher = jump.select(F.col("taxid").alias("parent"), F.col("parent").alias("_next"))
-        jump = freeze(jump.join(higher, "parent").select("taxid", F.col("_next").alias("parent")))
-        reach *= 2
-    return pairs
-
-
-def clade_report(counts: DataFrame, tree: DataFrame, ancestors: DataFrame, unclassified=None) -> DataFrame:
+def clade_report(counts: DataFrame, tree: DataFrame, sets: DataFrame, unclassified=None) -> DataFrame:
     """``(pct, clade_reads, taxon_reads, rank_code, taxid, name)`` of every node holding reads.
 
+    ``sets`` are the tree's intervals (:func:`taxaloom.operators.trees.nested_sets`).
     ``unclassified`` (a scalar column) adds to the total the percentages refer to.
     """
-    clades = counts.join(ancestors, "taxid").groupBy("ancestor").agg(F.sum("reads").alias("clade_reads"))
+    clades = clade_sums(counts, sets, "reads").withColumnRenamed("reads", "clade_reads")
     total = counts.agg(F.sum("reads")).scalar()
     if unclassified is not None:
         total = total + unclassified
     direct = counts.select(F.col("taxid"), F.col("reads").alias("taxon_reads"))
     return (
-        tree.join(clades, tree.taxid == clades.ancestor).join(direct, "taxid", "left")
+        tree.join(clades, "taxid").join(direct, "taxid", "left")
         .select(
             (100.0 * F.col("clade_reads") / total).alias("pct"), "clade_reads",
             F.coalesce("taxon_reads", F.lit(0)).alias("taxon_reads"), "rank_code", "taxid", "name",
@@ -124,28 +109,33 @@ def clade_report(counts: DataFrame, tree: DataFrame, ancestors: DataFrame, uncla
 
 
 def reestimate(
-    report: DataFrame, ancestors: DataFrame, shares: DataFrame, levels: Sequence[str], threshold: int = 0
+    report: DataFrame, sets: DataFrame, shares: DataFrame, levels: Sequence[str], threshold: int = 0
 ) -> DataFrame:
     """Reads held above a level shared out to the taxa of that level, for all levels at once.
 
     ``shares(taxid, ancestor, share)``: expected share of a taxon's reads that
-    is only resolved to the ancestor. A taxon of the level gets, from each of its
+    is only resolved to the ancestor; rows whose ``ancestor`` isn't above the
+    taxon by ``sets`` are left out. A taxon of the level gets, from each of its
     ancestors, reads in proportion to share × its own clade reads. Returns
     ``(level, taxid, name, kraken_assigned, added, new_est, fraction)``.
     """
     at_level = report.filter(F.col("rank_code").isin(list(levels)) & (F.col("clade_reads") > threshold)).select(
         F.col("rank_code").alias("level"), "taxid", "name", F.col("clade_reads").alias("kraken_assigned")
     )
-    held = report.filter("taxon_reads > 0").select(F.col("taxid").alias("ancestor"), "taxon_reads")
-    weights = (
-        at_level.join(ancestors.filter("taxid <> ancestor"), "taxid").join(held, "ancestor")
-        .join(shares, ["taxid", "ancestor"])
-        .withColumn("_w", F.col("share") * F.col("kraken_assigned"))
+    held = report.filter("taxon_reads > 0").select("taxid", "taxon_reads").join(sets, "taxid").select(
+        F.col("taxid").alias("ancestor"), "taxon_reads", F.col("enter").alias("_from"), F.col("leave").alias("_to")
+    )
+    below = (F.col("enter") > F.col("_from")) & (F.col("enter") < F.col("_to"))
+    paired = shares.join(at_level, "taxid").join(sets.select("taxid", "enter"), "taxid").withColumn(
+        "_w", F.col("share") * F.col("kraken_assigned")
+    )
+    weights = freeze(
+        _split_join(paired, held, "ancestor").filter(below).select("level", "taxid", "ancestor", "taxon_reads", "_w")
     )
     # The weights of one ancestor are summed by aggregation: the root spans all taxa.
-    per_node = weights.groupBy("level", "ancestor").agg(F.sum("_w").alias("_total"))
+    per_node = weights.groupBy("level", "ancestor").agg(F.sum("_w").alias("_total")).filter("_total > 0")
     added = (
-        weights.join(per_node, ["level", "ancestor"]).filter("_total > 0")
+        _split_join(weights, per_node.withColumnRenamed("level", "_level"), "ancestor").filter("level = _level")
         .groupBy("level", "taxid").agg(F.sum(F.col("taxon_reads") * F.col("_w") / F.col("_total")).alias("added"))
     )
     est = at_level.join(added, ["level", "taxid"], "left").withColumn("added", F.coalesce("added", F.lit(0.0)))
@@ -155,3 +145,19 @@ def reestimate(
         "level", "taxid", "name", "kraken_assigned", "added", "new_est",
         (F.col("new_est") / F.col("_all")).alias("fraction"),
     )
+
+
+def _split_join(rows: DataFrame, nodes: DataFrame, key: str) -> DataFrame:
+    """Inner join of many ``rows`` with few ``nodes`` per ``key``; keys of more than ``HOT_ROWS`` rows are broadcast.
+
+    There are at most ``rows / HOT_ROWS`` of them; they would each be one task's work in an exchange.
+    """
+    hot = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > HOT_ROWS).select(key)
+    hot = freeze(hot)
+    if hot.isEmpty():
+        return rows.join(nodes, key)
+    few = broadcast_rows(hot, hot.count())
+    return (
+        rows.join(few, key, "left_anti").join(nodes.join(few, key, "left_anti"), key)
+        .unionByName(rows.join(broadcast_rows(nodes.join(few, key, "left_semi"), hot.count()), key))
+    )

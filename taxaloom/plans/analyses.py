@@ -17,6 +17,7 @@ from taxaloom.operators import (
     reads as R,
     testing as X,
 )
+from taxaloom.operators.trees import nested_sets
 from taxaloom.session import freeze
 
 Tables = dict[str, DataFrame]
@@ -167,10 +168,10 @@ def classification(
     assignments: DataFrame, tree: DataFrame, shares: DataFrame, levels: Sequence[str], n_unclassified: Column | None = None
 ) -> Tables:
     """Clade report and re-estimated abundances of classified reads."""
-    ancestors = R.ancestor_pairs(tree)
+    sets = freeze(nested_sets(tree))
     counts = freeze(R.taxon_counts(assignments))
-    report = freeze(R.clade_report(counts, tree, ancestors, n_unclassified))
-    return {"counts": counts, "report": report, "estimates": R.reestimate(report, ancestors, shares, levels)}
+    report = freeze(R.clade_report(counts, tree, sets, n_unclassified))
+    return {"counts": counts, "report": report, "estimates": R.reestimate(report, sets, shares, levels)}
 
 
 __all__ = [

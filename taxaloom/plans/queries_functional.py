@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F, types as Y
 
-from taxaloom.operators import functional as K, matrix as M, ordered as O, reads as R
+from taxaloom.operators import functional as K, matrix as M, ordered as O, reads as R, trees
 from taxaloom.plans.oracle import sql
 from taxaloom.plans.queries_composition import input_order
 from taxaloom.plans.queries_io import _ASSIGNMENTS, _READS, REPORT_CTES
@@ -199,7 +199,7 @@ def split_classified(spark, sf):
 )
 def clade_report(spark, sf):
     tree = T.taxonomy(spark, sf)
-    out = R.clade_report(R.taxon_counts(T.assignments(spark, sf)), tree, R.ancestor_pairs(tree))
+    out = R.clade_report(R.taxon_counts(T.assignments(spark, sf)), tree, trees.nested_sets(tree))
     return out.withColumn("pct", r6("pct", "pct"))
 
 
@@ -217,11 +217,27 @@ def deep_tree(spark, sf):
     )
     placed = freeze(O.place(nodes, ["n_regionkey"], [("taxid", False)]))
     above = placed.select(F.col("taxid").alias("parent"), "n_regionkey", (F.col("position") + 1).alias("position"))
-    pairs = R.ancestor_pairs(placed.join(above, ["n_regionkey", "position"], "left").select("taxid", "parent"))
-    depth = placed.select(F.col("taxid").alias("ancestor"), (F.col("position") + 1).alias("depth"))
-    return pairs.join(depth, "ancestor").groupBy("taxid").agg(
-        F.count(F.lit(1)).alias("n_ancestors"), F.sum("depth").alias("depth_sum")
-    )
+    tree = freeze(placed.join(above, ["n_regionkey", "position"], "left").select("taxid", "parent"))
+    depths = trees.path_sums(tree.withColumn("n_ancestors", F.lit(1).cast("bigint")), ["n_ancestors"])
+    deep = tree.join(depths, "taxid").withColumn("depth_sum", F.col("n_ancestors"))
+    return depths.join(trees.path_sums(deep, ["depth_sum"]), "taxid")
+
+
+@query(
+    "l04d_nested_sets",
+    """WITH s AS (SELECT n_regionkey, n_nationkey, count(c_custkey) AS n FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey GROUP BY ALL),
+t AS (SELECT 1 AS taxid, NULL AS parent, 0 AS enter, 1 + (SELECT count(*) FROM region) + (SELECT sum(n + 1) FROM s) AS size, 1 AS depth
+  UNION ALL SELECT 10 + r_regionkey, 1, 1 + (SELECT coalesce(sum(n + 1), 0) FROM s WHERE n_regionkey < r_regionkey) + (SELECT count(*) FROM region b WHERE b.r_regionkey < a.r_regionkey),
+    1 + (SELECT coalesce(sum(n + 1), 0) FROM s WHERE n_regionkey = r_regionkey), 2 FROM region a),
+g AS (SELECT 100 + s.n_nationkey AS taxid, t.enter + 1 + coalesce(sum(n + 1) OVER (PARTITION BY n_regionkey ORDER BY n_nationkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS enter,
+  n + 1 AS size, 3 AS depth FROM s JOIN t ON t.taxid = 10 + n_regionkey),
+c AS (SELECT 1000 + c_custkey AS taxid, g.enter + row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS enter, 1 AS size, 4 AS depth
+  FROM customer JOIN g ON g.taxid = 100 + c_nationkey)
+SELECT taxid::BIGINT AS taxid, enter::BIGINT AS enter, (enter + size)::BIGINT AS leave, depth::BIGINT AS depth
+FROM (SELECT taxid, enter, size, depth FROM t UNION ALL SELECT * FROM g UNION ALL SELECT * FROM c)""",
+)
+def nested_sets(spark, sf):
+    return trees.nested_sets(T.taxonomy(spark, sf))
 
 
 def _shares(ancestors):
@@ -242,9 +258,10 @@ SELECT level, taxid, name, kraken_assigned, round(added, 6) AS added, round(krak
   round((kraken_assigned + added) / sum(kraken_assigned + added) OVER (PARTITION BY level), 9) AS fraction FROM est""",
 )
 def reestimate(spark, sf):
-    tree, pairs = T.taxonomy(spark, sf), T.ancestors(spark, sf)
-    report = R.clade_report(R.taxon_counts(T.assignments(spark, sf)), tree, pairs)
-    out = R.reestimate(report, pairs, _shares(pairs), ["D", "G", "S"])
+    tree = T.taxonomy(spark, sf)
+    sets = freeze(trees.nested_sets(tree))
+    report = freeze(R.clade_report(R.taxon_counts(T.assignments(spark, sf)), tree, sets))
+    out = R.reestimate(report, sets, _shares(T.ancestors(spark, sf)), ["D", "G", "S"])
     return out.select(
         "level", "taxid", "name", "kraken_assigned", r6("added", "added"), r6("new_est", "new_est"),
         r6("fraction", "fraction", 9),

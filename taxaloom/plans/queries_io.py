@@ -219,10 +219,10 @@ REPORT_CTES = f"WITH RECURSIVE {_TREE}, {_ANCESTORS}, {_COUNTS}, {_REPORT}\n"
     REPORT_CTES + "SELECT round(pct, 6) AS pct, clade_reads, taxon_reads, rank_code, taxid, name FROM report",
 )
 def report_scan(spark, sf):
-    from taxaloom.operators import reads
+    from taxaloom.operators import reads, trees
 
-    counts = reads.taxon_counts(T.assignments(spark, sf))
-    report = reads.clade_report(counts, T.taxonomy(spark, sf), T.ancestors(spark, sf))
+    counts, tree = reads.taxon_counts(T.assignments(spark, sf)), T.taxonomy(spark, sf)
+    report = reads.clade_report(counts, tree, trees.nested_sets(tree))
     path = staging_path(spark, "report")
     sinks.write_table(report.withColumn("name", F.concat(F.lit("  "), "name")), path, header=False)
     return files.read_report(spark, path).withColumn("pct", r6("pct", "pct"))

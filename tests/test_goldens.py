@@ -117,14 +117,6 @@ def test_roc_has_one_point_per_value(spark, toy, toy_meta):
     assert sorted(r["threshold"] for r in X.roc(full, toy_meta, "North", "South").collect()) == [1, 2, 3, 4, 5, 6]
 
 
-def test_a_deep_tree_and_a_cycle(spark):
-    path = spark.createDataFrame([(i, i - 1 if i else None) for i in range(200)], "taxid long, parent long")
-    counts = {r["taxid"]: r["count"] for r in R.ancestor_pairs(path).groupBy("taxid").count().collect()}
-    assert counts == {i: i + 1 for i in range(200)}
-    with pytest.raises(ValueError, match="cycle"):
-        R.ancestor_pairs(spark.createDataFrame([(1, 2), (2, 3), (3, 1)], "taxid long, parent long"))
-
-
 def test_disjoint_samples_are_kept(spark):
     df = spark.createDataFrame(
         [("a", "x", 1.0), ("b", "y", 2.0), ("c", "x", 3.0)], "sample_name string, feature string, value double"
