@@ -23,17 +23,19 @@ def read_stats(df: DataFrame) -> DataFrame:
     Base counts use lengths before and after deletion of characters, so a read is
     never exploded. Quartiles and N50 come from the distinct lengths of a file.
     """
-    def count(column: str, pattern: str):
-        return F.length(column) - F.length(F.regexp_replace(column, pattern, ""))
+    def count(column: str, characters: str):
+        return F.length(column) - F.length(F.translate(column, characters, ""))
+
+    # Phred+33: quality 20 is '5', quality 30 is '?'
+    least = lambda c: "".join(map(chr, range(ord(c), 127)))
 
     length = F.length("seq").cast("bigint")
     rows = df.select(
         "file", length.alias("len"),
-        count("seq", "[GCgc]").cast("bigint").alias("gc"),
-        count("seq", r"[-. ]").cast("bigint").alias("gap"),
-        # Phred+33: quality 20 is '5', quality 30 is '?'
-        count("qual", "[5-~]").cast("bigint").alias("q20"),
-        count("qual", r"[\\?-~]").cast("bigint").alias("q30"),
+        count("seq", "GCgc").cast("bigint").alias("gc"),
+        count("seq", "-. ").cast("bigint").alias("gap"),
+        count("qual", least("5")).cast("bigint").alias("q20"),
+        count("qual", least("?")).cast("bigint").alias("q30"),
     )
     per_length = rows.groupBy("file", "len").agg(
         F.count(F.lit(1)).alias("n"), F.sum("len").alias("bases"),

@@ -181,7 +181,7 @@ def fastq_scan(spark, sf):
     T.reads(spark, sf).select("file", record.alias("value")).write.partitionBy("file").option(
         "compression", "gzip"
     ).text(path)
-    label = F.regexp_extract(F.col("_metadata.file_path"), r"file=([^/]+)/", 1)
+    label = F.regexp_extract("path", r"file=([^/]+)/", 1)
     out = files.read_fastq(spark, path, file=label)
     return out.select("file", "read_id", F.length("seq").cast("bigint").alias("len"), F.md5("seq").alias("seq"),
                       F.md5("qual").alias("qual"))

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from taxaloom.operators.ordered import running
+from taxaloom.sources.fastq import FastqSource
 
 PROFILE = T.StructType(
     [
@@ -196,33 +198,14 @@ def read_fastq(
 ) -> DataFrame:
     """FASTQ files → ``(file, read_id, seq, qual)``; compressed files are recognised by their ending.
 
-    ``file`` may derive the label of a file from its path; it is the file name otherwise.
-
-    A quality line may look like a record start, so records are found by line
-    number: lines before a block (one row per block) plus the index in the block.
-    A large plain file is therefore read by many tasks.
+    ``file`` may derive the label of a file from the column ``path``; it is the
+    file name otherwise. Plain files are read by byte ranges, each of which finds
+    its first record by itself, so reads are never exchanged (:mod:`taxaloom.sources.fastq`).
     """
-    reader = spark.read.option("pathGlobFilter", glob) if glob else spark.read
-    lines = reader.text(path).select(
-        F.col("_metadata.file_path").alias("_path"),
-        (F.col("_metadata.file_name") if file is None else file).alias("file"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_id"),
-        "value",
-    )
-    blocks = lines.groupBy("_path", "_block").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_lines"))
-    earlier = W.partitionBy("_path").orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
-    offset = F.coalesce(F.sum("_lines").over(earlier), F.lit(0)) - F.col("_first")
-    starts = blocks.select("_path", "_block", offset.alias("_offset"))
-    line = F.col("_id") + F.col("_offset")
-    # Records are regrouped by hash, so one large file spreads over all tasks.
-    numbered = lines.join(starts, ["_path", "_block"]).select(
-        "_path", "file", F.expr("(_id + _offset) div 4").alias("_record"), (line % 4).alias("_part"), "value"
-    )
-
-    def piece(i: int):
-        return F.max(F.when(F.col("_part") == i, F.col("value")))
-
-    return numbered.groupBy("_path", "file", "_record").agg(
-        F.regexp_extract(piece(0), r"^@(\S*)", 1).alias("read_id"), piece(1).alias("seq"), piece(3).alias("qual")
-    ).select("file", "read_id", "seq", "qual")
+    spark.dataSource.register(FastqSource)
+    reader = spark.read.format("fastq").option("tasks", spark.sparkContext.defaultParallelism)
+    if glob:
+        reader = reader.option("glob", glob)
+    rows = reader.option("paths", json.dumps([path] if isinstance(path, str) else list(path))).load()
+    name = F.element_at(F.split("path", "/"), -1) if file is None else file
+    return rows.select(name.alias("file"), "read_id", "seq", "qual")

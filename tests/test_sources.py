@@ -28,24 +28,6 @@ def test_sample_name_from_file_name(spark, tmp_path):
     assert sorted(r["sample_name"] for r in rows) == ["A", "B", "C", "D"]
 
 
-@pytest.mark.parametrize("zipped", [False, True])
-def test_fastq_over_many_splits(spark, tmp_path, zipped):
-    records = [(f"r{i}", "ACGT" * (i % 7 + 1), "@III" * (i % 7 + 1)) for i in range(500)]
-    text = "".join(f"@{n} 1\n{s}\n+\n{q}\n" for n, s, q in records)
-    if zipped:
-        with gzip.open(tmp_path / "a_R1.fq.gz", "wt") as out:
-            out.write(text)
-    else:
-        (tmp_path / "a_R1.fq").write_text(text)
-    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
-    try:
-        got = files.read_fastq(spark, str(tmp_path), glob="*.fq*").collect()
-    finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
-    assert sorted((r.read_id, r.seq, r.qual) for r in got) == sorted(records)
-
-
 def test_order_over_many_splits(spark, tmp_path):
     names = [f"sample{i * 7919 % 1000:04d}" for i in range(1000)]
     (tmp_path / "order.txt").write_text("\n".join(names) + "\n")
