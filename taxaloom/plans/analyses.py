@@ -111,14 +111,17 @@ def expression(
     counts = freeze(M.drop_zero_features(M.feature_key(genes, feature_type)))
     n = X.group_size(meta)
     fitted = B.dispersions(counts, meta, factors=size_kind)
-    a0, a1 = fitted[1]
     result = freeze(B.nb_glm(counts, meta, fitted=fitted))
     factors = freeze(M.size_factors(counts, n, size_kind))
     transformed = freeze(M.norm_transform(counts, factors))
-    # The stabilised value of a zero count is a constant; subtracting it keeps the table sparse.
-    stable = M.normalised(counts, factors).withColumn(
-        "value", M.vst("value", a0, a1) - M.vst(F.lit(0.0), a0, a1)
-    )
+    # The stabilised value of a zero count is a constant; subtracting it keeps the table sparse. A local trend has no
+    # closed form, so the logarithms stand in for it.
+    stable = transformed
+    if isinstance(fitted[1], tuple):
+        a0, a1 = fitted[1]
+        stable = M.normalised(counts, factors).withColumn(
+            "value", M.vst("value", a0, a1) - M.vst(F.lit(0.0), a0, a1)
+        )
     distances = freeze(P.euclidean(C.top_variable(freeze(stable), n, variable)))
     classed = X.classify(result, "log2_fold_change", sig_type, sig_thresh, logfc_thresh).na.drop(subset=["direction"])
     scores = freeze(N.pca(transformed))
@@ -132,7 +135,7 @@ def expression(
         "ma": result.select("feature", "base_mean", "log2_fold_change", "padj"),
         "pca": points,
         "pca_explained": scores.select("axis", F.round(F.col("explained") * 100, 1).alias("percent")).distinct(),
-        "ellipses": N.ellipse(points, kind="level"),
+        "ellipses": N.ellipse(points, kind="robust"),
         "distances": distances,
         "distance_order": N.leaf_order(distances, "complete"),
         "correlation": P.spearman(transformed),

@@ -203,6 +203,39 @@ def level_ellipse(spark, sf):
     return _rounded_ellipse(N.ellipse(_points(spark, sf), kind="level"))
 
 
+@query(
+    "h12c_robust_ellipse",
+    sql(
+        f""", {_POINTS}, al AS (SELECT avg(x) AS mx, avg(y) AS my, var_samp(x) AS a, var_samp(y) AS b, covar_samp(x, y) AS c FROM pts),
+th AS (SELECT mx, my, 0.5 * atan2(2 * c, a - b) AS t FROM al),
+pc AS (SELECT grp, (x - mx) * cos(t) + (y - my) * sin(t) AS x, (y - my) * cos(t) - (x - mx) * sin(t) AS y FROM pts, th),
+r0 AS (SELECT grp, count(*) AS n, avg(x) AS mx, avg(y) AS my, var_pop(x) AS a, var_pop(y) AS b, covar_pop(x, y) AS c FROM pc GROUP BY grp
+  HAVING count(*) >= 3),
+it AS (SELECT 0 AS i, * FROM r0 UNION ALL
+  SELECT i + 1, grp, n, wx, wy, a, b, c FROM (
+    SELECT i, grp, n, sum(w * x) / sum(w) AS wx, sum(w * y) / sum(w) AS wy,
+      sum(w * x * x) / sum(w) - (sum(w * x) / sum(w)) ^ 2 AS a, sum(w * y * y) / sum(w) - (sum(w * y) / sum(w)) ^ 2 AS b,
+      sum(w * x * y) / sum(w) - sum(w * x) / sum(w) * (sum(w * y) / sum(w)) AS c
+    FROM (SELECT it.i, it.grp, it.n, pc.x, pc.y,
+      7 / (5 + (b * (x - mx) ^ 2 - 2 * c * (x - mx) * (y - my) + a * (y - my) ^ 2) / (a * b - c * c)) AS w
+      FROM it JOIN pc ON pc.grp = it.grp WHERE i < 150) GROUP BY i, grp, n)),
+en AS (SELECT *, (a + b) / 2 + sqrt(((a - b) / 2) ^ 2 + c * c) AS major, (a + b) / 2 - sqrt(((a - b) / 2) ^ 2 + c * c) AS minor,
+  sqrt((n - 1) * (0.05 ^ (-2.0 / (n - 1)) - 1)) AS r FROM it WHERE i = 150)
+SELECT grp AS "group", n, round(abs(mx), 5) AS cx, round(abs(my), 5) AS cy, round(2 * r * sqrt(major), 4) AS width,
+  round(2 * r * sqrt(greatest(minor, 0)), 4) AS height FROM en""",
+        "species", "meta",
+    ).replace("WITH ", "WITH RECURSIVE ", 1),
+)
+def robust_ellipse(spark, sf):
+    """About the principal components of two phyla; an axis may point either way, so centres come without sign."""
+    long = _points(spark, sf).select("sample_name", F.inline(F.array(*[
+        F.struct(F.lit(c).alias("feature"), F.col(c).alias("value")) for c in ("pc1", "pc2")
+    ])))
+    points = M.with_group(N.axes_wide(N.pca(long)), T.metadata(spark, sf))
+    out = N.ellipse(points, kind="robust")
+    return out.select("group", "n", r6(F.abs("cx"), "cx", 5), r6(F.abs("cy"), "cy", 5), r6("width", "width", 4), r6("height", "height", 4))
+
+
 def _transformed(spark, sf):
     counts = gene_counts(spark, sf)
     return M.norm_transform(counts, _factors(spark, sf, counts))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from taxaloom.operators import matrix as M
+from taxaloom.operators.ordered import place
 from taxaloom.plans.oracle import NATIONS, sql
 from taxaloom.plans.register import query, r6
 from taxaloom.session import staging_path
@@ -357,6 +358,36 @@ def pcl_export(spark, sf):
     return sinks.to_pcl(text, _nation_groups(spark, sf), NATIONS)
 
 
+@query(
+    "b05b_matrix_lines",
+    sql(
+        """SELECT CASE name WHEN 'term' THEN 0 WHEN 'group' THEN 1 ELSE 2 END::INTEGER AS _order, name,
+  name || chr(9) || string_agg(cell, chr(9) ORDER BY n) AS line FROM (
+  SELECT n_nationkey AS n, 'term' AS name, n_name AS cell FROM nation UNION ALL
+  SELECT n_nationkey, 'group', CASE WHEN n_nationkey % 2 = 1 THEN 'treatment' ELSE 'control' END FROM nation UNION ALL
+  SELECT n_nationkey, t.term, coalesce(printf('%.3f', abundance), '0') FROM nation
+    CROSS JOIN (SELECT DISTINCT term FROM func_n) t LEFT JOIN func_n f ON f.sample_name = n_name AND f.term = t.term) GROUP BY name""",
+        "func_n",
+    ),
+)
+def matrix_lines(spark, sf):
+    """The stacked matrix as the lines of its file: header, group row, features."""
+    nation = T.table(spark, sf, "nation").select(F.col("n_name").alias("sample_name"), F.col("n_nationkey").alias("position"))
+    marks = _nation_groups(spark, sf).select("sample_name", F.lit("group").alias("name"), F.col("group").alias("level"))
+    terms = _nation_terms(spark, sf).filter("value <> 0")
+    return sinks.matrix_lines(terms, nation, "term", marks, digits=3)
+
+
+@query("a05b_wide_round_trip", sql("SELECT sample_name, term AS feature, round(abundance, 6) AS value FROM func WHERE abundance <> 0", "func"))
+def wide_round_trip(spark, sf):
+    """Terms of all suppliers, written as a matrix with one cell per supplier in every line, and read back."""
+    terms = T.functional(spark, sf).select("sample_name", "term", F.col("abundance").alias("value"))
+    names = place(terms.select("sample_name").distinct(), [], [("sample_name", False)])
+    path = staging_path(spark, "matrix")
+    sinks.write_matrix(terms, names, path, key="term")
+    return files.read_matrix(spark, path).withColumn("value", r6("value", "value"))
+
+
 @query(
     "b06_class_matrix",
     sql(

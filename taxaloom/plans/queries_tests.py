@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from taxaloom.operators import composition as C, discriminant as D, matrix as M, negbinom as B, testing as X
+from taxaloom.operators import composition as C, discriminant as D, matrix as M, negbinom as B, outliers as O, testing as X
 from taxaloom.plans.oracle import NATIONS, erfc, sql
 from taxaloom.plans.queries_composition import TESTED, _CLASSED, tested
 from taxaloom.plans.register import query, r6
+from taxaloom.session import freeze
 from taxaloom.sources import sinks, tables as T
 
 
@@ -209,6 +210,127 @@ def nb_glm(spark, sf):
     return B.nb_glm(_counts(spark, sf), T.metadata(spark, sf), factors="poscounts")
 
 
+_TRIM = "CASE WHEN n <= 3 THEN 1.0 / 3 WHEN n <= 23 THEN 0.25 ELSE 0.125 END"
+_SCALE = "CASE WHEN n <= 3 THEN 2.04 WHEN n <= 23 THEN 1.86 ELSE 1.51 END"
+# Gene counts with planted outliers: about one count in a hundred is a thousand larger.
+_PLANTED = """pc AS (SELECT sample_name, gene_id AS feature, sum(count) + max(CASE WHEN (substr(sample_name, 2)::BIGINT * 7
+  + substr(gene_id, 2)::BIGINT * 3) % 101 = 0 THEN 1000 ELSE 0 END) AS value FROM genes GROUP BY ALL),
+pd AS (SELECT f.feature, meta.sample_name, grp, coalesce(value, 0)::DOUBLE AS x, count(*) OVER (PARTITION BY f.feature, grp) AS n
+  FROM (SELECT DISTINCT feature FROM pc) f CROSS JOIN meta LEFT JOIN pc ON pc.feature = f.feature AND pc.sample_name = meta.sample_name),"""
+_COOKS = f"""{_PLANTED}
+pm AS (SELECT *, floor(n * ({_TRIM}) + 1e-9) AS cut, row_number() OVER (PARTITION BY feature, grp ORDER BY x) - 1 AS rk,
+  greatest(avg(x) OVER (PARTITION BY feature, grp), 0.5) AS mu, avg(x) OVER (PARTITION BY feature) AS m FROM pd),
+ps AS (SELECT *, avg(x) FILTER (rk >= cut AND rk < n - cut) OVER (PARTITION BY feature, grp) AS centre FROM pm),
+pe AS (SELECT *, (x - centre) ^ 2 AS e, row_number() OVER (PARTITION BY feature, grp ORDER BY (x - centre) ^ 2) - 1 AS at_e FROM ps),
+pv AS (SELECT feature, max(v) AS v FROM (SELECT feature, grp, avg(e) FILTER (at_e >= cut AND at_e < n - cut) * ({_SCALE}) AS v
+  FROM pe GROUP BY feature, grp, n HAVING n >= 3) GROUP BY 1),
+pk AS (SELECT feature, sample_name, grp, n, x, (x - mu) ^ 2 / (mu + greatest((v - m) / m ^ 2, 0.04) * mu ^ 2) / 2
+  * (1.0 / n) / (1 - 1.0 / n) ^ 2 AS cooks FROM ps JOIN pv USING (feature) WHERE n >= 3),
+pl AS (SELECT (count(*) - 2) / 2.0 * ((1 - 0.99) ^ (-2.0 / (count(*) - 2)) - 1) AS lim FROM meta),
+pf AS (SELECT pk.* FROM pk, pl WHERE cooks > lim),
+pt AS (SELECT feature, avg(x) FILTER (rk >= floor(n * 0.2 + 1e-9) AND rk < n - floor(n * 0.2 + 1e-9)) AS t FROM (
+  SELECT feature, x, row_number() OVER (PARTITION BY feature ORDER BY x) - 1 AS rk, count(*) OVER (PARTITION BY feature) AS n FROM pd) GROUP BY 1),
+pr AS (SELECT feature, sample_name, cooks, CASE WHEN n >= 7 THEN floor(t + 1e-9) END AS new_value FROM pf JOIN pt USING (feature)),"""
+
+
+def _planted(spark, sf):
+    counts = _counts(spark, sf)
+    number = lambda c: F.substring(F.col(c), 2, 20).cast("bigint")
+    far = (number("sample_name") * 7 + number("feature") * 3) % 101 == 0
+    return counts.withColumn("value", (F.col("value") + F.when(far, 1000).otherwise(0)).cast("double"))
+
+
+def _unit_cells(spark, sf):
+    """Cells without size factors and the group means: leverages are one over the group's size."""
+    samples = T.metadata(spark, sf).select(
+        "sample_name", "group", F.lit(1.0).alias("size_factor"),
+        F.when(F.col("group") == X.TREATMENT, 1.0).otherwise(0.0).alias("treated"),
+    )
+    cells = B._Cells(freeze(_planted(spark, sf)), freeze(samples))
+    return cells, freeze(B.group_means(cells.counts, cells.samples).withColumn("alpha", F.lit(0.1)))
+
+
+@query(
+    "j09b_cooks_outliers",
+    sql(f", {_COOKS.rstrip(',')} SELECT feature, sample_name, round(cooks, 6) AS cooks, new_value FROM pr", "genes", "meta"),
+)
+def cooks_outliers(spark, sf):
+    """Counts with a large Cook's distance, and what replaces them in groups of seven or more."""
+    cells, state = _unit_cells(spark, sf)
+    flags = B.cooks_outliers(cells, state)
+    new = O.replaced(cells.counts, flags, cells.samples).withColumnRenamed("value", "new_value")
+    return flags.join(new, ["feature", "sample_name"], "left").select(
+        "feature", "sample_name", r6("cooks", "cooks"), "new_value"
+    )
+
+
+@query(
+    "j09c_refitted_means",
+    sql(
+        f""", {_COOKS} pn AS (SELECT pd.feature, grp, coalesce(new_value, x) AS x FROM pd LEFT JOIN pr
+  ON pr.feature = pd.feature AND pr.sample_name = pd.sample_name WHERE pd.feature IN (SELECT feature FROM pr WHERE new_value IS NOT NULL))
+SELECT feature, round(avg(x), 6) AS base_mean, round(avg(x) FILTER (grp = 'treatment'), 6) AS q_t,
+  round(avg(x) FILTER (grp = 'control'), 6) AS q_c FROM pn GROUP BY 1 HAVING sum(x) > 0""",
+        "genes", "meta",
+    ),
+)
+def refitted_means(spark, sf):
+    """Group means of the features that had counts replaced, by the model's own Newton steps."""
+    cells, state = _unit_cells(spark, sf)
+    new = freeze(O.replaced(cells.counts, B.cooks_outliers(cells, state), cells.samples))
+    counts = freeze(O.with_replacements(cells.counts, new))
+    level = B.group_means(counts, cells.samples).withColumn("alpha", F.lit(0.1))
+    out = B.settled_means(B._Cells(counts, cells.samples), freeze(level))
+    # A mean of zero stays on the floor of the steps, a millionth of the feature's.
+    mean = lambda c: F.when(F.col(c) > F.col("base_mean") * 2e-6, F.col(c)).otherwise(0.0)
+    return out.select("feature", r6("base_mean", "base_mean"), r6(mean("q_t"), "q_t"), r6(mean("q_c"), "q_c"))
+
+
+_MOMENTS = """mo AS (SELECT feature, avg(x) AS mean, greatest((var_samp(x) - avg(x)) / avg(x) ^ 2, 1e-8) AS alpha FROM pd GROUP BY 1),
+us AS (SELECT ln(mean) AS lx, ln(alpha) AS ly, mean AS w FROM mo WHERE alpha > 1e-6),
+bo AS (SELECT min(lx) AS lo, (max(lx) - min(lx)) / 64 AS width FROM us),
+pa AS (SELECT least(floor((lx - lo) / width), 63)::INTEGER AS bin, sum(w) AS mass, sum(w * lx) / sum(w) AS x, sum(w * ly) / sum(w) AS y FROM us, bo GROUP BY 1),
+ev AS (SELECT a.bin AS pt, lo + (a.bin + 0.5) * width AS x0, b.bin, b.mass, b.x, b.y, abs(b.x - (lo + (a.bin + 0.5) * width)) AS gap FROM pa a CROSS JOIN pa b, bo),
+he AS (SELECT *, coalesce(sum(mass) OVER (PARTITION BY pt ORDER BY gap, bin ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+  < 0.7 * sum(mass) OVER (PARTITION BY pt) AS inside FROM ev),
+re AS (SELECT *, max(gap) FILTER (inside) OVER (PARTITION BY pt) AS reach FROM he),
+wt AS (SELECT pt, x0, bin, mass * (1 - (gap / (reach * 1.0001 + 1e-12)) ^ 3) ^ 3 AS weight, x, y FROM re WHERE inside)"""
+
+
+def _moments(spark, sf):
+    """Mean and moment dispersion per feature, for the trend alone."""
+    n = X.group_size(T.metadata(spark, sf))
+    stats = C.mean_variance(_planted(spark, sf), n)
+    return stats.select(
+        "mean", F.greatest((F.col("variance") - F.col("mean")) / F.pow("mean", 2), F.lit(1e-8)).alias("alpha")
+    )
+
+
+@query(
+    "j08b_local_weights",
+    sql(f", {_PLANTED} {_MOMENTS} SELECT pt AS point, bin, round(weight, 6) AS weight, round(x, 6) AS x, round(y, 6) AS y FROM wt", "genes", "meta"),
+)
+def local_weights(spark, sf):
+    """What each point of the local trend leans on, by how much."""
+    out = B.local_weights(freeze(_moments(spark, sf)))
+    return out.select(F.col("at").alias("point"), "bin", r6("weight", "weight"), r6("x", "x"), r6("y", "y"))
+
+
+@query(
+    "j08c_local_trend",
+    sql(
+        f""", {_PLANTED} {_MOMENTS}, su AS (SELECT pt, x0, sum(weight) AS sw, sum(weight * (x - x0)) AS sx, sum(weight * (x - x0) ^ 2) AS sxx,
+  sum(weight * y) AS sy, sum(weight * (x - x0) * y) AS sxy FROM wt GROUP BY ALL)
+SELECT round(x0, 6) AS log_mean, round(CASE WHEN sw * sxx - sx ^ 2 > 1e-9 * sw * sxx THEN (sxx * sy - sx * sxy) / (sw * sxx - sx ^ 2)
+  ELSE sy / sw END, 6) AS log_dispersion FROM su""",
+        "genes", "meta",
+    ),
+)
+def local_trend(spark, sf):
+    points = B.local_trend(freeze(_moments(spark, sf)))
+    return spark.createDataFrame([(round(x, 6), round(y, 6)) for x, y in points], "log_mean double, log_dispersion double")
+
+
 _IF = """base AS (SELECT feature, avg(cnt) AS m FROM dense GROUP BY 1),
 inp AS (SELECT feature, p, m FROM tested JOIN base USING (feature)),
 lo AS (SELECT count(*) FILTER (m = 0) / count(*) AS lo FROM inp),

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from taxaloom.operators.ordered import running
+from taxaloom.session import broadcast_rows
 from taxaloom.sources.fastq import FastqSource
 
 PROFILE = T.StructType(
@@ -130,32 +131,54 @@ def read_counts(spark: SparkSession, paths: str | Sequence[str], manifest: DataF
     )
 
 
-def read_pcl(spark: SparkSession, path: str, last_metadata: str) -> tuple[DataFrame, DataFrame]:
-    """A matrix with metadata rows on top → ``(features, metadata)``, both long.
+def _matrix_lines(spark: SparkSession, path: str | Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Lines of a matrix less its header, as ``(_row, cells array<string>)``; and its ``(position, sample_name)``."""
+    # Splits are not scanned in file order; the block offset puts them back.
+    row = F.struct(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
+    lines = spark.read.text(path).select(row.alias("_row"), "value").filter("value <> ''")
+    head = lines.agg(F.min_by("value", "_row").alias("value"))
+    names = head.select(F.posexplode(F.split("value", "\t")).alias("position", "sample_name")).filter("position > 0")
+    # Every part of a matrix may bring the header again.
+    body = lines.filter(F.col("value") != head.scalar()).select("_row", F.split("value", "\t").alias("cells"))
+    return body, names
+
+
+def _cells(lines: DataFrame, names: DataFrame, name: str, wanted: Callable[[Column], Column] | None = None) -> DataFrame:
+    """``sample_name, <name>, cell`` by position against the header; only ``wanted`` cells leave their line."""
+    placed = F.transform(
+        F.slice("cells", 2, F.greatest(F.size("cells") - 1, F.lit(0))),
+        lambda c, i: F.struct((i + 1).alias("position"), c.alias("cell")),
+    )
+    if wanted is not None:
+        placed = F.filter(placed, lambda e: wanted(e["cell"]))
+    rows = lines.select(F.get("cells", F.lit(0)).alias(name), F.inline(placed))
+    return rows.join(broadcast_rows(names, names.count(), 200_000), "position").select("sample_name", name, "cell")
+
+
+def read_matrix(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """A matrix of any width → its non-zero cells ``(sample_name, feature, value)``.
+
+    The header is data: cells meet it by their position, so the plan has no column
+    per sample. Cells that are no numbers are left out.
+    """
+    lines, names = _matrix_lines(spark, path)
+    cells = _cells(lines, names, "feature", lambda c: F.coalesce(c.try_cast("double") != 0, F.lit(False)))
+    return cells.select("sample_name", "feature", F.col("cell").cast("double").alias("value"))
+
+
+def read_pcl(spark: SparkSession, path: str | Sequence[str], last_metadata: str) -> tuple[DataFrame, DataFrame]:
+    """A matrix of any width with metadata rows on top → ``(features, metadata)``, both long.
 
     ``features`` is ``(sample_name, feature, value)``; ``metadata`` is
     ``(sample_name, name, level)``. ``last_metadata`` names the last metadata row.
     """
-    wide = _tsv(spark, header=True).csv(path)
-    head, *samples = wide.columns
-    # Splits are not scanned in file order; the block offset puts them back.
-    row = F.struct(
-        F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id()
-    )
-    numbered = wide.select("*", row.alias("_row"))
-    cut = numbered.filter(F.col(head) == last_metadata).select(F.min("_row").alias("r")).scalar()
-    cells = numbered.withColumn("_is_meta", F.col("_row") <= cut).select(
-        F.col(head).alias("feature"),
-        "_is_meta",
-        F.inline(
-            F.array(*[F.struct(F.lit(s).alias("sample_name"), F.col(f"`{s}`").alias("cell")) for s in samples])
-        ),
-    )
-    features = cells.filter(~F.col("_is_meta")).select(
-        "sample_name", "feature", F.col("cell").cast("double").alias("value")
+    lines, names = _matrix_lines(spark, path)
+    cut = lines.filter(F.get("cells", F.lit(0)) == last_metadata).select(F.min("_row").alias("r")).scalar()
+    marked = lines.withColumn("_is_meta", F.col("_row") <= cut)
+    features = _cells(marked.filter(~F.col("_is_meta")), names, "feature").select(
+        "sample_name", "feature", F.col("cell").try_cast("double").alias("value")
     )
-    meta = cells.filter("_is_meta").select("sample_name", F.col("feature").alias("name"), F.col("cell").alias("level"))
-    return features, meta
+    return features, _cells(marked.filter("_is_meta"), names, "name").withColumnRenamed("cell", "level")
 
 
 def read_modules(spark: SparkSession, path: str) -> DataFrame:

@@ -53,6 +53,49 @@ def write_pcl(stacked: DataFrame, path: str, key: str = "term") -> None:
     _tsv(stacked.repartitionByRange("_order", key).sortWithinPartitions("_order", key).drop("_order")).csv(path)
 
 
+def matrix_lines(
+    df: DataFrame, samples: DataFrame, key: str = "feature", metadata: DataFrame | None = None, digits: int | None = None
+) -> DataFrame:
+    """``(_order, name, line)``: a matrix of any width as text lines, header first, then metadata, then features.
+
+    ``df``: (sample_name, ``key``, value), one row per cell; ``samples``:
+    (sample_name, position from 0 without gaps); ``metadata``: (sample_name, name,
+    level). A line has as many cells as there are samples, absent ones ``0`` (empty
+    in metadata rows); it is laid out from the feature's own cells and the gaps
+    between them, so no plan has a column per sample. ``digits`` writes plain
+    decimals. Line breaks and tabs in names become spaces.
+    """
+    safe = lambda c: F.translate(F.coalesce(F.col(c).cast("string"), F.lit("")), "\t\n\r", "   ")
+    width = samples.agg(F.count(F.lit(1))).first()[0]
+
+    def laid_out(rows: DataFrame, order: int, empty: str) -> DataFrame:
+        lists = rows.groupBy("name").agg(F.array_sort(F.collect_list(F.struct("position", "cell"))).alias("c"))
+        before = F.transform("c", lambda e, i: e["position"] - F.when(i > 0, F.get("c", i - 1)["position"]).otherwise(F.lit(-1)) - 1)
+        cells = F.zip_with(before, F.col("c"), lambda gap, e: F.concat(F.repeat(F.lit(f"\t{empty}"), gap), F.lit("\t"), e["cell"]))
+        tail = F.repeat(F.lit(f"\t{empty}"), (width - 1 - F.element_at("c", -1)["position"]).cast("int"))
+        return lists.select(F.lit(order).alias("_order"), "name", F.concat("name", F.array_join(cells, ""), tail).alias("line"))
+
+    placed = samples.select("sample_name", F.col("position").cast("int").alias("position"))
+    text = F.col("value").cast("string") if digits is None else plain_decimal("value", digits)
+    features = df.join(placed, "sample_name").select(safe(key).alias("name"), "position", text.alias("cell"))
+    head = placed.select(F.lit(key).alias("name"), "position", safe("sample_name").alias("cell"))
+    lines = laid_out(head, 0, "").unionByName(laid_out(features, 2, "0"))
+    if metadata is not None:
+        marks = metadata.join(placed, "sample_name").select(safe("name").alias("name"), "position", safe("level").alias("cell"))
+        lines = lines.unionByName(laid_out(marks, 1, ""))
+    return lines
+
+
+def write_matrix(
+    df: DataFrame, samples: DataFrame, path: str, key: str = "feature", metadata: DataFrame | None = None,
+    digits: int | None = None, compression: str = "none",
+) -> None:
+    """:func:`matrix_lines` as text parts whose name order is the line order."""
+    lines = matrix_lines(df, samples, key, metadata, digits)
+    ordered = lines.repartitionByRange("_order", "name").sortWithinPartitions("_order", "name")
+    ordered.select(F.col("line").alias("value")).write.mode("overwrite").option("compression", compression).text(path)
+
+
 def to_class_matrix(df: DataFrame, meta: DataFrame, samples: Sequence[str]) -> DataFrame:
     """Group row first, then one row per clade without strain levels; samples are columns."""
     kept = df.join(meta.select("sample_name"), "sample_name", "left_semi").filter(
