@@ -10,32 +10,35 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import BinaryType, LongType, StructType
 
 from taxaloom.session import broadcast_rows, freeze
 
-from .common import per_text, release, text_of
+from .common import per_text, release, text_of, unused
 from .components import components
 from .shingles import U, digest_of, linked, mix, sets_of, signature
 
-#: Independent trees, and branches a document takes at each node. At similarity 0.8 a tree
-#: loses a pair with a chance of 1/16 at any depth (the root of q = (0.2 + 0.8 q)^2), all six of 6e-8 with
-#: fresh tokens; as all draw from the same ``TOKENS``, it is the mean of ((1 - f) / f)^12 over f from
-#: Binomial(48, 0.8) / 48, 4.5e-5.
-TREES, BRANCHES = 6, 2
+#: Independent trees, and branches that a document takes at each root.
+TREES, BRANCHES = 8, 2
+#: Below the roots one branch is taken always and a second one in a quarter of the nodes: 1.25 on average, so that
+#: pairs of similarity 0.8 keep their number from level to level and less similar ones die out. Ten levels down a
+#: branch still holds such a pair with a chance of 0.36; all 16 miss it with 0.4 % if their tokens are fresh.
+SECOND = 4
 #: Minwise values to branch by, and values kept as one byte each to compare documents by.
 TOKENS, BYTES = 48, 128
 #: A node is compared exhaustively when at most so many of its members are outside its largest known component.
 SMALL = 32
+#: Share of equal tokens from which on comparing a node's members is cheaper than branching.
+ALIKE = 0.5
 #: Levels after which the nodes left are compared exhaustively, in blocks, whatever their size.
 DEPTH = 24
 #: Members of a node that are compared in one piece.
 BLOCK = 512
 #: Bytes of shingle sets, and pairs, that are confirmed in one piece on average; blocks that are dealt into at least.
 CELL_BYTES, CELL_PAIRS, FEWEST_BLOCKS = 4 << 20, 50_000, 6
-#: Keys whose texts are picked through a broadcast; more are joined by an exchange.
-BROADCAST_KEYS = 1_000_000
+#: Rows of at most some 40 bytes that are joined by a broadcast, 8 MB; more are joined by an exchange.
+BROADCAST_KEYS = 200_000
 
 _NODES = StructType().add("node", "long").add("root", "integer").add("cls", "binary").add("label", "binary")
 _CHILDREN = StructType([*_NODES.fields]).add("parent", "long")
@@ -61,26 +64,31 @@ def _children(node: np.ndarray, coordinate: np.ndarray, tokens: np.ndarray) -> n
     return mix(mix(node ^ (coordinate.astype(U) + U(1)) * U(0xD1B54A32D192ED03)) + token).view(np.int64)
 
 
-def _branch(nodes: np.ndarray | None, tokens: np.ndarray) -> list[np.ndarray]:
-    """Next nodes of documents: by two tokens of each tree at the roots, else by two that the node's hash chooses."""
-    n = len(tokens)
-    if nodes is None:
-        return [
-            _children(np.full(n, mix(np.array([t + 1], U))[0]), np.full(n, BRANCHES * t + j), tokens)
-            for t in range(TREES)
-            for j in range(BRANCHES)
-        ]
+def _branch(nodes: np.ndarray, tokens: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of the rows that take a branch, and their next nodes, by tokens that the node's hash chooses."""
     at = nodes.view(U)
     first = (mix(at ^ U(1)) % U(TOKENS)).astype(np.int64)
+    yield np.arange(len(nodes)), _children(at, first, tokens)
     second = (first + 1 + (mix(at ^ U(2)) % U(TOKENS - 1)).astype(np.int64)) % TOKENS
-    return [_children(at, c, tokens) for c in (first, second)]
+    taken = np.flatnonzero(mix(at ^ U(3)) % U(SECOND) == 0)
+    yield taken, _children(at[taken], second[taken], tokens[taken])
+
+
+def _root_nodes(tokens: np.ndarray) -> list[np.ndarray]:
+    """Next nodes of documents at the roots, by ``BRANCHES`` tokens of each tree."""
+    n = len(tokens)
+    return [
+        _children(np.full(n, mix(np.array([t + 1], U))[0]), np.full(n, BRANCHES * t + j), tokens)
+        for t in range(TREES)
+        for j in range(BRANCHES)
+    ]
 
 
 def _roots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(cls, label, tokens) -> (node, root, cls, label)"""
     for batch in batches:
         if batch.num_rows:
-            for root, node in enumerate(_branch(None, _matrix(batch.column(2), np.uint32, TOKENS))):
+            for root, node in enumerate(_root_nodes(_matrix(batch.column(2), np.uint32, TOKENS))):
                 at = pa.array(np.full(len(node), root, np.int32))
                 yield pa.RecordBatch.from_arrays([pa.array(node), at, batch.column(0), batch.column(1)], schema=_arrow(_NODES))
 
@@ -90,8 +98,9 @@ def _deeper(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if batch.num_rows:
             tokens = _matrix(batch.column(2), np.uint32, TOKENS)
-            for node in _branch(batch.column(3).to_numpy(), tokens):
-                columns = [pa.array(node), batch.column(4), batch.column(0), batch.column(1), batch.column(3)]
+            for at, node in _branch(batch.column(3).to_numpy(), tokens):
+                rows = batch.take(pa.array(at))
+                columns = [pa.array(node), rows.column(4), rows.column(0), rows.column(1), rows.column(3)]
                 yield pa.RecordBatch.from_arrays(columns, schema=_arrow(_CHILDREN))
 
 
@@ -272,6 +281,12 @@ def _confirmed(percent: int) -> Callable:
     return run
 
 
+def _row_key(id_col: str, text: Column) -> Column:
+    """128 bits by which rows of one id and text are known; a null id is apart from any other."""
+    own = F.col(f"`{id_col}`").cast("string")
+    return F.unhex(F.md5(F.concat(F.coalesce(F.concat(F.lit("+"), own), F.lit("-")), F.lit("\0"), text)))
+
+
 class _Join:
     """One run over one table of documents."""
 
@@ -284,7 +299,7 @@ class _Join:
         self.texts = docs.select(
             F.col(f"`{id_col}`").alias("id"),
             text.alias("text"),
-            F.xxhash64(F.col(f"`{id_col}`").cast("string"), text).alias("key"),
+            _row_key(id_col, text).alias("key"),
         )
 
         def work(texts: list[bytes]) -> dict:
@@ -388,6 +403,9 @@ class _Join:
                 .where("labels > 1")
                 .select("node", "n", (F.col("n") - F.col("top.n")).alias("outside"), F.col("top.label").alias("top"))
             )
+            # Joined by broadcast where there are few nodes, so that the rows of a hot node stay spread.
+            sizes = freeze(sizes)
+            sizes = broadcast_rows(sizes, sizes.count(), BROADCAST_KEYS)
             sized = freeze(rows.join(sizes, "node").withColumn("deep", F.lit(level > 0)))
             if not level:  # the others are settled
                 mixed = sized.select("cls").distinct()
@@ -403,9 +421,14 @@ class _Join:
                 .select("cls", "label", "tokens", "node", "root")
                 .mapInArrow(_deeper, _CHILDREN)
             )
+            # The share of a node's pairs that agree in the token that it branches by.
             spread = children.groupBy("parent", "node").agg(F.count("*").alias("n"))
             together = spread.groupBy("parent").agg(F.sum(F.col("n") * F.col("n")).alias("agree"), F.sum("n").alias("all"))
-            dense = freeze(together.where(F.col("agree") * BRANCHES * BRANCHES >= F.col("all") * F.col("all")).select("parent"))
+            members = sizes.select(F.col("node").alias("parent"), F.col("n").alias("members"))
+            dense = freeze(
+                together.join(members, "parent").where(F.col("agree") >= ALIKE * F.col("members") * F.col("all")).select("parent")
+            )
+            dense = broadcast_rows(dense, dense.count(), BROADCAST_KEYS)
             leaves.append(deep.join(dense.withColumnRenamed("parent", "node"), "node", "left_semi").select(*sized.columns))
             rows = children.join(dense, "parent", "left_anti").drop("parent")
         members = reduce(DataFrame.unionByName, leaves)
@@ -437,7 +460,7 @@ class _Join:
 
 
 def _grouped(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> DataFrame:
-    """``id, key, n_shingles, label`` per row; ``label`` is null without shingles, ``key`` a hash of id and text."""
+    """``id, key, n_shingles, label`` per row; ``label`` is null without shingles, ``key`` 128 bits of id and text."""
     join = _Join(docs, id_col, text_col, words, percent)
     stars = join.starred()
     more = join.branched(components(stars))
@@ -459,7 +482,7 @@ def near_duplicates(
     links reach, ``kept`` says that it is the row's own. The join:
 
     1. Equal sets are one class, by a 128-bit digest.
-    2. Classes branch by ``BRANCHES`` minwise tokens in each of ``TREES`` trees. In
+    2. Classes branch by ``BRANCHES`` minwise tokens at each of ``TREES`` roots. In
        every node the members are compared with the first one; links found make
        first components. This settles groups of near copies of any size with one
        comparison per member and node.
@@ -506,12 +529,12 @@ def without_near_duplicates(
     first = rows.groupBy("label").agg(F.min(F.struct(F.col("id").isNull(), "id", "key")).alias("first"))
     gone = freeze(rows.join(first, "label").where(F.col("key") != F.col("first.key")).select("key").distinct())
     again = freeze(rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"))
-    key = F.xxhash64(F.col(f"`{id_col}`").cast("string"), text_of(text_col))
-    keyed = docs.withColumn("__key", key)
-    gone = gone.withColumnRenamed("key", "__key")
-    left = keyed.join(broadcast_rows(gone, gone.count(), BROADCAST_KEYS), "__key", "left_anti")
+    name = unused(docs, "__key")[0]
+    keyed = docs.withColumn(name, _row_key(id_col, text_of(text_col)))
+    gone = gone.withColumnRenamed("key", name)
+    left = keyed.join(broadcast_rows(gone, gone.count(), BROADCAST_KEYS), name, "left_anti")
     if not again.isEmpty():
-        again = again.withColumnRenamed("key", "__key")
-        repeated = left.join(again, "__key", "left_semi").dropDuplicates(["__key"])
-        left = left.join(again, "__key", "left_anti").unionByName(repeated)
+        again = again.withColumnRenamed("key", name)
+        repeated = left.join(again, name, "left_semi").dropDuplicates([name])
+        left = left.join(again, name, "left_anti").unionByName(repeated)
     return left.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -29,6 +29,17 @@ def text_of(name: str) -> Column:
     return F.coalesce(F.col(f"`{name}`").cast("string"), F.lit(""))
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """Each name with as many underscores before it as the columns of ``df``, in any case, leave free."""
+    taken = {c.lower() for c in df.columns}
+    made = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        made.append(name)
+    return made
+
+
 def words_of(text: bytes) -> list[bytes]:
     """Lower-cased words; ``bytes.split`` parts at exactly the six characters."""
     return text.translate(LOWER).split()
