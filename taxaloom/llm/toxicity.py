@@ -9,7 +9,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import ArrayType, DoubleType, IntegerType
+from pyspark.sql.types import BinaryType, DoubleType
 
 from .common import LOWER, parts, per_text, release
 
@@ -67,7 +67,7 @@ def _shrunk(x: np.ndarray, by: np.ndarray) -> np.ndarray:
     return np.sign(x) * np.maximum(np.abs(x) - by, 0)
 
 
-def fit(rows: list[tuple[list[int], int]], seed: int = 6) -> Machine:
+def fit(rows: list[tuple[np.ndarray, int]], seed: int = 6) -> Machine:
     """A machine for (terms, label) rows by AdaGrad on the log loss, with absolute decay of weights and factors.
 
     Every term of ``MIN_TEXTS`` rows takes part, whatever its share of label 1:
@@ -77,6 +77,8 @@ def fit(rows: list[tuple[list[int], int]], seed: int = 6) -> Machine:
     factors all decay alike, so that terms without an effect of their own can
     still count in pairs. Terms that end at zero are left out of the machine.
     """
+    if not rows:
+        return Machine(-np.inf, np.zeros(0, int), np.zeros(0), np.zeros((0, FACTORS)))
     y = np.array([label for _, label in rows], float)
     bias = float(np.log((y.sum() + 1) / (len(y) - y.sum() + 1)))
     counts, ones = np.zeros(1 << BITS), np.zeros(1 << BITS)
@@ -89,9 +91,9 @@ def fit(rows: list[tuple[list[int], int]], seed: int = 6) -> Machine:
     off = np.abs(ones - p * counts)[terms] / np.sqrt(p * (1 - p) * counts[terms])
     decay = DECAY_WEIGHT / np.sqrt(max(len(rows), 1)) / np.maximum(off / ERRORS, 1) ** 2
     decay_factor = DECAY_FACTOR / max(min(len(rows), BATCH), 1)
-    place = np.full(1 << BITS, -1)
+    place = np.full(1 << BITS, -1, np.int32)
     place[terms] = np.arange(len(terms))
-    where = [p[p >= 0] for p in (place[np.asarray(t, np.int64)] for t, _ in rows)]
+    where = [p[p >= 0] for p in (place[np.asarray(t, np.int32)] for t, _ in rows)]
     rng = np.random.default_rng(seed)
     weight, factor = np.zeros(len(terms)), rng.normal(0, 0.1, (len(terms), FACTORS))
     sum_w, sum_f, sum_b = np.full(len(terms), 1e-6), np.full((len(terms), FACTORS), 1e-6), 1e-6
@@ -135,7 +137,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     Held-out rows, null labels and null ids are left out. The chosen ids, at most
     ``max_rows``, are broadcast; the hashed terms of their texts come to the
-    driver, which fits the model. Without rows the model is a bias of even odds.
+    driver, which fits the model. Rows that repeat an id are rows of their own,
+    whatever their labels. Without rows nothing is known of label 1, and every
+    text scores next to zero.
     """
     chosen = (
         labels.where(~held_out(id_col) & F.col(f"`{label_col}`").isNotNull() & F.col(f"`{id_col}`").isNotNull())
@@ -149,11 +153,10 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     keyed = texts.select(F.struct("__id", "__y").alias("k"), "__t").select(
         F.concat_ws("/", F.col("k.__id").cast("string"), F.col("k.__y").cast("string")).alias("k"), F.col("__t")
     )
-    hashed = per_text(
-        keyed, "k", "__t", lambda ts: {"terms": [sorted(terms_of(t)) for t in ts]}, terms=ArrayType(IntegerType())
-    )
-    found = sorted((r.k, r.terms) for r in hashed.toLocalIterator())
-    return fit([(terms, int(k.rpartition("/")[2])) for k, terms in found])
+    packed = lambda t: np.array(sorted(terms_of(t)), np.int32).tobytes()
+    hashed = per_text(keyed, "k", "__t", lambda ts: {"terms": list(map(packed, ts))}, terms=BinaryType())
+    found = sorted((r.k, bytes(r.terms)) for r in hashed.toLocalIterator())
+    return fit([(np.frombuffer(terms, np.int32), int(k.rpartition("/")[2])) for k, terms in found])
 
 
 def toxicity(docs: DataFrame, machine: Machine, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
