@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from taxaloom.session import freeze
 
-from .common import text_of
+from .common import text_of, unused
 
 #: White space that doesn't tell lines apart.
 _EDGES = " \t\r\x0b\x0c"
@@ -57,15 +57,17 @@ def line_dedup(
         .agg(F.collect_list("__key").alias("__common"))
     )
     common = freeze(common)
-    kept = F.when(F.col("__common").isNull(), lines).otherwise(
-        F.filter(lines, lambda line: ~F.array_contains(F.col("__common"), _key(line)))
+    of, list_of, kept_lines = unused(docs, "__host", "__common", "__kept")
+    kept = F.when(F.col(list_of).isNull(), lines).otherwise(
+        F.filter(lines, lambda line: ~F.array_contains(F.col(list_of), _key(line)))
     )
-    out = docs.join(common, host.eqNullSafe(F.col("__host")), "left").withColumn("__kept", kept)
+    common = common.select(F.col("__host").alias(of), F.col("__common").alias(list_of))
+    out = docs.join(common, host.eqNullSafe(F.col(of)), "left").withColumn(kept_lines, kept)
     columns = [
-        F.array_join("__kept", "\n").alias(text_col) if c == text_col else F.col(f"`{c}`") for c in docs.columns
+        F.array_join(kept_lines, "\n").alias(text_col) if c == text_col else F.col(f"`{c}`") for c in docs.columns
     ]
     if n_lines:
         columns.append(F.size(lines).cast("long").alias(n_lines))
     if n_dropped:
-        columns.append((F.size(lines) - F.size("__kept")).cast("long").alias(n_dropped))
+        columns.append((F.size(lines) - F.size(kept_lines)).cast("long").alias(n_dropped))
     return out.select(*columns)

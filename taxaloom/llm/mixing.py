@@ -12,7 +12,7 @@ from pyspark.sql.types import StructField, StructType
 
 from taxaloom.session import broadcast_rows, freeze
 
-from .common import WORD, text_of
+from .common import WORD, text_of, unused
 
 #: Units that one flight takes at most on average.
 GROUP = 4096
@@ -259,27 +259,32 @@ def mix(
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", **how) -> DataFrame:
     """``docs`` with every row as often as :func:`mix` takes it; rows taken 0 times go.
 
-    Rows that agree in id, source and size share their takings evenly.
+    Rows that agree in id, source and size share their takings evenly; what is
+    left over goes to those whose texts have the smallest hashes.
     """
+    own = unused(docs, "__id", "__source", "__size", "__sum", "__n", "__words", "__place", "__copy")
+    of_id, of_source, of_size, total, n, words, place, copy = own
     taken = (
         mix(docs, id_col, source_col, text_col, **how)
-        .groupBy(F.col(f"`{id_col}`").alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__size"))
-        .agg(F.sum("copies").alias("__sum"), F.count("*").alias("__n"))
+        .groupBy(F.col(f"`{id_col}`").alias(of_id), F.col("source").alias(of_source), F.col("size").alias(of_size))
+        .agg(F.sum("copies").alias(total), F.count("*").alias(n))
     )
-    size = F.regexp_count(text_of(text_col), F.lit(WORD)).cast("long")
+    text = text_of(text_col)
     same = (
-        F.col(f"`{id_col}`").eqNullSafe(F.col("__id"))
-        & F.col(f"`{source_col}`").cast("string").eqNullSafe(F.col("__source"))
-        & (F.col("__words") == F.col("__size"))
+        F.col(f"`{id_col}`").eqNullSafe(F.col(of_id))
+        & F.col(f"`{source_col}`").cast("string").eqNullSafe(F.col(of_source))
+        & (F.col(words) == F.col(of_size))
     )
     taken = freeze(taken)
-    taking = taken.where("__sum > 0")
-    joined = docs.withColumn("__words", size).join(broadcast_rows(taking, taking.count(), BROADCAST_UNITS), same)
-    times = F.col("__sum")
-    if not taken.where("__n > 1").isEmpty():
-        place = F.row_number().over(Window.partitionBy("__id", "__source", "__size").orderBy(F.lit(1)))
-        joined = joined.withColumn("__place", place)
-        times = F.floor(times / F.col("__n")) + (F.col("__place") <= times % F.col("__n")).cast("long")
-    return joined.withColumn("__copy", F.explode(F.array_repeat(F.lit(1), times.cast("int")))).select(
+    taking = taken.where(F.col(total) > 0)
+    sized = docs.withColumn(words, F.regexp_count(text, F.lit(WORD)).cast("long"))
+    joined = sized.join(broadcast_rows(taking, taking.count(), BROADCAST_UNITS), same)
+    times = F.col(total)
+    if not taken.where(F.col(n) > 1).isEmpty():
+        # Their texts may differ, so a hash of the text says which of them are taken once more.
+        by_text = Window.partitionBy(of_id, of_source, of_size).orderBy(F.xxhash64(text), text)
+        joined = joined.withColumn(place, F.row_number().over(by_text))
+        times = F.floor(times / F.col(n)) + (F.col(place) <= times % F.col(n)).cast("long")
+    return joined.withColumn(copy, F.explode(F.array_repeat(F.lit(1), times.cast("int")))).select(
         *[F.col(f"`{c}`") for c in docs.columns]
     )
