@@ -26,10 +26,12 @@ SMOOTH = 0.01
 CLASSES = 7
 #: Share of a class's unseen words that the whole corpus's words get, the lattice of the class the rest.
 SHARED = 0.1
-#: Words of most occurrences that every task holds; the others are joined. Bounds the broadcast.
+#: Words of most occurrences that every task holds at most; the others are joined. Bounds the broadcast.
 FREQUENT = 250_000
 #: A task passes its word counts on when it holds so many words.
 HELD = 1_000_000
+#: Words that a task works on together at least.
+TOGETHER = 50_000
 #: Words up to this length are taken many at once.
 SHORT = 24
 
@@ -208,6 +210,19 @@ def _schema(**columns) -> StructType:
     return StructType([StructField(n, t) for n, t in columns.items()])
 
 
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows in batches of at least ``TOGETHER``: words of one length are worked on together."""
+    held, rows = [], 0
+    for batch in batches:
+        held.append(batch)
+        rows += batch.num_rows
+        if rows >= TOGETHER:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, rows = [], 0
+    if rows:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
 def _as_texts(column: pa.Array) -> list[str]:
     return [SPACE + w.decode("utf-8", "replace") for w in column.to_pylist()]
 
@@ -248,21 +263,24 @@ def _count_words(docs: DataFrame, text_col: str, group: Column, classes: int) ->
     return rows.mapInArrow(run, schema).groupBy("word").agg(F.sum("n").alias("n"), *sums)
 
 
-def _fit(words: DataFrame, model: str, classes: int) -> np.ndarray:
-    """Log probabilities of the pieces, by class, after ``ROUNDS`` passes over the words of each class."""
+def _fit(words: DataFrame, model: str, classes: int, apart: bool) -> np.ndarray:
+    """Log probabilities of the pieces after ``ROUNDS`` passes over the training words, by class if ``apart``."""
     lattice = _lattice(model)
-    logs = lattice.logs(np.repeat(lattice.start[None], classes, 0) * 1e6)
+    logs = lattice.logs(np.repeat(lattice.start[None], classes if apart else 1, 0) * 1e6)
     schema = _schema(key=LongType(), count=DoubleType())
     arrow = _arrow(schema)
     spark = words.sparkSession
     seen = F.filter(F.array(*[F.when(F.col(f"c{g}") > 0, F.lit(g)) for g in range(classes)]), lambda g: g.isNotNull())
-    rows = words.select("word", F.explode(seen).alias("g"))
+    if apart:
+        rows = words.select("word", F.explode(seen).alias("g"))
+    else:
+        rows = words.where(F.size(seen) > 0).select("word", F.lit(0).alias("g"))
     for _ in range(ROUNDS):
         shared = spark.sparkContext.broadcast(logs)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             out = np.zeros(shared.value.shape)
-            for batch in batches:
+            for batch in _gathered(batches):
                 _lattice(model).expected(_as_texts(batch.column(0)), batch.column(1).to_numpy().astype(np.int64), shared.value, out)
             at = np.flatnonzero(out)
             yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(out.ravel()[at])], schema=arrow)
@@ -278,7 +296,7 @@ def _fit(words: DataFrame, model: str, classes: int) -> np.ndarray:
 class _Model:
     """Counts, discounts and lattices of the classes, and of the whole corpus in the last place."""
 
-    def __init__(self, words: DataFrame, model: str, texts: list[int]):
+    def __init__(self, words: DataFrame, model: str, texts: list[int], apart: bool):
         self.texts = np.array(texts, float)
         k = len(texts)
         total = sum((F.col(f"c{g}") for g in range(k)), F.lit(0)).alias("c")
@@ -292,7 +310,7 @@ class _Model:
         self.prior = self.texts / max(self.texts.sum(), 1) if self.texts.sum() else np.full(k, 1 / k)
         #: Chance of a word that the class, or the corpus, hasn't seen.
         self.unseen = np.where(self.n > 0, self.discount * self.v / np.maximum(self.n, 1), 1.0)
-        self.model, self.logs = model, _fit(words, model, k)
+        self.model, self.logs = model, _fit(words, model, k, apart)
 
     def chances(self, counts: np.ndarray, lattice: np.ndarray) -> np.ndarray:
         """Log probability by class of words with the given counts by class and lattice log probabilities."""
@@ -305,7 +323,8 @@ class _Model:
             return np.logaddexp(plain, np.log(own + self.unseen[:-1] * SHARED * whole[:, None]))
 
     def words(self, column: pa.Array, counts: np.ndarray) -> np.ndarray:
-        return self.chances(counts, _lattice(self.model).scores(_as_texts(column), self.logs))
+        lattice = _lattice(self.model).scores(_as_texts(column), self.logs)
+        return self.chances(counts, np.broadcast_to(lattice, (len(lattice), len(self.prior))))
 
     def end(self) -> np.ndarray:
         """Log probability of the end, a token that only counts make likely."""
@@ -313,7 +332,7 @@ class _Model:
 
 
 def text_scores(
-    docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text", class_col: str | None = "lang"
+    docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text", class_col: str | None = "lang", apart: bool = False
 ) -> DataFrame:
     """``id, held_out, n_tokens, n_known, train_tokens, base_score, score`` per row of ``docs``.
 
@@ -331,8 +350,8 @@ def text_scores(
       ``SHARED`` of it to the words of all classes.
     - Training texts are classed by ``class_col``: its ``CLASSES`` commonest values,
       and all other values, null or a missing column as one more. Each class has
-      counts and piece weights of its own. A scored text's own value isn't
-      looked at: its probability is the sum over the classes.
+      counts of its own, and piece weights if ``apart``. A scored text's own
+      value isn't looked at: its probability is the sum over the classes.
 
     Words are counted in the tasks and summed by one exchange. Each different
     word is scored once, by a forward recursion in logarithms; the ``FREQUENT``
@@ -357,7 +376,7 @@ def text_scores(
 
     k, trained = len(texts), sum(texts)
     words = freeze(_count_words(docs, text_col, group, k))
-    fitted = _Model(words, model, texts)
+    fitted = _Model(words, model, texts, apart)
     total, known = int(fitted.n[-1]), int(fitted.v[-1])
     shared = spark.sparkContext.broadcast(fitted)
     end = fitted.end()
@@ -369,15 +388,22 @@ def text_scores(
     scored_arrow = _arrow(scored_schema)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                counts = np.stack([batch.column(2 + g).to_numpy() for g in range(k)], 1)
-                made = shared.value.words(batch.column(0), counts.astype(float))
-                columns = [batch.column(0), batch.column(1), pa.array(counts.sum(1)), *(pa.array(made[:, g]) for g in range(k))]
-                yield pa.RecordBatch.from_arrays(columns, schema=scored_arrow)
+        for batch in _gathered(batches):
+            counts = np.stack([batch.column(2 + g).to_numpy() for g in range(k)], 1)
+            made = shared.value.words(batch.column(0), counts.astype(float))
+            columns = [batch.column(0), batch.column(1), pa.array(counts.sum(1)), *(pa.array(made[:, g]) for g in range(k))]
+            yield pa.RecordBatch.from_arrays(columns, schema=scored_arrow)
 
     scored = freeze(words.mapInArrow(score, scored_schema))
-    top = scored.orderBy(F.desc("n"), "word").limit(FREQUENT).toArrow()
+    # Occurrences in steps of a sixteenth of a power of two, so that few rows tell where the commonest words begin.
+    step = F.floor(16 * F.log2(F.col("n"))).cast("int")
+    held, cut = 0, 0
+    for r in sorted(scored.groupBy(step.alias("step")).agg(F.count("*").alias("words")).collect(), reverse=True):
+        if held + r.words > FREQUENT:
+            cut = r.step + 1
+            break
+        held += r.words
+    top = scored.where(step >= cut).toArrow()
     common = spark.sparkContext.broadcast(
         (
             {w: i for i, w in enumerate(top["word"].to_pylist())},
@@ -427,9 +453,7 @@ def text_scores(
 
     looked = docs.select(key.alias("row"), F.to_binary(text_of(text_col), F.lit("utf-8")).alias("t")).mapInArrow(look_up, part)
     looked = freeze(looked)
-    rest = scored
-    if top.num_rows == FREQUENT:
-        rest = rest.where(F.col("n") <= top["n"][-1].as_py())
+    rest = scored.where(step < cut)
     tf = F.col("each.times")
     rare = (
         looked.select("row", F.explode(F.arrays_zip("words", "times")).alias("each"))

@@ -192,3 +192,51 @@ def test_random_texts_with_ties(spark):
     made = search.search(docs, docs.where("doc_id < 40"), k=5).collect()
     want = brute_search(rows, rows[:40], 5)
     assert sorted((r.query_id, r.rank, r.doc_id) for r in made) == sorted(x[:3] for x in want)
+
+
+def test_whole_scores_by_enumeration(spark, monkeypatch):
+    """Texts' log10 probabilities: classes, discounts, segmentations one by one and the end, from the definition."""
+    monkeypatch.setattr(lattice, "ROUNDS", 0)
+    rng = random.Random(8)
+    words = ["the", "then", "a", "in", "ein", "der", "theta", "rein"]
+    rows = [(i, " ".join(rng.choice(words[:5] if i % 2 else words[2:]) for _ in range(rng.randrange(7))), "en" if i % 2 else "de") for i in range(30)]
+    rows += [(31, None, "en"), (35, "THE the unseen Der", None)]
+    out = {i: zlib.crc32(str(i).encode()) % 7 == 2 for i, *_ in rows}
+    made = lattice.Lattice(load(MODEL))
+    logs = made.logs(made.start * 1e6)
+    tokens = {i: [w.decode() for w in words_of((t or "").encode())] for i, t, _ in rows}
+    sums = collections.Counter(c for i, _, c in rows if not out[i] and c)
+    classes = [c for c, _ in sorted(sums.items(), key=lambda x: (-x[1], x[0]))]
+    classes += [None] if any(c is None and not out[i] for i, _, c in rows) else []
+    counts, ends = [], []
+    for c in classes:
+        own = [i for i, _, d in rows if d == c and not out[i]]
+        counts.append(collections.Counter(w for i in own for w in tokens[i]))
+        ends.append(len(own))
+    counts.append(sum(counts, collections.Counter()))
+    ends.append(sum(ends))
+    n = [sum(c.values()) + e for c, e in zip(counts, ends, strict=True)]
+    v = [len(c) + (e > 0) for c, e in zip(counts, ends, strict=True)]
+    once, twice = ([sum(x == k for x in c.values()) + (e == k) for c, e in zip(counts, ends, strict=True)] for k in (1, 2))
+    off = [a / (a + 2 * b) if a * b else 0.5 for a, b in zip(once, twice, strict=True)]
+    unseen = [d * x / m for d, x, m in zip(off, v, n, strict=True)]
+
+    def chance(g, count, every, spelt):
+        whole = max(every - off[-1], 0) / n[-1] + unseen[-1] * spelt
+        return max(count - off[g], 0) / n[g] + unseen[g] * (lattice.SHARED * whole + (1 - lattice.SHARED) * spelt)
+
+    def word(g, w):
+        spelt = sum(math.exp(sum(logs[k] for k in s)) for s in segmentations("▁" + w, made.place))
+        return chance(g, counts[g][w], counts[-1][w], spelt)
+
+    want = {}
+    for i, *_ in rows:
+        by_class = [
+            e / ends[-1] * math.prod([word(g, w) for w in tokens[i]]) * chance(g, e, ends[-1], math.exp(-50))
+            for g, e in enumerate(ends[:-1])
+        ]
+        want[i] = math.log10(sum(by_class))
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    assert {r.doc_id: r.score for r in lattice.text_scores(df, MODEL).collect()} == pytest.approx(want)
+    apart = {r.doc_id: r.score for r in lattice.text_scores(df, MODEL, apart=True).collect()}
+    assert apart == pytest.approx(want)
