@@ -237,10 +237,24 @@ def test_archive_of_odd_rows(spark):
         target = max(same_) if len(raw) >= 1000 and same_ and max(same_) != i else None
         want.append((i, len(raw), hashlib.sha1(raw).hexdigest(), "revisit" if target else "response", target))
     assert sorted(map(str, map(tuple, made.collect()))) == sorted(map(str, want))
-    for r in records.collect():
-        head, _, rest = bytes(r.record).partition(b"\r\n\r\n")
-        assert head + b"\r\n\r\n" == bytes(r.header) and b"\r\nX-Evil" not in head
-        assert rest == (b"" if b"WARC-Type: revisit" in head else bytes(r.payload)) + b"\r\n\r\n"
+    names, responses = set(), {}
+    found = [bytes(r.record).partition(b"\r\n\r\n") for r in records.collect()]
+    for head, _, rest in found:
+        lines = head.split(b"\r\n")
+        fields = dict(x.split(b": ", 1) for x in lines[1:])
+        assert lines[0] == b"WARC/1.1" and b"X-Evil" not in fields and len(fields) == len(lines) - 1
+        assert re.fullmatch(rb"\d{4}-\d\d-\d\dT\d\d:\d\d:\d\dZ", fields[b"WARC-Date"])
+        names.add(fields[b"WARC-Record-ID"])
+        body = rest.removesuffix(b"\r\n\r\n")
+        assert len(body) == int(fields[b"Content-Length"]) == len(rest) - 4
+        if fields[b"WARC-Type"] == b"response":
+            responses[fields[b"WARC-Record-ID"]] = body
+    assert len(names) == len(pages)
+    assert sorted(responses.values()) == sorted((h or "").encode() for (_, _, h), w in zip(pages, want, strict=True) if w[3] == "response")
+    for head, _, _ in found:
+        if b"WARC-Type: revisit" in head:
+            refers = re.search(rb"WARC-Refers-To: (\S+)", head)[1]
+            assert hashlib.sha1(responses[refers]).hexdigest().encode() in head
     empty = staging_path(spark, "test")
     archive.write_archive(spark.createDataFrame([], "page_id long, url string, html string, header string, sha256 int"), empty)
     assert archive.record_facts(archive.read_records(spark, empty)).collect() == []
@@ -256,6 +270,24 @@ def test_a_changed_payload_is_found(spark):
         archive.record_facts(archive.read_records(spark, f"{path}/new")).collect()
 
 
+def test_broken_records_are_found(spark):
+    head = b"WARC/1.1\r\nWARC-Type: %s\r\nWARC-Record-ID: <urn:page:1:a:1>\r\n%sContent-Length: %d\r\n\r\n"
+    digest = b"WARC-Payload-Digest: sha1:" + hashlib.sha1(b"abc").hexdigest().encode() + b"\r\n"
+    sound = head % (b"response", digest, 3) + b"abc\r\n\r\n"
+    facts = lambda *rows: archive.record_facts(spark.createDataFrame([(bytearray(r),) for r in rows], "record binary")).collect()
+    assert facts(sound)[0].payload_bytes == 3
+    for bad in (sound[:-1], sound.replace(b"abc", b"abcd"), sound.replace(b"\r\n\r\n", b"\r\n"), b"", sound.replace(b"Length: 3", b"Length: x")):
+        with pytest.raises(Exception, match="no WARC record"):
+            facts(bad)
+    with pytest.raises(Exception, match="match its payload"):
+        facts(sound.replace(b"abc", b"abd"))
+    lost = head % (b"revisit", b"WARC-Refers-To: <urn:page:9:a:1>\r\n" + digest, 0) + b"\r\n\r\n"
+    with pytest.raises(Exception, match="isn't there"):
+        facts(sound, lost)
+    there = lost.replace(b"page:9", b"page:1")
+    assert sorted((r.record_type, r.payload_bytes, r.refers_to) for r in facts(sound, there)) == [("response", 3, None), ("revisit", 3, 1)]
+
+
 # --- mixing
 
 
@@ -366,3 +398,27 @@ def test_mixing_of_odd_rows(spark, odd, none, clashing, rows):
         key = str((r.doc_id, r.source, len(WORD.findall(r.text or ""))))
         got[key] = got.get(key, 0) + 1
     assert got == {k: v for k, v in taken.items() if v}
+
+
+INTERNAL = ("__host", "__common", "__kept", "__key", "__id", "__source", "__size", "__sum", "__n", "__words", "__place", "__copy", "__KEPT")
+
+
+def test_stages_leave_columns_with_internal_names_alone(spark, odd, rows):
+    named = odd.select("*", *[F.concat(F.lit(c), F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))).alias(c) for c in INTERNAL if c != "__KEPT"])
+    for stage in (lines.line_dedup, chosen_path.without_near_duplicates, mixing.mixed_documents):
+        made = stage(named)
+        assert made.columns == named.columns
+        got = made.collect()
+        assert all(r[c] == c + ("-" if r.doc_id is None else str(r.doc_id)) for r in got for c in made.columns[5:])
+        same(made.select(*odd.columns), stage(odd))
+
+
+def test_units_that_agree_but_for_their_text_are_drawn_alike(spark):
+    """Other partitionings and orders take the same texts."""
+    texts = [f"word{i} and more" for i in range(40)] + ["a b c"] * 3
+    df = spark.createDataFrame([(1, t, "s") for t in texts] + [(2, "x y z", "t")], "doc_id long, text string, source string")
+    takes = [
+        sorted(r.text for r in mixing.mixed_documents(d, weights=(1, 3), share=0.5).collect())
+        for d in (df.repartition(1), df.repartition(7), df.orderBy(F.desc("text")), df.repartition(3, "text"))
+    ]
+    assert takes[0] and all(t == takes[0] for t in takes)
