@@ -1,15 +1,13 @@
 """LDA effect size: bootstrap linear discriminants on sparse abundances.
 
 The discriminant direction of a replicate solves (S_w + λD)·w = gap, D being the
-feature variances. On a large cohort neither the feature × feature scatter
-matrix nor a replicate's table is ever gathered: conjugate gradients need only
-passes over the sparse rows, for all replicates at once.
+feature variances. Neither the feature × feature scatter matrix nor a replicate's
+table is ever gathered: conjugate gradients need only passes over the sparse rows,
+for all replicates at once.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from taxaloom.operators.matrix import relative
@@ -52,14 +50,12 @@ def lda_effect(
     max_rounds: int = 500,
     treatment: str = TREATMENT,
     control: str = CONTROL,
-    single_task: int = 1_000_000,
 ) -> DataFrame:
     """Signed LDA scores ``(feature, score)`` of the features passing the Kruskal–Wallis filter.
 
     Per replicate a feature scores half the sum of its raw class-mean gap and its
     gap along the unit discriminant; the mean over replicates is reported as
-    sign·log10(1 + mean), positive where the treatment is higher. A table of at
-    most ``single_task`` (sample, feature) cells is solved one replicate per task.
+    sign·log10(1 + mean), positive where the treatment is higher.
     """
     two = meta.filter(F.col("group").isin(treatment, control))
     x = relative(df.filter("value <> 0").join(two.select("sample_name"), "sample_name", "left_semi"), 1e6)
@@ -84,11 +80,9 @@ def lda_effect(
     sign = F.when(F.col("t") / n_all[treatment] >= F.col("c") / n_all[control], 1.0).otherwise(-1.0)
     features = freeze(overall.select("feature", spread.alias("sd"), sign.alias("sign")))
     x = freeze(x.join(features, "feature").select("sample_name", "feature", (F.col("x") / F.col("sd")).alias("x")))
-    p = features.count()
-    if p == 0:
+    if features.isEmpty():
         return features.select("feature", F.lit(0.0).alias("score"))
-    solve = _solve_local if p * sum(n_all.values()) <= single_task else _solve_distributed
-    mean = solve(x, features, picks, boots, n_t, n_c, ridge, max_rounds, treatment)
+    mean = _solve(x, features, picks, boots, n_t, n_c, ridge, max_rounds, treatment)
     return (
         mean.join(features, "feature")
         .select("feature", (F.col("sign") * F.log10(1 + F.col("mean"))).alias("score"))
@@ -96,34 +90,8 @@ def lda_effect(
     )
 
 
-def _solve_local(x, features, picks, boots, n_t, n_c, ridge, max_rounds, treatment) -> DataFrame:
-    """Mean replicate scores, one replicate per task: a cohort table of bounded size."""
-
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        names, f = np.unique(rows["feature"].to_numpy(dtype=object).astype(str), return_inverse=True)
-        _, i = np.unique(rows["sample_name"].to_numpy(dtype=object).astype(str), return_inverse=True)
-        m = np.zeros((i.max() + 1, len(names)))
-        m[i, f] = rows["x"].to_numpy()
-        treated = np.zeros(len(m), dtype=bool)
-        treated[i] = (rows["group"] == treatment).to_numpy()
-        sd = np.zeros(len(names))
-        sd[f] = rows["sd"].to_numpy()
-        m_t, m_c = m[treated].sum(axis=0) / n_t, m[~treated].sum(axis=0) / n_c
-        within = (m.T @ m - n_t * np.outer(m_t, m_t) - n_c * np.outer(m_c, m_c)) / (n_t + n_c - 2)
-        gap = m_t - m_c
-        w = np.linalg.solve(within + ridge * np.eye(len(names)), gap) / sd
-        raw = gap * sd
-        along = np.abs(w) * abs(w @ raw) / max(w @ w, 1e-300)
-        return pd.DataFrame({"feature": names, "score": (np.abs(raw) + along) / 2})
-
-    drawn = picks.select("sample_name", "group", F.posexplode("picks").alias("boot", "pick")).filter("pick > 0")
-    rows = x.join(features.select("feature", "sd"), "feature").join(drawn.drop("pick"), "sample_name")
-    scores = rows.groupBy("boot").applyInPandas(run, "feature string, score double")
-    return scores.groupBy("feature").agg((F.sum("score") / boots).alias("mean"))
-
-
-def _solve_distributed(x, features, picks, boots, n_t, n_c, ridge, max_rounds, treatment) -> DataFrame:
-    """The same by conjugate gradients for all replicates at once, on a cohort of any size.
+def _solve(x, features, picks, boots, n_t, n_c, ridge, max_rounds, treatment) -> DataFrame:
+    """Mean replicate scores by conjugate gradients for all replicates at once, on a cohort of any size.
 
     One product S_w·r is two passes over the sparse rows. The variant used needs
     a single reduction per round: residual norms, curvature and the products of

@@ -174,19 +174,24 @@ def densify(df: DataFrame, samples: DataFrame, features: DataFrame | None = None
 
 # -- normalisation -----------------------------------------------------------
 
-def _with_total(df: DataFrame, total: Column, key: str = "sample_name") -> DataFrame:
+def _with_total(df: DataFrame, total: Column, key: str = "sample_name", bucketed: bool = False) -> DataFrame:
     """Rows with ``_total`` of their sample: aggregate and join, so no sample sits in one task.
 
     The totals, one row per sample, are written first: with their size known the
     planner broadcasts them if they are small, and the large table is not shuffled.
+    A table ``bucketed`` by the key is summed and joined where its buckets are.
     """
-    return df.join(freeze(df.groupBy(key).agg(total.alias("_total"))), key)
+    totals = df.groupBy(key).agg(total.alias("_total"))
+    return df.join(totals if bucketed else freeze(totals), key)
 
 
-def relative(df: DataFrame, scale: float = 100.0, value: str = "value") -> DataFrame:
-    """Values scaled to a common sum per sample (100 = percent, 1e6 = per million); empty samples give 0."""
+def relative(df: DataFrame, scale: float = 100.0, value: str = "value", bucketed: bool = False) -> DataFrame:
+    """Values scaled to a common sum per sample (100 = percent, 1e6 = per million); empty samples give 0.
+
+    ``bucketed``: the table is bucketed by sample, so nothing is exchanged.
+    """
     share = F.coalesce(F.col(value) / F.nullif(F.col("_total"), F.lit(0.0)), F.lit(0.0)) * F.lit(scale)
-    return _with_total(df, F.sum(value)).withColumn(value, share).drop("_total")
+    return _with_total(df, F.sum(value), bucketed=bucketed).withColumn(value, share).drop("_total")
 
 
 def renorm_community(
@@ -269,12 +274,16 @@ def vst(c: Column | str, a0: Column | float, a1: Column | float) -> Column:
     return F.ln(inner) / F.ln(F.lit(2.0))
 
 
-def stack_scale(df: DataFrame, mode: str, by: Sequence[str] = (), floor_column: str | None = None) -> DataFrame:
+def stack_scale(
+    df: DataFrame, mode: str, by: Sequence[str] = (), floor_column: str | None = None, share_column: str | None = None
+) -> DataFrame:
     """Display heights of stacked bars: ``original``, ``totalsum`` shares or ``logstack``.
 
     ``floor_column`` names a column for the level the bars stand on: the floor in
     ``logstack``, else 0.
 
+    ``share_column`` names one for the share of the sample's sum, in ``logstack``.
+
     In ``logstack`` the bar top is log10 of the sample sum above the floor of the
     smallest non-zero sum (per ``by``), shared out by relative contribution.
     """
@@ -298,6 +307,8 @@ def stack_scale(df: DataFrame, mode: str, by: Sequence[str] = (), floor_column:
     out = out.withColumn("height", F.coalesce(F.col("value") / F.col("_sum") * F.col("_h"), F.lit(0.0)))
     for c in level:
         out = out.withColumn(c, F.col("_floor"))
+    if share_column is not None:
+        out = out.withColumn(share_column, F.coalesce(F.col("value") / F.col("_sum"), F.lit(0.0)))
     return out.drop("_sum", "_floor", "_h")
 
 

@@ -6,12 +6,14 @@ samples less the feature's non-zeros, and enter every formula in closed form.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
 from taxaloom.functions.special import chi2_upper, normal_two_sided, rank_sum_exact, t_two_sided
-from taxaloom.operators.ordered import running, value_counts
+from taxaloom.operators.ordered import quantiles_of_counts, running, value_counts
 from taxaloom.session import freeze
 
 TREATMENT, CONTROL = "treatment", "control"
@@ -317,42 +319,86 @@ def auc(df: DataFrame, meta: DataFrame, **options) -> DataFrame:
     )
 
 
+def lowess(x: list[float], y: list[float], share: float = 0.2, rounds: int = 3) -> list[float]:
+    """Robust locally weighted lines through a few points, at the points.
+
+    A point leans on its nearest ``share`` of the points by the tricube of their
+    distances; points with large residuals weigh less in each of ``rounds`` repeats.
+    """
+    xs, ys = np.asarray(x, float), np.asarray(y, float)
+    near = max(min(len(xs), int(share * len(xs) + 1e-7)), 2)
+    gaps = np.abs(xs[:, None] - xs)
+    reach = np.sort(gaps, axis=1)[:, min(near, len(xs)) - 1]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        tricube = np.where(gaps <= 0.001 * reach[:, None], 1.0, (1 - (gaps / reach[:, None]) ** 3) ** 3)
+    tricube[gaps > 0.999 * reach[:, None]] = 0
+    robust, fit = np.ones(len(xs)), ys
+    for step in range(rounds + 1):
+        w = tricube * robust
+        total = w.sum(1)
+        centre = (w * xs).sum(1) / np.where(total > 0, total, 1)
+        spread = (w * (xs - centre[:, None]) ** 2).sum(1) / np.where(total > 0, total, 1)
+        mean = (w * ys).sum(1) / np.where(total > 0, total, 1)
+        cross = (w * (xs - centre[:, None]) * ys).sum(1) / np.where(total > 0, total, 1)
+        straight = np.sqrt(spread) > 0.001 * np.ptp(xs)
+        slope = np.where(straight, cross / np.where(straight, spread, 1), 0)
+        fit = np.where(total > 0, mean + slope * (xs - centre), ys)
+        left = np.abs(ys - fit)
+        scale = 6 * np.median(left)
+        if step == rounds or scale < 1e-7 * left.mean():
+            break
+        ratio = left / scale
+        robust = np.where(ratio <= 0.001, 1.0, np.where(ratio <= 0.999, (1 - ratio**2) ** 2, 0.0))
+    return fit.tolist()
+
+
+def chosen_cut(rejections: list[int], shares: list[float], rule: str) -> int:
+    """Place of the cut-off: ``most`` takes the first one with most rejections.
+
+    ``smoothed`` takes the first one whose rejections exceed the smoothed curve's
+    maximum less one residual deviation, and the lowest where no cut-off has more
+    than ten.
+    """
+    if rule == "most":
+        return rejections.index(max(rejections))
+    if max(rejections) <= 10:
+        return 0
+    curve = lowess(shares, rejections)
+    left = [r - c for r, c in zip(rejections, curve, strict=True) if r > 0]
+    limit = max(curve) - math.sqrt(sum(d * d for d in left) / len(left))
+    return next((i for i, r in enumerate(rejections) if r > limit), 0)
+
+
 def independent_filter(
-    df: DataFrame, p: str = "pvalue", mean: str = "base_mean", alpha: float = 0.1, points: int = 50
+    df: DataFrame, p: str = "pvalue", mean: str = "base_mean", alpha: float = 0.1, points: int = 50, rule: str = "most"
 ) -> DataFrame:
-    """BH after dropping features of low mean; the cut-off is the mean quantile with the most rejections.
+    """BH after dropping features of low mean; the cut-off is a mean quantile that the rejections choose (:func:`chosen_cut`).
 
-    All cut-offs are judged in one job: a feature is copied to the cut-offs it
-    passes and the rejections are counted per cut-off from the ranks.
+    All cut-offs are judged in one pass: features that pass a cut-off pass all
+    lower ones, so each distinct p-value has one count per cut-off, and running
+    totals of these counts give the rejections. No feature is copied.
     """
     df = freeze(df)
-    low = F.count_if(F.col(mean) == 0) / F.count(F.lit(1))
+    low = F.try_divide(F.count_if(F.col(mean) == 0), F.count(F.lit(1)))
     # The grid starts at the share of all-zero features, known only at run time.
-    lowest = df.select(low.alias("lo")).scalar()
-    counted = value_counts(df.withColumn("_k", F.lit(0)), ["_k"], mean)
-    grid = counted.withColumn("_lo", lowest).withColumn("_theta", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
-    upper = F.when(F.col("_lo") < 0.95, 0.95).otherwise(1.0)
-    share = F.col("_lo") + (upper - F.col("_lo")) * F.col("_theta") / (points - 1)
-    at = (F.col("n_total") - 1) * share
-    first, last = F.col("n_before"), F.col("n_before") + F.col("n")
-    picks = grid.select(
-        "_theta", at.alias("_at"),
-        F.when((first <= F.floor(at)) & (F.floor(at) < last), F.col(mean)).alias("_a"),
-        F.when((first <= F.ceil(at)) & (F.ceil(at) < last), F.col(mean)).alias("_b"),
-    ).groupBy("_theta").agg(F.max("_at").alias("_at"), F.max("_a").alias("_a"), F.max("_b").alias("_b"))
-    cuts = picks.select(
-        "_theta", (F.col("_a") + (F.col("_at") - F.floor("_at")) * (F.col("_b") - F.col("_a"))).alias("_cut")
-    )
-    grid_row = cuts.agg(F.collect_list(F.struct("_theta", "_cut"))).scalar()
-    tested = df.filter(F.col(p).isNotNull()).select(p, mean, grid_row.alias("_grid"))
-    passed = tested.select(p, mean, F.inline("_grid")).filter(F.col(mean) >= F.col("_cut"))
-    counts = passed.groupBy("_theta", "_cut", p).agg(F.count(F.lit(1)).alias("n"))
-    ranked = running(counts, ["_theta", "_cut"], p, sums=["n"])
-    upto = F.col("n_before") + F.col("n")
-    rejected = ranked.groupBy("_theta", "_cut").agg(
-        F.coalesce(F.max(F.when(F.col(p) * F.col("n_total") / upto < alpha, upto)), F.lit(0)).alias("_rej")
-    )
-    best = rejected.select(F.max_by("_cut", F.struct("_rej", -F.col("_theta")))).scalar()
-    kept = df.withColumn("_best", best)
-    used = kept.withColumn("_p", F.when(F.col(mean) >= F.col("_best"), F.col(p))).drop("_best")
+    lowest = df.select(low.alias("lo")).first()["lo"] or 0.0
+    upper = 0.95 if lowest < 0.95 else 1.0
+    shares = [lowest + (upper - lowest) * i / (points - 1) for i in range(points)]
+    counted = freeze(value_counts(df.withColumn("_k", F.lit(0)), ["_k"], mean))
+    names = {f"q{i}": s for i, s in enumerate(shares)}
+    picks = quantiles_of_counts(counted, ["_k"], mean, names).first()
+    if picks is None:
+        return bh(df.withColumn("_p", F.col(p)), "_p", out="padj").drop("_p")
+    cuts = [picks[n] for n in names]
+    passed = [F.count_if(F.col(mean) >= c).alias(f"c{i}") for i, c in enumerate(cuts)]
+    counts = df.filter(F.col(p).isNotNull()).groupBy(F.col(p).alias("_p")).agg(*passed)
+    ranked = running(counts, [], "_p", sums=[f"c{i}" for i in range(points)])
+    found = ranked.agg(*[
+        F.max(F.when(
+            (F.col(f"c{i}") > 0) & (F.col("_p") * F.col(f"c{i}_total") / (F.col(f"c{i}_before") + F.col(f"c{i}")) < alpha),
+            F.col(f"c{i}_before") + F.col(f"c{i}"),
+        )) for i in range(points)
+    ]).first()
+    best = cuts[chosen_cut([r or 0 for r in found], shares, rule)]
+    used = df.withColumn("_p", F.when(F.col(mean) >= best, F.col(p)))
     return bh(used, "_p", out="padj").drop("_p")

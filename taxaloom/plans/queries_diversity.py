@@ -9,6 +9,7 @@ from taxaloom.plans.oracle import dealt, exact_p, sql
 from taxaloom.plans.queries_io import _ALPHA
 from taxaloom.plans.queries_tables import _SF, _factors, gene_counts
 from taxaloom.plans.register import query, r6
+from taxaloom.session import freeze
 from taxaloom.sources import tables as T
 
 
@@ -300,6 +301,23 @@ def pca_all_axes(spark, sf):
     return _rebuilt(spark, sf, N.pca(_transformed(spark, sf), T.metadata(spark, sf).count()))
 
 
+@query(
+    "h13c_pca_variable",
+    sql(
+        f""", {_NTD}, {_DENSE_NTD}, keep AS (SELECT feature FROM full_ntd GROUP BY 1 ORDER BY round(var_samp(v), 9) DESC, feature LIMIT 500)
+SELECT x.sample_name AS s1, y.sample_name AS s2, round(sqrt(sum((x.v - y.v) ^ 2)), 4) AS d
+FROM full_ntd x JOIN full_ntd y ON x.feature = y.feature AND x.sample_name < y.sample_name
+WHERE x.feature IN (SELECT feature FROM keep) GROUP BY ALL""",
+        "genes", "meta",
+    ),
+)
+def pca_variable(spark, sf):
+    """Components of the 500 most variable features."""
+    meta = T.metadata(spark, sf)
+    kept = C.top_variable(_transformed(spark, sf), X.group_size(meta), 500)
+    return _rebuilt(spark, sf, N.pca(freeze(kept), meta.count()))
+
+
 @query("h09b_pcoa_all_axes", _ALL_AXES)
 def pcoa_all_axes(spark, sf):
     """All coordinates of Euclidean distances together keep them."""

@@ -10,7 +10,8 @@ from taxaloom.plans.queries_composition import input_order
 from taxaloom.plans.queries_io import _ASSIGNMENTS, _READS, REPORT_CTES
 from taxaloom.plans.register import query, r6
 from taxaloom.session import freeze, staging_path
-from taxaloom.sources import sinks, tables as T
+from taxaloom.sources import files, joined, sinks, tables as T
+from taxaloom.sources.fastq import list_files
 from taxaloom.streaming import ingest as S
 
 
@@ -85,6 +86,29 @@ def concatenate_reads(spark, sf):
     )
 
 
+@query(
+    "k04b_joined_read_files",
+    f"SELECT file, read_id, length(seq)::BIGINT AS len, md5(seq) AS seq, md5(qual) AS qual FROM ({_READS})",
+)
+def joined_read_files(spark, sf):
+    """Each sample's reads in three gzip files, joined as bytes to one and read back."""
+    lanes, whole = staging_path(spark, "lanes"), staging_path(spark, "joined")
+    record = F.concat_ws("\n", F.concat(F.lit("@"), "read_id"), "seq", F.lit("+"), "qual").alias("value")
+    lane = F.pmod(F.xxhash64("read_id"), F.lit(3)).cast("int").alias("lane")
+    written = T.reads(spark, sf).select("file", lane, record).repartition("file", "lane")
+    written.write.partitionBy("file", "lane").option("compression", "gzip").text(lanes)
+    # The list of the files that were written, a few per sample.
+    files_of = spark.createDataFrame([(p,) for p, _ in list_files(lanes, "*.gz")], "path string").select(
+        F.regexp_extract("path", "file=([^/]+)/", 1).alias("sample_name"),
+        F.regexp_extract("path", "lane=([^/]+)/", 1).cast("int").alias("position"), "path",
+    )
+    made = freeze(joined.join_files(files_of, whole))
+    label = F.regexp_extract("path", r"([^/]+?)\.[^/]*$", 1)
+    out = files.read_fastq(spark, [r["path"] for r in made.select("path").collect()], file=label)
+    return out.select("file", "read_id", F.length("seq").cast("bigint").alias("len"), F.md5("seq").alias("seq"),
+                      F.md5("qual").alias("qual"))
+
+
 @query(
     "k05_stratified_contributions",
     sql(
@@ -317,3 +341,52 @@ def stream_pair(spark, sf):
     S.ingest(paired, out)
     schema = Y.StructType([reads.schema["sample_name"], reads.schema["reads"], totals.schema["total"]])
     return spark.read.schema(schema).parquet(out)
+
+
+def _landed(spark, df, name, parts=3):
+    """The rows of ``df`` as files that land one after another, by a hash of the sample."""
+    path = staging_path(spark, name)
+    for i in range(parts):
+        df.filter(F.pmod(F.xxhash64("sample_name"), F.lit(parts)) == i).coalesce(1).write.mode("append").parquet(path)
+    return S.stream_profiles(spark, path, df.schema, files_per_trigger=1)
+
+
+@query(
+    "n01c_totals_kept",
+    sql(
+        """, s AS (SELECT grp, feature, sum(value) AS v FROM species JOIN meta USING (sample_name) GROUP BY ALL),
+m AS (SELECT s.grp, feature, v / n AS v FROM s JOIN (SELECT grp, count(*) AS n FROM meta GROUP BY 1) g USING (grp)),
+r AS (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY v DESC, feature) AS k FROM m)
+SELECT grp AS "group", least(k, 11)::INTEGER AS place, CASE WHEN k > 10 THEN 'Other' ELSE feature END AS feature, round(sum(v), 6) AS value
+FROM r GROUP BY ALL""",
+        "species", "meta",
+    ),
+)
+def totals_kept(spark, sf):
+    """Top ten features per group, kept up to date while the samples come in."""
+    target = staging_path(spark, "totals")
+    S.keep_totals(_landed(spark, T.species(spark, sf), "species"), T.metadata(spark, sf), target)
+    return S.top_features(spark, target).withColumn("value", r6("value", "value"))
+
+
+@query(
+    "n02b_no_row_lost",
+    sql(
+        """, l AS (SELECT sample_name, grp FROM meta WHERE substr(sample_name, 2)::BIGINT % 3 > 0),
+t AS (SELECT sample_name, sum(cnt) AS total FROM species WHERE substr(sample_name, 2)::BIGINT % 5 > 0 GROUP BY 1)
+SELECT sample_name, CASE WHEN grp IS NULL OR total IS NULL THEN 'waiting' ELSE 'paired' END AS outcome, grp AS "group", total
+FROM l FULL JOIN t USING (sample_name)""",
+        "species", "meta",
+    ),
+)
+def no_row_lost(spark, sf):
+    """Both sides lack some samples; each row is paired or waiting."""
+    number = F.substring("sample_name", 2, 20).cast("bigint")
+    at = F.timestamp_seconds(F.lit(1_700_000_000) + F.pmod(F.xxhash64("sample_name"), F.lit(600))).alias("arrival")
+    groups = T.metadata(spark, sf).filter(number % 3 > 0).select("sample_name", "group", at)
+    totals = T.species(spark, sf, "cnt").filter(number % 5 > 0).groupBy("sample_name").agg(F.sum("value").alias("total"))
+    target = staging_path(spark, "pairs")
+    S.pair_arrivals(
+        _landed(spark, groups, "groups"), _landed(spark, totals.select("*", at), "sums"), "sample_name", "arrival", target
+    )
+    return S.paired(spark, target).select("sample_name", "outcome", "left.group", "right.total")

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from taxaloom.operators import matrix as M
+from taxaloom.operators import matrix as M, testing as X
 from taxaloom.operators.ordered import place
 from taxaloom.plans.oracle import NATIONS, sql
 from taxaloom.plans.register import query, r6
-from taxaloom.session import staging_path
-from taxaloom.sources import files, params, sinks, tables as T
+from taxaloom.session import freeze, staging_path
+from taxaloom.sources import files, joined, params, sinks, tables as T
+from taxaloom.sources.fastq import list_files
 
 
 def _per_sample(df: DataFrame, name: str, header: bool = False) -> str:
@@ -47,6 +48,20 @@ def term_scan_by_file(spark, sf):
     return named.select("sample_name", "term", "abundance")
 
 
+@query("a02b_term_scan_by_file_name", sql("SELECT sample_name, term, abundance FROM func", "func"))
+def term_scan_by_file_name(spark, sf):
+    """One file per sample, named by it and the ending of its kind; the name is all that tells the sample."""
+    parts, root = staging_path(spark, "parts"), staging_path(spark, "named")
+    terms = T.functional(spark, sf).select("sample_name", "term", "abundance")
+    by_sample = terms.select(F.col("sample_name").alias("key"), "term", "abundance").repartition("key")
+    by_sample.write.partitionBy("key").option("sep", "\t").option("header", True).csv(parts)
+    listed = spark.createDataFrame([(p,) for p, _ in list_files(parts, "*.csv")], "path string").select(
+        F.regexp_extract("path", "key=([^/]+)/", 1).alias("sample_name"), F.lit(0).alias("position"), "path"
+    )
+    freeze(joined.join_files(listed, root, ending=".Pathway.txt"))
+    return files.read_terms(spark, root)
+
+
 @query(
     "a03_term_scan_by_manifest",
     sql("SELECT sample_name, count(*) AS n_terms, round(sum(abundance), 6) AS total FROM func GROUP BY 1", "func"),
@@ -423,6 +438,16 @@ def significant_codes(spark, sf):
     return spark.read.text(path).withColumnRenamed("value", "codes")
 
 
+@query(
+    "b07b_significant_codes",
+    sql("SELECT string_agg(split_part(feature, ':', 1), ',' ORDER BY round(p, 9), feature) AS codes FROM tested WHERE p < 0.2", "tested"),
+)
+def codes_of_significant(spark, sf):
+    """Only the features with a small p-value, the smallest first."""
+    tested = X.rank_sum(T.species(spark, sf), T.metadata(spark, sf)).filter("p < 0.2")
+    return sinks.code_list(tested.select("feature", F.round("p", 9).alias("p")), "feature", "p")
+
+
 @query("b08_overwrite_output", sql("SELECT sample_name, grp AS \"group\" FROM meta WHERE grp = 'control'", "meta"))
 def overwrite_output(spark, sf):
     path = staging_path(spark, "overwrite")

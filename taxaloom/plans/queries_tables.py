@@ -8,7 +8,9 @@ from taxaloom.functions import lineage as L
 from taxaloom.operators import matrix as M, testing as X
 from taxaloom.plans.oracle import NATIONS, sql
 from taxaloom.plans.register import query, r6
-from taxaloom.sources import params, tables as T
+from taxaloom.operators.ordered import place
+from taxaloom.session import staging_path
+from taxaloom.sources import joined, params, sinks, tables as T
 
 _CLADES = "SELECT DISTINCT clade_name, ncbi_tax_id FROM prof"
 _LAST = "string_split(clade_name, '|')[-1]"
@@ -316,11 +318,9 @@ def outer_merge(spark, sf):
         "species", "meta"),
 )
 def union_samples(spark, sf):
-    df, meta = T.species(spark, sf), T.metadata(spark, sf)
-    parts = [
-        df.join(meta.filter(F.col("group") == g), "sample_name") for g in (X.CONTROL, X.TREATMENT)
-    ]
-    return parts[0].unionByName(parts[1]).select("sample_name", "feature", r6("value", "value"), "group")
+    """The samples of both groups: one look-up names a row's group, so the table is read once."""
+    both = T.metadata(spark, sf).filter(F.col("group").isin(X.CONTROL, X.TREATMENT))
+    return M.with_group(T.species(spark, sf), both).select("sample_name", "feature", r6("value", "value"), "group")
 
 
 @query(
@@ -452,6 +452,25 @@ def transpose(spark, sf):
     return M.transpose(phyla, [f"p__{t}" for t in _TYPES])
 
 
+@query(
+    "e03b_transpose_lines",
+    sql(
+        """SELECT name, name || chr(9) || string_agg(cell, chr(9) ORDER BY k, feature) AS line FROM (
+  SELECT s.sample_name AS name, 0 AS k, f.feature, coalesce(printf('%.3f', cnt), '0') AS cell FROM (SELECT DISTINCT sample_name FROM prof_n) s
+    CROSS JOIN (SELECT DISTINCT clade_name AS feature FROM prof_n) f LEFT JOIN prof_n p ON p.sample_name = s.sample_name AND p.clade_name = f.feature)
+GROUP BY name""",
+        "prof_n",
+    ),
+)
+def transpose_lines(spark, sf):
+    """Samples as lines, one cell per feature of every rank: as wide as the features are many."""
+    cells = T.profile(spark, sf, sample="nation").select(
+        F.col("clade_name").alias("sample_name"), F.col("sample_name").alias("sample"), F.col("cnt").alias("value")
+    )
+    features = place(cells.select("sample_name").distinct(), [], [("sample_name", False)])
+    return sinks.matrix_lines(cells, features, "sample", digits=3).filter("_order = 2").select("name", "line")
+
+
 @query("e04_densify", sql("SELECT feature, sample_name, cnt AS value FROM dense", "dense"))
 def densify(spark, sf):
     return M.densify(T.species(spark, sf, "cnt"), T.metadata(spark, sf))
@@ -475,6 +494,48 @@ def percent(spark, sf):
     return M.relative(known).select("sample_name", "feature", r6("value", "value", 10))
 
 
+def _bucketed(spark, df, name):
+    """``df`` as a bucketed table of its own."""
+    path = staging_path(spark, name)
+    return joined.write_bucketed(df, f"{name}_{path.rpartition('-')[2]}", path)
+
+
+@query(
+    "d03b_join_bucketed",
+    sql("SELECT grp AS \"group\", count(*) AS n, sum(cnt) AS total FROM species JOIN meta USING (sample_name) GROUP BY 1",
+        "species", "meta"),
+)
+def join_bucketed(spark, sf):
+    """Values and metadata bucketed by sample: their join exchanges neither."""
+    values, meta = _bucketed(spark, T.species(spark, sf, "cnt"), "values"), _bucketed(spark, T.metadata(spark, sf), "meta")
+    joined_rows = M.with_group(values, meta)
+    return joined_rows.groupBy("group").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total"))
+
+
+@query(
+    "d06b_totals_bucketed",
+    sql("SELECT sample_name, grp AS \"group\", sum(cnt) AS reads FROM meta JOIN species USING (sample_name) GROUP BY ALL", "species", "meta"),
+)
+def totals_bucketed(spark, sf):
+    """Totals by sample of a bucketed table, joined with another one."""
+    values, meta = _bucketed(spark, T.species(spark, sf, "cnt"), "values"), _bucketed(spark, T.metadata(spark, sf), "meta")
+    return values.groupBy("sample_name").agg(F.sum("value").alias("reads")).join(meta, "sample_name")
+
+
+@query(
+    "f01b_percent_bucketed",
+    sql(
+        f"""SELECT sample_name, taxonomy AS feature,
+  round(value / sum(value) OVER (PARTITION BY sample_name) * 100, 10) AS value FROM ({_KNOWN})""",
+        "prof",
+    ),
+)
+def percent_bucketed(spark, sf):
+    """Shares by sample of a bucketed table: sums and their look-up stay in the buckets."""
+    known = M.drop_unknown(M.select_rank(T.profile(spark, sf, depths=[7]), "SPECIES"))
+    return M.relative(_bucketed(spark, known, "known"), bucketed=True).select("sample_name", "feature", r6("value", "value", 10))
+
+
 @query(
     "f02_per_million",
     sql("SELECT sample_name, feature, round(cnt / sum(cnt) OVER (PARTITION BY sample_name) * 1000000, 6) AS value FROM species",
@@ -627,6 +688,5 @@ FROM st JOIN tops USING (code, sample_name) JOIN floors USING (code)""",
 )
 def stack_scale(spark, sf):
     rows = M.focal_rows(_features(spark, sf), None).select("code", "sample_name", F.col("stratum").alias("feature"), "value")
-    share = M.stack_scale(rows, "totalsum", ["code"]).select("code", "sample_name", "feature", r6("height", "share"))
-    logs = M.stack_scale(rows, "logstack", ["code"]).select("code", "sample_name", "feature", r6("height", "height"))
-    return share.join(logs, ["code", "sample_name", "feature"])
+    out = M.stack_scale(rows, "logstack", ["code"], share_column="share")
+    return out.select("code", "sample_name", "feature", r6("share", "share"), r6("height", "height"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from taxaloom.operators import composition as C, discriminant as D, matrix as M, negbinom as B, outliers as O, testing as X
 from taxaloom.plans.oracle import NATIONS, erfc, sql
 from taxaloom.plans.queries_composition import TESTED, _CLASSED, tested
+from taxaloom.plans.queries_tables import _SF
 from taxaloom.plans.register import query, r6
 from taxaloom.session import freeze
 from taxaloom.sources import sinks, tables as T
@@ -199,10 +200,48 @@ def nb_dispersion(spark, sf):
     return fitted.select("feature", "base_mean", "disp_gene")
 
 
+def _modes_sql(rounds: int = 9) -> str:
+    """``md(feature, x)``: log dispersion of the highest adjusted likelihood, by nested grids of 24 points."""
+    out = """nm AS (SELECT count(*) AS n FROM meta),
+dn AS (SELECT f.feature, grp, size_factor AS s, coalesce(value, 0)::DOUBLE AS k FROM (SELECT DISTINCT feature FROM cc WHERE value > 0) f
+  CROSS JOIN meta JOIN sizef USING (sample_name) LEFT JOIN cc ON cc.feature = f.feature AND cc.sample_name = meta.sample_name),
+qs AS (SELECT feature, grp, avg(k / s) AS q FROM dn GROUP BY ALL),
+ms AS (SELECT dn.feature, dn.grp, k, greatest(s * q, 0.5) AS mu FROM dn JOIN qs USING (feature, grp)),
+g0 AS (SELECT DISTINCT feature, ln(1e-8) AS lo, ln(greatest(10, n)) AS hi FROM dn, nm)"""
+    for r in range(rounds):
+        out += f""",
+e{r} AS (SELECT feature, x, sum(l) - 0.5 * ln(sum(w) FILTER (grp = 'treatment') * sum(w) FILTER (grp = 'control')) AS v FROM (
+  SELECT feature, x, grp, mu / (1 + exp(x) * mu) AS w, k * ln(mu) - (k + exp(-x)) * ln(1 + exp(x) * mu)
+    + CASE WHEN k > 0 THEN list_sum(list_transform(range(0, k::BIGINT), lambda j: ln(1 + exp(x) * j))) ELSE 0 END AS l
+  FROM ms JOIN (SELECT feature, lo + (hi - lo) * i / 23 AS x FROM g{r}, range(0, 24) t(i)) USING (feature)) GROUP BY feature, x),
+b{r} AS (SELECT feature, arg_max(x, v) AS x FROM e{r} GROUP BY 1),
+g{r + 1} AS (SELECT feature, greatest(x - (hi - lo) / 23, ln(1e-8)) AS lo,
+  least(x + (hi - lo) / 23, (SELECT ln(greatest(10, n)) FROM nm)) AS hi FROM g{r} JOIN b{r} USING (feature))"""
+    return out + f", md AS (SELECT feature, x FROM b{rounds - 1})"
+
+
+@query(
+    "j07b_dispersion_modes",
+    sql(
+        f""", {_SF}, {_modes_sql()}, bm AS (SELECT feature, avg(k / s) AS base_mean FROM dn GROUP BY 1)
+SELECT feature, round(base_mean, 6) AS base_mean, round(greatest(x, -9.0), 2) AS log_dispersion FROM md JOIN bm USING (feature)""",
+        "genes", "meta",
+    ),
+)
+def dispersion_modes(spark, sf):
+    """Gene-wise dispersions as logarithms; below exp(-9) a likelihood is flat and only that is told."""
+    fitted, _, _ = B.dispersions(_counts(spark, sf), T.metadata(spark, sf), factors="poscounts")
+    log = F.greatest(F.ln("disp_gene"), F.lit(-9.0))
+    return fitted.select("feature", r6("base_mean", "base_mean"), r6(log, "log_dispersion", 2))
+
+
 @query("j08_dispersion_trend")
 def dispersion_trend(spark, sf):
-    fitted, (a0, a1), _ = B.dispersions(_counts(spark, sf), T.metadata(spark, sf), factors="poscounts")
-    return fitted.select("feature", "disp_fit", "dispersion", F.lit(a0).alias("a0"), F.lit(a1).alias("a1"))
+    """Trend and shrunken dispersions; the coefficients are null where the trend is the local one."""
+    fitted, trend, _ = B.dispersions(_counts(spark, sf), T.metadata(spark, sf), factors="poscounts")
+    a0, a1 = trend if isinstance(trend, tuple) else (None, None)
+    coefficient = lambda v: F.lit(v).cast("double")
+    return fitted.select("feature", "disp_fit", "dispersion", coefficient(a0).alias("a0"), coefficient(a1).alias("a1"))
 
 
 @query("j09_nb_glm")
@@ -359,6 +398,53 @@ def independent_filter(spark, sf):
     return out.select("feature", r6("pvalue", "pvalue"), r6("padj", "padj"))
 
 
+def _lowess_sql(points: str, rounds: int = 3) -> str:
+    """``fit(i, y, f)``: the robust local lines through ``points(i, x, y)``, one more set of expressions per round."""
+    out = f"""ng AS (SELECT a.i, a.x AS xi, b.i AS j, b.x, b.y, abs(a.x - b.x) AS gap FROM {points} a CROSS JOIN {points} b),
+rc AS (SELECT i, max(gap) AS reach FROM (SELECT *, row_number() OVER (PARTITION BY i ORDER BY gap) AS k FROM ng) WHERE k <= 10 GROUP BY 1),
+tr AS (SELECT ng.*, CASE WHEN gap <= 0.001 * reach THEN 1 WHEN gap > 0.999 * reach THEN 0 ELSE (1 - (gap / reach) ^ 3) ^ 3 END AS t
+  FROM ng JOIN rc USING (i)), rw0 AS (SELECT i AS j, 1.0::DOUBLE AS r FROM {points})"""
+    for k in range(rounds + 1):
+        out += f""", ce{k} AS (SELECT i, xi, sum(t * r) AS tot, sum(t * r * x) / sum(t * r) AS c, sum(t * r * y) / sum(t * r) AS m FROM tr JOIN rw{k} USING (j) GROUP BY i, xi),
+sl{k} AS (SELECT i, sum(t * r * (x - c) ^ 2) / any_value(tot) AS v, sum(t * r * (x - c) * y) / any_value(tot) AS q FROM tr JOIN rw{k} USING (j) JOIN ce{k} USING (i, xi) GROUP BY i),
+fi{k} AS (SELECT i, p.y, CASE WHEN sqrt(v) > 0.001 * (SELECT max(x) - min(x) FROM {points}) THEN m + q / v * (xi - c) ELSE m END AS f
+  FROM ce{k} JOIN sl{k} USING (i) JOIN {points} p USING (i)),
+sc{k} AS (SELECT 6 * median(abs(y - f)) AS s, avg(abs(y - f)) AS a FROM fi{k}),
+rw{k + 1} AS (SELECT i AS j, CASE WHEN s < 1e-7 * a THEN r WHEN abs(y - f) <= 0.001 * s THEN 1 WHEN abs(y - f) <= 0.999 * s
+  THEN (1 - ((y - f) / s) ^ 2) ^ 2 ELSE 0 END AS r FROM fi{k}, sc{k}, rw{k} WHERE rw{k}.j = fi{k}.i)"""
+    return out + f", fit AS (SELECT i, y, f FROM fi{rounds})"
+
+
+_PLANTED_P = ("ra AS value, cnt FROM prof", "ra * CASE WHEN length(clade_name) % 3 = 0 AND substr(sample_name, 2)::BIGINT % 2 = 1 "
+              "THEN 3 ELSE 1 END AS value, cnt FROM prof")
+_SMOOTHED = f"""{_IF[: _IF.index("best AS")].rstrip().rstrip(",")},
+pt AS (SELECT i, lo + (0.95 - lo) * i / 49 AS x, coalesce(r, 0)::DOUBLE AS y FROM lo, range(0, 50) g(i)
+  LEFT JOIN (SELECT i AS h, max(upto) FILTER (p * m / upto < 0.1) AS r FROM rej GROUP BY 1) ON h = i), {_lowess_sql("pt")},
+ch AS (SELECT CASE WHEN max(y) <= 10 THEN 0 ELSE coalesce(min(i) FILTER (y > lim), 0) END AS i FROM fit,
+  (SELECT max(f) - sqrt(avg((y - f) ^ 2) FILTER (y > 0)) AS lim FROM fit)),
+best AS (SELECT c FROM cutv WHERE i = (SELECT i FROM ch)),
+{_IF[_IF.index("kept AS"):]}"""
+
+
+@query(
+    "j10b_smoothed_filter",
+    sql(
+        f""", {_SMOOTHED} SELECT feature, round(inp.p, 6) AS pvalue, round(a.padj, 6) AS padj FROM inp LEFT JOIN
+  (SELECT feature, least(1.0, min(p * k / upto) OVER (ORDER BY p DESC RANGE UNBOUNDED PRECEDING)) AS padj FROM kept) a USING (feature)""",
+        "tested",
+    ).replace(*_PLANTED_P),
+)
+def smoothed_filter(spark, sf):
+    """The smoothed rule at level 0.1; a third of the species are three times as common in the treatment."""
+    meta = T.metadata(spark, sf)
+    more = (F.length("feature") % 3 == 0) & (F.substring("sample_name", 2, 20).cast("bigint") % 2 == 1)
+    planted = T.species(spark, sf).withColumn("value", F.col("value") * F.when(more, 3).otherwise(1))
+    p = X.rank_sum(planted, meta).select("feature", F.col("p").alias("pvalue"))
+    mean = C.mean_variance(T.species(spark, sf, "cnt"), X.group_size(meta)).select("feature", F.col("mean").alias("base_mean"))
+    out = X.independent_filter(p.join(mean, "feature"), alpha=0.1, rule="smoothed")
+    return out.select("feature", r6("pvalue", "pvalue"), r6("padj", "padj"))
+
+
 @query("j11_ma_table")
 def ma_table(spark, sf):
     return B.nb_glm(_counts(spark, sf), T.metadata(spark, sf), factors="poscounts").select("base_mean", "log2_fold_change", "padj")

@@ -1,4 +1,4 @@
-"""Iterative operators: small-table path against distributed path, and against brute force."""
+"""Iterative operators against dense solutions and brute force."""
 
 import math
 
@@ -26,20 +26,64 @@ def cohort(spark):
     return x, names, long_table(spark, x, names), meta
 
 
-def test_lda_paths_agree(cohort):
-    _, _, df, meta = cohort
-    small = D.lda_effect(df, meta, kw=1.0, threshold=0, boots=3).toPandas().sort_values("feature")
-    large = D.lda_effect(df, meta, kw=1.0, threshold=0, boots=3, single_task=0).toPandas().sort_values("feature")
-    assert np.allclose(small["score"], large["score"], atol=1e-6)
-    assert small.set_index("feature")["score"]["f00"] == small["score"].max() > 0
-
-
-def test_pcoa_paths_agree(cohort):
-    _, _, df, _ = cohort
-    d = P.bray_curtis(df)
-    small = N.pcoa(d).toPandas().sort_values(["axis", "sample_name"])
-    large = N.pcoa(d, inertia="trace", single_task=1).toPandas().sort_values(["axis", "sample_name"])
-    assert np.allclose(small["score"], large["score"], atol=1e-8)
+def test_lda_against_dense_solves(cohort):
+    """The mean replicate score, every replicate solved as one dense system."""
+    x, names, df, meta = cohort
+    boots = 3
+    picks = {r.sample_name: r.picks for r in D.draw_samples(meta, boots, 1234).collect()}
+    m = x / x.sum(1, keepdims=True) * 1e6
+    treated = np.arange(14) < 7
+    sd = np.sqrt((m[treated].var(0) * 7 + m[~treated].var(0) * 7) / 12)
+    scaled, score = m / sd, np.zeros(m.shape[1])
+    for boot in range(boots):
+        held = np.array([picks[n][boot] > 0 for n in names])
+        t, c = scaled[held & treated], scaled[held & ~treated]
+        within = sum((v - v.mean(0)).T @ (v - v.mean(0)) for v in (t, c)) / (len(t) + len(c) - 2)
+        gap = t.mean(0) - c.mean(0)
+        w = np.linalg.solve(within + 0.05 * np.eye(len(sd)), gap) / sd
+        raw = gap * sd
+        score += (np.abs(raw) + np.abs(w) * abs(w @ raw) / (w @ w)) / 2 / boots
+    sign = np.where(m[treated].mean(0) >= m[~treated].mean(0), 1, -1)
+    want = sign * np.log10(1 + score)
+    got = D.lda_effect(df, meta, kw=1.0, threshold=0, boots=boots).toPandas().set_index("feature")["score"]
+    assert np.allclose([got[f"f{j:02d}"] for j in range(9)], want, atol=1e-6)
+    assert got["f00"] == got.max() > 0
+
+
+@pytest.mark.parametrize("inertia", ["positive", "trace"])
+def test_pcoa_against_dense_eigenvectors(cohort, inertia):
+    """Bray-Curtis distances have negative eigenvalues too."""
+    _, names, df, _ = cohort
+    pairs = P.bray_curtis(df)
+    d = np.zeros((14, 14))
+    for r in pairs.collect():
+        i, j = names.index(r.s1), names.index(r.s2)
+        d[i, j] = d[j, i] = r.d
+    centre = np.eye(14) - 1 / 14
+    values, vectors = np.linalg.eigh(-0.5 * centre @ d**2 @ centre)
+    values, vectors = values[::-1], vectors[:, ::-1]
+    assert values[-1] < -1e-3
+    total = values[values > 0].sum() if inertia == "positive" else values.sum()
+    made = N.pcoa(pairs, k=4, inertia=inertia).toPandas()
+    for axis in range(4):
+        own = made[made["axis"] == axis + 1].set_index("sample_name").loc[names]
+        assert np.allclose(np.abs(own["score"]), np.abs(vectors[:, axis]) * values[axis] ** 0.5, atol=1e-8)
+        assert np.allclose(own["explained"], values[axis] / total, atol=1e-8)
+        assert own["score"].iloc[own["score"].abs().round(9).to_numpy().argmax()] > 0
+
+
+def test_axes_of_equal_size_and_opposite_sign(spark):
+    """Such axes don't mix; a matrix of zeros has no axes."""
+    plane = np.linalg.qr(np.random.default_rng(3).normal(size=(6, 6)))[0]
+    m = plane @ np.diag([2.0, -2.0, 1.0, -1.0, 0, 0]) @ plane.T
+    rows = [(f"s{i}", f"s{j}", float(m[i, j])) for i in range(6) for j in range(6)]
+    made = N._axes(spark.createDataFrame(rows, "a string, b string, v double"), 3, "positive").toPandas()
+    assert sorted(made["eigenvalue"].round(9).unique().tolist()) == [1.0, 2.0]
+    first = made[made["axis"] == 1].sort_values("sample_name")["score"]
+    assert np.allclose(np.abs(first), np.abs(plane[:, 0]) * 2**0.5, atol=1e-8)
+    assert np.allclose(made[made["axis"] == 1]["explained"], 2 / 3)
+    zero = spark.createDataFrame([(a, b, 0.0) for a, b, _ in rows], "a string, b string, v double")
+    assert N._axes(zero, 2, "trace").collect() == [] and N._axes(zero.limit(0), 2, "trace").collect() == []
 
 
 def test_pca_matches_svd(cohort):
@@ -60,15 +104,39 @@ def test_pcoa_of_euclidean_distances_keeps_them(cohort):
     assert np.allclose(got, want, atol=1e-6)
 
 
+def plain_leaf_order(names, d, method):
+    """One merge at a time: the nearest two clusters, the lower one to the left."""
+    clusters = [([n], -1.0) for n in sorted(names)]
+
+    def gap(a, b):
+        between = [d[min(x, y), max(x, y)] for x in a for y in b]
+        return round(max(between) if method == "complete" else sum(between) / len(between), 9)
+
+    while len(clusters) > 1:
+        _, _, _, i, j = min(
+            (gap(a, b), *sorted((min(a), min(b))), i, j)
+            for i, (a, _) in enumerate(clusters) for j, (b, _) in enumerate(clusters) if i < j
+        )
+        (a, ha), (b, hb) = clusters[i], clusters[j]
+        first, second = (a, b) if (ha, min(a)) <= (hb, min(b)) else (b, a)
+        clusters = [c for k, c in enumerate(clusters) if k not in (i, j)] + [(first + second, gap(a, b))]
+    return clusters[0][0]
+
+
 @pytest.mark.parametrize("method", ["average", "complete"])
-def test_leaf_order_paths_agree(spark, method):
+def test_leaf_order_against_single_merges(spark, method):
+    """Two keys at once, one of them with many equal distances."""
     rng = np.random.default_rng(2)
-    x = rng.normal(size=(8, 3))
-    rows = [(f"s{i}", f"s{j}", float(np.linalg.norm(x[i] - x[j]))) for i in range(8) for j in range(i + 1, 8)]
-    d = spark.createDataFrame(rows, "s1 string, s2 string, d double")
-    small = [r.sample_name for r in N.leaf_order(d, method).orderBy("position").collect()]
-    large = [r.sample_name for r in N.leaf_order(d, method, single_task=2).orderBy("position").collect()]
-    assert small == large and sorted(small) == [f"s{i}" for i in range(8)]
+    rows, want = [], {}
+    for key, x in (("k", rng.normal(size=(9, 3))), ("l", rng.integers(0, 3, size=(8, 2)).astype(float))):
+        names = [f"s{i}" for i in range(len(x))]
+        d = {(names[i], names[j]): float(np.linalg.norm(x[i] - x[j])) for i in range(len(x)) for j in range(i + 1, len(x))}
+        rows += [(key, a, b, v) for (a, b), v in d.items()]
+        want[key] = plain_leaf_order(names, d, method)
+    df = spark.createDataFrame(rows, "key string, s1 string, s2 string, d double")
+    made = N.leaf_order(df, method, by=["key"]).orderBy("key", "position").collect()
+    for key, order in want.items():
+        assert [r.sample_name for r in made if r.key == key] == order
 
 
 def test_spearman_matches_pandas(cohort):
