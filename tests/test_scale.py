@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from taxaloom.operators import matrix as M
+from taxaloom.operators import matrix as M, pairs as P
 
 
 def physical(df) -> str:
@@ -26,3 +26,23 @@ def test_densify_exchanges_no_zeros(spark):
     # The zeros are made after the last join: nothing but a projection is above them.
     plan = physical(out)
     assert "Join" not in plan[: plan.index("Generate")]
+
+
+@pytest.mark.parametrize("kind", ["dot", "min"])
+def test_a_pair_leaves_its_cell_once(spark, kind):
+    """Rare and common features, repeated rows, samples without rows; every pair once whatever the features' number."""
+    rng = np.random.default_rng(3)
+    m = rng.poisson(0.04, (90, 400)) + rng.poisson(1.0, (90, 400)) * (np.arange(400) < 15)
+    rows = [(f"s{i:02d}", f"f{j}", float(v) / 2) for i, j in zip(*np.nonzero(m)) for v in [m[i, j]] * 2]
+    df = spark.createDataFrame(rows, "sample_name string, feature string, value double")
+    names = [f"s{i:02d}" for i in range(90)] + ["t"]
+    samples = spark.createDataFrame([(n,) for n in names], "sample_name string")
+    out = P.pair_sums(df, kind, samples, feature_chunk=7)
+    x = np.vstack([m, np.zeros(400)])
+    want = x @ x.T if kind == "dot" else np.minimum(x[:, None, :], x[None, :, :]).sum(axis=2)
+    got = {(r["s1"], r["s2"]): r["acc"] for r in out.collect()}
+    assert len(got) == out.count() == 91 * 92 // 2
+    assert all(abs(got[a, b] - want[i, j]) < 1e-9 for i, a in enumerate(names) for j, b in enumerate(names) if i <= j)
+    # The sums that leave the cells are whole: no aggregate of pairs follows them.
+    plan = physical(out)
+    assert "Aggregate" not in plan[: plan.index("FlatMapGroupsIn")]
