@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from taxaloom.operators import matrix as M, pairs as P
+from taxaloom.operators import matrix as M, ordination as N, pairs as P
 
 
 def physical(df) -> str:
@@ -46,3 +46,18 @@ def test_a_pair_leaves_its_cell_once(spark, kind):
     # The sums that leave the cells are whole: no aggregate of pairs follows them.
     plan = physical(out)
     assert "Aggregate" not in plan[: plan.index("FlatMapGroupsIn")]
+
+
+def test_axes_that_hardly_differ_settle(spark):
+    """Eigenvalues next to each other, which the iteration of a single vector doesn't part in 300 rounds."""
+    n = 160
+    plane = np.linalg.qr(np.random.default_rng(5).normal(size=(n, n)))[0]
+    values = np.r_[1.001, 1.0, np.linspace(0.999, -0.99, n - 2)]
+    m = plane @ np.diag(values) @ plane.T
+    rows = [(f"s{i:03d}", f"s{j:03d}", float(m[i, j])) for i in range(n) for j in range(n)]
+    made = N._axes(spark.createDataFrame(rows, "a string, b string, v double"), 2, "positive").toPandas()
+    total = values[values > 0].sum()
+    for axis in (1, 2):
+        own = made[made["axis"] == axis].sort_values("sample_name")
+        assert np.allclose(np.abs(own["score"]), np.abs(plane[:, axis - 1]) * values[axis - 1] ** 0.5, atol=1e-6)
+        assert np.allclose(own["explained"], values[axis - 1] / total, atol=1e-7)
