@@ -2,9 +2,9 @@
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from taxaloom.operators import matrix as M, ordination as N, pairs as P
+from taxaloom.sources import tables as T
 
 
 def physical(df) -> str:
@@ -61,3 +61,24 @@ def test_axes_that_hardly_differ_settle(spark):
         own = made[made["axis"] == axis].sort_values("sample_name")
         assert np.allclose(np.abs(own["score"]), np.abs(plane[:, axis - 1]) * values[axis - 1] ** 0.5, atol=1e-6)
         assert np.allclose(own["explained"], values[axis - 1] / total, atol=1e-7)
+
+
+def test_clades_of_short_paths(spark):
+    """Deep clades are summed where they were dealt; a short path counts at each of the depths that it stands for."""
+    leaves = [("a", "k|p|c|o|f|g|s", 1.0), ("a", "k|p|c|o|f|g|t", 2.0), ("a", "k|p|c|o|e|g|s", 4.0), ("a", "k|p", 8.0),
+              ("a", "k|p|c|o|f", 16.0), ("b", "k|p|c|o|f|g|s", 32.0), (None, "k|q", 64.0)]
+    obs = spark.createDataFrame(leaves, "sample_name string, leaf string, q double")
+    for depths in ((1, 2, 3, 4, 5, 6, 7), (2, 6), (1,), (6, 7)):
+        want = {}
+        for s, path, q in leaves:
+            for d in depths:
+                at = s, "|".join(path.split("|")[:d])
+                want[at] = want.get(at, 0.0) + q
+        made = T._clades(obs, ["leaf"], ["clade_name"], depths)
+        got = [((r["sample_name"], r["clade_name"]), r["cnt"]) for r in made.collect()]
+        assert len(got) == len(want) and dict(got) == want
+    plan = T._clades(obs, ["leaf"], ["clade_name"], (1, 5, 6, 7))
+    plan.collect()
+    # The lines and the sums above are exchanged, the deep clades are not.
+    text = plan._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert text.count("REPARTITION_BY_COL") + text.count("ENSURE_REQUIREMENTS") + text.count("ReusedExchange") <= 4
