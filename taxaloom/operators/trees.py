@@ -1,7 +1,9 @@
 """Sums along and below the nodes of a tree, and its nested-set intervals, in rounds of the logarithm of its depth.
 
 Every round doubles the reach of a pointer per node, so no table is larger than
-the tree: there are no (node, ancestor) pairs, whatever the depth.
+the tree: there are no (node, ancestor) pairs, whatever the depth. The tables are
+joined by merges: written, their columns of ids are small enough to be broadcast
+by mistake in every round.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from taxaloom.session import freeze, shuffle_width
 def _linked(tree: DataFrame) -> DataFrame:
     """``(taxid, jump)``: the parent, null for a root or where the parent isn't a node."""
     nodes = tree.select(F.col("taxid").alias("_parent"))
-    return tree.join(nodes, F.col("parent") == F.col("_parent"), "left").select("taxid", F.col("_parent").alias("jump"))
+    return tree.join(nodes.hint("merge"), F.col("parent") == F.col("_parent"), "left").select("taxid", F.col("_parent").alias("jump"))
 
 
 def _jumps(tree: DataFrame) -> list[DataFrame]:
@@ -29,7 +31,7 @@ def _jumps(tree: DataFrame) -> list[DataFrame]:
             raise ValueError("the tree has a cycle")
         made.append(jump)
         higher = jump.select(F.col("taxid").alias("jump"), F.col("jump").alias("_next"))
-        jump = freeze(jump.join(higher, "jump").select("taxid", F.col("_next").alias("jump")))
+        jump = freeze(jump.join(higher.hint("merge"), "jump").select("taxid", F.col("_next").alias("jump")))
         reach *= 2
     return made
 
@@ -39,9 +41,9 @@ def _below(tree: DataFrame, jumps: Sequence[DataFrame], values: Sequence[str]) -
     state = tree.select("taxid", *values)
     for jump in jumps:
         # Summed per task before the exchange, so that a node with many children is no task's whole work.
-        add = state.join(jump, "taxid").groupBy("jump").agg(*[F.sum(c).alias(f"_{c}") for c in values])
+        add = state.join(jump.hint("merge"), "taxid").groupBy("jump").agg(*[F.sum(c).alias(f"_{c}") for c in values])
         state = freeze(
-            state.join(add.withColumnRenamed("jump", "taxid"), "taxid", "left").select(
+            state.join(add.withColumnRenamed("jump", "taxid").hint("merge"), "taxid", "left").select(
                 "taxid", *[(F.col(c) + F.coalesce(f"_{c}", F.lit(0))).alias(c) for c in values]
             )
         )
@@ -53,9 +55,9 @@ def _above(tree: DataFrame, jumps: Sequence[DataFrame], values: Sequence[str]) -
     state = tree.select("taxid", *values)
     for jump in jumps:
         higher = state.select(F.col("taxid").alias("jump"), *[F.col(c).alias(f"_{c}") for c in values])
-        add = jump.join(higher, "jump").drop("jump")
+        add = jump.join(higher.hint("merge"), "jump").drop("jump")
         state = freeze(
-            state.join(add, "taxid", "left").select(
+            state.join(add.hint("merge"), "taxid", "left").select(
                 "taxid", *[(F.col(c) + F.coalesce(f"_{c}", F.lit(0))).alias(c) for c in values]
             )
         )
