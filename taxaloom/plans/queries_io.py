@@ -396,7 +396,7 @@ def matrix_lines(spark, sf):
 @query("a05b_wide_round_trip", sql("SELECT sample_name, term AS feature, round(abundance, 6) AS value FROM func WHERE abundance <> 0", "func"))
 def wide_round_trip(spark, sf):
     """Terms of all suppliers, written as a matrix with one cell per supplier in every line, and read back."""
-    terms = T.functional(spark, sf).select("sample_name", "term", F.col("abundance").alias("value"))
+    terms = freeze(T.functional(spark, sf).select("sample_name", "term", F.col("abundance").alias("value")))
     names = place(terms.select("sample_name").distinct(), [], [("sample_name", False)])
     path = staging_path(spark, "matrix")
     sinks.write_matrix(terms, names, path, key="term")

@@ -8,7 +8,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from taxaloom.operators.ordered import running
-from taxaloom.session import broadcast_rows
+from taxaloom.session import broadcast_rows, freeze
 from taxaloom.sources.fastq import FastqSource
 
 PROFILE = T.StructType(
@@ -136,7 +136,7 @@ def _matrix_lines(spark: SparkSession, path: str | Sequence[str]) -> tuple[DataF
     # Splits are not scanned in file order; the block offset puts them back.
     row = F.struct(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
     lines = spark.read.text(path).select(row.alias("_row"), "value").filter("value <> ''")
-    head = lines.agg(F.min_by("value", "_row").alias("value"))
+    head = freeze(lines.agg(F.min_by("value", "_row").alias("value")))
     names = head.select(F.posexplode(F.split("value", "\t")).alias("position", "sample_name")).filter("position > 0")
     # Every part of a matrix may bring the header again.
     body = lines.filter(F.col("value") != head.scalar()).select("_row", F.split("value", "\t").alias("cells"))
@@ -145,13 +145,9 @@ def _matrix_lines(spark: SparkSession, path: str | Sequence[str]) -> tuple[DataF
 
 def _cells(lines: DataFrame, names: DataFrame, name: str, wanted: Callable[[Column], Column] | None = None) -> DataFrame:
     """``sample_name, <name>, cell`` by position against the header; only ``wanted`` cells leave their line."""
-    placed = F.transform(
-        F.slice("cells", 2, F.greatest(F.size("cells") - 1, F.lit(0))),
-        lambda c, i: F.struct((i + 1).alias("position"), c.alias("cell")),
-    )
+    rows = lines.select(F.get("cells", F.lit(0)).alias(name), F.posexplode("cells").alias("position", "cell")).filter("position > 0")
     if wanted is not None:
-        placed = F.filter(placed, lambda e: wanted(e["cell"]))
-    rows = lines.select(F.get("cells", F.lit(0)).alias(name), F.inline(placed))
+        rows = rows.filter(wanted(F.col("cell")))
     return rows.join(broadcast_rows(names, names.count(), 200_000), "position").select("sample_name", name, "cell")
 
 
@@ -162,7 +158,8 @@ def read_matrix(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     per sample. Cells that are no numbers are left out.
     """
     lines, names = _matrix_lines(spark, path)
-    cells = _cells(lines, names, "feature", lambda c: F.coalesce(c.try_cast("double") != 0, F.lit(False)))
+    # Most cells are a plain zero, which needn't be read as a number.
+    cells = _cells(lines, names, "feature", lambda c: (c != "0") & F.coalesce(c.try_cast("double") != 0, F.lit(False)))
     return cells.select("sample_name", "feature", F.col("cell").cast("double").alias("value"))
 
 

@@ -7,6 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from taxaloom.functions.lineage import NAME_MARK
+from taxaloom.session import freeze, shuffle_width
+
+#: Cells of a matrix, empty ones too, that a task writes.
+PART_CELLS = 16_000_000
 
 
 def _tsv(df: DataFrame, header: bool = True):
@@ -65,35 +69,53 @@ def matrix_lines(
     between them, so no plan has a column per sample. ``digits`` writes plain
     decimals. Line breaks and tabs in names become spaces.
     """
+    lists = _matrix_lists(df, samples, key, metadata, digits)
+    return lists.select("_order", "name", _line(samples.count()).alias("line"))
+
+
+def _line(width: int) -> Column:
+    """The line of a row of :func:`_matrix_lists`: its own cells and the empty ones between them."""
+    empty = F.when(F.col("_order") == 2, "\t0").otherwise("\t")
+    before = F.transform("c", lambda e, i: e["position"] - F.when(i > 0, F.get("c", i - 1)["position"]).otherwise(F.lit(-1)) - 1)
+    cells = F.zip_with(before, F.col("c"), lambda gap, e: F.concat(F.repeat(empty, gap), F.lit("\t"), e["cell"]))
+    tail = F.repeat(empty, (width - 1 - F.element_at("c", -1)["position"]).cast("int"))
+    return F.concat("name", F.array_join(cells, ""), tail)
+
+
+def _matrix_lists(
+    df: DataFrame, samples: DataFrame, key: str, metadata: DataFrame | None, digits: int | None
+) -> DataFrame:
+    """``(_order, name, c)``: the cells that the lines of a matrix have, by position."""
     safe = lambda c: F.translate(F.coalesce(F.col(c).cast("string"), F.lit("")), "\t\n\r", "   ")
-    width = samples.agg(F.count(F.lit(1))).first()[0]
 
-    def laid_out(rows: DataFrame, order: int, empty: str) -> DataFrame:
+    def listed(rows: DataFrame, order: int) -> DataFrame:
         lists = rows.groupBy("name").agg(F.array_sort(F.collect_list(F.struct("position", "cell"))).alias("c"))
-        before = F.transform("c", lambda e, i: e["position"] - F.when(i > 0, F.get("c", i - 1)["position"]).otherwise(F.lit(-1)) - 1)
-        cells = F.zip_with(before, F.col("c"), lambda gap, e: F.concat(F.repeat(F.lit(f"\t{empty}"), gap), F.lit("\t"), e["cell"]))
-        tail = F.repeat(F.lit(f"\t{empty}"), (width - 1 - F.element_at("c", -1)["position"]).cast("int"))
-        return lists.select(F.lit(order).alias("_order"), "name", F.concat("name", F.array_join(cells, ""), tail).alias("line"))
+        return lists.select(F.lit(order).alias("_order"), "name", "c")
 
     placed = samples.select("sample_name", F.col("position").cast("int").alias("position"))
     text = F.col("value").cast("string") if digits is None else plain_decimal("value", digits)
     features = df.join(placed, "sample_name").select(safe(key).alias("name"), "position", text.alias("cell"))
     head = placed.select(F.lit(key).alias("name"), "position", safe("sample_name").alias("cell"))
-    lines = laid_out(head, 0, "").unionByName(laid_out(features, 2, "0"))
+    lists = listed(head, 0).unionByName(listed(features, 2))
     if metadata is not None:
         marks = metadata.join(placed, "sample_name").select(safe("name").alias("name"), "position", safe("level").alias("cell"))
-        lines = lines.unionByName(laid_out(marks, 1, ""))
-    return lines
+        lists = lists.unionByName(listed(marks, 1))
+    return lists
 
 
 def write_matrix(
     df: DataFrame, samples: DataFrame, path: str, key: str = "feature", metadata: DataFrame | None = None,
     digits: int | None = None, compression: str = "none",
 ) -> None:
-    """:func:`matrix_lines` as text parts whose name order is the line order."""
-    lines = matrix_lines(df, samples, key, metadata, digits)
-    ordered = lines.repartitionByRange("_order", "name").sortWithinPartitions("_order", "name")
-    ordered.select(F.col("line").alias("value")).write.mode("overwrite").option("compression", compression).text(path)
+    """:func:`matrix_lines` as text parts whose name order is the line order.
+
+    Only the cells that a line has are exchanged; the empty ones are made by the task that writes them.
+    """
+    samples = freeze(samples.select("sample_name", "position"))
+    lists, width = freeze(_matrix_lists(df, samples, key, metadata, digits)), samples.count()
+    parts = max(shuffle_width(df.sparkSession), -(-lists.count() * width // PART_CELLS))
+    ordered = lists.repartitionByRange(parts, "_order", "name").sortWithinPartitions("_order", "name")
+    ordered.select(_line(width).alias("value")).write.mode("overwrite").option("compression", compression).text(path)
 
 
 def to_class_matrix(df: DataFrame, meta: DataFrame, samples: Sequence[str]) -> DataFrame:
