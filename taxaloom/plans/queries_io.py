@@ -10,21 +10,12 @@ from taxaloom.plans.oracle import NATIONS, sql
 from taxaloom.plans.register import query, r6
 from taxaloom.session import freeze, staging_path
 from taxaloom.sources import files, joined, params, sinks, tables as T
-from taxaloom.sources.fastq import list_files
 
 
-def _per_sample(df: DataFrame, name: str, header: bool = False) -> str:
-    """Write ``df`` as one folder of TSV files per sample and return the root."""
+def _per_sample(df: DataFrame, name: str, header: bool = False) -> tuple[str, DataFrame]:
+    """Write ``df`` as TSV files per sample and return the folder and their ``(sample_name, path)``."""
     path = staging_path(df.sparkSession, name)
-    named = df.withColumn("of", F.col("sample_name")).drop("sample_name").hint("rebalance", "of")
-    named.write.partitionBy("of").option("sep", "\t").option("header", header).csv(path)
-    return path
-
-
-def _manifest(spark: SparkSession, root: str) -> DataFrame:
-    """``(sample_name, path)`` of the staged files, from their names only."""
-    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(root).select("path")
-    return listed.select(F.regexp_extract("path", r"of=([^/]+)/", 1).alias("sample_name"), "path")
+    return path, sinks.write_files(df, path, "sample_name", header)
 
 
 @query(
@@ -35,16 +26,16 @@ def profile_scan(spark, sf):
     prof = T.profile(spark, sf, with_tax=True).select(
         "sample_name", "clade_name", "ncbi_tax_id", "relative_abundance", F.lit("").alias("additional_species")
     )
-    root = _per_sample(prof, "profiles")
-    out = files.read_profiles(spark, root, _manifest(spark, root))
+    root, manifest = _per_sample(prof, "profiles")
+    out = files.read_profiles(spark, root, manifest)
     return out.select("sample_name", "clade_name", "ncbi_tax_id", r6("relative_abundance", "relative_abundance"))
 
 
 @query("a02_term_scan_by_file", sql("SELECT sample_name, term, abundance FROM func", "func"))
 def term_scan_by_file(spark, sf):
     # The path carries the sample; the file-name rule itself is checked in the tests.
-    root = _per_sample(T.functional(spark, sf).select("sample_name", "term", "abundance"), "terms", header=True)
-    named = files.read_terms(spark, root, _manifest(spark, root))
+    root, manifest = _per_sample(T.functional(spark, sf).select("sample_name", "term", "abundance"), "terms", header=True)
+    named = files.read_terms(spark, root, manifest)
     return named.select("sample_name", "term", "abundance")
 
 
@@ -53,11 +44,8 @@ def term_scan_by_file_name(spark, sf):
     """One file per sample, named by it and the ending of its kind; the name is all that tells the sample."""
     parts, root = staging_path(spark, "parts"), staging_path(spark, "named")
     terms = T.functional(spark, sf).select("sample_name", "term", "abundance")
-    by_sample = terms.select(F.col("sample_name").alias("key"), "term", "abundance").repartition("key")
-    by_sample.write.partitionBy("key").option("sep", "\t").option("header", True).csv(parts)
-    listed = spark.createDataFrame([(p,) for p, _ in list_files(parts, "*.csv")], "path string").select(
-        F.regexp_extract("path", "key=([^/]+)/", 1).alias("sample_name"), F.lit(0).alias("position"), "path"
-    )
+    written = sinks.write_files(terms, parts, "sample_name", header=True, apart=False)
+    listed = written.select("sample_name", F.lit(0).alias("position"), "path")
     freeze(joined.join_files(listed, root, ending=".Pathway.txt"))
     return files.read_terms(spark, root)
 
@@ -67,8 +55,8 @@ def term_scan_by_file_name(spark, sf):
     sql("SELECT sample_name, count(*) AS n_terms, round(sum(abundance), 6) AS total FROM func GROUP BY 1", "func"),
 )
 def term_scan_by_manifest(spark, sf):
-    root = _per_sample(T.functional(spark, sf).select("sample_name", "term", "abundance"), "terms", header=True)
-    out = files.read_terms(spark, root, _manifest(spark, root))
+    root, manifest = _per_sample(T.functional(spark, sf).select("sample_name", "term", "abundance"), "terms", header=True)
+    out = files.read_terms(spark, root, manifest)
     return out.groupBy("sample_name").agg(
         F.count(F.lit(1)).alias("n_terms"), r6(F.sum("abundance"), "total")
     )
@@ -77,8 +65,8 @@ def term_scan_by_manifest(spark, sf):
 @query("a04_count_scan", sql("SELECT sample_name, gene_id, gene_name, count FROM genes", "genes"))
 def count_scan(spark, sf):
     genes = T.gene_counts(spark, sf).select("sample_name", "gene_id", "gene_name", "count", F.lit(0).alias("length"))
-    root = _per_sample(genes, "counts", header=True)
-    return files.read_counts(spark, root, _manifest(spark, root))
+    root, manifest = _per_sample(genes, "counts", header=True)
+    return files.read_counts(spark, root, manifest)
 
 
 def _nation_terms(spark, sf) -> DataFrame:

@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
+import uuid
+from collections.abc import Iterator, Sequence
+from urllib.parse import quote
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from taxaloom.functions.lineage import NAME_MARK
 from taxaloom.session import freeze, shuffle_width
+from taxaloom.sources.fastq import _system
 
 #: Cells of a matrix, empty ones too, that a task writes.
 PART_CELLS = 16_000_000
@@ -31,6 +38,60 @@ def write_by(df: DataFrame, path: str, key: str) -> None:
     _tsv(df.hint("rebalance", key)).partitionBy(key).csv(path)
 
 
+#: What a folder of rows without a key is called by Spark's own writers.
+NO_KEY = "__HIVE_DEFAULT_PARTITION__"
+
+
+def write_files(df: DataFrame, folder: str, key: str, header: bool = False, apart: bool = True) -> DataFrame:
+    """One TSV file per value of ``key``, all in ``folder``; returns their ``(key, path)``, written.
+
+    Lines are those of Spark's own writer, without the key. There is no folder per
+    key, which each would have to be made, committed and listed again. With ``apart`` a key that
+    holds a large part of the rows is written by several tasks, a file each.
+    """
+    named = F.coalesce(F.col(key).cast("string"), F.lit(NO_KEY))
+    fields = [c for c in df.columns if c != key]
+    line = F.concat(F.to_csv(F.struct(*[F.col(f"`{c}`") for c in fields]), {"sep": "\t"}), F.lit("\n"))
+    rows = df.select(named.alias("_key"), line.alias("_line"))
+    dealt = rows.hint("rebalance", "_key") if apart else rows.repartition("_key")
+    head = ("\t".join(fields) + "\n").encode() if header else b""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # A repeated task writes the same files under the same names.
+        part = f"{TaskContext.get().partitionId():05d}"
+        system, base = _system(folder.rstrip("/"))
+        system.create_dir(base, recursive=True)
+        made: list[tuple[str, str]] = []
+        now = stream = hidden = None
+
+        def close() -> None:
+            if stream is not None:
+                stream.close()
+                # Neither a percent nor a plus sign, which a path could be read as escapes by.
+                name = f"of={quote(now, safe='').replace('%', '=')}.{part}.csv"
+                system.move(hidden, f"{base}/{name}")
+                made.append((now, f"{folder.rstrip('/')}/{name}"))
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys, lines = batch.column(0), batch.column(1).cast(pa.large_binary())
+            new = np.flatnonzero(pc.not_equal(keys[1:], keys[:-1]).to_numpy(zero_copy_only=False)) + 1
+            at = np.frombuffer(lines.buffers()[1], np.int64)[lines.offset : lines.offset + len(lines) + 1]
+            data = memoryview(lines.buffers()[2])
+            for first, end in zip([0, *new.tolist()], [*new.tolist(), len(keys)], strict=True):
+                if keys[first].as_py() != now:
+                    close()
+                    now, hidden = keys[first].as_py(), f"{base}/_{uuid.uuid4().hex}"
+                    stream = system.open_output_stream(hidden)
+                    stream.write(head)
+                stream.write(data[at[first] : at[end]])
+        close()
+        yield pa.RecordBatch.from_arrays([pa.array([m[i] for m in made], pa.string()) for i in (0, 1)], names=[key, "path"])
+
+    return freeze(dealt.sortWithinPartitions("_key").mapInArrow(run, f"`{key}` string, path string"))
+
+
 def write_lines(df: DataFrame, column: str, path: str) -> None:
     df.select(column).write.mode("overwrite").text(path)
 
