@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 SPACE = "▁"
 _RUNS = re.compile(f"{SPACE}+[^{SPACE}]*")
@@ -41,6 +41,15 @@ class Pieces:
             raise ValueError("pieces with inner spaces are not supported")
         self.newline_is_apart = not any("\n" in p for p in self.score)
 
+    @cached_property
+    def tree(self) -> dict[str, tuple[float | None, dict | None]]:
+        """Character to (score of the piece that ends there or None, what may follow or None)."""
+        below: dict[str, dict] = {}
+        for start in sorted(self.onward, key=len, reverse=True):
+            node = (self.onward[start], below.pop(start, None))
+            below.setdefault(start[:-1], {})[start[-1]] = node
+        return below[""]
+
 
 @lru_cache(maxsize=4)
 def load(path: str) -> Pieces:

@@ -141,7 +141,7 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op9_sentencepiece")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return viterbi.encode(table(spark, sf_dir, "documents"), piece_model(), remember=250_000)
+    return viterbi.encode(table(spark, sf_dir, "documents"), piece_model(), remember=400_000)
 
 
 @query(

@@ -16,6 +16,7 @@ from .pieces import Memo, Pieces, chunks, load
 
 #: Penalty of a character without a piece, below the worst score of the vocabulary (fixed value of the format).
 UNKNOWN_PENALTY = 10.0
+_NOTHING = (None, None)
 
 
 def stream_ids(blocks: Iterable[str], pieces: Pieces) -> Iterator[int]:
@@ -28,39 +29,46 @@ def stream_ids(blocks: Iterable[str], pieces: Pieces) -> Iterator[int]:
     The commit resets scores to zero, so rounding doesn't grow with the text.
     Of equal scores the path whose last piece is longest wins.
     """
-    score, ids, longest = pieces.score, pieces.id, pieces.longest
-    onward = pieces.onward.get
-    unknown, none, stop = pieces.worst - UNKNOWN_PENALTY, -inf, 0
+    ids, longest = pieces.id, pieces.longest
+    first = pieces.tree.get
+    unknown, none = pieces.worst - UNKNOWN_PENALTY, -inf
     window, best, back = "", [0.0], [0]
-    at, reach, check = 0, 0, 8 * longest
+    # Boundaries: of the last commit, the next one to start from, the furthest one reached; and when to look for a meeting.
+    done, at, reach, check = 0, 0, 0, 8 * longest
     for block in chain(blocks, ("",)):
+        if done:
+            window, best, back = window[done:], best[done:], [max(0, b - done) for b in back[done:]]
+            done, at, reach = 0, at - done, reach - done
         window += block
         size = len(window)
         best += [none] * (size + 1 - len(best))
         back += [0] * (size + 1 - len(back))
         until = size - longest if block else size
         while at < until:
-            here, end = best[at], at
-            while end < size:
-                end += 1
-                s = onward(window[at:end], stop)
-                if s == 0:
+            here, end = best[at], at + 1
+            s, onward = first(window[at], _NOTHING)
+            # A character that is no piece of its own may still start longer ones.
+            x = here + (s or unknown)
+            if x > best[end]:
+                best[end], back[end] = x, at
+            if end > reach:
+                reach = end
+            while onward and end < size:
+                node = onward.get(window[end])
+                if node is None:
                     break
-                if s is not None:
-                    s += here
-                    if s > best[end]:
-                        best[end], back[end] = s, at
+                end += 1
+                s, onward = node
+                if s:
+                    x = here + s
+                    if x > best[end]:
+                        best[end], back[end] = x, at
                     if end > reach:
                         reach = end
-            if window[at] not in score:
-                if here + unknown > best[at + 1]:
-                    best[at + 1], back[at + 1] = here + unknown, at
-                if reach <= at:
-                    reach = at + 1
             at += 1
             if reach == at:
                 meet = at
-            elif at < check:
+            elif at - done < check:
                 continue
             else:
                 live = {k for k in range(at, reach + 1) if best[k] > none}
@@ -70,10 +78,10 @@ def stream_ids(blocks: Iterable[str], pieces: Pieces) -> Iterator[int]:
                     live.add(back[last])
                 meet = live.pop()
                 check = at - meet + 8 * longest
-                if not meet:
+                if meet == done:
                     continue
             cuts = [meet]
-            while cuts[-1]:
+            while cuts[-1] != done:
                 cuts.append(back[cuts[-1]])
             for k in range(len(cuts) - 1, 0, -1):
                 piece = window[cuts[k] : cuts[k - 1]]
@@ -82,10 +90,9 @@ def stream_ids(blocks: Iterable[str], pieces: Pieces) -> Iterator[int]:
                 else:
                     for x in piece.encode():
                         yield pieces.byte_id[x]
-            floor = best[meet]
-            window, size, at, reach, until = window[meet:], size - meet, at - meet, reach - meet, until - meet
-            best = [b - floor for b in best[meet:]]
-            back = [max(0, b - meet) for b in back[meet:]]
+            floor, done = best[meet], meet
+            for k in range(meet, reach + 1):
+                best[k] -= floor
 
 
 @lru_cache(maxsize=4)
