@@ -240,3 +240,20 @@ def test_whole_scores_by_enumeration(spark, monkeypatch):
     assert {r.doc_id: r.score for r in lattice.text_scores(df, MODEL).collect()} == pytest.approx(want)
     apart = {r.doc_id: r.score for r in lattice.text_scores(df, MODEL, apart=True).collect()}
     assert apart == pytest.approx(want)
+
+
+def test_search_finds_a_bounded_number_of_rows_per_query(spark, monkeypatch):
+    """However many shards there are, what is found before the merge grows with the queries and the tasks alone."""
+    from taxaloom.session import freeze
+
+    texts = [" ".join(f"w{(i * j) % 23}" for j in range(1, 9)) + " all" for i in range(400)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    written = []
+    monkeypatch.setattr(search, "freeze", lambda df: written.append(made := freeze(df)) or made)
+    few, many = [], []
+    for shard, found in ((400, few), (4, many)):
+        monkeypatch.setattr(search, "SHARD_DOCS", shard)
+        found += sorted(map(tuple, search.search(docs, docs.where("doc_id % 50 = 0"), k=10).collect()))
+    assert few == many and len(many) == 80
+    rows = max(df.count() for df in written if "query_id" in df.columns)
+    assert rows <= 8 * 10 * spark.sparkContext.defaultParallelism
